@@ -236,3 +236,110 @@ FACT_SELECT = f"""SELECT trip_id AS trip_sk, {bigint('pickup_date_sk pickup_time
   {dollars('total_c')} AS total_amount, CAST(minutes AS BIGINT) AS trip_duration_minutes,
   {dollars('tip2')} AS tip_percentage, dist_c > 1000 AS is_long_trip, dist_c < 100 AS is_short_trip,
   is_high_tip, is_cash_trip, is_airport_trip, is_rush_hour FROM"""
+
+# vendor masters with vendor 6 still waiting for approval; zones with 11 and 23 waiting
+TABLES.update(
+    {
+        "mvendors": (
+            [],
+            "SELECT *, CASE WHEN source_vendor_id = 6 THEN 'PROPOSED' ELSE 'ACTIVE' END AS lifecycle_state"
+            " FROM (VALUES " + rows([v[:2] for v in S.VENDORS if v[0]]) + ") AS m(source_vendor_id, vendor_name)",
+        ),
+        "mzones": (
+            [],
+            """SELECT n_nationkey AS source_zone_id, n_nationkey + 1 AS zone_id, n_name AS zone_name,
+              CASE WHEN n_nationkey IN (11, 23) THEN 'PROPOSED' ELSE 'ACTIVE' END AS lifecycle_state FROM nation""",
+        ),
+        "mrates": (
+            [],
+            "SELECT *, source_ratecode_id + 1 AS ratecode_id FROM (VALUES "
+            + rows([r for r in S.LAKE_RATE_CODES if r[0] != 6])
+            + ") AS m(source_ratecode_id, rate_code_desc)",
+        ),
+        "enriched": (
+            ["trips", "zones"],
+            """SELECT t.*, p.zone AS pu_zone, p.borough AS pu_borough, d.zone AS do_zone, d.borough AS do_borough,
+              CASE WHEN fare_c > 0 AND tip_c * 5 > fare_c THEN 1 ELSE 0 END AS high_tip_flag,
+              CASE WHEN fare_c > 0 THEN (2 * tip_c * 10000 + fare_c) // (2 * fare_c) ELSE 0 END AS tip2,
+              CASE WHEN fare_c > 0 THEN tip_c * 100.0 / fare_c ELSE 0 END AS tip_pct,
+              CASE WHEN secs >= 0 THEN secs // 60 ELSE -((-secs) // 60) END AS whole_min
+            FROM trips t LEFT JOIN zones p ON t.pulocationid = p.locationid
+            LEFT JOIN zones d ON t.dolocationid = d.locationid""",
+        ),
+        "scored": (
+            ["enriched"],
+            """SELECT *, CASE WHEN secs IS NULL THEN 0
+                ELSE CAST(sign(secs) * ((abs(secs) * 200 + 60) // 120) AS BIGINT) END AS dur2,
+              10 * (CAST(total_c >= 0 AS INT) + CAST(fare_c >= 0 AS INT) + 1 + CAST(secs > 0 AS INT)
+                + CAST(CASE WHEN secs IS NULL THEN false ELSE dur2 BETWEEN 100 AND 144000 END AS INT)
+                + CAST(passengers BETWEEN 1 AND 8 AS INT) + 1 + 1 + CAST(vendorid IS NOT NULL AS INT) + 1) AS score
+            FROM enriched""",
+        ),
+        "daily": (
+            ["scored", "mvendors"],
+            f"""SELECT CAST(tpep_pickup_datetime AS DATE) AS summary_date, vendorid AS vendor_id,
+              coalesce(v.vendor_name, 'Unknown Vendor') AS vendor_name, pulocationid AS pickup_zone_id,
+              coalesce(pu_zone, 'Unknown') AS pickup_zone_name, coalesce(pu_borough, 'Unknown') AS pickup_borough,
+              dolocationid AS dropoff_zone_id, coalesce(do_zone, 'Unknown') AS dropoff_zone_name,
+              coalesce(do_borough, 'Unknown') AS dropoff_borough, count(*) AS total_trips,
+              CAST(sum(passengers) AS BIGINT) AS total_passengers, sum(total_c) AS revenue_c,
+              {dollars('sum(total_c)')} AS total_revenue, {dollars('sum(fare_c)')} AS total_fare,
+              {dollars('sum(tip_c)')} AS total_tips, {dollars('sum(tolls_c)')} AS total_tolls,
+              {dollars('sum(250 + airport_c)')} AS total_surcharges, {dollars('sum(dist_c)')} AS total_distance,
+              {rdiv('sum(dist_c)', '100 * count(*)', 2)} AS avg_distance,
+              {rdiv('sum(dur2)', '100 * count(*)', 2)} AS avg_trip_duration,
+              {rdiv('sum(fare_c)', '100 * count(*)', 2)} AS avg_fare,
+              {rdiv('sum(tip_c)', '100 * count(*)', 2)} AS avg_tip,
+              {rdiv('sum(total_c)', '100 * count(*)', 2)} AS avg_total_amount,
+              CAST(count_if(tip_c > 0) AS BIGINT) AS trips_with_tips,
+              {rdiv('100 * count_if(tip_c > 0)', 'count(*)', 2)} AS tip_percentage,
+              {rdiv('sum(tip2)', '100 * count(*)', 2)} AS avg_tip_pct,
+              CAST(count_if(dist_c > 2000) AS BIGINT) AS long_trips,
+              CAST(count_if(dist_c < 100) AS BIGINT) AS short_trips,
+              CAST(sum(high_tip_flag) AS BIGINT) AS high_tip_trips,
+              count(*) FILTER (WHERE ratecodeid = 1) AS standard_rate_trips,
+              count(*) FILTER (WHERE ratecodeid IN (2, 3)) AS airport_trips,
+              count(*) FILTER (WHERE ratecodeid = 5) AS negotiated_trips,
+              {rdiv('sum(score)', 'count(score)', 2)} AS data_quality_score, count(*) AS source_row_count
+            FROM scored LEFT JOIN mvendors v ON vendorid = source_vendor_id AND v.lifecycle_state = 'ACTIVE'
+            WHERE vendorid IS NOT NULL GROUP BY ALL""",
+        ),
+        "vendor_day": (
+            ["enriched", "mvendors"],
+            f"""SELECT vendorid AS vendor_id, v.vendor_name, CAST(tpep_pickup_datetime AS DATE) AS metric_date,
+              count(*) AS total_trips, {dollars('sum(total_c)')} AS total_revenue,
+              {dollars('sum(dist_c)')} AS total_distance, {rdiv('sum(whole_min)', 'count(whole_min)', 2)} AS avg_trip_duration,
+              {rdiv('sum(fare_c)', '100 * count(*)', 2)} AS avg_fare, round(avg(tip_pct), 2) AS avg_tip_pct,
+              count(*) AS source_row_count
+            FROM enriched LEFT JOIN mvendors v ON vendorid = source_vendor_id AND v.lifecycle_state = 'ACTIVE'
+            WHERE vendorid IS NOT NULL GROUP BY 1, 2, 3""",
+        ),
+        "hours": (
+            ["enriched"],
+            """SELECT pulocationid AS pickup_zone_id, dolocationid AS dropoff_zone_id,
+              CAST(tpep_pickup_datetime AS DATE) AS metric_date, hour(tpep_pickup_datetime) AS h, count(*) AS n
+            FROM enriched GROUP BY ALL""",
+        ),
+        "peaks": (
+            ["hours"],
+            """SELECT * FROM hours QUALIFY row_number() OVER (
+              PARTITION BY pickup_zone_id, dropoff_zone_id, metric_date ORDER BY n DESC, h) = 1""",
+        ),
+        "routes": (
+            ["enriched", "peaks"],
+            f"""SELECT pickup_zone_id, dropoff_zone_id, metric_date, h AS peak_hour, r.* EXCLUDE (a, b, c) FROM peaks
+            JOIN (SELECT pulocationid AS a, dolocationid AS b, CAST(tpep_pickup_datetime AS DATE) AS c,
+              count(*) AS trip_count, {rdiv('sum(fare_c)', '100 * count(*)', 2)} AS avg_fare,
+              {rdiv('sum(dist_c)', '100 * count(*)', 2)} AS avg_distance,
+              {rdiv('sum(whole_min)', 'count(whole_min)', 2)} AS avg_duration FROM enriched GROUP BY 1, 2, 3) r
+            ON pickup_zone_id = a AND dropoff_zone_id = b AND metric_date = c""",
+        ),
+    }
+)
+
+DAILY_SELECT = f"""SELECT * EXCLUDE (revenue_c) REPLACE (CAST(summary_date AS VARCHAR) AS summary_date,
+  CAST(vendor_id AS BIGINT) AS vendor_id, CAST(pickup_zone_id AS BIGINT) AS pickup_zone_id,
+  CAST(dropoff_zone_id AS BIGINT) AS dropoff_zone_id) FROM daily"""
+
+VENDOR_DAY_COLUMNS = """CAST(vendor_id AS BIGINT) AS vendor_id, vendor_name, total_trips, total_revenue,
+  total_distance, avg_trip_duration, avg_fare, avg_tip_pct, source_row_count"""

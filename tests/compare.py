@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+from collections import Counter
 
 import duckdb
 
@@ -41,9 +42,14 @@ def difference(df, con, sql: str) -> str | None:
         return f"columns {s_names} != {d_names}"
     if len(s_rows) != len(d_rows):
         return f"rows {len(s_rows)} != {len(d_rows)}: {s_rows[:2]} / {d_rows[:2]}"
-    bad = [(a, b) for a, b in zip(s_rows, d_rows, strict=True) if _key(a) != _key(b)]
-    if bad:
-        a, b = bad[0]
-        cells = [(n, x, y) for n, x, y in zip(s_names, a, b, strict=True) if repr(x) != repr(y)]
-        return f"{len(bad)} of {len(s_rows)} rows differ, first: {cells}"
-    return None
+    ours, theirs = Counter(map(_key, s_rows)), Counter(map(_key, d_rows))
+    extra, missing = sorted((ours - theirs).elements()), sorted((theirs - ours).elements())
+    if not extra:
+        return None
+
+    def near(row: tuple) -> tuple:
+        return max(missing, key=lambda other: sum(a == b for a, b in zip(row, other, strict=True)))
+
+    a, b = extra[0], near(extra[0])
+    cells = [(n, x[2], y[2]) for n, x, y in zip(s_names, a, b, strict=True) if x != y]
+    return f"{len(extra)} of {len(s_rows)} rows differ, for example: {cells}"
