@@ -415,7 +415,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
             "0",
             "duplicate_count",
         ),
-        Q.Check("masters", "UNKNOWN_COLUMN", "unit", lambda: Q.null_key(trips, "no_such_column")),
+        Q.Check("masters", "MISSING_TABLE", "unit", lambda: Q.null_key({"trips": trips}["missing"], "id")),
     ]
     return Q.run_checks(checks, T.TRIPS_AS_OF)
 
@@ -434,7 +434,7 @@ LOG_SQL = sql(
          CASE WHEN count(*) FILTER (WHERE secs <= -60 OR secs >= 86460) = 0 THEN 'PASS' ELSE 'FAIL' END FROM trips
        UNION ALL SELECT 'transformation', 'DUPLICATE_COUNT', 'unit', '0',
          CAST(count(*) - count(DISTINCT trip_id) AS VARCHAR) FROM trips
-       UNION ALL SELECT 'masters', 'UNKNOWN_COLUMN', 'unit', 'PASS', NULL),
+       UNION ALL SELECT 'masters', 'MISSING_TABLE', 'unit', 'PASS', NULL),
      log AS (SELECT *, CASE WHEN test_suite = 'masters' THEN 'ERROR' WHEN actual_result = expected_result THEN 'PASS'
        ELSE 'FAIL' END AS test_status FROM c)""",
 )

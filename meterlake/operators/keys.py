@@ -60,7 +60,7 @@ def with_change_id(changes: DataFrame, last_id: int, order_by: str, name: str =
 
 
 def marked(text: Column) -> Column:
-    return F.coalesce(text.cast("string"), F.lit("\u0000"))
+    return F.coalesce(text.cast("string"), F.lit("\\N"))
 
 
 def row_hash(columns: list[str]) -> Column:
