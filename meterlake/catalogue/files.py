@@ -1 +1,292 @@
-"""To come."""
+"""Landing files, sinks and row-level features; file queries read back what they wrote to
+the shared scratch folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types
+
+from meterlake import schemas as S
+from meterlake.catalogue import query
+from meterlake.catalogue.lake import golden_trips
+from meterlake.catalogue.sqltext import bigint, dollars, sql
+from meterlake.functions import features as X
+from meterlake.functions import times
+from meterlake.functions.casts import safe_amount, safe_whole
+from meterlake.functions.exact import exact_sum
+from meterlake.operators import rejects
+from meterlake.plans import lake as plans_lake
+from meterlake.session import scratch_path
+from meterlake.sinks import lake as sinks
+from meterlake.sources import lake, landing
+from meterlake.sources import testtables as T
+
+TRIP_COLUMNS = [f.name for f in S.TRIP_SCHEMA.fields]
+BULK_SCHEMA = types.StructType(
+    [
+        types.StructField("o_orderkey", types.LongType()),
+        types.StructField("o_orderstatus", types.StringType()),
+        types.StructField("o_custkey", types.LongType()),
+    ]
+)
+
+PER_VENDOR = f"""SELECT CAST(vendorid AS BIGINT) AS vendorid, count(*) AS n_trips, {dollars('sum(total_c)')} AS revenue,
+  CAST(max(tpep_dropoff_datetime) AS VARCHAR) AS last_dropoff FROM trips GROUP BY 1"""
+
+
+def per_vendor(trips: DataFrame) -> DataFrame:
+    return trips.groupBy("vendorid").agg(
+        F.count(F.lit(1)).alias("n_trips"),
+        exact_sum("total_amount").alias("revenue"),
+        F.max("tpep_dropoff_datetime").alias("last_dropoff"),
+    )
+
+
+def land(spark: SparkSession, sf_dir: str) -> str:
+    """Trips as headered CSV in a tree that also holds the zone lookup."""
+    root = scratch_path(spark, "landing")
+    trips = T.trips(spark, sf_dir).select(*TRIP_COLUMNS)
+    options = {"header": True, "timestampNTZFormat": landing.TIME_FORMAT}
+    trips.write.options(**options).csv(f"{root}/2024/trips")
+    T.zones(spark, sf_dir).write.options(**options).csv(f"{root}/zone_lookup")
+    return root
+
+
+@query("src_csv_dir", sql("trips", PER_VENDOR))
+def src_csv_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recursive read of the tree that must not take zone rows for trips."""
+    return per_vendor(landing.trips_csv(spark, land(spark, sf_dir), exclude="/zone_lookup/"))
+
+
+@query("src_csv_zone", sql("zones", "SELECT CAST(locationid AS BIGINT) AS locationid, borough, zone, service_zone FROM zones"))
+def src_csv_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.zones_csv(spark, f"{land(spark, sf_dir)}/zone_lookup")
+
+
+def _partitioned_root(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "validated")
+    silver = plans_lake.featurise(plans_lake.validate(T.trips(spark, sf_dir)))
+    sinks.write_partitioned(silver, root, sort=["pulocationid"])
+    return root
+
+
+PER_DAY = f"""SELECT {bigint('pickup_year pickup_month pickup_day')}, count(*) AS n_trips, {dollars('sum(fare_c)')} AS fares
+  FROM (SELECT *, year(tpep_pickup_datetime) AS pickup_year, month(tpep_pickup_datetime) AS pickup_month,
+    day(tpep_pickup_datetime) AS pickup_day FROM valid) GROUP BY ALL"""
+
+
+def per_day(trips: DataFrame) -> DataFrame:
+    return trips.groupBy(*sinks.DAY).agg(F.count(F.lit(1)).alias("n_trips"), exact_sum("fare_amount").alias("fares"))
+
+
+@query("snk_pq_part", sql("valid", PER_DAY))
+def snk_pq_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by day and read back with partition discovery."""
+    return per_day(lake.partitioned(spark, _partitioned_root(spark, sf_dir)))
+
+
+@query("src_path_part", sql("valid", PER_DAY))
+def src_path_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read file by file, with the day recovered from each path."""
+    return per_day(lake.partitioned_from_paths(spark, _partitioned_root(spark, sf_dir)))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as order exports: every 50th is blank, every 40th has a field too many."""
+    text = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+    k = F.col("o_orderkey")
+    return T.table(spark, sf_dir, "orders").select(
+        F.when(k % 50 == 0, "").when(k % 40 == 1, F.concat(text, F.lit(",extra"))).otherwise(text).alias("value")
+    )
+
+
+@query(
+    "src_arity",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
+       WHERE o_orderkey % 50 <> 0 AND o_orderkey % 40 <> 1""",
+)
+def src_arity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "lines")
+    _lines(spark, sf_dir).write.text(path)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, cents bigint"
+    kept = landing.lines_of_arity(spark.read.text(path), 4)
+    return kept.select(F.from_csv("value", schema).alias("r")).select("r.*")
+
+
+@query(
+    "src_bulk",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders WHERE o_orderkey % 30 <> 7""",
+)
+def src_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank and empty fields load as NULL; rows with text in a number are set aside."""
+    path = scratch_path(spark, "bulk")
+    k = F.col("o_orderkey")
+    lines = T.table(spark, sf_dir, "orders").select(
+        F.when(k % 30 == 7, F.concat(F.lit("bad"), k.cast("string"))).otherwise(k.cast("string")).alias("o_orderkey"),
+        F.when(k % 9 == 0, F.lit("  ")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(k % 11 == 0, F.lit("")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+    )
+    lines.write.option("header", True).csv(path)
+    rows, _ = landing.bulk_load(spark, path, BULK_SCHEMA)
+    return rows
+
+
+@query("snk_csv_split", sql("trips", PER_VENDOR))
+def snk_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported as compressed files of at most 3,000 rows and read back."""
+    path = scratch_path(spark, "export")
+    sinks.export_csv(T.trips(spark, sf_dir).select(*TRIP_COLUMNS), path, rows_per_file=3000)
+    return per_vendor(landing.trips_csv(spark, path))
+
+
+def relational_golden(golden: DataFrame) -> DataFrame:
+    """Golden trips in the layout of the relational copy."""
+    renamed = golden.withColumns(
+        {
+            "pu_locationid": F.col("pulocationid"),
+            "do_locationid": F.col("dolocationid"),
+            "rate_code_id": F.col("ratecodeid"),
+        }
+    )
+    return sinks.apply_mapping(renamed, [(n, n, kind) for n, kind in S.GOLDEN_COLUMNS])
+
+
+@query(
+    "snk_mapped_table",
+    sql(
+        "golden",
+        f"""SELECT {bigint('pulocationid dolocationid')}, CAST(pulocationid AS BIGINT) AS pu_locationid,
+          CAST(dolocationid AS BIGINT) AS do_locationid, CAST(ratecodeid AS BIGINT) AS rate_code_id,
+          CAST(year(tpep_pickup_datetime) AS VARCHAR) AS pickup_year, CAST(day(tpep_pickup_datetime) AS VARCHAR) AS pickup_day,
+          CAST(CASE WHEN dist_c > 2000 THEN 1 ELSE 0 END AS BIGINT) AS is_long_trip,
+          CAST(high_tip_flag AS BIGINT) AS high_tip_flag, {dollars('total_c')} AS total_amount, pu_zone, do_borough,
+          CAST(tpep_pickup_datetime AS VARCHAR) AS tpep_pickup_datetime, CAST(44 AS BIGINT) AS n_columns FROM golden""",
+    ),
+)
+def snk_mapped_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "relational")
+    sinks.write_table(relational_golden(golden_trips(spark, sf_dir)), path)
+    back = spark.read.parquet(path)
+    return back.select(
+        "pulocationid",
+        "dolocationid",
+        "pu_locationid",
+        "do_locationid",
+        "rate_code_id",
+        "pickup_year",
+        "pickup_day",
+        "is_long_trip",
+        "high_tip_flag",
+        "total_amount",
+        "pu_zone",
+        "do_borough",
+        "tpep_pickup_datetime",
+        F.lit(len(back.columns)).alias("n_columns"),
+    )
+
+
+@query(
+    "src_union_products",
+    sql(
+        "trips",
+        """SELECT CAST(cab_type_id AS BIGINT) AS cab_type_id, count(*) AS n_trips, count(vendor_id) AS with_vendor,
+          count(base) AS with_base FROM (
+            SELECT 1 AS cab_type_id, vendorid AS vendor_id, NULL AS base FROM trips WHERE cab_type_id = 1
+            UNION ALL SELECT 2, vendorid, NULL FROM trips WHERE cab_type_id = 2
+            UNION ALL SELECT 3, NULL, 'B' || trip_id % 7 FROM trips WHERE trip_id % 3 = 0) GROUP BY 1""",
+    ),
+)
+def src_union_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yellow, green and for-hire trips, each with its own column names."""
+    trips = T.trips(spark, sf_dir)
+    yellow = trips.filter("cab_type_id = 1").select("vendorid", "tpep_pickup_datetime", "fare_amount")
+    green = trips.filter("cab_type_id = 2").selectExpr(
+        "vendorid", "tpep_pickup_datetime AS lpep_pickup_datetime", "fare_amount", "0.0D AS ehail_fee"
+    )
+    hired = trips.filter("trip_id % 3 = 0").selectExpr(
+        "concat('B', trip_id % 7) AS dispatching_base_num", "tpep_pickup_datetime AS pickup_datetime"
+    )
+    together = lake.union_products(
+        {
+            "yellow": (yellow, {"vendorid": "vendor_id", "tpep_pickup_datetime": "pickup_datetime"}),
+            "green": (green, {"vendorid": "vendor_id", "lpep_pickup_datetime": "pickup_datetime"}),
+            "fhv": (hired, {}),
+        },
+        {"yellow": 1, "green": 2, "fhv": 3},
+    )
+    return together.groupBy("cab_type_id").agg(
+        F.count(F.lit(1)).alias("n_trips"),
+        F.count("vendor_id").alias("with_vendor"),
+        F.count("dispatching_base_num").alias("with_base"),
+    )
+
+
+@query(
+    "flt_bad_rows",
+    sql(
+        "trips",
+        """SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS missing_location,
+          count(*) FILTER (WHERE fare_c < 0) AS negative_fare,
+          count(*) FILTER (WHERE secs IS NULL OR secs <= 0 OR secs > 86400) AS impossible_duration,
+          count(*) FILTER (WHERE vendorid IS NULL) AS corrupted_fields,
+          count(*) FILTER (WHERE fare_c >= 0 AND secs > 0 AND secs <= 86400 AND vendorid IS NOT NULL) AS kept_rows FROM trips""",
+    ),
+)
+def flt_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejects.reject_counts(T.trips(spark, sf_dir), rejects.trip_rules())
+
+
+@query(
+    "fea_durations",
+    sql(
+        "trips",
+        """SELECT trip_id, round(secs / 60.0, 4) AS fractional_minutes,
+          date_diff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) AS boundary_minutes,
+          date_sub('minute', tpep_pickup_datetime, tpep_dropoff_datetime) AS whole_minutes FROM trips""",
+    ),
+)
+def fea_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    return T.trips(spark, sf_dir).select(
+        "trip_id",
+        F.round(times.fractional_minutes(pickup, dropoff).cast("double"), 4).alias("fractional_minutes"),
+        times.minute_boundaries(pickup, dropoff).alias("boundary_minutes"),
+        times.whole_minutes(pickup, dropoff).alias("whole_minutes"),
+    )
+
+
+@query(
+    "prj_safe_cast",
+    """SELECT event_id, CASE event_id % 5 WHEN 0 THEN event_id WHEN 1 THEN event_id END AS whole_or_null,
+         CASE event_id % 5 WHEN 0 THEN event_id WHEN 1 THEN event_id ELSE 0 END AS whole_or_zero,
+         CASE WHEN event_id % 5 IN (0, 1) THEN CAST(event_id AS DOUBLE) WHEN event_id % 5 = 2 THEN event_id + 0.5 ELSE 0.0 END AS amount,
+         CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(date_trunc('second', ts) AS VARCHAR) END AS parsed FROM events""",
+)
+def prj_safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and times arriving as text, some of them broken."""
+    raw = T.table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "CASE event_id % 5 WHEN 0 THEN cast(event_id AS string) WHEN 1 THEN concat(event_id, '.0')"
+        " WHEN 2 THEN concat(event_id, '.5') WHEN 3 THEN 'abc' ELSE '' END AS number",
+        "if(event_id % 4 = 0, 'not a time', date_format(ts, 'yyyy-MM-dd HH:mm:ss')) AS moment",
+    )
+    return raw.select(
+        "event_id",
+        safe_whole(F.col("number")).alias("whole_or_null"),
+        safe_whole(F.col("number"), 0).alias("whole_or_zero"),
+        safe_amount(F.col("number")).alias("amount"),
+        times.text_timestamp(F.col("moment")).alias("parsed"),
+    )
+
+
+@query(
+    "prj_mask",
+    """SELECT o_orderkey, CAST((CAST(round(o_totalprice * 100) AS BIGINT) * 2 + 1000) // 2000 AS DOUBLE) * 10 AS price_rounded
+       FROM orders""",
+)
+def prj_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.table(spark, sf_dir, "orders").select(
+        "o_orderkey", X.nearest(F.col("o_totalprice"), 10).alias("price_rounded")
+    )

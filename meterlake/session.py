@@ -36,6 +36,9 @@ def local_session(cpus: int = 8, app: str = "meterlake") -> SparkSession:
     return spark
 
 
+_local_scratch: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
@@ -46,15 +49,11 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="meterlake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_scratch:
+        _local_scratch.append(tempfile.mkdtemp(prefix="meterlake-"))
+    return _local_scratch[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared scratch folder; paths are never reused."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
