@@ -16,12 +16,16 @@ def safe_whole(c: Column, default: int | None = None) -> Column:
     return whole if default is None else F.coalesce(whole, F.lit(default).cast("bigint"))
 
 
+def safe_cents(c: Column, default: int = 0) -> Column:
+    """A number as whole hundredths, halves away from zero; anything else gives the default."""
+    number = c.try_cast("double")
+    nearest = (number * 100 + F.signum(number) * 0.5).try_cast("bigint")
+    return F.coalesce(nearest, F.lit(default).cast("bigint"))
+
+
 def safe_amount(c: Column, default: float = 0.0) -> Column:
     """A number rounded to hundredths; anything else gives the default."""
-    number = c.try_cast("double")
-    cents = F.floor(F.abs(number) * 100 + F.lit(0.5))
-    signed = F.when(number < 0, -cents).otherwise(cents)
-    return F.coalesce(signed / F.lit(100.0), F.lit(default))
+    return safe_cents(c, round(default * 100)) / F.lit(100.0)
 
 
 def cast_if_present(df: DataFrame, columns: list[str], to: str) -> DataFrame:

@@ -60,6 +60,6 @@ def round_half_away(num: Column, den: Column) -> Column:
     return F.signum(num.cast("double")).cast("bigint") * F.call_function("div", doubled, den * 2)
 
 
-def count_true(predicate: Column) -> Column:
-    """How many rows satisfy a predicate; 0 over no rows."""
-    return F.count_if(predicate)
+def mean_cents(total: Column, n: Column) -> Column:
+    """Mean of whole hundredths, rounded to hundredths, as an amount; NULL without rows."""
+    return F.when(n > 0, round_half_away(total, n)) / F.lit(100.0)

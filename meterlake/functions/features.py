@@ -17,10 +17,14 @@ def tip_percent(tip: Column, fare: Column) -> Column:
     return F.when(fare > 0, cents(tip) * F.lit(100.0) / cents(fare)).otherwise(F.lit(0.0))
 
 
+def tip_hundredths(tip: Column, fare: Column) -> Column:
+    """The same as whole hundredths of a percent, for amounts in whole cents."""
+    return F.when(fare > 0, round_half_away(tip * 10000, fare)).otherwise(F.lit(0).cast("bigint"))
+
+
 def tip_percent_2dp(tip: Column, fare: Column) -> Column:
     """The same rounded to hundredths, exactly."""
-    hundredths = round_half_away(cents(tip) * F.lit(10000), cents(fare))
-    return F.when(cents(fare) > 0, hundredths / F.lit(100.0)).otherwise(F.lit(0.0))
+    return tip_hundredths(cents(tip), cents(fare)) / F.lit(100.0)
 
 
 def tip_share_above(tip: Column, fare: Column, percent: int) -> Column:
@@ -46,11 +50,11 @@ def in_windows(hour: Column, windows: tuple[tuple[int, int], ...]) -> Column:
 
 
 def quality_score(rules: list[Column]) -> Column:
-    """Share of satisfied rules in percent; NULL as soon as one rule is unknown."""
+    """Share of satisfied rules in whole percent; NULL as soon as one rule is unknown."""
     passed = F.lit(0)
     for rule in rules:
         passed = passed + rule.cast("int")
-    return passed * F.lit(100.0) / F.lit(float(len(rules)))
+    return F.call_function("div", passed * 100, F.lit(len(rules)))
 
 
 def zone_category(borough: Column, service_zone: Column, core_borough: str) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import features as X
-from meterlake.functions.casts import safe_amount, safe_whole
-from meterlake.functions.exact import cents, round_ratio, rounded_avg, rounded_sum
+from meterlake.functions.casts import safe_cents, safe_whole
+from meterlake.functions.exact import cents, mean_cents, round_ratio, rounded_avg, rounded_sum
 from meterlake.functions.rules import within_month
 from meterlake.functions.times import at, days_before, hours_before, whole_minutes
 from meterlake.operators.joins import lookup_join
@@ -25,7 +25,8 @@ def active_names(vendors: DataFrame) -> DataFrame:
 
 
 def cleaned(trips: DataFrame, year: int, month: int) -> DataFrame:
-    """One month of trips with every field made safe and scored by ten rules."""
+    """One month of trips with every field made safe and scored by ten rules. Amounts,
+    distance and duration are whole hundredths from here on."""
     c = F.col
     safe = trips.filter(within_month(c("tpep_pickup_datetime"), year, month)).select(
         F.to_date("tpep_pickup_datetime").alias("trip_date"),
@@ -33,33 +34,35 @@ def cleaned(trips: DataFrame, year: int, month: int) -> DataFrame:
         c("tpep_dropoff_datetime").alias("dropoff"),
         safe_whole(c("vendorid")).alias("vendor"),
         safe_whole(c("passenger_count"), 0).alias("passengers"),
-        safe_amount(c("trip_distance")).alias("distance"),
-        safe_amount(c("trip_duration_minutes")).alias("duration"),
-        safe_amount(c("fare_amount")).alias("fare"),
-        safe_amount(c("tip_amount")).alias("tip"),
-        safe_amount(c("total_amount")).alias("total"),
-        safe_amount(c("tolls_amount")).alias("tolls"),
-        (safe_amount(c("congestion_surcharge")) + safe_amount(c("airport_fee"))).alias("surcharges"),
+        safe_cents(c("trip_distance")).alias("distance"),
+        safe_cents(c("trip_duration_minutes")).alias("duration"),
+        safe_cents(c("fare_amount")).alias("fare"),
+        safe_cents(c("tip_amount")).alias("tip"),
+        safe_cents(c("total_amount")).alias("total"),
+        safe_cents(c("tolls_amount")).alias("tolls"),
+        (safe_cents(c("congestion_surcharge")) + safe_cents(c("airport_fee"))).alias("surcharges"),
         safe_whole(c("pulocationid")).alias("pu"),
         safe_whole(c("dolocationid")).alias("do"),
-        *[F.coalesce(c(n), F.lit("Unknown")).alias(n) for n in ("pu_zone", "pu_borough", "do_zone", "do_borough")],
+        "pu_zone",
+        "pu_borough",
+        "do_zone",
+        "do_borough",
         *[F.coalesce(c(n), F.lit(0)).alias(n) for n in ("is_long_trip", "is_short_trip", "high_tip_flag")],
         c("ratecodeid"),
-        X.tip_percent_2dp(c("tip_amount"), c("fare_amount")).alias("tip_share"),
     )
     rules = [
         c("total") >= 0,
         c("fare") >= 0,
         c("distance") >= 0,
         c("pickup") < c("dropoff"),
-        c("duration").between(1, 1440),
+        c("duration").between(100, 144_000),
         c("passengers").between(1, 8),
         c("pu").isNotNull(),
         c("do").isNotNull(),
         c("vendor").isNotNull(),
         c("pickup").isNotNull(),
     ]
-    return safe.withColumn("score", X.quality_score(rules))
+    return safe.withColumns({"score": X.quality_score(rules), "tip_share": X.tip_hundredths(c("tip"), c("fare"))})
 
 
 def daily_summary(trips: DataFrame, vendors: DataFrame, year: int, month: int) -> DataFrame:
@@ -72,47 +75,63 @@ def daily_summary(trips: DataFrame, vendors: DataFrame, year: int, month: int) -
     keyed = cleaned(trips, year, month).filter(
         c("trip_date").isNotNull() & c("vendor").isNotNull() & c("pu").isNotNull()
     )
-    grouped = keyed.groupBy(
+    places = ["pu_zone", "pu_borough", "do_zone", "do_borough"]
+    sums = ["total", "fare", "tip", "tolls", "surcharges", "distance", "duration", "tip_share", "score"]
+    counts = ["passengers", "is_long_trip", "is_short_trip", "high_tip_flag"]
+    grouped = keyed.groupBy("trip_date", "vendor", "pu", "do", *places).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("score").alias("n_scored"),
+        *[F.sum(s).alias(f"s_{s}") for s in sums + counts],
+        F.count_if(c("tip") > 0).alias("tipped"),
+        F.count_if(c("ratecodeid") == 1).alias("standard"),
+        F.count_if(c("ratecodeid").isin(2, 3)).alias("airport"),
+        F.count_if(c("ratecodeid") == 5).alias("negotiated"),
+    )
+    named = lookup_join(grouped, active_names(vendors), [("vendor", "_vendor")])
+
+    def amount(total: str) -> Column:
+        return c(f"s_{total}") / F.lit(100.0)
+
+    def mean(total: str) -> Column:
+        return mean_cents(c(f"s_{total}"), c("n"))
+
+    def place(name: str) -> Column:
+        return F.coalesce(c(name), F.lit("Unknown"))
+
+    return named.select(
         c("trip_date").alias("summary_date"),
         c("vendor").alias("vendor_id"),
+        F.coalesce("vendor_name", F.lit("Unknown Vendor")).alias("vendor_name"),
         c("pu").alias("pickup_zone_id"),
-        c("pu_zone").alias("pickup_zone_name"),
-        c("pu_borough").alias("pickup_borough"),
+        place("pu_zone").alias("pickup_zone_name"),
+        place("pu_borough").alias("pickup_borough"),
         c("do").alias("dropoff_zone_id"),
-        c("do_zone").alias("dropoff_zone_name"),
-        c("do_borough").alias("dropoff_borough"),
-    ).agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("passengers").alias("total_passengers"),
-        rounded_sum("total").alias("total_revenue"),
-        rounded_sum("fare").alias("total_fare"),
-        rounded_sum("tip").alias("total_tips"),
-        rounded_sum("tolls").alias("total_tolls"),
-        rounded_sum("surcharges").alias("total_surcharges"),
-        rounded_sum("distance").alias("total_distance"),
-        rounded_avg("distance").alias("avg_distance"),
-        rounded_avg("duration").alias("avg_trip_duration"),
-        rounded_avg("fare").alias("avg_fare"),
-        rounded_avg("tip").alias("avg_tip"),
-        rounded_avg("total").alias("avg_total_amount"),
-        F.count_if(c("tip") > 0).alias("trips_with_tips"),
-        rounded_avg("tip_share").alias("avg_tip_pct"),
-        F.sum("is_long_trip").alias("long_trips"),
-        F.sum("is_short_trip").alias("short_trips"),
-        F.sum("high_tip_flag").alias("high_tip_trips"),
-        F.count_if(c("ratecodeid") == 1).alias("standard_rate_trips"),
-        F.count_if(c("ratecodeid").isin(2, 3)).alias("airport_trips"),
-        F.count_if(c("ratecodeid") == 5).alias("negotiated_trips"),
-        rounded_avg("score").alias("data_quality_score"),
-        F.count(F.lit(1)).alias("source_row_count"),
-    )
-    tipped = round_ratio(c("trips_with_tips") * 100, c("total_trips"), 2)
-    named = lookup_join(grouped, active_names(vendors), [("vendor_id", "_vendor")]).drop("_vendor")
-    return named.withColumns(
-        {
-            "vendor_name": F.coalesce("vendor_name", F.lit("Unknown Vendor")),
-            "tip_percentage": tipped,
-        }
+        place("do_zone").alias("dropoff_zone_name"),
+        place("do_borough").alias("dropoff_borough"),
+        c("n").alias("total_trips"),
+        c("s_passengers").alias("total_passengers"),
+        amount("total").alias("total_revenue"),
+        amount("fare").alias("total_fare"),
+        amount("tip").alias("total_tips"),
+        amount("tolls").alias("total_tolls"),
+        amount("surcharges").alias("total_surcharges"),
+        amount("distance").alias("total_distance"),
+        mean("distance").alias("avg_distance"),
+        mean("duration").alias("avg_trip_duration"),
+        mean("fare").alias("avg_fare"),
+        mean("tip").alias("avg_tip"),
+        mean("total").alias("avg_total_amount"),
+        c("tipped").alias("trips_with_tips"),
+        mean_cents(c("tipped") * 10_000, c("n")).alias("tip_percentage"),
+        mean("tip_share").alias("avg_tip_pct"),
+        c("s_is_long_trip").alias("long_trips"),
+        c("s_is_short_trip").alias("short_trips"),
+        c("s_high_tip_flag").alias("high_tip_trips"),
+        c("standard").alias("standard_rate_trips"),
+        c("airport").alias("airport_trips"),
+        c("negotiated").alias("negotiated_trips"),
+        mean_cents(c("s_score") * 100, c("n_scored")).alias("data_quality_score"),
+        c("n").alias("source_row_count"),
     )
 
 

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # the JVM does not compile methods over 8,000 bytes; such stages run faster in pieces
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # no Python call-site capture per column expression: it costs more than building the plan
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

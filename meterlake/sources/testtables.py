@@ -21,50 +21,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SECOND = "INTERVAL '1' SECOND"
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as trips.
+
+    Short chains of constants are array lookups and times are multiples of one second: the
+    code generated for a stage then stays small enough for the JVM to compile.
+    """
     base = table(spark, sf_dir, "events").selectExpr(
         "event_id AS k",
         "user_id AS u",
-        "event_type",
-        "ts - make_dt_interval(0, 0, 0, extract(SECOND FROM ts) - floor(extract(SECOND FROM ts)))"
-        " AS pickup",
-        "cast(round(value * 100) AS bigint) AS fc0",
-    )
-    fares = base.selectExpr(
-        "*",
-        "if(k % 211 = 5, -fc0, fc0) AS fc",
-        "CASE WHEN event_type IN ('click', 'purchase') THEN 1 WHEN event_type = 'view' THEN 2"
-        " WHEN event_type = 'signup' THEN 3 ELSE 4 END AS payment_type",
-        "if(k % 10 = 0, 694L, 0L) AS tolls_c",
-        "(k % 3) * 50 AS extra_c",
-        "if(k % 13 = 0, 175L, 0L) AS airport_c",
+        "cast(CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 1 WHEN 'view' THEN 2"
+        " WHEN 'signup' THEN 3 ELSE 4 END AS int) AS payment_type",
+        f"{EPOCH} + cast(cast(ts - {EPOCH} AS interval second) AS bigint) * {SECOND} AS pickup",
+        "cast(round(value * 100) AS bigint) * if(event_id % 211 = 5, -1, 1) AS fc",
     )
-    tips = fares.selectExpr("*", "if(payment_type = 1, fc * (k % 6) * 5 div 100, 0L) AS tip_c")
+    tips = base.selectExpr("*", "if(payment_type = 1, fc * (k % 6) * 5 div 100, 0L) AS tip_c")
     return tips.selectExpr(
         "k AS trip_id",
-        "cast(CASE WHEN k % 1000 = 11 THEN NULL WHEN k % 500 = 3 THEN 3 WHEN k % 4 = 0 THEN 1"
-        " WHEN k % 4 = 1 THEN 2 WHEN k % 4 = 2 THEN 6 ELSE 7 END AS int) AS vendorid",
+        "CASE WHEN k % 1000 = 11 THEN NULL WHEN k % 500 = 3 THEN 3"
+        " ELSE try_element_at(array(1, 2, 6, 7), cast(k % 4 AS int) + 1) END AS vendorid",
         "pickup AS tpep_pickup_datetime",
-        "if(k % 701 = 9, NULL, pickup + make_dt_interval(0, 0, 0, (k * 131) % 5400 - 60))"
-        " AS tpep_dropoff_datetime",
+        f"if(k % 701 = 9, NULL, pickup + ((k * 131) % 5400 - 60) * {SECOND}) AS tpep_dropoff_datetime",
         "cast(k % 7 AS double) AS passenger_count",
         "cast((k * 37) % 2500 AS double) / 100 AS trip_distance",
-        "cast(CASE k % 41 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 3 THEN 5 WHEN 4 THEN 6"
-        " WHEN 5 THEN 99 WHEN 6 THEN NULL ELSE 1 END AS int) AS ratecodeid",
+        "if(k % 41 > 6, 1, try_element_at(array(2, 3, 4, 5, 6, 99, NULL), cast(k % 41 AS int) + 1)) AS ratecodeid",
         "if(k % 50 = 0, 'Y', 'N') AS store_and_fwd_flag",
         "cast(if(k % 400 = 7, 265, u % 25) AS int) AS pulocationid",
         "cast((u + k) % 25 AS int) AS dolocationid",
         "payment_type",
         "cast(fc AS double) / 100 AS fare_amount",
-        "cast(extra_c AS double) / 100 AS extra",
+        "cast(k % 3 * 50 AS double) / 100 AS extra",
         "0.5D AS mta_tax",
         "cast(tip_c AS double) / 100 AS tip_amount",
-        "cast(tolls_c AS double) / 100 AS tolls_amount",
+        "if(k % 10 = 0, 6.94D, 0.0D) AS tolls_amount",
         "1.0D AS improvement_surcharge",
-        "cast(fc + extra_c + 50 + tip_c + tolls_c + 100 + 250 + airport_c"
-        " + if(k % 997 = 1, 1L, 0L) AS double) / 100 AS total_amount",
+        "cast(fc + tip_c + k % 3 * 50 + if(k % 10 = 0, 1094, 400) + if(k % 13 = 0, 175, 0)"
+        " + if(k % 997 = 1, 1, 0) AS double) / 100 AS total_amount",
         "2.5D AS congestion_surcharge",
-        "cast(airport_c AS double) / 100 AS airport_fee",
+        "if(k % 13 = 0, 1.75D, 0.0D) AS airport_fee",
         "0.0D AS cbd_congestion_fee",
         "cast(1 + k % 2 AS int) AS cab_type_id",
     )
