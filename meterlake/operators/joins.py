@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.times import elapsed_seconds
 
-BROADCAST_BYTES = 10 << 20
+TRUSTED_BYTES = 1 << 20
+BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 200_000
 BROADCAST_VERSIONS = 64
 SALTS = 32
@@ -15,31 +16,32 @@ SALTS = 32
 Keys = list[tuple[str, str]]
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, an upper bound for scans, filters and projections."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def plan_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate where it can be relied on: files or constants that are
+    filtered and projected. None for plans that may multiply rows."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    if any(node in text for node in ("Generate ", "Join ", "Range (", "Expand ")):
+        return None
+    return int(plan.stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a table is proven small enough to ship to every executor.
 
-    The plan estimate decides without running anything. Where it is too coarse (a join
-    multiplies its inputs' sizes) a bounded probe measures at most ``rows`` + 1 rows.
+    An estimate far below the limit decides without running anything. Otherwise the rows
+    are measured, at most ``rows`` + 1 of them, so the check stays cheap for any table.
     """
-    if plan_bytes(df) <= max_bytes:
+    estimate = plan_bytes(df)
+    if estimate is not None and estimate <= min(TRUSTED_BYTES, max_bytes):
         return True
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in _flat(df)), F.lit(0))
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 16
     measured = (
-        df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width + 16).alias("bytes")).first()
+        df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
     )
     return measured["n"] <= rows and (measured["bytes"] or 0) <= max_bytes
 
 
-def _flat(df: DataFrame) -> list[str]:
-    nested = ("array", "map", "struct")
-    return [f"`{n}`" for n, t in df.dtypes if not t.startswith(nested)]
-
-
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -98,14 +100,17 @@ def asof_join(
     pairs a fact with more than one version.
     """
     if small is None:
-        small = fits_broadcast(dim) and _few_versions(dim, [d for _, d in keys])
+        small = few_versions(dim, [d for _, d in keys])
     if small:
         within = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
         return lookup_join(facts, dim, keys, "left", within, small=True)
     return carry_forward(facts, dim, keys, at, start, end, bucket_seconds, salts)
 
 
-def _few_versions(dim: DataFrame, keys: list[str]) -> bool:
+def few_versions(dim: DataFrame, keys: list[str]) -> bool:
+    """Whether a versioned dimension fits a broadcast and no key has many versions."""
+    if not fits_broadcast(dim):
+        return False
     most = dim.groupBy(*keys).count().agg(F.max("count")).first()[0]
     return most is None or most <= BROADCAST_VERSIONS
 

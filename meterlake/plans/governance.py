@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.exact import round_ratio
 from meterlake.functions.times import at
 from meterlake.operators import matching
-from meterlake.operators.joins import lookup_join, unmatched
+from meterlake.operators.joins import fits_broadcast, lookup_join, unmatched
 from meterlake.operators.keys import highest, numbered
 from meterlake.operators.scd import keyed_join
 from meterlake.operators.tables import first_rows, without_keys
@@ -139,13 +139,15 @@ def _active(masters: DataFrame, entity: str, alias: str) -> DataFrame:
 def attach_golden_ids(trips: DataFrame, masters: dict[str, DataFrame]) -> DataFrame:
     """Trips with the ids of their active masters; NULL where none is in force."""
     out = trips
+    small = {e: fits_broadcast(_active(df, e, "m")) for e, df in masters.items()}
     for entity, column, alias in (
         ("VENDOR", "vendorid", "vendor"),
         ("ZONE", "pulocationid", "pu_zone"),
         ("ZONE", "dolocationid", "do_zone"),
         ("RATECODE", "ratecodeid", "ratecode"),
     ):
-        out = lookup_join(out, _active(masters[entity], entity, alias), [(column, f"_{alias}")]).drop(f"_{alias}")
+        ids = _active(masters[entity], entity, alias)
+        out = lookup_join(out, ids, [(column, f"_{alias}")], small=small[entity]).drop(f"_{alias}")
     return out
 
 

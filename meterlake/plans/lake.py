@@ -10,7 +10,7 @@ from meterlake.functions.casts import cast_if_present
 from meterlake.functions.exact import SCALE, exact_avg, exact_sum, scaled
 from meterlake.functions.rules import RESOLVED, resolved, valid_trip
 from meterlake.functions.times import elapsed_seconds, fractional_minutes
-from meterlake.operators.joins import lookup_join
+from meterlake.operators.joins import fits_broadcast, lookup_join
 
 NUMERIC = ["passenger_count", "trip_distance", "fare_amount", "total_amount", "tip_amount"]
 MASTER_KEYS = ["vendorid", "ratecodeid", "pulocationid", "dolocationid"]
@@ -59,16 +59,6 @@ def featurise(
     )
 
 
-def zone_role(zones: DataFrame, role: str) -> DataFrame:
-    """The zone master named for one end of a trip (``pu`` or ``do``)."""
-    return zones.select(
-        F.col("locationid").alias(f"{role}_locationid"),
-        F.col("borough").alias(f"{role}_borough"),
-        F.col("zone").alias(f"{role}_zone"),
-        F.col("service_zone").alias(f"{role}_service_zone"),
-    )
-
-
 def enrich(
     trips: DataFrame, vendors: DataFrame, rates: DataFrame, zones: DataFrame
 ) -> DataFrame:
@@ -77,11 +67,18 @@ def enrich(
     rate = rates.select("rate_code_id", "rate_code_desc")
     out = lookup_join(trips, vendor, [("vendorid", "_vendor")]).drop("_vendor")
     out = lookup_join(out, rate, [("ratecodeid", "rate_code_id")]).drop("rate_code_id")
+    return _with_zones(out, zones, ["locationid", "borough", "zone", "service_zone"])
+
+
+def _with_zones(rows: DataFrame, zones: DataFrame, columns: list[str]) -> DataFrame:
+    """Both zones of a trip; the master's size is checked once for its two roles."""
+    zones = zones.select(*columns)
+    small = fits_broadcast(zones)
     for role in ("pu", "do"):
-        out = lookup_join(
-            out, zone_role(zones, role), [(f"{role}locationid", f"{role}_locationid")]
-        ).drop(f"{role}_locationid")
-    return out
+        named = zones.select(*[F.col(c).alias(f"{role}_{c}") for c in columns])
+        key = f"{role}_locationid"
+        rows = lookup_join(rows, named, [(f"{role}locationid", key)], small=small).drop(key)
+    return rows
 
 
 def gate_report(
@@ -170,12 +167,7 @@ def kpis(
         F.sum(scaled("trip_distance")).alias("_miles"),
         F.sum(seconds).alias("_seconds"),
     )
-    named = grouped
-    for role in ("pu", "do"):
-        names = zone_role(zones, role).drop(f"{role}_service_zone")
-        named = lookup_join(named, names, [(f"{role}locationid", f"{role}_locationid")]).drop(
-            f"{role}_locationid"
-        )
+    named = _with_zones(grouped, zones, ["locationid", "borough", "zone"])
     miles, revenue = F.col("_miles"), F.col("_revenue")
     return named.withColumns(
         {

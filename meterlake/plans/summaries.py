@@ -10,7 +10,7 @@ from meterlake.functions.casts import safe_cents, safe_whole
 from meterlake.functions.exact import cents, mean_cents, round_ratio, rounded_avg, rounded_sum
 from meterlake.functions.rules import within_month
 from meterlake.functions.times import at, days_before, hours_before, whole_minutes
-from meterlake.operators.joins import lookup_join
+from meterlake.operators.joins import fits_broadcast, lookup_join
 from meterlake.operators.tables import retain, upsert
 
 VENDOR_DAY = ["vendor_id", "metric_date"]
@@ -248,11 +248,12 @@ def top_routes(routes: DataFrame, zones: DataFrame, as_of: str, days: int = 7, k
         F.sum(cents("avg_fare") * F.col("trip_count")).alias("weighted"),
     )
     named = per_pair
+    small = fits_broadcast(zones.select("source_zone_id", "zone_name"))
     for end in ("pickup", "dropoff"):
         names = zones.select(
             F.col("source_zone_id").alias(f"_{end}"), F.col("zone_name").alias(f"{end}_zone")
         )
-        named = lookup_join(named, names, [(f"{end}_zone_id", f"_{end}")])
+        named = lookup_join(named, names, [(f"{end}_zone_id", f"_{end}")], small=small)
     days_total = F.sum("days") * F.lit(100.0)
     return (
         named.groupBy("pickup_zone", "dropoff_zone")

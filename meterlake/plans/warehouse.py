@@ -9,7 +9,7 @@ from meterlake import schemas as S
 from meterlake.functions import features as X
 from meterlake.functions.exact import cents, exact_avg, exact_sum, rounded_avg, rounded_sum
 from meterlake.functions.times import date_key, minute_boundaries
-from meterlake.operators.joins import asof_join, lookup_join
+from meterlake.operators.joins import asof_join, few_versions, fits_broadcast, lookup_join
 from meterlake.sources.masters import values
 
 
@@ -220,8 +220,10 @@ def load_fact(
     would order the whole table for no gain."""
     vendor = dims["vendor"].select(F.col("vendor_sk").alias("_vendor_sk"), F.col("vendor_id").alias("_vendor"))
     rows = lookup_join(_timed(staging), vendor, [("vendorid", "_vendor")])
+    small = fits_broadcast(_zone_lookup(dims["zone"], "pu"))
     for role in ("pu", "do"):
-        rows = lookup_join(rows, _zone_lookup(dims["zone"], role), [(f"{role}locationid", f"_{role}_location")])
+        zone = _zone_lookup(dims["zone"], role)
+        rows = lookup_join(rows, zone, [(f"{role}locationid", f"_{role}_location")], small=small)
     keyed = _small_dims(rows, dims).withColumns(
         {
             "vendor_sk": F.coalesce("_vendor_sk", F.lit(VENDOR_UNKNOWN_SK)),
@@ -251,6 +253,8 @@ def load_fact_asof(
     rows = asof_join(
         _timed(staging), vendor, [("vendorid", "_vendor")], "tpep_pickup_datetime", "_v_from", "_v_to", small
     )
+    if small is None:
+        small = few_versions(zone_versions, ["location_id"])
     for role, at in (("pu", "tpep_pickup_datetime"), ("do", "tpep_dropoff_datetime")):
         zone = _zone_lookup(zone_versions, role).columns
         versions = zone_versions.select(
