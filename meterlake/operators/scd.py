@@ -3,6 +3,9 @@
 A merge takes the table, a batch of staged rows (one per key, see :func:`latest_staged`) and
 the time of the change. Tables and batches have unique keys among current rows, so these
 joins cannot skew; a small batch is broadcast and the table is not moved.
+
+A merge reads the table more than once. Write its result and read it back before the next
+merge, as a daily job does; chaining merges in memory multiplies the work.
 """
 
 from __future__ import annotations

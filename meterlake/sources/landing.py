@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from meterlake.schemas import TRIP_SCHEMA, ZONE_SCHEMA
 
-CORRUPT = "_corrupt_record"
+SURPLUS = "_surplus"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -47,27 +47,23 @@ def zones_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bulk_load(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """A tolerant load: blanks and empty fields become NULL, rows that do not parse are set
-    aside. Returns (rows, rejected)."""
-    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        spark.read.schema(declared)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("nullValue", "")
-        .option("timestampNTZFormat", TIME_FORMAT)
-        .csv(path)
-    )
+    """A tolerant load: blanks and empty fields become NULL, and rows with a field that does
+    not fit its type or with too many fields are set aside as text. Missing trailing fields
+    are NULL. Returns (rows, rejected).
+
+    Fields are read as text and cast here, so whether a row is rejected does not depend on
+    the columns a later query happens to read.
+    """
     names = [f.name for f in schema.fields]
-    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
-    rows = raw.filter(F.col(CORRUPT).isNull()).select(
-        *[F.nullif(F.trim(n), F.lit("")).alias(n) if n in texts else F.col(n) for n in names]
-    )
-    rejected = raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, *names).select(CORRUPT)
-    return rows, rejected
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, SURPLUS]])
+    raw = spark.read.schema(texts).option("header", True).option("enforceSchema", True).csv(path)
+    filled = raw.select(*[F.nullif(F.trim(n), F.lit("")).alias(n) for n in [*names, SURPLUS]])
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = F.col(SURPLUS).isNotNull()
+    for name, value in typed.items():
+        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    rows = filled.filter(~bad).select(*[value.alias(name) for name, value in typed.items()])
+    return rows, filled.filter(bad)
 
 
 def within_budget(rejected: DataFrame, most: int = 1000) -> int:
@@ -82,10 +78,3 @@ def lines_of_arity(lines: DataFrame, fields: int, column: str = "value") -> Data
     """Text lines that are not blank and have the right number of comma-separated fields."""
     text = F.col(column)
     return lines.filter((F.trim(text) != "") & (F.size(F.split(text, ",", -1)) == fields))
-
-
-def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """Comma-separated text to typed columns."""
-    options = {"timestampNTZFormat": TIME_FORMAT, "nullValue": ""}
-    parsed = F.from_csv(F.col(column), F.lit(schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")), options)
-    return lines.select(parsed.alias("r")).select("r.*")
