@@ -1,10 +1,16 @@
-"""Compare every registered query with its SQL: ``python -m tests.check_all [sf] [name ...]``."""
+"""Compare every registered query with its SQL: ``python -m tests.check_all [sf] [name ...]``.
+
+``CHECK_ZONE=America/New_York`` runs in a session with default settings in that zone.
+"""
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
+from pyspark.sql import SparkSession
+
 import __spark_entry__ as entry
 from meterlake.session import local_session
 from tests.compare import connect, difference
@@ -13,7 +19,13 @@ from tests.compare import connect, difference
 def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
-    spark, con = local_session(), connect(sf_dir)
+    zone = os.environ.get("CHECK_ZONE")
+    if zone:
+        builder = SparkSession.builder.master("local[8]").config("spark.sql.session.timeZone", zone)
+        spark = builder.config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        spark = local_session()
+    con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = [n for n in queries if not sys.argv[2:] or any(n.startswith(p) for p in sys.argv[2:])]
     failed = []
