@@ -15,6 +15,7 @@ from meterlake.functions import features as X
 from meterlake.functions import times
 from meterlake.functions.casts import safe_amount, safe_whole
 from meterlake.functions.exact import exact_sum
+from meterlake.jobs import relational_layout
 from meterlake.operators import rejects
 from meterlake.plans import lake as plans_lake
 from meterlake.session import scratch_path
@@ -141,18 +142,6 @@ def snk_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_vendor(landing.trips_csv(spark, path))
 
 
-def relational_golden(golden: DataFrame) -> DataFrame:
-    """Golden trips in the layout of the relational copy."""
-    renamed = golden.withColumns(
-        {
-            "pu_locationid": F.col("pulocationid"),
-            "do_locationid": F.col("dolocationid"),
-            "rate_code_id": F.col("ratecodeid"),
-        }
-    )
-    return sinks.apply_mapping(renamed, [(n, n, kind) for n, kind in S.GOLDEN_COLUMNS])
-
-
 @query(
     "snk_mapped_table",
     sql(
@@ -167,7 +156,7 @@ def relational_golden(golden: DataFrame) -> DataFrame:
 )
 def snk_mapped_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "relational")
-    sinks.write_table(relational_golden(golden_trips(spark, sf_dir)), path)
+    sinks.write_table(relational_layout(golden_trips(spark, sf_dir)), path)
     back = spark.read.parquet(path)
     return back.select(
         "pulocationid",

@@ -275,7 +275,7 @@ def md_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     "md_audit",
     sql(
         "trips mvendors mzones mrates",
-        f""", g AS ({GOLDEN_IDS}) SELECT 'run-1' AS pipeline_run_id, 'step-functions' AS triggered_by, 'TRIP' AS entity_type,
+        f""", g AS ({GOLDEN_IDS}) SELECT 'run-1' AS pipeline_run_id, 'scheduler' AS triggered_by, 'TRIP' AS entity_type,
           count(*) AS records_processed, count(*) FILTER (WHERE vendor_golden_id IS NOT NULL AND pu_zone_golden_id IS NOT NULL
             AND do_zone_golden_id IS NOT NULL AND ratecode_golden_id IS NOT NULL) AS records_approved,
           CAST((2 * 10000 * records_approved + records_processed) // (2 * records_processed) AS DOUBLE) / 100 AS quality_score,
@@ -284,7 +284,7 @@ def md_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def md_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = G.attach_golden_ids(T.trips(spark, sf_dir), masters(spark, sf_dir))
-    return G.audit_record(enriched, "run-1", "TRIP", "step-functions", AS_OF, "2024-01-31 00:10:00")
+    return G.audit_record(enriched, "run-1", "TRIP", "scheduler", AS_OF, "2024-01-31 00:10:00")
 
 
 @query(

@@ -192,7 +192,8 @@ def same_content(first: DataFrame, second: DataFrame) -> DataFrame:
     def digest(df: DataFrame, run: str) -> DataFrame:
         row = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
         return df.agg(
-            F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("hash")
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).alias("hash"),
         ).withColumn("run", F.lit(run))
 
     runs = digest(first, "initial").unionByName(digest(second, "final"))

@@ -8,12 +8,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from meterlake import jobs
 from meterlake import schemas as S
-from meterlake.catalogue.files import relational_golden
 from meterlake.catalogue.lake import golden_trips
 from meterlake.functions.names import confidence, deletion_variants, normalise
-from meterlake.operators import matching, rejects, tables
+from meterlake.operators import matching, quality, rejects, tables
 from meterlake.plans import governance as G
+from meterlake.plans import lake as lake_plans
 from meterlake.plans import summaries as M
 from meterlake.sinks import lake as sinks
 from meterlake.sources import governed, lake, landing
@@ -175,7 +176,7 @@ def test_landing_tree_without_the_zone_file(spark, tmp_path):
 
 
 def test_mapped_copy_has_all_columns(spark, sf_dir):
-    copy = relational_golden(golden_trips(spark, sf_dir))
+    copy = jobs.relational_layout(golden_trips(spark, sf_dir))
     assert len(copy.columns) == 44
     assert dict(copy.dtypes)["is_long_trip"] == "tinyint"
     narrow = spark.createDataFrame([(300,), (5,)], "n int")
@@ -214,3 +215,61 @@ def test_streaming_refresh_equals_batch(spark, sf_dir, tmp_path):
     got = spark.read.parquet(summary).select("vendor_id", "metric_date", "total_trips", "total_revenue")
     full = M.vendor_performance(trips, vendors).select(*got.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_lake_jobs_from_landing_to_kpis(spark, sf_dir, tmp_path):
+    """CSV files in, partitioned zones out; equal to the same flow in memory."""
+    landed, silver, root, gold = (str(tmp_path / n) for n in ("landing", "validated", "master", "curated"))
+    trips = T.trips(spark, sf_dir).select(*[f.name for f in S.TRIP_SCHEMA.fields])
+    options = {"header": True, "timestampNTZFormat": landing.TIME_FORMAT}
+    trips.write.options(**options).csv(f"{landed}/2024")
+    T.zones(spark, sf_dir).write.options(**options).csv(f"{landed}/zone_lookup")
+
+    jobs.create_masters(spark, f"{landed}/zone_lookup", root)
+    jobs.raw_to_validated(spark, landed, silver, exclude="/zone_lookup/")
+    jobs.validated_to_curated(spark, silver, root, gold, "2024-01-31 00:00:00")
+    jobs.copy_golden(spark, f"{gold}/trip_level", str(tmp_path / "copy"))
+
+    kpis = spark.read.parquet(f"{gold}/kpis")
+    golden = golden_trips(spark, sf_dir)
+    expected = lake_plans.kpis(golden, T.zones(spark, sf_dir), "2024-01-31 00:00:00")
+    columns = ["pickup_day", "pickup_hour", "pulocationid", "dolocationid", "total_rides", "total_revenue", "pu_zone"]
+    assert sorted(map(tuple, kpis.select(*columns).collect())) == sorted(map(tuple, expected.select(*columns).collect()))
+    assert spark.read.parquet(str(tmp_path / "copy")).count() == golden.count()
+
+    n_kpis = kpis.count()
+    with pytest.raises(lake_plans.GateFailure):
+        jobs.validated_to_curated(spark, silver, root, gold, "2024-01-31 00:00:00", threshold=1.0)
+    one_day = lambda t: t.filter("pickup_day = 3")
+    jobs.validated_to_curated(spark, silver, root, gold, "2024-02-01 00:00:00", 0.9, one_day)
+    again = spark.read.parquet(f"{gold}/kpis")
+    assert again.count() == n_kpis
+    assert [r[0] for r in again.filter("aggregated_at > timestamp_ntz'2024-01-31 12:00:00'").select("pickup_day").distinct().collect()] == [3]
+
+
+def test_summary_job_and_logs(spark, sf_dir, tmp_path):
+    target, log, checks = (str(tmp_path / n) for n in ("summary", "log", "checks"))
+    trips, vendors = T.trips(spark, sf_dir), governed.vendor_masters(spark)
+    jobs.refresh_vendor_summary(spark, trips, vendors, target, log, "2024-01-29 12:00:00")
+    jobs.refresh_vendor_summary(spark, trips, vendors, target, log, "2024-01-30 12:00:00", hours=24)
+    full = M.vendor_performance(trips, vendors)
+    stored = spark.read.parquet(target)
+    assert stored.count() == full.count()
+    assert stored.filter("refresh_type = 'INCREMENTAL'").agg(F.min("metric_date")).first()[0].day == 29
+    logged = {r["transformation_name"]: r["rows_processed"] for r in spark.read.parquet(log).collect()}
+    assert logged["vendor_performance_full"] == full.count()
+    assert 0 < logged["vendor_performance_incremental"] < full.count()
+    check = quality.Check("source", "ids", "unit", lambda: quality.null_key(trips, "trip_id"))
+    jobs.run_quality([check], checks, "2024-01-30 00:00:00")
+    jobs.run_quality([check], checks, "2024-01-31 00:00:00")
+    assert [r["pass_rate"] for r in quality.report_by_day(spark.read.parquet(checks)).collect()] == [100.0, 100.0]
+
+
+def test_weather_and_catalog_sources(spark, tmp_path):
+    (tmp_path / "w.csv").write_text(
+        "date,precipitation,snow_depth,snowfall,max_temperature,min_temperature,average_wind_speed\n2024-01-01,0.3,0,0,40,30,5.5\n"
+    )
+    row = lake.weather(spark, str(tmp_path / "w.csv")).first()
+    assert str(row["date"]) == "2024-01-01" and row["max_temperature"] == 40
+    spark.range(3).createOrReplaceTempView("three_rows")
+    assert lake.catalog_table(spark, "three_rows").count() == 3
