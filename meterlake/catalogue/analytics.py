@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.catalogue import query
 from meterlake.catalogue.sqltext import dollars, ratio, rdiv, sql
+from meterlake.functions.exact import exact_sum, round_ratio
 from meterlake.operators import joins, spatial
 from meterlake.plans import analytics as A
 from meterlake.sources import masters
@@ -252,3 +253,126 @@ def jn_spatial(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     located = spatial.locate(points, polygons, cell=0.5)
     return located.select("trip_id", "zone_id", "half")
+
+
+# --- single primitives -----------------------------------------------------------------------
+
+
+@query(
+    "so_topk",
+    f"""SELECT o_custkey, {dollars('sum(CAST(round(o_totalprice * 100) AS BIGINT))')} AS spent FROM orders GROUP BY 1
+       ORDER BY spent DESC, o_custkey LIMIT 20""",
+)
+def so_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty customers that spent most: each task keeps twenty candidates."""
+    orders = T.table(spark, sf_dir, "orders")
+    spent = orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("spent"))
+    return spent.orderBy(F.desc("spent"), "o_custkey").limit(20)
+
+
+@query(
+    "ag_list",
+    """SELECT o_custkey, o_orderkey // 2000 AS block, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS order_ids
+       FROM orders GROUP BY 1, 2""",
+)
+def ag_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order ids per customer in blocks of 2,000 consecutive ids, so a customer with any
+    number of orders gives bounded texts."""
+    ids = T.table(spark, sf_dir, "orders").selectExpr("o_custkey", "o_orderkey", "o_orderkey div 2000 AS block")
+    listed = F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda v: v.cast("string"))
+    return ids.groupBy("o_custkey", "block").agg(F.array_join(listed, ",").alias("order_ids"))
+
+
+@query(
+    "ag_distinct",
+    """SELECT l_returnflag, count(*) AS n_lines, count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_suppkey) AS n_suppliers
+       FROM lineitem GROUP BY 1""",
+)
+def ag_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts per flag. Three flags hold all rows, so the distinct keys are
+    found by grouping on (flag, key), which spreads them."""
+    lines = T.table(spark, sf_dir, "lineitem")
+    kinds = F.explode(
+        F.array(
+            F.struct(F.lit("order").alias("kind"), F.col("l_orderkey").alias("key")),
+            F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").alias("key")),
+        )
+    )
+    per_key = (
+        lines.select("l_returnflag", kinds.alias("e"))
+        .groupBy("l_returnflag", "e.kind", "e.key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    of_order, of_supplier = F.col("kind") == "order", F.col("kind") == "supplier"
+    return per_key.groupBy("l_returnflag").agg(
+        F.sum(F.when(of_order, F.col("n"))).alias("n_lines"),
+        F.count_if(of_order & F.col("key").isNotNull()).alias("n_orders"),
+        F.count_if(of_supplier & F.col("key").isNotNull()).alias("n_suppliers"),
+    )
+
+
+@query(
+    "ag_cond",
+    """SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS finished,
+         count(*) FILTER (WHERE o_totalprice > 200000) AS large,
+         CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') = 0 THEN NULL
+              ELSE CAST((2 * 10000 * count(*) FILTER (WHERE o_orderstatus = 'F') + count(*)) // (2 * count(*)) AS DOUBLE) / 100 END AS finished_pct
+       FROM orders GROUP BY 1""",
+)
+def ag_cond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finished, n = F.count_if(F.col("o_orderstatus") == "F"), F.count(F.lit(1))
+    return T.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
+        finished.alias("finished"),
+        F.count_if(F.col("o_totalprice") > 200000).alias("large"),
+        round_ratio(finished * 100, n, 2).alias("finished_pct"),
+    )
+
+
+@query(
+    "st_union",
+    """SELECT c_nationkey AS nationkey FROM customer WHERE c_acctbal < 0 UNION SELECT s_nationkey FROM supplier""".replace(
+        "c_nationkey AS nationkey", "CAST(c_nationkey AS BIGINT) AS nationkey"
+    ),
+)
+def st_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = T.table(spark, sf_dir, "customer").filter("c_acctbal < 0").selectExpr("c_nationkey AS nationkey")
+    suppliers = T.table(spark, sf_dir, "supplier").selectExpr("s_nationkey AS nationkey")
+    return customers.union(suppliers).distinct()
+
+
+@query(
+    "wn_prev_version",
+    f"""WITH v AS ({LINE_VERSIONS.split('WITH v AS (')[1].split('SELECT l.l_suppkey')[0].rstrip()[:-1]})
+      SELECT s_suppkey, CAST(version_number AS BIGINT) AS version_number, supplier_name,
+        lag(supplier_name) OVER (PARTITION BY s_suppkey ORDER BY version_number) AS previous_name FROM v""",
+)
+def wn_prev_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each version beside the one before, by a join on (key, version): no key is sorted whole."""
+    versions = T.versioned_suppliers(spark, sf_dir).select("s_suppkey", "version_number", "supplier_name")
+    before = versions.select(
+        F.col("s_suppkey").alias("_key"),
+        (F.col("version_number") + 1).alias("_next"),
+        F.col("supplier_name").alias("previous_name"),
+    )
+    return joins.lookup_join(versions, before, [("s_suppkey", "_key"), ("version_number", "_next")]).drop("_key", "_next")
+
+
+@query(
+    "ag_reagg",
+    f"""WITH d AS (SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS c
+        FROM orders GROUP BY 1, 2)
+      SELECT CAST(y AS BIGINT) AS year, CAST(sum(n) AS BIGINT) AS n_orders, {ratio('sum(c)', '100 * sum(n)')} AS weighted_avg,
+        round(avg(CAST(c AS DOUBLE) / (100 * n)), 6) AS avg_of_avgs FROM d GROUP BY 1""",
+)
+def ag_reagg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary summed up again: the mean weighted by rows beside the mean of means."""
+    per_customer = (
+        T.table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("o_totalprice") * 100 + 0.5)).alias("c"))
+    )
+    return per_customer.groupBy("year").agg(
+        F.sum("n").alias("n_orders"),
+        (F.sum("c") / (F.sum("n") * F.lit(100.0))).alias("weighted_avg"),
+        F.round(F.avg(F.col("c") / (F.col("n") * F.lit(100.0))), 6).alias("avg_of_avgs"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.casts import cast_if_present
 from meterlake.functions.features import LAKE_RUSH
-from meterlake.functions.times import at, days_before
+from meterlake.functions.times import at, days_before, hours_before
 from meterlake.operators import quality
 from meterlake.plans import lake, summaries
 from meterlake.schemas import GOLDEN_COLUMNS
@@ -82,9 +82,11 @@ def refresh_vendor_summary(
     log comes with the write itself."""
     if hours is None:
         since = F.to_date(days_before(at(as_of), 365)).cast("timestamp_ntz")
-        recent, kind = trips.filter(F.col("tpep_pickup_datetime") >= since), "FULL"
+        folders = tables.days_from(trips, since)
+        recent, kind = folders.filter(F.col("tpep_pickup_datetime") >= since), "FULL"
     else:
-        recent, kind = summaries.whole_days_since(trips, as_of, hours), "INCREMENTAL"
+        folders = tables.days_from(trips, hours_before(at(as_of), hours))
+        recent, kind = summaries.whole_days_since(folders, as_of, hours), "INCREMENTAL"
     result = summaries.vendor_performance(recent, vendors, refresh_type=kind)
     sinks.write_partitioned(result.withColumn("last_updated", at(as_of)), target, ("metric_date",))
     fresh = spark.read.parquet(target).filter((F.col("refresh_type") == kind) & (F.col("last_updated") == at(as_of)))

@@ -7,12 +7,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.functions.times import date_key
+
 
 def partitioned(spark: SparkSession, root: str) -> DataFrame:
     """A year/month/day table with its partition columns, so that filters prune folders."""
     return spark.read.parquet(root)
 
 
+def days_from(trips: DataFrame, first: Column) -> DataFrame:
+    """The day folders from the day of an instant on.
+
+    A range on the timestamp alone opens every file to look at its statistics; this
+    condition is on partition columns, so the other folders are not even listed. A table
+    without those columns is returned as it is.
+    """
+    if not {"pickup_year", "pickup_month", "pickup_day"} <= set(trips.columns):
+        return trips
+    folder = F.col("pickup_year") * 10_000 + F.col("pickup_month") * 100 + F.col("pickup_day")
+    return trips.filter(folder >= date_key(first))
+
+
 def partitioned_from_paths(spark: SparkSession, root: str, ts: str = "tpep_pickup_datetime") -> DataFrame:
     """The same table read file by file: partition values are recovered from each file's
     path, or from the timestamp where the path has none."""

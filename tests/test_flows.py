@@ -237,6 +237,12 @@ def test_lake_jobs_from_landing_to_kpis(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, kpis.select(*columns).collect())) == sorted(map(tuple, expected.select(*columns).collect()))
     assert spark.read.parquet(str(tmp_path / "copy")).count() == golden.count()
 
+    stored = spark.read.parquet(f"{gold}/trip_level")
+    late = lake.days_from(stored, F.lit("2024-01-29 08:00:00").cast("timestamp_ntz"))
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "pickup_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r[0] for r in late.select("pickup_day").distinct().collect()} == {29, 30}
+
     n_kpis = kpis.count()
     with pytest.raises(lake_plans.GateFailure):
         jobs.validated_to_curated(spark, silver, root, gold, "2024-01-31 00:00:00", threshold=1.0)
