@@ -42,6 +42,51 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int =
     return measured["n"] <= rows and (measured["bytes"] or 0) <= max_bytes
 
 
+INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _item(df: DataFrame, columns: list[str]) -> Column:
+    """One number per key value, equal for equal keys of any integer width."""
+    kinds = dict(df.dtypes)
+    return F.xxhash64(*[F.col(c).cast("bigint") if kinds[c] in INTEGERS else F.col(c) for c in columns])
+
+
+def _comparable(facts: DataFrame, dim: DataFrame, keys: Keys) -> bool:
+    left, right = dict(facts.dtypes), dict(dim.dtypes)
+    return all(left[f] == right[d] or {left[f], right[d]} <= INTEGERS for f, d in keys)
+
+
+def hot_keys(facts: DataFrame, columns: list[str], most: int = 200) -> list[int]:
+    """Keys with more rows than half a shuffle partition should hold, from one pass over the
+    key columns. Approximate on purpose: it decides where rows go, never which rows match.
+    At most ``most`` numbers reach the driver."""
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = (
+        facts.select(_item(facts, columns).alias("k"))
+        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {most}, 10000)").alias("top"))
+        .first()
+    )
+    limit = found["n"] / (2 * partitions)
+    return [t["item"] for t in found["top"] if t["count"] > limit]
+
+
+def _is_hot(df: DataFrame, columns: list[str], hot: list[int]) -> Column:
+    return _item(df, columns).isin(hot) if hot else F.lit(False)
+
+
+def _fact_salt(facts: DataFrame, columns: list[str], hot: list[int], salts: int) -> Column:
+    """A task number for rows of hot keys, 0 for all others. It is a hash of the row, so a
+    repeated task places its rows as before."""
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts)).cast("int")
+    return F.when(_is_hot(facts, columns, hot), spread).otherwise(F.lit(0))
+
+
+def _copy_salts(dim: DataFrame, columns: list[str], hot: list[int], salts: int) -> Column:
+    """Where the counterpart of a key is needed: everywhere if it is hot, else once."""
+    everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
+    return F.explode(F.when(_is_hot(dim, columns, hot), everywhere).otherwise(F.array(F.lit(0))))
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -54,22 +99,24 @@ def lookup_join(
     """Attach a dimension to a large table.
 
     A dimension of proven size is broadcast and the facts never move. A larger one is
-    shuffled with the facts salted, so that a key holding a third of all facts is spread
-    over ``salts`` tasks. ``also`` is a further condition of the match itself, not a
-    filter on the result. Fact and dimension column names must differ.
+    shuffled with the facts. Rows of hot keys, NULL included, are spread over ``salts``
+    tasks and only the dimension rows of those keys are copied. ``also`` is a further
+    condition of the match itself, not a filter on the result. Fact and dimension column
+    names must differ.
     """
     condition = F.lit(True) if also is None else also
+    for f, d in keys:
+        condition = (F.col(f) == F.col(d)) & condition
     if fits_broadcast(dim) if small is None else small:
-        on = [F.col(f) == F.col(d) for f, d in keys]
-        for equal in on:
-            condition = equal & condition
         return facts.join(F.broadcast(dim), condition, how)
-    fact_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts))
-    salted = facts.withColumn("_fact_salt", fact_salt)
-    copies = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    for f, d in [*keys, ("_fact_salt", "_dim_salt")]:
-        condition = (F.col(f) == F.col(d)) & condition
-    return salted.join(copies, condition, how).drop("_fact_salt", "_dim_salt")
+    fact_keys, dim_keys = [f for f, _ in keys], [d for _, d in keys]
+    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else []
+    if not hot:
+        return facts.join(dim, condition, how)
+    salted = facts.withColumn("_fact_salt", _fact_salt(facts, fact_keys, hot, salts))
+    copies = dim.withColumn("_dim_salt", _copy_salts(dim, dim_keys, hot, salts))
+    joined = salted.join(copies, (F.col("_fact_salt") == F.col("_dim_salt")) & condition, how)
+    return joined.drop("_fact_salt", "_dim_salt")
 
 
 def unmatched(facts: DataFrame, dim: DataFrame, keys: Keys) -> DataFrame:
@@ -127,12 +174,13 @@ def carry_forward(
 ) -> DataFrame:
     """As-of join by merging facts and version starts in time order.
 
-    Groups are (key, time bucket, salt): a hot key is cut by time and by salt. Versions
+    Groups are (key, time bucket, salt): a key is cut by time, a hot one also by salt. Versions
     that begin before a bucket enter it as one carried row, found on the far smaller
     table of (key, bucket) summaries. Facts move once.
     """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     fact_keys = [f for f, _ in keys]
+    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else []
 
     def bucket(ts: str) -> Column:
         return F.floor(elapsed_seconds(epoch, F.col(ts)) / F.lit(bucket_seconds))
@@ -151,7 +199,7 @@ def carry_forward(
         bucket(at).alias("_bucket"),
         F.col(at).alias("_at"),
         row.alias("_fact"),
-        F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).alias("_salt"),
+        _fact_salt(facts, fact_keys, hot, salts).alias("_salt"),
     )
 
     latest = versions.groupBy(*key_names, "_bucket").agg(F.max_by("_version", "_at").alias("_version"))
@@ -171,12 +219,8 @@ def carry_forward(
         .select(*key_names, "_bucket", F.lit(None).cast("timestamp_ntz").alias("_at"), "_version")
     )
 
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    starts = (
-        versions.unionByName(carried)
-        .select("*", every_salt)
-        .withColumn("_salt", F.col("_salt").cast("bigint"))
-    )
+    starts = versions.unionByName(carried)
+    starts = starts.withColumn("_salt", _copy_salts(starts, key_names, hot, salts))
     # carried rows (no time) first, then versions before facts of the same instant
     merged = starts.withColumn("_kind", F.lit(0)).unionByName(
         events.withColumn("_kind", F.lit(1)), allowMissingColumns=True

@@ -66,6 +66,27 @@ def test_salted_join_equals_plain(spark, how):
     assert salted.columns == plain.columns
 
 
+def test_hot_keys_are_found_and_only_they_are_copied(spark):
+    facts = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 7, if(id % 3 = 1, NULL, id)) AS k")
+    dim = spark.range(9000).selectExpr("id AS d", "id * 10 AS v")
+    hot = joins.hot_keys(facts, ["k"])
+    assert len(hot) == 2
+    copies = dim.withColumn("s", joins._copy_salts(dim, ["d"], hot, 5))
+    assert copies.count() == 9000 + 4
+    spread = facts.withColumn("s", joins._fact_salt(facts, ["k"], hot, 5))
+    assert spread.filter("k = 7").select("s").distinct().count() == 5
+    assert spread.filter("k <> 7").select("s").distinct().count() == 1
+
+
+def test_keys_of_different_width_meet(spark):
+    facts = spark.range(3000).selectExpr("id", "cast(if(id % 2 = 0, 7, id % 50) AS int) AS k")
+    dim = spark.range(40).selectExpr("id AS d", "id * 10 AS v")
+    joined = joins.lookup_join(facts, dim, [("k", "d")], "inner", small=False, salts=4)
+    assert joined.count() == facts.filter("k < 40").count()
+    texts = facts.selectExpr("id", "concat('0', k) AS k")
+    assert joins.lookup_join(texts, dim, [("k", "d")], "inner", small=False).count() == joined.count()
+
+
 def test_size_check(spark):
     assert joins.fits_broadcast(spark.range(10))
     wide = spark.range(5000).withColumn("text", F.repeat(F.lit("x"), 5000))
