@@ -43,7 +43,8 @@ def match(
     """Every proposal with its best master: ``golden_id`` and ``match_confidence`` (0 to 100).
 
     Best is the highest confidence, then the lowest master id. A proposal further than
-    ``max_edits`` edits from every master has no golden id and confidence 0.
+    ``max_edits`` edits from every master has no golden id and confidence 0. The matches
+    are joined back without measuring them, which would compute them twice.
     """
     wanted = proposals.select(normalise(F.col(proposal_name)).alias("norm")).filter(F.col("norm") != "").distinct()
     known = distinct_names(masters, master_key, master_name)
@@ -61,7 +62,7 @@ def match(
     )
     rows = proposals.withColumn("_norm", normalise(F.col(proposal_name)))
     return (
-        lookup_join(rows, best, [("_norm", "norm")])
+        lookup_join(rows, best, [("_norm", "norm")], small=False)
         .drop("_norm", "norm")
         .withColumn("match_confidence", F.coalesce("match_confidence", F.lit(0.0)))
     )
@@ -91,7 +92,7 @@ def dedup_queue(
     known = distinct_names(masters, key, name)
     rows = masters.select(F.col(key).alias("id_2"), normalise(F.col(name)).alias("_norm"))
     same = (
-        lookup_join(rows, known, [("_norm", "norm")], "inner")
+        lookup_join(rows, known, [("_norm", "norm")], "inner", small=False)
         .filter(F.col("id_2") != F.col("first_id"))
         .select(F.col("first_id").alias("id_1"), "id_2", F.lit(100.0).alias("match_score"))
     )

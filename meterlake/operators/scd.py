@@ -19,6 +19,7 @@ from meterlake.operators.keys import highest, numbered, row_hash
 from meterlake.schemas import BEGINNING, OPEN_END
 
 NEW = "_new_"
+MATCHED = "_matched"
 
 
 def latest_staged(staged: DataFrame, key: str, order_by: str) -> DataFrame:
@@ -27,41 +28,44 @@ def latest_staged(staged: DataFrame, key: str, order_by: str) -> DataFrame:
     return staged.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, order_by).alias("_row")).select("_row.*")
 
 
-def keyed_join(left: DataFrame, right: DataFrame, condition: Column, how: str) -> DataFrame:
-    """Join of tables with unique keys: the right side is broadcast when it provably fits."""
-    return left.join(F.broadcast(right) if fits_broadcast(right) else right, condition, how)
+def keyed_join(
+    left: DataFrame, right: DataFrame, condition: Column, how: str, small: bool | None = None
+) -> DataFrame:
+    """Join of tables with unique keys: the right side is broadcast when it provably fits.
+
+    ``small`` passes on what is known already: rows derived one to one from a measured batch
+    need no measuring of their own.
+    """
+    fits = fits_broadcast(right) if small is None else small
+    return left.join(F.broadcast(right) if fits else right, condition, how)
 
 
 def prefixed(staged: DataFrame) -> DataFrame:
     return staged.select(*[F.col(c).alias(NEW + c) for c in staged.columns])
 
 
-def with_staged(table: DataFrame, staged: DataFrame, key: str, where: Column | None = None) -> DataFrame:
-    """Table rows beside their staged row, if any (``_new_`` columns)."""
-    condition = F.col(key) == F.col(NEW + key)
-    return keyed_join(table, prefixed(staged), condition if where is None else condition & where, "left")
-
-
-def absent(staged: DataFrame, table: DataFrame, key: str) -> DataFrame:
+def absent(staged: DataFrame, table: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """Staged rows whose key the table does not know. The table is reduced to the staged
     keys first, so only those move."""
     wanted = staged.select(F.col(key).alias("_wanted"))
-    known = keyed_join(table.select(key), wanted, F.col(key) == F.col("_wanted"), "left_semi").distinct()
+    small = fits_broadcast(staged) if small is None else small
+    # a versioned table may hold many rows of one key
+    known = lookup_join(table.select(key), wanted, [(key, "_wanted")], "left_semi", small=small).distinct()
     known = known.select(F.col(key).alias("_known"))
-    return keyed_join(staged, known, F.col(key) == F.col("_known"), "left_anti")
-
-
-def matched() -> str:
-    return "_matched"
+    return keyed_join(staged, known, F.col(key) == F.col("_known"), "left_anti", small)
 
 
-def _pair(table: DataFrame, staged: DataFrame, key: str, where: Column | None = None) -> DataFrame:
-    paired = with_staged(table, staged, key, where)
-    return paired.withColumn(matched(), F.col(NEW + key).isNotNull())
+def _pair(table: DataFrame, staged: DataFrame, key: str, small: bool, where: Column | None = None) -> DataFrame:
+    """Table rows beside their staged row, if any (``_new_`` columns)."""
+    condition = F.col(key) == F.col(NEW + key)
+    if where is not None:
+        condition = condition & where
+    paired = keyed_join(table, prefixed(staged), condition, "left", small)
+    return paired.withColumn(MATCHED, F.col(NEW + key).isNotNull())
 
 
 def _without_new(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(NEW)], matched())
+    return df.drop(*[c for c in df.columns if c.startswith(NEW)], MATCHED)
 
 
 def differs(columns: list[str]) -> Column:
@@ -84,9 +88,9 @@ def scd1(
     current: DataFrame, staged: DataFrame, key: str, columns: list[str], as_of: str, surrogate: str
 ) -> DataFrame:
     """Overwrite without history. ``operation`` is INSERT, UPDATE, or NULL where nothing was staged."""
-    hit = F.col(matched())
+    small, hit = fits_broadcast(staged), F.col(MATCHED)
     held = _without_new(
-        _pair(current, staged, key).withColumns(
+        _pair(current, staged, key, small).withColumns(
             {
                 **{c: F.when(hit, F.col(NEW + c)).otherwise(F.col(c)) for c in columns},
                 "updated_at": F.when(hit, at(as_of)),
@@ -95,7 +99,7 @@ def scd1(
         )
     )
     fresh = numbered(
-        absent(staged, current, key).select(key, *columns), key, surrogate, highest(current, surrogate) + 1
+        absent(staged, current, key, small).select(key, *columns), key, surrogate, highest(current, surrogate) + 1
     ).withColumns({"updated_at": at(as_of), "operation": F.lit("INSERT")})
     return held.unionByName(fresh, allowMissingColumns=True)
 
@@ -112,13 +116,13 @@ def scd_policy(
 
     ``operation`` is INSERT, UPDATE, NO_CHANGE, or NULL where nothing was staged.
     """
-    hit = F.col(matched())
+    small, hit = fits_broadcast(staged), F.col(MATCHED)
     tracked = [c for c, kind in policy.items() if kind == 3]
     for c in tracked:
         for extra, kind in ((f"previous_{c}", "string"), (f"{c}_changed_date", "timestamp_ntz")):
             if extra not in current.columns:
                 current = current.withColumn(extra, F.lit(None).cast(kind))
-    paired = _pair(current, staged, key)
+    paired = _pair(current, staged, key, small)
     changes: dict[str, Column] = {}
     for c, kind in policy.items():
         if kind == 3:
@@ -131,7 +135,7 @@ def scd_policy(
     )
     held = _without_new(paired.withColumns(changes))
     fresh = numbered(
-        absent(staged, current, key).select(key, *policy), key, surrogate, highest(current, surrogate) + 1
+        absent(staged, current, key, small).select(key, *policy), key, surrogate, highest(current, surrogate) + 1
     ).withColumn("operation", F.lit("INSERT"))
     return held.unionByName(fresh, allowMissingColumns=True)
 
@@ -217,8 +221,12 @@ def scd2(
     if previous and f"previous_{previous}" not in dim.columns:
         dim = dim.withColumn(f"previous_{previous}", F.lit(None).cast("string"))
 
-    paired = _pair(dim, batch, key, F.col("is_current"))
-    changed = F.col(matched()) & differs(["row_hash"] if hashed else tracked)
+    small = fits_broadcast(batch)
+    # beside a small batch one pass over all versions is cheapest; when both sides must be
+    # shuffled, closed versions stay where they are and no key has more than one row
+    now, past = (dim, None) if small else (dim.filter("is_current"), dim.filter("NOT is_current"))
+    paired = _pair(now, batch, key, small, F.col("is_current"))
+    changed = F.col(MATCHED) & differs(["row_hash"] if hashed else tracked)
     marked = paired.withColumn("_changed", changed)
     closed = _without_new(
         marked.withColumns(
@@ -230,6 +238,8 @@ def scd2(
             }
         )
     ).drop("_changed")
+    if past is not None:
+        closed = closed.unionByName(past)
     opened = {
         "effective_start_date": at(as_of),
         "effective_end_date": at(OPEN_END),
@@ -243,7 +253,7 @@ def scd2(
         F.col(NEW + "change_reason").alias("change_reason"),
         *([F.col(previous).alias(f"previous_{previous}")] if previous else []),
     )
-    fresh = absent(batch, dim, key).select(
+    fresh = absent(batch, dim, key, small).select(
         *carried,
         F.lit(1).alias("version_number"),
         F.col("updated_by").alias("created_by"),
@@ -293,9 +303,11 @@ def scd4(
     used up by actual changes only.
     """
     wanted = ["created_by", "match_confidence", "source_system", name]
-    paired = _pair(current, staged, key).filter(matched())
+    small = fits_broadcast(staged)
+    paired_all = _pair(current, staged, key, small)
+    paired = paired_all.filter(MATCHED)
     renamed = paired.filter(differs([name]))
-    fresh = absent(staged, current, key).select(key, *wanted)
+    fresh = absent(staged, current, key, small).select(key, *wanted)
     fresh = numbered(fresh, key, surrogate, highest(current, surrogate) + 1)
     changes = renamed.select(F.col(key).alias("_key"), F.lit("UPDATE").alias("_type")).unionByName(
         fresh.select(F.col(key).alias("_key"), F.lit("INSERT").alias("_type"))
@@ -303,8 +315,7 @@ def scd4(
     ids = numbered(changes, "_key", "_change_id", last_change_id + 1)
 
     staged_ids = ids.select("_key", "_change_id")
-    paired_all = _pair(current, staged, key)
-    with_ids = keyed_join(paired_all, staged_ids, F.col(key) == F.col("_key"), "left")
+    with_ids = keyed_join(paired_all, staged_ids, F.col(key) == F.col("_key"), "left", small)
     moved = F.col("_change_id").isNotNull()
     held = _without_new(
         with_ids.withColumns(
@@ -320,7 +331,7 @@ def scd4(
             }
         )
     ).drop("_key", "_change_id")
-    fresh_ids = keyed_join(fresh, staged_ids, F.col(key) == F.col("_key"), "inner")
+    fresh_ids = keyed_join(fresh, staged_ids, F.col(key) == F.col("_key"), "inner", small)
     inserted = fresh_ids.select(
         surrogate,
         key,
@@ -331,7 +342,7 @@ def scd4(
     )
     new_current = held.unionByName(inserted, allowMissingColumns=True)
 
-    archived = keyed_join(renamed, staged_ids, F.col(key) == F.col("_key"), "inner").select(
+    archived = keyed_join(renamed, staged_ids, F.col(key) == F.col("_key"), "inner", small).select(
         F.col("_change_id").alias("change_id"),
         surrogate,
         name,
@@ -431,7 +442,8 @@ def rollback_version(
     rolled back, an unknown key is reported.
     """
     asked = keys.select(F.col(key).alias("_asked")).distinct()
-    now = keyed_join(dim.filter("is_current"), asked, F.col(key) == F.col("_asked"), "inner")
+    small = fits_broadcast(asked)
+    now = keyed_join(dim.filter("is_current"), asked, F.col(key) == F.col("_asked"), "inner", small)
     now = now.select(
         "_asked",
         F.col("version_number").alias("_version"),
@@ -439,7 +451,7 @@ def rollback_version(
     )
     known = now.select(F.col("_asked").alias("_found"), "_version")
     success = F.col("_version") > 1
-    status = keyed_join(asked, known, F.col("_asked") == F.col("_found"), "left").select(
+    status = keyed_join(asked, known, F.col("_asked") == F.col("_found"), "left", small).select(
         F.col("_asked").alias(key),
         F.coalesce(success, F.lit(False)).alias("success"),
         F.when(F.col("_version").isNull(), "Cannot rollback - key not found")
@@ -448,9 +460,8 @@ def rollback_version(
         .alias("message"),
     )
     going = now.filter(success)
-    before = keyed_join(
-        dim, going, (F.col(key) == F.col("_asked")) & (F.col("version_number") == F.col("_version") - 1), "inner"
-    )
+    earlier = (F.col(key) == F.col("_asked")) & (F.col("version_number") == F.col("_version") - 1)
+    before = keyed_join(dim, going, earlier, "inner", small)
     reopened = before.select(
         key,
         *restored,
@@ -463,8 +474,9 @@ def rollback_version(
         *([F.col("_previous").alias(f"previous_{previous}")] if previous else []),
     )
     reopened = numbered(reopened, key, surrogate, highest(dim, surrogate) + 1)
+    held, past = (dim, None) if small else (dim.filter("is_current"), dim.filter("NOT is_current"))
     ending = keyed_join(
-        dim, going.select("_asked"), (F.col(key) == F.col("_asked")) & F.col("is_current"), "left"
+        held, going.select("_asked"), (F.col(key) == F.col("_asked")) & F.col("is_current"), "left", small
     )
     over = F.col("_asked").isNotNull()
     closed = ending.withColumns(
@@ -473,6 +485,8 @@ def rollback_version(
             "is_current": F.col("is_current") & ~over,
         }
     ).drop("_asked")
+    if past is not None:
+        closed = closed.unionByName(past)
     return closed.unionByName(reopened, allowMissingColumns=True), status
 
 
@@ -483,7 +497,8 @@ def rollback_change(
     archived = history_table.filter(F.col("change_id") == change_id).select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_old_{c}") for c in restored]
     )
-    paired = keyed_join(current, archived, F.col(key) == F.col("_key"), "left")
+    small = fits_broadcast(archived)
+    paired = keyed_join(current, archived, F.col(key) == F.col("_key"), "left", small)
     hit = F.col("_key").isNotNull()
     values = {c: F.when(hit, F.col(f"_old_{c}")).otherwise(F.col(c)) for c in restored}
     marks = {
@@ -492,7 +507,7 @@ def rollback_change(
     }
     table = paired.withColumns({**values, **marks}).drop("_key", *[f"_old_{c}" for c in restored])
     n = F.count(F.lit(1))
-    touched = keyed_join(current.select(key), archived, F.col(key) == F.col("_key"), "inner")
+    touched = keyed_join(current.select(key), archived, F.col(key) == F.col("_key"), "inner", small)
     message = touched.agg(n.alias("records")).withColumn(
         "result",
         F.when(

@@ -13,15 +13,19 @@ from meterlake.functions.times import at, days_before
 from meterlake.operators.joins import lookup_join
 
 
-def without_keys(table: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+def without_keys(table: DataFrame, gone: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
     """Rows of ``table`` whose key does not occur in ``gone``."""
     listed = gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys]).distinct()
-    return lookup_join(table, listed, [(k, f"_gone_{k}") for k in keys], "left_anti")
+    return lookup_join(table, listed, [(k, f"_gone_{k}") for k in keys], "left_anti", small=small)
 
 
-def upsert(table: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert rows, replacing those with the same key."""
-    return without_keys(table, changes, keys).unionByName(changes)
+def upsert(table: DataFrame, changes: DataFrame, keys: list[str], small: bool | None = None) -> DataFrame:
+    """Insert rows, replacing those with the same key.
+
+    Changes that are costly to compute should pass ``small=False``: measuring them for a
+    broadcast would compute them once more.
+    """
+    return without_keys(table, changes, keys, small).unionByName(changes)
 
 
 def retain(table: DataFrame, day: str, as_of: str, days: int) -> DataFrame:

@@ -169,7 +169,7 @@ def refresh_vendors_full(
     since = (at(as_of), keep_days)
     recent = trips.filter(F.col("tpep_pickup_datetime") >= F.to_date(days_before(*since)).cast("timestamp_ntz"))
     new = vendor_performance(recent, vendors)
-    return upsert(retain(old, "metric_date", as_of, keep_days), new, VENDOR_DAY)
+    return upsert(retain(old, "metric_date", as_of, keep_days), new, VENDOR_DAY, small=False)
 
 
 def whole_days_since(trips: DataFrame, as_of: str, hours: int) -> DataFrame:
@@ -184,7 +184,7 @@ def refresh_vendors_incremental(
     """Recompute each affected day in full: replacing a day by part of its trips would lose
     the rest. The range filter prunes all other days at the scan."""
     new = vendor_performance(whole_days_since(trips, as_of, hours), vendors, refresh_type="INCREMENTAL")
-    return upsert(old, new, VENDOR_DAY)
+    return upsert(old, new, VENDOR_DAY, small=False)
 
 
 def recent_vendor_days(summary: DataFrame, as_of: str, days: int = 30, k: int = 20) -> DataFrame:

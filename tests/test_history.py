@@ -237,3 +237,23 @@ def test_originals_are_kept(spark):
     table = spark.createDataFrame([(1, "a")], "k int, name string")
     staged = spark.createDataFrame([(1, "changed"), (2, "b")], "k int, name string")
     assert {r["k"]: r["name"] for r in scd.scd0(table, staged, "k").collect()} == {1: "a", 2: "b"}
+
+
+def test_large_batches_give_the_same(spark, renamed, monkeypatch):
+    """Merge and rollback with both sides shuffled."""
+    dim, _ = renamed
+    staged = spark.createDataFrame(
+        [(2, "Third name", "CURB", None, None, None, "a", "r"), (9, "Ninth", "N", None, None, None, "a", "r")], STAGE
+    )
+    keys = spark.createDataFrame([(2,), (77,)], "vendor_id int")
+
+    def both():
+        merged = settled(merge(dim, staged, T3))
+        back, status = scd.rollback_version(
+            merged, keys, "vendor_id", [*ATTRIBUTES, "row_hash"], "2025-11-01 00:00:00", "admin", "x", "vendor_sk", "vendor_name"
+        )
+        return [sorted(map(repr, df.collect())) for df in (merged, back, status)]
+
+    small = both()
+    monkeypatch.setattr(scd, "fits_broadcast", lambda df: False)
+    assert both() == small
