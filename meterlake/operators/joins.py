@@ -17,11 +17,11 @@ Keys = list[tuple[str, str]]
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate where it can be relied on: files or constants that are
-    filtered and projected. None for plans that may multiply rows."""
+    """The optimizer's size estimate where it can be relied on: files, constants or number
+    ranges that are filtered and projected. None for plans that may multiply rows."""
     plan = df._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
-    if any(node in text for node in ("Generate ", "Join ", "Range (", "Expand ")):
+    if any(node in text for node in ("Generate ", "Join ", "Expand ")):
         return None
     return int(plan.stats().sizeInBytes())
 

@@ -89,8 +89,11 @@ def test_keys_of_different_width_meet(spark):
 
 def test_size_check(spark):
     assert joins.fits_broadcast(spark.range(10))
-    wide = spark.range(5000).withColumn("text", F.repeat(F.lit("x"), 5000))
-    assert not joins.fits_broadcast(wide, max_bytes=100_000, rows=1000)
+    long = spark.range(80_000).withColumn("text", F.lit("x"))
+    assert not joins.fits_broadcast(long, rows=1000)
+    wide = spark.range(500).withColumn("text", F.explode(F.array_repeat(F.repeat(F.lit("x"), 500), 2)))
+    assert not joins.fits_broadcast(wide, max_bytes=100_000)
+    assert joins.fits_broadcast(wide)
     product = spark.range(3000).join(spark.range(3000).withColumnRenamed("id", "b"), F.expr("id = b"))
     assert joins.plan_bytes(product) is None
     assert joins.fits_broadcast(product, max_bytes=1_000_000)
