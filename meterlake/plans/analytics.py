@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.exact import cents, exact_avg, round_ratio, rounded_avg, scaled
+from meterlake.functions.exact import cents, exact_avg, rounded_avg, scaled
 from meterlake.functions.times import at
 from meterlake.operators.joins import lookup_join
 
@@ -90,8 +90,3 @@ def fare_by_year(trips: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("trips"), exact_avg("fare_amount").alias("avg_fare"))
         .orderBy("year")
     )
-
-
-def share_of(num: str, den: str, digits: int = 2):
-    """num as a percentage of den, NULL when den is 0."""
-    return round_ratio(F.col(num) * 100, F.col(den), digits)

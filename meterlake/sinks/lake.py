@@ -42,8 +42,10 @@ def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> Dat
     return df.select(*[F.col(source).try_cast(kind).alias(target) for source, target, kind in mapping])
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite") -> None:
+    """A catalog table, kept at ``path`` or in the warehouse folder."""
+    writer = df.write.mode(mode)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def save_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:

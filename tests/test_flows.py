@@ -277,5 +277,13 @@ def test_weather_and_catalog_sources(spark, tmp_path):
     )
     row = lake.weather(spark, str(tmp_path / "w.csv")).first()
     assert str(row["date"]) == "2024-01-01" and row["max_temperature"] == 40
-    spark.range(3).createOrReplaceTempView("three_rows")
-    assert lake.catalog_table(spark, "three_rows").count() == 3
+    zones = sinks.apply_mapping(
+        spark.createDataFrame([(1, "Newark"), (2**40, "far")], "locationid long, zone string"),
+        [("locationid", "source_zone_id", "int"), ("zone", "zone_name", "string")],
+    )
+    sinks.save_table(zones, "zone_copy", str(tmp_path / "zones"))
+    sinks.save_table(zones, "zone_copy", str(tmp_path / "zones"), mode="append")
+    stored = lake.catalog_table(spark, "zone_copy")
+    assert stored.columns == ["source_zone_id", "zone_name"] and stored.count() == 4
+    assert stored.filter("source_zone_id IS NULL").count() == 2
+    spark.sql("DROP TABLE zone_copy")
