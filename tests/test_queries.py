@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from meterlake import catalogue
 from tests.compare import difference
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, catalogue.SQL
 
 
 def test_entry_runs(spark):
@@ -16,6 +17,11 @@ def test_entry_runs(spark):
     assert "total_revenue" in df.columns
 
 
+def test_entry_lists_the_catalogue():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+
+
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
 
