@@ -59,7 +59,7 @@ rows AS (
 matched AS (SELECT doc_id, ids, CASE WHEN len(ids) = 0 THEN '' ELSE {line} END AS line FROM rows),
 named AS (SELECT doc_id, ids, [{names}] AS found FROM matched)
 SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
-  array_to_string(list_filter([{first}], n -> list_contains(found, n)), ',') AS licences
+  array_to_string(list_filter([{first}], lambda n: list_contains(found, n)), ',') AS licences
 FROM named"""
 
 
