@@ -79,3 +79,34 @@ def mapped(uri: str) -> memoryview:
         return memoryview(b"")
     with open(path, "rb") as handle:
         return memoryview(mmap.mmap(handle.fileno(), 0, access=mmap.ACCESS_READ))
+
+
+def packed(arrays: dict) -> bytes:
+    """Numpy arrays in one block that can be mapped: a JSON header, then each array at a multiple of 64."""
+    import json
+
+    import numpy as np
+
+    places, at, parts = {}, 0, []
+    for name, array in arrays.items():
+        raw = np.ascontiguousarray(array)
+        places[name] = (raw.dtype.str, len(raw), at)
+        body = raw.tobytes()
+        parts.append(body + b"\0" * (-len(body) % 64))
+        at += len(parts[-1])
+    header = json.dumps(places).encode()
+    header += b" " * (-(len(header) + 8) % 64)
+    return len(header).to_bytes(8, "little") + header + b"".join(parts)
+
+
+def unpacked(data) -> dict:
+    """The arrays of :func:`packed`, as views of the same memory."""
+    import json
+
+    import numpy as np
+
+    n = int.from_bytes(bytes(data[:8]), "little")
+    places = json.loads(bytes(data[8 : 8 + n]))
+    return {
+        name: np.frombuffer(data, dtype=kind, count=size, offset=8 + n + at) for name, (kind, size, at) in places.items()
+    }

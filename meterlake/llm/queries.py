@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import licences, mixing, quality_rules, secrets
+from meterlake.llm import bpe, licences, mixing, quality_rules, secrets
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,7 +15,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-DIGEST_NONE = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+def tokenizer() -> str:
+    """The public vocabulary file; it is on every machine and never part of the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -28,10 +32,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def _lines(rules: str) -> str:
-    return " OR ".join(f"contains(lower(l), '{p}')" for p in rules)
-
-
 _W = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
@@ -139,6 +139,13 @@ def entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rate")
 
 
+@query("op7_transducer_bpe")
+def transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = bpe.compile_lexicon(docs, "text", tokenizer())
+    return bpe.digests(docs, lexicon, keep=["doc_id"])
+
+
 @query("op8_secret_ownership")
 def secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(
