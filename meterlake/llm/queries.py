@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, licences, mixing, quality_rules, secrets
+from meterlake.llm import bpe, licences, mixing, quality_rules, secrets, substrings
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,29 @@ def entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rate")
 
 
+SUBSTRING_SQL = rf"""
+WITH w AS (SELECT doc_id, {_W.format("coalesce(text, '')")} AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+gone AS (SELECT doc_id, i FROM win QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM gone),
+removed AS (SELECT doc_id, list(p) AS ps FROM cov GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, len(ws) AS n, len(ps) AS k,
+    list_filter(list_transform(range(1, len(ws) + 1), lambda i: CASE WHEN ps IS NULL OR NOT list_contains(ps, i) THEN ws[i] END),
+      lambda x: x IS NOT NULL) AS left_words
+  FROM w LEFT JOIN removed USING (doc_id))
+SELECT doc_id, n::BIGINT AS n_words, coalesce(k, 0)::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256
+FROM kept"""
+
+
+@query("op6_count_min_substrings", SUBSTRING_SQL)
+def count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op7_transducer_bpe")
 def transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
