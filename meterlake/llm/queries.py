@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, licences, mixing, quality_rules, secrets, substrings
+from meterlake.llm import bpe, licences, mixing, neardup, quality_rules, secrets, substrings
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +185,30 @@ def secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_live",
         "n_shared",
     )
+
+
+NEARDUP_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id, d.doc_id = min(r.b) AS kept
+FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+GROUP BY d.doc_id, n.n"""
+
+
+@query("op9_bbit_minhash", NEARDUP_SQL)
+def bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.grouped(table(spark, sf_dir, "documents"), width=4, similar_pct=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
