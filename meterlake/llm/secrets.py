@@ -132,9 +132,8 @@ def scan(
     out = rows.drop("_found").join(spans, "_rid", "left")
     none = F.array().cast(dict(spans.dtypes)["spans"])
     out = out.withColumn("spans", F.coalesce("spans", none))
-    count = {
-        f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in KINDS[:3]
-    }
+    kinds = F.transform("spans", lambda s: s["kind"])
+    count = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in KINDS[:3]}
     count["n_live"] = F.size(F.filter("spans", lambda s: s["live"])).cast("long")
     count["n_shared"] = F.size(F.filter("spans", lambda s: ~s["live"])).cast("long")
     out = out.withColumns(count)
