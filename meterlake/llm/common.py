@@ -53,7 +53,7 @@ def write_file(uri: str, data: bytes) -> None:
     parent = path.rsplit("/", 1)[0]
     system.create_dir(parent, recursive=True)
     draft = f"{path}.{uuid.uuid4().hex}"
-    with system.open_output_stream(draft) as out:
+    with system.open_output_stream(draft, compression=None) as out:
         out.write(data)
     system.move(draft, path)
 
@@ -70,7 +70,7 @@ def mapped(uri: str) -> memoryview:
         copy = os.path.join(tempfile.gettempdir(), uri.replace("/", "_").replace(":", "_"))
         if not os.path.exists(copy):
             draft = f"{copy}.{uuid.uuid4().hex}"
-            with system.open_input_stream(path) as source, open(draft, "wb") as target:
+            with system.open_input_stream(path, compression=None) as source, open(draft, "wb") as target:
                 while chunk := source.read(1 << 22):
                     target.write(chunk)
             os.replace(draft, copy)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, licences, mixing, neardup, quality_rules, secrets, substrings
+from meterlake.llm import ann, bpe, licences, mixing, neardup, quality_rules, secrets, substrings, warc
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,23 @@ SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sen
 FROM named"""
 
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM f"""
+
+
+@query("op1_warc_salvage", WARC_SQL)
+def warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(warc.roles(table(spark, sf_dir, "pages")))
+    records = warc.read(archives, with_payload=False).filter(F.col("gap").isNull())
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op2_license_sentences", _license_sql())
 def license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.licences(table(spark, sf_dir, "documents"))
@@ -74,6 +91,11 @@ def license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_collision_counting")
+def collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUALITY_SQL = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, {_W.format("coalesce(text, '')")} AS ws FROM documents),
