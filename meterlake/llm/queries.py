@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import ann, bpe, licences, mixing, neardup, quality_rules, secrets, substrings, warc
+import corpus_pipeline
+from meterlake.llm import ann, bpe, licences, lm, mixing, neardup, quality_rules, secrets, substrings, warc
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,3 +235,17 @@ GROUP BY d.doc_id, n.n"""
 def bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.grouped(table(spark, sf_dir, "documents"), width=4, similar_pct=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op10_kneser_ney")
+def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(part == 2, F.lit(False)))
+    model = lm.train(docs.filter(~F.col("held_out")))
+    scored = lm.score(docs, model, keep=["doc_id", "held_out"])
+    return scored.withColumn("train_tokens", F.lit(model["tokens"]).cast("long"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
