@@ -22,6 +22,7 @@ MIN_WORDS = 20
 MAX_REPEATED_PCT = 30
 MAX_LOST_PCT = 30
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bad_lines")
 # fixed values: phrases that mark site furniture rather than prose, in lower case
 BOILERPLATE = (
     "all rights reserved",
@@ -135,11 +136,12 @@ def clean_lines(
             "n_bad_lines": F.size(F.filter("_judged", lambda j: j["fault"].isNotNull())).cast("long"),
         }
     ).drop("_judged")
-    step = step.withColumn("cleaned", F.when(F.col("n_bad_lines") == 0, F.col("_text")).otherwise(F.array_join("_passed", "\n")))
-    step = step.withColumn(
-        "lost_chars",
-        F.when(F.col("n_bad_lines") == 0, F.lit(0)).otherwise(F.col("word_chars") - letters(F.col("cleaned"))).cast("long"),
-    )
+    cleaned = F.when(F.col("n_bad_lines") == 0, F.col("_text")).otherwise(F.array_join("_passed", "\n"))
+    step = step.withColumn("cleaned", cleaned).drop("_passed")
+    lost_chars = F.when(F.col("n_bad_lines") == 0, F.lit(0)).otherwise(F.col("word_chars") - letters(F.col("cleaned")))
+    told = F.struct(*COUNTS, lost_chars.cast("long").alias("lost_chars"), "cleaned")
+    # one generated row per document: a later filter is not pushed below it, where its condition would repeat all of this
+    step = step.select("_row", F.explode(F.array(told)).alias("_told")).select("_row", "_told.*")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated_pct * F.col("n_words"))
     lost = 100 * F.col("lost_chars") > max_lost_pct * F.col("word_chars")
-    return step.withColumn("base_failed", failed).withColumn("kept", ~failed & ~lost).drop("_passed", "_text")
+    return step.withColumn("base_failed", failed).withColumn("kept", ~failed & ~lost)
