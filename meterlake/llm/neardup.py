@@ -6,7 +6,7 @@
    pairs far below the limit, or whose sizes exclude it, are passed over. All others are confirmed on their full sets.
 3. First each class is tried against the smallest of its bucket, a star. Confirmed links make components. Buckets that still hold several components
    are searched further: members outside the bucket's largest component are compared with all others, cell by cell, in arrays of packed signatures,
-   and each sends its most similar untested partners of other components on. The number sent grows fourfold in each round, and rounds end when
+   and each sends its most similar untested partners of other components on. The number sent grows eightfold in each round, and rounds end when
    no bucket has an untested pair across components. So a group of thousands of near copies costs about one confirmation per member, and no link
    that joins components is lost.
 
@@ -29,14 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.llm.common import stored
+from meterlake.session import scratch_path
 
 BANDS, ROWS = 28, 4
 SHINGLE = 5
 SIMILAR_PCT = 80
-# five standard deviations of the two-bit estimate at 0.8 below it
-SLACK = 0.23
+# four and a half standard deviations of the two-bit estimate at 0.8 below it
+SLACK = 0.2
 CELL = 2048
-FIRST_ROUND = 4
+GROUP_ROWS = 30_000
+FIRST_ROUND, WIDER = 2, 8
 CHUNK_WORDS = 200_000
 _RNG = np.random.default_rng(20240131)
 FACTORS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -198,6 +200,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar_pct: int)
     return stored(both.mapInArrow(run, "a long, b long, linked boolean"), "neardup-confirmed")
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Stored in buckets of a key: later joins on it leave these rows where they are."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def agreeing(probe: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Estimated similarity of one packed signature with many."""
     n = BANDS * ROWS
@@ -207,10 +219,10 @@ def agreeing(probe: np.ndarray, targets: np.ndarray) -> np.ndarray:
 
 
 def further_pairs(members: DataFrame, tested: DataFrame, most: int, similar_pct: int) -> DataFrame:
-    """Untested pairs across components inside the buckets, at most ``most`` per probe and cell, best first.
+    """Untested pairs ``a, b`` across components inside the buckets, at most ``most`` per probe and cell, best first; ``cut`` where a probe had more.
 
     ``members``: key, rid, n, sig, component. Buckets of one component are done. Else members outside the largest component are the probes;
-    all members are dealt into cells, and every probe visits each cell of its bucket.
+    all members are dealt into cells, and every probe visits each cell of its bucket. Many small cells share one call.
     """
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     opened = (
@@ -221,33 +233,45 @@ def further_pairs(members: DataFrame, tested: DataFrame, most: int, similar_pct:
         .select("key", "major", "cells")
     )
     inside = stored(members.join(opened, "key"), "neardup-open")
+    calls = max(1, inside.count() // GROUP_ROWS)
     cell = F.pmod(F.xxhash64("rid"), F.col("cells")).cast("int")
-    targets = inside.withColumn("cell", cell).select("key", "cell", "rid", "n", "sig", "component")
+    call = F.pmod(F.xxhash64("key", "cell"), F.lit(calls))
+    targets = inside.withColumn("cell", cell).select(call.alias("call"), "key", "cell", "rid", "n", "sig", "component")
     sides = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
     probes = inside.filter(F.col("component") != F.col("major"))
     done = sides.join(probes.select(F.col("rid").alias("a")).distinct(), "a").groupBy(F.col("a").alias("rid")).agg(F.collect_set("b").alias("done"))
-    probes = probes.join(done, "rid", "left").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    probes = probes.join(done, "rid", "left").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("call", call)
     seen = F.coalesce("done", F.array().cast("array<bigint>")).alias("done")
-    probes = probes.select(*[F.col(c).alias(f"_{c}") for c in ("key", "cell", "rid", "n", "sig", "component")], seen)
+    probes = probes.select(*[F.col(c).alias(f"_{c}") for c in ("call", "key", "cell", "rid", "n", "sig", "component")], seen)
     limit, slack = similar_pct, SLACK
 
     def search(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int]] = []
+        out: list[tuple[int, int, bool]] = []
         if len(ask) and len(have):
+            have = have.sort_values(["key", "cell"], kind="stable")
             sigs = np.stack(have["sig"].to_numpy()).astype(np.int64)
             rid, n, comp = (have[c].to_numpy() for c in ("rid", "n", "component"))
-            for r, size, sig, own, seen in zip(*(ask[c] for c in ("_rid", "_n", "_sig", "_component", "done")), strict=True):
-                near = agreeing(np.asarray(sig, dtype=np.int64), sigs)
-                good = (comp != own) & (near >= limit / 100 - slack) & (100 * np.minimum(n, size) >= limit * np.maximum(n, size))
-                if len(seen):
-                    good &= ~np.isin(rid, np.asarray(seen))
+            key, cell = have["key"].to_numpy(), have["cell"].to_numpy()
+            edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
+            ranges = {(key[x], cell[x]): (x, y) for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(key)], strict=True)}
+            columns = (ask[c] for c in ("_key", "_cell", "_rid", "_n", "_sig", "_component", "done"))
+            for k, c, r, size, sig, own, known in zip(*columns, strict=True):
+                if (k, c) not in ranges:
+                    continue
+                x, y = ranges[k, c]
+                near = agreeing(np.asarray(sig, dtype=np.int64), sigs[x:y])
+                there = n[x:y]
+                good = (comp[x:y] != own) & (near >= limit / 100 - slack) & (100 * np.minimum(there, size) >= limit * np.maximum(there, size))
+                if len(known):
+                    good &= ~np.isin(rid[x:y], np.asarray(known))
                 at = np.flatnonzero(good)
+                cut = len(at) > most
                 at = at[np.argsort(-near[at], kind="stable")][:most]
-                out.extend((min(r, x), max(r, x)) for x in rid[at].tolist())
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+                out.extend((min(r, z), max(r, z), cut) for z in rid[x:y][at].tolist())
+        return pd.DataFrame(out, columns=["a", "b", "cut"]).astype({"a": "int64", "b": "int64", "cut": "bool"})
 
-    found = probes.groupBy("_key", "_cell").cogroup(targets.groupBy("key", "cell")).applyInPandas(search, "a long, b long")
-    return stored(found.distinct(), "neardup-pairs")
+    found = probes.groupBy("_call").cogroup(targets.groupBy("call")).applyInPandas(search, "a long, b long, cut boolean")
+    return stored(found.groupBy("a", "b").agg(F.bool_or("cut").alias("cut")), "neardup-pairs")
 
 
 def grouped(
@@ -279,7 +303,7 @@ def grouped(
         F.col(f"`{text}`").alias("text"),
     )
     fetched = source.join(wanted.withColumnsRenamed({"id": "_id", "hash": "_hash"}), F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
-    texts = stored(fetched.select("rid", "text").dropDuplicates(["rid"]), "neardup-texts")
+    texts = bucketed(fetched.select("rid", "text").dropDuplicates(["rid"]), "rid", "neardup_texts")
 
     star = shared.filter(F.col("rid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rid").alias("b")).distinct()
     told = star.join(facts.select(F.col("rid").alias("a"), F.col("n").alias("_n"), F.col("sig").alias("_s")), "a").join(
@@ -297,7 +321,11 @@ def grouped(
         if not more.take(1):
             break
         tested = stored(tested.union(confirmed(more, texts, width, similar_pct)), "neardup-tested")
-        most *= 4
+        if not more.filter("cut").take(1):
+            # every pair across components has been tested
+            labels = components(tested.filter("linked"))
+            break
+        most *= WIDER
 
     named = nodes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
