@@ -80,7 +80,7 @@ def tilted(cells: DataFrame, wanted: DataFrame, limit: int = LIMIT) -> DataFrame
     facts = wanted.select(F.col("source").alias("_source"), "target", "source_size")
     base = cells.join(facts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     unit = base.groupBy("source", "target", "source_size").agg(
-        (F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit")
+        F.try_divide(F.sum(F.col("n") * F.col("size") * F.col("size")), F.sum(F.col("n") * F.col("size"))).alias("unit")
     )
     duals = unit.withColumns(
         {
