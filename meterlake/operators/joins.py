@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ TRUSTED_BYTES = 1 << 20
 BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 200_000
 BROADCAST_VERSIONS = 64
-SALTS = 32
 
 Keys = list[tuple[str, str]]
 
@@ -29,16 +30,16 @@ def plan_bytes(df: DataFrame) -> int | None:
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a table is proven small enough to ship to every executor.
 
-    An estimate far below the limit decides without running anything. Otherwise the rows
-    are measured, at most ``rows`` + 1 of them, so the check stays cheap for any table.
+    The optimizer's estimate decides where it can be relied on and is far below the limit, or above it: files are
+    compressed, so their rows take more. Otherwise the rows are measured by an aggregate, which sends one row per task on.
     """
     estimate = plan_bytes(df)
     if estimate is not None and estimate <= min(TRUSTED_BYTES, max_bytes):
         return True
+    if estimate is not None and estimate > max_bytes:
+        return False
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 16
-    measured = (
-        df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    )
+    measured = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
     return measured["n"] <= rows and (measured["bytes"] or 0) <= max_bytes
 
 
@@ -56,35 +57,48 @@ def _comparable(facts: DataFrame, dim: DataFrame, keys: Keys) -> bool:
     return all(left[f] == right[d] or {left[f], right[d]} <= INTEGERS for f, d in keys)
 
 
-def hot_keys(facts: DataFrame, columns: list[str], most: int = 200) -> list[int]:
-    """Keys with more rows than half a shuffle partition should hold, from one pass over the
-    key columns. Approximate on purpose: it decides where rows go, never which rows match.
-    At most ``most`` numbers reach the driver."""
+def hot_keys(facts: DataFrame, columns: list[str], most: int | None = None) -> dict[int, int]:
+    """Keys with more rows than half a shuffle partition should hold, and over how many tasks to spread each so that it
+    holds no more. One pass over the key columns. Approximate on purpose: it decides where rows go, never which rows match.
+    No more keys than twice the number of shuffle partitions can be hot; so many numbers reach the driver at most."""
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(200, 2 * partitions) if most is None else most
     found = (
         facts.select(_item(facts, columns).alias("k"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {most}, 10000)").alias("top"))
+        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {most}, {max(10_000, 10 * most)})").alias("top"))
         .first()
     )
     limit = found["n"] / (2 * partitions)
-    return [t["item"] for t in found["top"] if t["count"] > limit]
+    return {t["item"]: ceil(t["count"] / limit) for t in found["top"] if t["count"] > limit}
+
 
+def _is_hot(df: DataFrame, columns: list[str], hot: dict[int, int]) -> Column:
+    return _item(df, columns).isin(list(hot)) if hot else F.lit(False)
 
-def _is_hot(df: DataFrame, columns: list[str], hot: list[int]) -> Column:
-    return _item(df, columns).isin(hot) if hot else F.lit(False)
 
+def _tasks(df: DataFrame, columns: list[str], hot: dict[int, int], salts: int | None) -> Column:
+    """Over how many tasks a row's key is spread: ``salts``, or else by the key's share in powers of two."""
+    if salts is not None:
+        return F.when(_is_hot(df, columns, hot), salts).otherwise(F.lit(1))
+    classes: dict[int, list[int]] = {}
+    for item, wanted in hot.items():
+        classes.setdefault(1 << (wanted - 1).bit_length(), []).append(item)
+    spread = F.lit(1)
+    for size, items in classes.items():
+        spread = F.when(_item(df, columns).isin(items), size).otherwise(spread)
+    return spread
 
-def _fact_salt(facts: DataFrame, columns: list[str], hot: list[int], salts: int) -> Column:
+
+def _fact_salt(facts: DataFrame, columns: list[str], hot: dict[int, int], salts: int | None) -> Column:
     """A task number for rows of hot keys, 0 for all others. It is a hash of the row, so a
     repeated task places its rows as before."""
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts)).cast("int")
-    return F.when(_is_hot(facts, columns, hot), spread).otherwise(F.lit(0))
+    number = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), _tasks(facts, columns, hot, salts))
+    return F.when(_is_hot(facts, columns, hot), number.cast("int")).otherwise(F.lit(0))
 
 
-def _copy_salts(dim: DataFrame, columns: list[str], hot: list[int], salts: int) -> Column:
-    """Where the counterpart of a key is needed: everywhere if it is hot, else once."""
-    everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
-    return F.explode(F.when(_is_hot(dim, columns, hot), everywhere).otherwise(F.array(F.lit(0))))
+def _copy_salts(dim: DataFrame, columns: list[str], hot: dict[int, int], salts: int | None) -> Column:
+    """Where the counterpart of a key is needed: in all tasks of a hot key, else once."""
+    return F.explode(F.sequence(F.lit(0), _tasks(dim, columns, hot, salts) - 1))
 
 
 def lookup_join(
@@ -94,13 +108,13 @@ def lookup_join(
     how: str = "left",
     also: Column | None = None,
     small: bool | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Attach a dimension to a large table.
 
     A dimension of proven size is broadcast and the facts never move. A larger one is
-    shuffled with the facts. Rows of hot keys, NULL included, are spread over ``salts``
-    tasks and only the dimension rows of those keys are copied. ``also`` is a further
+    shuffled with the facts. Rows of hot keys, NULL included, are spread over tasks by their
+    share, or over ``salts`` tasks, and only the dimension rows of those keys are copied. ``also`` is a further
     condition of the match itself, not a filter on the result. Fact and dimension column
     names must differ.
     """
@@ -110,7 +124,7 @@ def lookup_join(
     if fits_broadcast(dim) if small is None else small:
         return facts.join(F.broadcast(dim), condition, how)
     fact_keys, dim_keys = [f for f, _ in keys], [d for _, d in keys]
-    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else []
+    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else {}
     if not hot:
         return facts.join(dim, condition, how)
     salted = facts.withColumn("_fact_salt", _fact_salt(facts, fact_keys, hot, salts))
@@ -137,15 +151,17 @@ def asof_join(
     end: str,
     small: bool | None = None,
     bucket_seconds: int = 86_400 * 7,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join to the version valid at a time: ``start <= at < end``.
 
-    Versions of one key must not overlap. With few versions per key and a dimension of
-    proven size this is a broadcast equality join with the range as residual. Otherwise
+    Of overlapping versions of a key the one that starts last counts, of equal starts the one that ends last (then the largest
+    row): versions are cut at the next start before either plan, so both give the same rows. With few
+    versions per key and a dimension of proven size this is a broadcast equality join with the range as residual. Otherwise
     the versions are carried forward in time, see :func:`carry_forward`, which never
     pairs a fact with more than one version.
     """
+    dim = cut_versions(dim, [d for _, d in keys], start, end)
     if small is None:
         small = few_versions(dim, [d for _, d in keys])
     if small:
@@ -154,6 +170,15 @@ def asof_join(
     return carry_forward(facts, dim, keys, at, start, end, bucket_seconds, salts)
 
 
+def cut_versions(dim: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """One version per key and start, each ending at the next start at the latest. The columns keep their order."""
+    rest = [c for c in dim.columns if c not in (*keys, start, end)]
+    best = F.max(F.struct(end, *rest)).alias("_best")
+    one = dim.filter(F.col(start).isNotNull()).groupBy(*keys, start).agg(best).select(*keys, start, "_best.*")
+    later = F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
+    return one.withColumn(end, F.least(F.col(end), later)).select(*dim.columns)
+
+
 def few_versions(dim: DataFrame, keys: list[str]) -> bool:
     """Whether a versioned dimension fits a broadcast and no key has many versions."""
     if not fits_broadcast(dim):
@@ -170,7 +195,7 @@ def carry_forward(
     start: str,
     end: str,
     bucket_seconds: int,
-    salts: int,
+    salts: int | None,
 ) -> DataFrame:
     """As-of join by merging facts and version starts in time order.
 
@@ -180,7 +205,7 @@ def carry_forward(
     """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     fact_keys = [f for f, _ in keys]
-    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else []
+    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else {}
 
     def bucket(ts: str) -> Column:
         return F.floor(elapsed_seconds(epoch, F.col(ts)) / F.lit(bucket_seconds))

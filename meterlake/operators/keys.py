@@ -2,43 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterlake.session import scratch_path
+
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
 
 
 def numbered(
     df: DataFrame, by: str, name: str, start: int = 1, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
-    """Consecutive numbers in the order of a unique numeric column.
+    """Consecutive numbers in the order of a unique column of any orderable type.
 
-    Quantiles of the column cut the rows into buckets of bounded size. Rows are numbered
-    inside their bucket and shifted by the number of rows in earlier buckets, so no task
-    sees more than a bucket. The quantiles are only a cut: any values give the same
-    numbers. They are one row, and the bucket counts at most ``MAX_BUCKETS`` rows.
+    Rows are range-partitioned by the column into buckets of about ``rows_per_bucket`` and stored in
+    the shared folder with their bucket. They are numbered inside it and shifted by the number of
+    rows in earlier buckets, so no task sees more than a bucket. Only the bucket counts, one row
+    per bucket, meet in one task.
     """
-    total = df.count()
-    buckets = max(1, min(MAX_BUCKETS, -(-total // rows_per_bucket)))
+    spark, total = df.sparkSession, df.count()
+    buckets = max(1, -(-total // rows_per_bucket))
     if buckets == 1:
         rank = F.row_number().over(Window.orderBy(by))
         return df.withColumn(name, (rank + (start - 1)).cast("bigint"))
-    cuts = df.select(
-        F.percentile_approx(by, [i / buckets for i in range(1, buckets)], 10_000)
-    ).first()[0]
-    cuts = sorted(set(cuts))
-    bucket = reduce(lambda n, cut: n + F.when(F.col(by) > cut, 1).otherwise(0), cuts, F.lit(0))
-    placed = df.withColumn("_bucket", bucket)
+    path = scratch_path(spark, "numbered")
+    ranged = df.repartitionByRange(buckets, by).withColumn("_bucket", F.spark_partition_id())
+    ranged.write.parquet(path)
+    placed = spark.read.schema(ranged.schema).parquet(path)
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = sizes.select(
+        F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(by))
-    shifted = placed.withColumn("_rank", rank).join(F.broadcast(offsets), "_bucket")
+    shifted = placed.withColumn("_rank", rank).join(offsets, F.col("_bucket") == F.col("_of"))
     return shifted.withColumn(name, (F.col("_before") + F.col("_rank") + (start - 1)).cast("bigint")).drop(
-        "_bucket", "_rank", "_before"
+        "_bucket", "_rank", "_before", "_of"
     )
 
 

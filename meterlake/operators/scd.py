@@ -84,6 +84,11 @@ def scd0(current: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     return current.unionByName(absent(staged, current, key), allowMissingColumns=True)
 
 
+def held_value(table: DataFrame, column: str, kind: str) -> Column:
+    """A stamp that rows outside a batch keep; NULL in a table that has none yet."""
+    return F.col(column) if column in table.columns else F.lit(None).cast(kind)
+
+
 def scd1(
     current: DataFrame, staged: DataFrame, key: str, columns: list[str], as_of: str, surrogate: str
 ) -> DataFrame:
@@ -93,7 +98,7 @@ def scd1(
         _pair(current, staged, key, small).withColumns(
             {
                 **{c: F.when(hit, F.col(NEW + c)).otherwise(F.col(c)) for c in columns},
-                "updated_at": F.when(hit, at(as_of)),
+                "updated_at": F.when(hit, at(as_of)).otherwise(held_value(current, "updated_at", "timestamp_ntz")),
                 "operation": F.when(hit, F.lit("UPDATE")),
             }
         )
@@ -321,8 +326,8 @@ def scd4(
         with_ids.withColumns(
             {
                 "match_confidence": F.when(moved, F.col(NEW + "match_confidence")).otherwise(F.col("match_confidence")),
-                "updated_by": F.when(moved, F.col(NEW + "created_by")),
-                "updated_at": F.when(moved, at(as_of)),
+                "updated_by": F.when(moved, F.col(NEW + "created_by")).otherwise(held_value(current, "updated_by", "string")),
+                "updated_at": F.when(moved, at(as_of)).otherwise(held_value(current, "updated_at", "timestamp_ntz")),
                 "change_id": F.when(moved, F.col("_change_id")).otherwise(F.col("change_id")),
                 "lifecycle_state": F.when(
                     moved & (F.col("lifecycle_state") != "ACTIVE"), "PROPOSED"
@@ -352,9 +357,14 @@ def scd4(
         "created_by",
         F.lit("UPDATE").alias("change_type"),
         F.concat(
-            F.lit('Name changed from "'), F.col(name), F.lit('" to "'), F.col(NEW + name), F.lit('"')
+            F.lit('Name changed from "'),
+            F.coalesce(name, F.lit("")),
+            F.lit('" to "'),
+            F.coalesce(NEW + name, F.lit("")),
+            F.lit('"'),
         ).alias("change_reason"),
         at(as_of).alias("created_at"),
+        *[F.col(c) for c in ("approved_by", "approved_at") if c in current.columns and c in history.columns],
     )
     logged = inserted.select(
         "change_id",
@@ -502,8 +512,8 @@ def rollback_change(
     hit = F.col("_key").isNotNull()
     values = {c: F.when(hit, F.col(f"_old_{c}")).otherwise(F.col(c)) for c in restored}
     marks = {
-        "updated_by": F.when(hit, F.lit(f"ROLLBACK_{by}")),
-        "updated_at": F.when(hit, at(as_of_time)),
+        "updated_by": F.when(hit, F.lit(f"ROLLBACK_{by}")).otherwise(held_value(current, "updated_by", "string")),
+        "updated_at": F.when(hit, at(as_of_time)).otherwise(held_value(current, "updated_at", "timestamp_ntz")),
     }
     table = paired.withColumns({**values, **marks}).drop("_key", *[f"_old_{c}" for c in restored])
     n = F.count(F.lit(1))
@@ -534,21 +544,43 @@ def bitemporal_as_of(table: DataFrame, valid_at: str, known_at: str) -> DataFram
 def bitemporal_correct(
     table: DataFrame, corrections: DataFrame, key: str, columns: list[str], recorded_at: str
 ) -> DataFrame:
-    """Replace what is currently believed about a (key, valid_from) interval: the old belief
-    is closed on the transaction axis and the corrected one appended."""
-    new = prefixed(corrections.select(key, "valid_from", *columns))
+    """Replace what is currently believed from a correction's ``valid_from`` on.
+
+    A correction holds until its ``valid_to`` where the batch has one, else to the end of the believed interval it starts in, or
+    of time. Believed intervals that it overlaps are closed on the transaction axis; what it leaves of them before and
+    after is believed anew. Corrections for new keys and later starts are added. Corrections of one key
+    must not overlap each other.
+    """
+    ends = F.col("valid_to") if "valid_to" in corrections.columns else F.lit(None).cast("timestamp_ntz")
+    new = prefixed(corrections.select(key, "valid_from", ends.alias("valid_to"), *columns))
     believed = F.col("transaction_to") == at(OPEN_END)
-    same = (F.col(key) == F.col(NEW + key)) & (F.col("valid_from") == F.col(NEW + "valid_from")) & believed
-    paired = keyed_join(table, new, same, "left")
+    about = (F.col(key) == F.col(NEW + key)) & believed
+    start, stop = F.col(NEW + "valid_from"), F.col(NEW + "valid_to")
+    holds = about & (F.col("valid_from") <= start) & (start < F.col("valid_to"))
+    # the end of each correction: its own, or that of the interval it starts in
+    inside = keyed_join(new, table.select(key, "valid_from", "valid_to", "transaction_to"), holds, "left")
+    whole = inside.withColumn(NEW + "valid_to", F.coalesce(stop, F.col("valid_to"), at(OPEN_END))).select(*new.columns)
+
+    overlaps = about & (start < F.col("valid_to")) & (F.col("valid_from") < stop)
+    paired = keyed_join(table, whole, overlaps, "left")
     hit = F.col(NEW + key).isNotNull()
-    closed = paired.withColumn(
-        "transaction_to", F.when(hit, at(recorded_at)).otherwise(F.col("transaction_to"))
-    ).select(*table.columns)
-    corrected = paired.filter(hit).withColumns(
-        {
-            **{c: F.col(NEW + c) for c in columns},
-            "transaction_from": at(recorded_at),
-            "transaction_to": at(OPEN_END),
-        }
+    closed = (
+        paired.withColumn("transaction_to", F.when(hit, at(recorded_at)).otherwise(F.col("transaction_to")))
+        .select(*table.columns)
+        .distinct()
     )
-    return closed.unionByName(corrected.select(*table.columns))
+    # what is left of an interval lies between neighbouring corrections
+    own = [F.col(c) for c in table.columns]
+    cuts = paired.filter(hit).groupBy(*own).agg(F.sort_array(F.collect_set(F.struct(start.alias("f"), stop.alias("t")))).alias("_cuts"))
+    froms = F.concat(F.array("valid_from"), F.transform("_cuts", lambda c: c["t"]))
+    tos = F.concat(F.transform("_cuts", lambda c: c["f"]), F.array("valid_to"))
+    gaps = F.explode(F.arrays_zip(froms.alias("f"), tos.alias("t"))).alias("_gap")
+    left = cuts.select(*own, gaps).filter(F.col("_gap.f") < F.col("_gap.t"))
+    fresh = {"transaction_from": at(recorded_at), "transaction_to": at(OPEN_END)}
+    rest = left.withColumns({"valid_from": F.col("_gap.f"), "valid_to": F.col("_gap.t"), **fresh}).select(*table.columns)
+    # columns outside the correction come from the interval it starts in
+    base = keyed_join(whole, table, holds, "left")
+    corrected = base.withColumns(
+        {key: F.col(NEW + key), "valid_from": start, "valid_to": stop, **{c: F.col(NEW + c) for c in columns}, **fresh}
+    ).select(*table.columns)
+    return closed.unionByName(rest).unionByName(corrected)

@@ -160,3 +160,49 @@ def test_shared_boundary_belongs_to_one_polygon(spark):
     rows = locate(points, polygons, 1.0).collect()
     assert {r["id"]: r["name"] for r in rows} == {1: "10", 2: "01", 3: "11"}
     assert len(rows) == 3
+
+
+def test_many_buckets_and_text_keys_are_numbered(spark):
+    df = spark.range(20_000).selectExpr("concat('k', lpad(cast(id * 7919 % 20011 AS string), 6, '0')) AS k", "id")
+    got = [(r["k"], r["n"]) for r in numbered(df, "k", "n", rows_per_bucket=5).orderBy("k").collect()]
+    assert got == [(k, i + 1) for i, (k, _) in enumerate(got)]
+
+
+def test_measuring_never_moves_rows_to_one_task(spark):
+    joined = spark.range(3000).join(spark.range(3000).withColumnRenamed("id", "b"), F.expr("id = b"))
+    assert not joins.fits_broadcast(spark.range(10_000_000), max_bytes=1_000_000)
+    assert joins.fits_broadcast(joined)
+
+
+def test_hot_keys_are_spread_by_their_share(spark):
+    facts = spark.range(16_000).selectExpr("id", "if(id % 2 = 0, 7, if(id % 4 = 1, 9, id)) AS k")
+    hot = joins.hot_keys(facts, ["k"])
+    assert len(hot) == 2 and max(hot.values()) > min(hot.values()) >= 2
+    dim = spark.range(20).selectExpr("id AS d", "id * 10 AS v")
+    plain = joins.lookup_join(facts, dim, [("k", "d")], small=True)
+    spread = joins.lookup_join(facts, dim, [("k", "d")], small=False)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, spread.collect()))
+
+
+def test_four_hundred_hot_keys_are_all_found(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")
+        assert len(joins.hot_keys(spark.range(40_000).selectExpr("id % 400 AS k"), ["k"])) == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_overlaps_ties_and_gaps_give_the_same_rows_in_both_plans(spark):
+    day = [T0 + timedelta(days=i) for i in range(40)]
+    versions = [(1, 1, day[0], day[20]), (1, 2, day[5], day[9]), (1, 3, day[15], day[30]), (1, 4, day[15], day[25]), (2, 1, day[3], None), (3, 1, day[1], day[2])]
+    dim = spark.createDataFrame(versions, "key int, version int, start timestamp_ntz, stop timestamp_ntz")
+    facts = spark.createDataFrame([(i * 100 + k, k, day[i]) for i in range(40) for k in (1, 2, 3, 4)], "id int, k int, at timestamp_ntz")
+    rows = {}
+    for small in (True, False):
+        joined = joins.asof_join(facts, dim, [("k", "key")], "at", "start", "stop", small, 86_400 * 3)
+        rows[small] = {r["id"]: r["version"] for r in joined.collect()}
+        assert joined.count() == facts.count()
+    assert rows[True] == rows[False]
+    at_one = [rows[True][i * 100 + 1] for i in range(40)]
+    assert at_one == [1] * 5 + [2] * 4 + [None] * 6 + [3] * 15 + [None] * 10
