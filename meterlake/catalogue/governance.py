@@ -89,7 +89,10 @@ def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-NORM = "trim(regexp_replace(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), '( (llc|inc|corp|corporation|ltd|co))+$', ''))"
+NORM = (
+    r"trim(regexp_replace(trim(regexp_replace(strip_accents(lower({c})), '[^\p{{L}}\p{{N}}]+', ' ', 'g')),"
+    r" '( (llc|inc|corp|corporation|ltd|co))+$', ''))"
+)
 
 MATCH = f"""WITH gm AS (SELECT min(p_partkey) AS k, p_name FROM part GROUP BY 2 HAVING min(p_partkey) % 5 <> 0),
   m AS (SELECT min(k + 1) AS id, {NORM.format(c='p_name')} AS norm FROM gm GROUP BY 2),
@@ -98,8 +101,9 @@ MATCH = f"""WITH gm AS (SELECT min(p_partkey) AS k, p_name FROM part GROUP BY 2
       WHEN 4 THEN 'zq' || p_name || 'xy' ELSE substring(p_name, 1, 4) || 'q' || substring(p_name, 6) END AS proposed_name FROM part),
   pn AS (SELECT *, {NORM.format(c='proposed_name')} AS norm FROM p),
   c AS (SELECT a.norm, id, greatest(length(a.norm), length(m.norm)) AS l, levenshtein(a.norm, m.norm) AS d
-    FROM (SELECT DISTINCT norm FROM pn) a, m WHERE levenshtein(a.norm, m.norm) <= 2),
-  s AS (SELECT norm, id, CAST(((l - d) * 20000 + l) // (2 * l) AS DOUBLE) / 100 AS score FROM c),
+    FROM (SELECT DISTINCT norm FROM pn) a, m),
+  e AS (SELECT norm, id, CAST(((l - d) * 20000 + l) // (2 * l) AS DOUBLE) / 100 AS score FROM c),
+  s AS (SELECT * FROM e WHERE score >= 80),
   b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY norm ORDER BY score DESC, id) = 1),
   matched AS (SELECT proposal_id, proposed_name, b.id AS golden_id, coalesce(score, 0.0) AS match_confidence
     FROM pn LEFT JOIN b USING (norm))"""
@@ -158,9 +162,10 @@ def md_propose(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH a AS (SELECT p_partkey + 1 AS id, {NORM.format(c='p_name')} AS norm FROM part),
       f AS (SELECT norm, min(id) AS id FROM a GROUP BY 1),
       q AS (SELECT f.id AS id_1, a.id AS id_2, CAST(100 AS DOUBLE) AS match_score FROM a JOIN f USING (norm) WHERE a.id <> f.id
-        UNION ALL SELECT x.id, y.id, CAST(((greatest(length(x.norm), length(y.norm)) - levenshtein(x.norm, y.norm)) * 20000
-          + greatest(length(x.norm), length(y.norm))) // (2 * greatest(length(x.norm), length(y.norm))) AS DOUBLE) / 100
-        FROM f x JOIN f y ON x.id < y.id WHERE levenshtein(x.norm, y.norm) <= 2)
+        UNION ALL SELECT * FROM (
+          SELECT x.id AS id_1, y.id AS id_2, CAST(((greatest(length(x.norm), length(y.norm)) - levenshtein(x.norm, y.norm)) * 20000
+            + greatest(length(x.norm), length(y.norm))) // (2 * greatest(length(x.norm), length(y.norm))) AS DOUBLE) / 100 AS match_score
+          FROM f x JOIN f y ON x.id < y.id) WHERE match_score >= 80)
       SELECT *, CASE WHEN match_score >= 95 THEN 'HIGH' WHEN match_score >= 80 THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM q""",
 )
 def md_dedup_queue(spark: SparkSession, sf_dir: str) -> DataFrame:

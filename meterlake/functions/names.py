@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,11 +11,25 @@ from pyspark.sql import functions as F
 LEGAL_SUFFIXES = "llc|inc|corp|corporation|ltd|co"
 
 
+def _plain_letters() -> tuple[str, str]:
+    """Accented Latin letters and the letters without their accents."""
+    letters = [chr(c) for c in range(0xC0, 0x250)]
+    bare = {c: unicodedata.normalize("NFD", c)[0] for c in letters}
+    changed = [c for c in letters if bare[c] != c]
+    return "".join(changed), "".join(bare[c] for c in changed)
+
+
+ACCENTED, BARE = _plain_letters()
+COMBINING = "[\u0300-\u036f]+"
+
+
 def normalise(name: Column) -> Column:
-    """Lower case, punctuation to blanks, legal suffix dropped, blanks collapsed."""
-    plain = F.regexp_replace(F.lower(name), "[^a-z0-9]+", " ")
-    trimmed = F.trim(plain)
-    return F.trim(F.regexp_replace(trimmed, f"( ({LEGAL_SUFFIXES}))+$", ""))
+    """Lower case, accents dropped, everything but letters and digits of any script to blanks, legal suffix dropped,
+    blanks collapsed. Where nothing would be left, the trimmed name itself."""
+    folded = F.regexp_replace(F.translate(F.lower(name), ACCENTED, BARE), COMBINING, "")
+    trimmed = F.trim(F.regexp_replace(folded, r"[^\p{L}\p{N}\p{M}]+", " "))
+    short = F.trim(F.regexp_replace(trimmed, f"( ({LEGAL_SUFFIXES}))+$", ""))
+    return F.when(short == "", F.trim(F.lower(name))).otherwise(short)
 
 
 def confidence(a: Column, b: Column) -> Column:

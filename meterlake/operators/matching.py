@@ -1,21 +1,21 @@
 """Approximate matching of names against master records.
 
-Names are compared once per distinct normalised form, however many rows carry it. Two names
-within ``max_edits`` edits share a text with that many letters deleted, so candidates come
-from an equality join on such texts. One text is shared by a number of distinct names that
-depends on its length only, not on the size of the tables; no group of rows is paired with
-itself.
+Names are compared once per distinct normalised form, however many rows carry it. Two names match from a least confidence
+on, so the number of edits between them is bounded by their length alone. The shorter name is cut into one segment more than
+that many edits can touch: one segment at least occurs unchanged in the longer name, near its own place. Candidates
+come from an equality join on (length, segment number, segment), and are then compared in full. No group of rows is paired with
+itself; the size of a join group depends on how many distinct names have the same few letters at the same place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions.names import confidence, confidence_level, deletion_variants, normalise, route
+from meterlake.functions.names import confidence, confidence_level, normalise, route
 from meterlake.operators.joins import lookup_join
 
-MAX_EDITS = 2
+LEAST_CONFIDENCE = 80.0
 
 
 def distinct_names(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -28,8 +28,58 @@ def distinct_names(df: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
-def with_variants(names: DataFrame, edits: int) -> DataFrame:
-    return names.withColumn("variant", F.explode(deletion_variants(F.col("norm"), edits)))
+def _edited_share(least: float) -> float:
+    """The largest share of the longer name's letters that may be edited; confidence is rounded to hundredths."""
+    return (100.0 - least + 0.005) / 100.0
+
+
+def _segment_count(length: Column, least: float) -> Column:
+    """One more than the edits that a match of a name of this length with a longer one may have."""
+    share = _edited_share(least)
+    return (F.floor(length * F.lit(share / (1 - share))) + 1).cast("int")
+
+
+def _segment(length: Column, count: Column, i: Column) -> tuple[Column, Column]:
+    """Start and width of a segment: even cuts, the longer ones last."""
+    base, short = F.floor(length / count).cast("int"), count - length % count
+    start = 1 + (i - 1) * base + F.greatest(F.lit(0), i - 1 - short)
+    return start, base + F.when(i > short, 1).otherwise(0)
+
+
+def _indexed(names: DataFrame, least: float) -> DataFrame:
+    """``length, i, piece, short_norm``: every name's segments. Names shorter than their number of segments have one per letter."""
+    cut = names.select(F.col("norm").alias("short_norm"), F.length("norm").alias("length"))
+    cut = cut.withColumn("_m", F.least(_segment_count(F.col("length"), least), F.col("length")))
+    cut = cut.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("_m"))))
+    start, width = _segment(F.col("length"), F.col("_m"), F.col("i"))
+    return cut.select("length", "i", F.substring("short_norm", start, width).alias("piece"), "short_norm")
+
+
+def _probes(names: DataFrame, least: float) -> DataFrame:
+    """The texts of a longer name where a segment of a shorter one can stand: earlier segments can shift it by as many letters
+    as edits fit before it, later ones by as many as fit behind it."""
+    longest = F.col("_long")
+    each = names.select(F.col("norm").alias("long_norm"), F.length("norm").alias("_long"))
+    shortest = F.greatest(F.lit(1), F.ceil(longest * F.lit(1 - _edited_share(least))).cast("int"))
+    each = each.withColumn("length", F.explode(F.sequence(shortest, longest)))
+    each = each.withColumn("_m", F.least(_segment_count(F.col("length"), least), F.col("length")))
+    each = each.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("_m"))))
+    start, width = _segment(F.col("length"), F.col("_m"), F.col("i"))
+    grown, i, m = longest - F.col("length"), F.col("i"), F.col("_m")
+    first = F.greatest(F.lit(1), start - (i - 1), start + grown - (m - i))
+    last = F.least(longest - width + 1, start + (i - 1), start + grown + (m - i))
+    each = each.withColumns({"_width": width, "_first": first, "_last": last}).filter("_first <= _last")
+    each = each.withColumn("_p", F.explode(F.sequence("_first", "_last")))
+    return each.select("length", "i", F.substring("long_norm", F.col("_p"), F.col("_width")).alias("piece"), "long_norm").distinct()
+
+
+def close_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """``norm, m_norm, score``: all pairs of a left and a right name whose confidence is at least ``least``."""
+    keys = ["length", "i", "piece"]
+    one = _indexed(left, least).join(_probes(right, least), keys).select(F.col("short_norm").alias("norm"), F.col("long_norm").alias("m_norm"))
+    two = _indexed(right, least).join(_probes(left, least), keys).select(F.col("long_norm").alias("norm"), F.col("short_norm").alias("m_norm"))
+    pairs = one.unionByName(two).distinct()
+    return pairs.withColumn("score", confidence(F.col("norm"), F.col("m_norm"))).filter(F.col("score") >= least)
 
 
 def match(
@@ -38,24 +88,20 @@ def match(
     proposal_name: str,
     master_key: str,
     master_name: str,
-    max_edits: int = MAX_EDITS,
+    least: float = LEAST_CONFIDENCE,
 ) -> DataFrame:
     """Every proposal with its best master: ``golden_id`` and ``match_confidence`` (0 to 100).
 
-    Best is the highest confidence, then the lowest master id. A proposal further than
-    ``max_edits`` edits from every master has no golden id and confidence 0. The matches
+    Best is the highest confidence, then the lowest master id. A proposal that reaches ``least`` with
+    no master has no golden id and confidence 0. The matches
     are joined back without measuring them, which would compute them twice.
     """
     wanted = proposals.select(normalise(F.col(proposal_name)).alias("norm")).filter(F.col("norm") != "").distinct()
     known = distinct_names(masters, master_key, master_name)
-    left = with_variants(wanted, max_edits)
-    right = with_variants(known, max_edits).select(
-        "variant", F.col("norm").alias("m_norm"), F.col("first_id").alias("golden")
-    )
-    close = left.join(right, "variant").filter(F.levenshtein("norm", "m_norm") <= max_edits)
-    score = confidence(F.col("norm"), F.col("m_norm"))
+    close = close_names(wanted, known.select("norm"), least)
+    close = close.join(known.select(F.col("norm").alias("m_norm"), F.col("first_id").alias("golden")), "m_norm")
     best = (
-        close.select("norm", score.alias("score"), "golden")
+        close.select("norm", "score", "golden")
         .groupBy("norm")
         .agg(F.max_by(F.struct("golden", "score"), F.struct(F.col("score"), -F.col("golden"))).alias("best"))
         .select("norm", F.col("best.golden").alias("golden_id"), F.col("best.score").alias("match_confidence"))
@@ -81,7 +127,7 @@ def routed(matches: DataFrame, auto: float = 95.0, steward: float = 80.0) -> Dat
 
 
 def dedup_queue(
-    masters: DataFrame, key: str, name: str, max_edits: int = MAX_EDITS, auto: float = 95.0, steward: float = 80.0
+    masters: DataFrame, key: str, name: str, auto: float = 95.0, steward: float = LEAST_CONFIDENCE
 ) -> DataFrame:
     """Candidate duplicates with score and confidence level, lower id first.
 
@@ -96,16 +142,11 @@ def dedup_queue(
         .filter(F.col("id_2") != F.col("first_id"))
         .select(F.col("first_id").alias("id_1"), "id_2", F.lit(100.0).alias("match_score"))
     )
-    left = with_variants(known, max_edits)
-    right = left.select("variant", F.col("norm").alias("m_norm"), F.col("first_id").alias("m_id"))
-    close = left.join(right, "variant").filter(
-        (F.col("first_id") < F.col("m_id")) & (F.levenshtein("norm", "m_norm") <= max_edits)
-    )
-    different = close.select(
-        F.col("first_id").alias("id_1"),
-        F.col("m_id").alias("id_2"),
-        confidence(F.col("norm"), F.col("m_norm")).alias("match_score"),
-    ).distinct()
+    first = known.select(F.col("norm").alias("norm"), F.col("first_id").alias("id_1"))
+    second = known.select(F.col("norm").alias("m_norm"), F.col("first_id").alias("id_2"))
+    names = known.select("norm")
+    close = close_names(names, names, steward).join(first, "norm").join(second, "m_norm")
+    different = close.filter(F.col("id_1") < F.col("id_2")).select("id_1", "id_2", F.col("score").alias("match_score"))
     return same.unionByName(different).withColumn(
         "confidence_level", confidence_level(F.col("match_score"), auto, steward)
     )
