@@ -19,8 +19,9 @@ def _col(c: Column | str) -> Column:
 
 
 def scaled(c: Column | str, scale: int = SCALE) -> Column:
-    """A decimal amount held in a double, as a whole number of ``1/scale`` units."""
-    return F.floor(_col(c) * F.lit(float(scale)) + F.lit(0.5))
+    """A decimal amount held in a double, as a whole number of ``1/scale`` units, halves away from zero."""
+    units = _col(c) * F.lit(float(scale))
+    return F.when(units < 0, -F.floor(F.lit(0.5) - units)).otherwise(F.floor(units + F.lit(0.5)))
 
 
 def cents(c: Column | str) -> Column:

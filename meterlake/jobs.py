@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.casts import cast_if_present
@@ -77,9 +77,9 @@ def copy_golden(spark: SparkSession, source: str, target: str) -> None:
 def refresh_vendor_summary(
     spark: SparkSession, trips: DataFrame, vendors: DataFrame, target: str, log: str, as_of: str, hours: int | None = None
 ) -> None:
-    """Vendor-day summary partitions by date: the last year in full, or with ``hours`` just
-    the days touched since then. Only those partitions are replaced. The row count for the
-    log comes with the write itself."""
+    """Vendor-day summary partitions by date: the last year in full, which replaces the whole table, so expired days and days
+    without trips go; or with ``hours`` just the days touched since then, which replaces only those. The row count for the
+    log is observed by the write itself."""
     if hours is None:
         since = F.to_date(days_before(at(as_of), 365)).cast("timestamp_ntz")
         folders = tables.days_from(trips, since)
@@ -88,14 +88,15 @@ def refresh_vendor_summary(
         folders = tables.days_from(trips, hours_before(at(as_of), hours))
         recent, kind = summaries.whole_days_since(folders, as_of, hours), "INCREMENTAL"
     result = summaries.vendor_performance(recent, vendors, refresh_type=kind)
-    sinks.write_partitioned(result.withColumn("last_updated", at(as_of)), target, ("metric_date",))
-    fresh = spark.read.parquet(target).filter((F.col("refresh_type") == kind) & (F.col("last_updated") == at(as_of)))
-    row = fresh.agg(F.count(F.lit(1)).alias("rows_processed")).select(
+    seen = Observation()
+    stamped = result.withColumn("last_updated", at(as_of)).observe(seen, F.count(F.lit(1)).alias("rows_processed"))
+    sinks.write_partitioned(stamped, target, ("metric_date",), replace_all=hours is None)
+    row = spark.range(1).select(
         F.lit(f"vendor_performance_{kind.lower()}").alias("transformation_name"),
         F.lit("1.0.0").alias("version"),
         at(as_of).alias("execution_start"),
         F.lit("SUCCESS").alias("status"),
-        "rows_processed",
+        F.lit(seen.get["rows_processed"]).cast("long").alias("rows_processed"),
     )
     sinks.append(row, log)
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.schemas import TRIP_SCHEMA, ZONE_SCHEMA
 
-SURPLUS = "_surplus"
+LINE = "_line"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# formats a tolerant load tries in turn, after the plain cast
+TIME_FORMATS = ("MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy", "yyyyMMdd", "yyyyMMdd HHmmss")
+QUOTED = '"([^"]|"")*"'
 
 
 class TooManyBadRows(Exception):
@@ -25,7 +28,8 @@ def trips_csv(
 ) -> DataFrame:
     """Headered CSV files in a directory tree.
 
-    With a declared schema nothing is read twice; ``schema=None`` infers it at the cost of
+    With a declared schema nothing is read twice, and a file whose header names other columns, or in another
+    order, fails the read instead of filling the wrong columns. ``schema=None`` infers it at the cost of
     an extra pass. ``glob`` selects by file name and ``exclude`` (a pattern on the whole
     path) skips other files kept in the same tree, before they are opened.
     """
@@ -35,7 +39,7 @@ def trips_csv(
         .option("pathGlobFilter", glob)
         .option("timestampNTZFormat", TIME_FORMAT)
     )
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
+    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema).option("enforceSchema", False)
     df = reader.csv(path)
     if exclude is not None:
         df = df.filter(~F.col("_metadata.file_path").rlike(exclude))
@@ -46,31 +50,51 @@ def zones_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(ZONE_SCHEMA).csv(path)
 
 
-def bulk_load(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def _fitted(text: Column, kind: T.DataType, formats: tuple[str, ...]) -> Column:
+    """A text as a type, NULL if it does not fit; times in any of the formats."""
+    value = text.try_cast(kind)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        value = F.coalesce(value, *[F.try_to_timestamp(text, F.lit(f)).cast(kind) for f in formats])
+    return value
+
+
+def bulk_load(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    most: int | None = None,
+    formats: tuple[str, ...] = TIME_FORMATS,
+) -> tuple[DataFrame, DataFrame]:
     """A tolerant load: blanks and empty fields become NULL, and rows with a field that does
     not fit its type or with too many fields are set aside as text. Missing trailing fields
-    are NULL. Returns (rows, rejected).
+    are NULL. Returns (rows, rejected); with ``most``, more rejected rows than that end the load.
 
     Fields are read as text and cast here, so whether a row is rejected does not depend on
-    the columns a later query happens to read.
+    the columns a later query happens to read. Lines of another width than the schema's come with their
+    text, and the fields of that are counted.
     """
     names = [f.name for f in schema.fields]
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, SURPLUS]])
-    raw = spark.read.schema(texts).option("header", True).option("enforceSchema", True).csv(path)
-    filled = raw.select(*[F.nullif(F.trim(n), F.lit("")).alias(n) for n in [*names, SURPLUS]])
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
-    bad = F.col(SURPLUS).isNotNull()
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, LINE]])
+    reader = spark.read.schema(texts).option("header", True).option("columnNameOfCorruptRecord", LINE)
+    raw = reader.option("enforceSchema", True).csv(path)
+    filled = raw.select(*[F.nullif(F.trim(n), F.lit("")).alias(n) for n in names], LINE)
+    typed = {f.name: _fitted(F.col(f.name), f.dataType, formats) for f in schema.fields}
+    fields = F.size(F.split(F.regexp_replace(LINE, QUOTED, ""), ",", -1))
+    bad = F.coalesce(fields > len(names), F.lit(False))
     for name, value in typed.items():
         bad = bad | (F.col(name).isNotNull() & value.isNull())
     rows = filled.filter(~bad).select(*[value.alias(name) for name, value in typed.items()])
-    return rows, filled.filter(bad)
+    rejected = filled.filter(bad)
+    if most is not None:
+        within_budget(rejected, most)
+    return rows, rejected
 
 
 def within_budget(rejected: DataFrame, most: int = 1000) -> int:
-    """The number of rejected rows; stops counting, and the load, one beyond the budget."""
-    n = rejected.limit(most + 1).count()
+    """The number of rejected rows; an error beyond the budget. Counted by one aggregate, so no rows move."""
+    n = rejected.count()
     if n > most:
-        raise TooManyBadRows(f"more than {most} rows were rejected")
+        raise TooManyBadRows(f"{n} rows were rejected, {most} are allowed")
     return n
 
 
