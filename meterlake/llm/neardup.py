@@ -4,7 +4,7 @@
    groups of four minima make one band key each. Documents with equal sets form one class, and one of each class goes on.
 2. Classes that share a band key are candidates. The bit counts of two packed signatures estimate the similarity, corrected for bits that agree by chance;
    pairs far below the limit, or whose sizes exclude it, are passed over. All others are confirmed on their full sets.
-3. First each class is tried against the smallest of its bucket, a star. Confirmed links make components. Buckets that still hold several components
+3. First each class is tried against the smallest that shares a bucket with it, a star. Confirmed links make components. Buckets that still hold several components
    are searched further: members outside the bucket's largest component are compared with all others, cell by cell, in arrays of packed signatures,
    and each sends its most similar untested partners of other components on. The number sent grows eightfold in each round, and rounds end when
    no bucket has an untested pair across components. So a group of thousands of near copies costs about one confirmation per member, and no link
@@ -161,20 +161,31 @@ def features(docs: DataFrame, text: str, doc_id: str, keep: list[str], width: in
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` for links ``a, b``: the smallest number reachable. Labels travel along links and jump to their label's label."""
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    edges = stored(both, "links")
-    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component")), "labels")
-    while True:
-        far = labels.select(F.col("node").alias("b"), F.col("component").alias("_c"))
-        best = edges.join(far, "b").groupBy(F.col("a").alias("node")).agg(F.min("_c").alias("_near"))
-        nearer = labels.join(best, "node").select("node", F.col("component").alias("_old"), F.least("component", "_near").alias("component"))
-        nearer = stored(nearer, "labels")
-        jump = nearer.select(F.col("node").alias("component"), F.col("component").alias("_next"))
-        jumped = stored(nearer.join(jump, "component").select("node", "_old", F.least("component", "_next").alias("component")), "labels")
-        labels = jumped.select("node", "component")
-        if not jumped.filter(F.col("component") < F.col("_old")).take(1):
-            return labels
+    """``node, component`` for links ``a, b``: the smallest number reachable. In each pass every node moves to its smallest neighbour and the
+    links follow; those inside one component vanish, so the passes shrink."""
+    edges = stored(_between(links.select("a", "b")), "links")
+    labels = links.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
+    first = True
+    while edges.take(1):
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
+        parents = stored(ends.groupBy("node").agg(F.least("node", F.min("other")).alias("parent")), "parents")
+        if first:
+            labels, first = parents.select("node", F.col("parent").alias("component")), False
+        else:
+            moved = parents.select(F.col("node").alias("component"), "parent")
+            labels = labels.join(moved, "component", "left").select("node", F.coalesce("parent", "component").alias("component"))
+            labels = stored(labels, "labels")
+        left = parents.select(F.col("node").alias("a"), F.col("parent").alias("_a"))
+        right = parents.select(F.col("node").alias("b"), F.col("parent").alias("_b"))
+        followed = edges.join(left, "a").join(right, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        edges = stored(_between(followed), "links")
+    return labels
+
+
+def _between(links: DataFrame) -> DataFrame:
+    """Distinct links of different nodes, the smaller first."""
+    ends = links.filter(F.col("a") != F.col("b"))
+    return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar_pct: int) -> DataFrame:
@@ -305,7 +316,7 @@ def grouped(
     fetched = source.join(wanted.withColumnsRenamed({"id": "_id", "hash": "_hash"}), F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
     texts = bucketed(fetched.select("rid", "text").dropDuplicates(["rid"]), "rid", "neardup_texts")
 
-    star = shared.filter(F.col("rid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rid").alias("b")).distinct()
+    star = shared.groupBy(F.col("rid").alias("b")).agg(F.min("pivot").alias("a")).filter(F.col("a") != F.col("b"))
     told = star.join(facts.select(F.col("rid").alias("a"), F.col("n").alias("_n"), F.col("sig").alias("_s")), "a").join(
         facts.select(F.col("rid").alias("b"), "n", "sig"), "b"
     )
