@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import mapped, packed, unpacked, write_file
+from meterlake.llm.common import mapped, packed, stored, unpacked, write_file
 from meterlake.session import scratch_path
 
 LEXICON_WORDS = 65_536
@@ -267,10 +268,21 @@ def walk(tables: dict, words: list[bytes]) -> np.ndarray:
 
 
 def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
-    """The most frequent pre-tokens of all documents, ties by code point; at most ``most`` reach the driver."""
+    """The most frequent pre-tokens of all documents, at most ``most``. A histogram over steps of the count's logarithm gives the least
+    count at which they are so few, so the driver receives no more than those."""
     each = docs.select(F.explode(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(JVM_PATTERN), 0)).alias("w"))
     counted = each.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return [r["w"] for r in counted.orderBy(F.desc("n"), "w").limit(most).collect()]
+    counted = stored(counted.withColumn("step", F.floor(F.log2("n") * 16).cast("int")), "bpe-counts")
+    sizes = counted.groupBy("step").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("step")).collect()
+    least, total = None, 0
+    for row in sizes:
+        total += row["k"]
+        if total > most:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    return [r["w"] for r in counted.filter(F.col("step") >= least).select("w").collect()]
 
 
 def compile_lexicon(docs: DataFrame, text: str, tokenizer: str, most: int = LEXICON_WORDS) -> str:
@@ -287,20 +299,23 @@ def compile_lexicon(docs: DataFrame, text: str, tokenizer: str, most: int = LEXI
 
 
 class Coder:
-    """A worker's view of the lexicon file."""
+    """A worker's view of the lexicon file. ``known`` holds the ids of words, or with ``shown`` their ids as text and their bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, shown: bool = False):
         self.tables = t = unpacked(mapped(path))
         self.merger = Merger(t)
         names = bytes(t["special"]).decode().split("\0") if len(t["special"]) else []
         self.special = dict(zip(names, t["special_ids"].tolist(), strict=True))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.ends, self.raw = t["ends"], bytes(t["bytes"])
+        ends, raw = t["ends"].tolist(), bytes(t["bytes"])
+        self.content = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        self.numerals = [str(i) for i in range(len(ends))]
+        self.form = self.as_shown if shown else tuple
         self.word_ends, self.word_ids = t["word_ends"].tolist(), t["word_ids"].tolist()
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def content(self, i: int) -> bytes:
-        return self.raw[self.ends[i - 1] if i else 0 : self.ends[i]]
+    def as_shown(self, ids: tuple[int, ...]) -> tuple[str, bytes]:
+        return ",".join([self.numerals[i] for i in ids]), b"".join([self.content[i] for i in ids])
 
     def pieces(self, text: str) -> list[str]:
         if self.cut is None or not any(s in text for s in self.special):
@@ -322,17 +337,17 @@ class Coder:
             return
         raw = [w.encode() for w in fresh]
         places = walk(self.tables, raw)
-        ends, ids = self.word_ends, self.word_ids
+        ends, ids, known, form = self.word_ends, self.word_ids, self.known, self.form
         unseen = []
         for k, p in enumerate(places.tolist()):
             if fresh[k] in self.special:
-                self.known[fresh[k]] = (self.special[fresh[k]],)
+                known[fresh[k]] = form((self.special[fresh[k]],))
             elif p >= 0:
-                self.known[fresh[k]] = tuple(ids[ends[p - 1] if p else 0 : ends[p]])
+                known[fresh[k]] = form(ids[ends[p - 1] if p else 0 : ends[p]])
             else:
                 unseen.append(k)
         for k, found in zip(unseen, self.merger.merge([raw[k] for k in unseen]), strict=True):
-            self.known[fresh[k]] = found
+            known[fresh[k]] = form(found)
 
     def batches(self, texts: list[str | None]) -> Iterator[list[list[str]]]:
         """The pieces of a few MB of texts at a time, all of them known."""
@@ -350,13 +365,19 @@ class Coder:
             yield group
 
 
+@lru_cache(maxsize=1)
+def coder_of(path: str, shown: bool = False) -> Coder:
+    """One per worker process, which keeps its known words from task to task."""
+    return Coder(path, shown)
+
+
 def encode(docs: DataFrame, lexicon: str, text: str = "text") -> DataFrame:
     """Packs each row into ``_row`` and adds ``ids``, the token ids of the whole text."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
     schema = T.StructType([rows.schema["_row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(lexicon)
+        coder = coder_of(lexicon)
         for batch in batches:
             texts, at = batch.column("_text").to_pylist(), 0
             for group in coder.batches(texts):
@@ -374,8 +395,7 @@ def decode(coded: DataFrame, lexicon: str, ids: str = "ids") -> DataFrame:
     schema = T.StructType([*coded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(lexicon)
-        content = np.array([coder.content(i) for i in range(len(coder.ends))], dtype=object)
+        content = np.array(coder_of(lexicon).content, dtype=object)
         for batch in batches:
             lists = batch.column(ids)
             texts = [b"".join(content[own.values.to_numpy()].tolist()).decode(errors="replace") if own.is_valid else "" for own in lists]
@@ -392,21 +412,15 @@ def digests(docs: DataFrame, lexicon: str, text: str = "text", keep: list[str] |
     schema = T.StructType([*rows.schema.fields[:-1], *told])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(lexicon)
+        coder = coder_of(lexicon, shown=True)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            shown: dict[tuple, tuple[str, bytes]] = {}
             for group in coder.batches(batch.column("_text").to_pylist()):
                 known = coder.known
-                if len(shown) > CACHED_WORDS:
-                    shown = {}
                 for pieces in group:
                     own = [known[w] for w in pieces]
-                    for ids in set(own):
-                        if ids not in shown:
-                            shown[ids] = ",".join(map(str, ids)), b"".join(map(coder.content, ids))
-                    listed = ",".join([shown[i][0] for i in own])
-                    back = b"".join([shown[i][1] for i in own]).decode(errors="replace")
+                    listed = ",".join([x for x, _ in own])
+                    back = b"".join([x for _, x in own]).decode(errors="replace")
                     counts.append(listed.count(",") + 1 if listed else 0)
                     of_ids.append(hashlib.sha256(listed.encode()).hexdigest())
                     of_text.append(hashlib.sha256(back.encode()).hexdigest())
