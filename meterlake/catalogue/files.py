@@ -16,7 +16,7 @@ from meterlake.functions import times
 from meterlake.functions.casts import safe_amount, safe_whole
 from meterlake.functions.exact import exact_sum
 from meterlake.jobs import relational_layout
-from meterlake.operators import rejects
+from meterlake.operators import rejects, tables
 from meterlake.plans import lake as plans_lake
 from meterlake.session import scratch_path
 from meterlake.sinks import lake as sinks
@@ -279,3 +279,103 @@ def prj_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.table(spark, sf_dir, "orders").select(
         "o_orderkey", X.nearest(F.col("o_totalprice"), 10).alias("price_rounded")
     )
+
+
+# --- tables that are stored, appended to and read back -------------------------------------------------
+
+
+def _supplier_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_name")
+
+
+@query("src_pq_master", "SELECT s_suppkey, s_name FROM supplier")
+def src_pq_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "master")
+    sinks.write_table(_supplier_names(spark, sf_dir), path)
+    return lake.master(spark, path)
+
+
+@query("src_catalog", "SELECT s_suppkey, s_name FROM supplier")
+def src_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "catalogued")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    sinks.save_table(_supplier_names(spark, sf_dir), name, path)
+    return lake.catalog_table(spark, name)
+
+
+@query(
+    "src_weather",
+    "SELECT CAST(ts AS DATE)::VARCHAR AS date, count(*) / 100.0 AS precipitation, CAST(max(event_id % 40) AS BIGINT) AS max_temperature"
+    " FROM events GROUP BY 1",
+)
+def src_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily observations derived from the events, stored as CSV folders and read with the declared columns."""
+    path = f"{scratch_path(spark, 'weather')}/daily.csv"
+    days = T.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date"))
+    observed = days.agg(
+        (F.count(F.lit(1)) / 100).alias("precipitation"),
+        F.lit(None).cast("double").alias("snow_depth"),
+        F.lit(None).cast("double").alias("snowfall"),
+        F.max(F.col("event_id") % 40).alias("max_temperature"),
+        F.lit(None).cast("int").alias("min_temperature"),
+        F.lit(None).cast("double").alias("average_wind_speed"),
+    )
+    observed.write.option("header", True).csv(path)
+    return lake.weather(spark, path).select("date", "precipitation", "max_temperature")
+
+
+@query(
+    "snk_insert_select",
+    "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 = 0",
+)
+def snk_insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selected rows appended to a stored table."""
+    path = scratch_path(spark, "appended")
+    names = _supplier_names(spark, sf_dir)
+    sinks.write_table(names.filter("s_suppkey % 2 = 0"), path)
+    sinks.append(names.filter("s_suppkey % 3 = 0"), path)
+    return spark.read.parquet(path)
+
+
+@query("snk_clear", "SELECT count(*) AS before_rows, CAST(0 AS BIGINT) AS after_rows FROM supplier")
+def snk_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging emptied after a merge: the columns stay, the rows go."""
+    path, empty = scratch_path(spark, "staging"), scratch_path(spark, "cleared")
+    sinks.write_table(_supplier_names(spark, sf_dir), path)
+    sinks.write_table(tables.cleared(spark.read.parquet(path)), empty)
+    schema = "s_suppkey bigint, s_name string"
+    both = spark.read.parquet(path).withColumn("cleared", F.lit(False)).unionByName(
+        spark.read.schema(schema).parquet(empty).withColumn("cleared", F.lit(True))
+    )
+    return both.agg(F.count_if(~F.col("cleared")).alias("before_rows"), F.count_if("cleared").alias("after_rows"))
+
+
+@query(
+    "flt_bad_coordinates",
+    """SELECT count(*) AS total_rows, count_if(bad) AS invalid_coordinates, count_if(NOT bad) AS kept_rows
+       FROM (SELECT l_orderkey % 11 = 0 OR l_partkey % 180 - 90 NOT BETWEEN -80 AND 80 OR l_suppkey % 90 NOT BETWEEN 10 AND 85 AS bad FROM lineitem)""",
+)
+def flt_bad_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates derived from line items, some missing and some outside the city."""
+    ends = T.table(spark, sf_dir, "lineitem").selectExpr(
+        "if(l_orderkey % 11 = 0, NULL, l_partkey % 180 - 90D) AS pickup_longitude",
+        "cast(l_suppkey % 90 AS double) AS pickup_latitude",
+        "0D AS dropoff_longitude",
+        "50D AS dropoff_latitude",
+    )
+    return rejects.reject_counts(ends, rejects.coordinate_rules((-80.0, 10.0, 80.0, 85.0)))
+
+
+@query(
+    "dq_current_counts",
+    """SELECT 'customer' AS table_name, count(*) AS total_rows, count_if(c_custkey % 4 <> 1) AS current_rows FROM customer
+       UNION ALL SELECT 'supplier', count(*), count_if(s_suppkey % 4 <> 1) FROM supplier""",
+)
+def dq_current_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All and current rows of versioned tables."""
+    parts = []
+    for name, key in (("customer", "c_custkey"), ("supplier", "s_suppkey")):
+        versioned = T.table(spark, sf_dir, name).withColumn("is_current", F.col(key) % 4 != 1)
+        counts = versioned.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("is_current").alias("current_rows"))
+        parts.append(counts.select(F.lit(name).alias("table_name"), "total_rows", "current_rows"))
+    return parts[0].unionByName(parts[1])
