@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake import jobs
 from meterlake.catalogue import query
 from meterlake.catalogue.sqltext import DAILY_SELECT, VENDOR_DAY_COLUMNS, bigint, sql
-from meterlake.functions.times import at
+from meterlake.functions.times import at, days_before
 from meterlake.operators import tables
 from meterlake.plans import lake
 from meterlake.plans import summaries as M
+from meterlake.session import scratch_path
 from meterlake.sources import governed, masters
 from meterlake.sources import testtables as T
 
@@ -94,6 +96,24 @@ def mv_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.route_patterns(T.trips(spark, sf_dir), T.TRIPS_AS_OF)
 
 
+@query(
+    "mv_routes_refresh",
+    sql(
+        "routes",
+        f"""SELECT {bigint('pickup_zone_id dropoff_zone_id peak_hour')}, CAST(metric_date AS VARCHAR) AS metric_date,
+          trip_count, avg_fare, avg_distance, avg_duration, 'FULL' AS refresh_type FROM routes""",
+    ),
+)
+def mv_routes_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two refreshes leave on disk: the first, months earlier, kept days that the second drops."""
+    target, log = scratch_path(spark, "routes"), scratch_path(spark, "routes-log")
+    trips = T.trips(spark, sf_dir)
+    early = str(spark.range(1).select(days_before(at(T.TRIPS_AS_OF), 60)).first()[0])
+    for as_of in (early, T.TRIPS_AS_OF):
+        jobs.refresh_route_patterns(spark, trips, target, log, as_of)
+    return spark.read.parquet(target).drop("last_updated")
+
+
 @query(
     "jn_corr_argmax",
     sql("peaks", f"SELECT {bigint('pickup_zone_id dropoff_zone_id h n')}, CAST(metric_date AS VARCHAR) AS metric_date FROM peaks"),

@@ -88,11 +88,22 @@ def refresh_vendor_summary(
         folders = tables.days_from(trips, hours_before(at(as_of), hours))
         recent, kind = summaries.whole_days_since(folders, as_of, hours), "INCREMENTAL"
     result = summaries.vendor_performance(recent, vendors, refresh_type=kind)
+    _store_summary(result, target, log, f"vendor_performance_{kind.lower()}", as_of, replace_all=hours is None)
+
+
+def refresh_route_patterns(spark: SparkSession, trips: DataFrame, target: str, log: str, as_of: str, keep_days: int = 90) -> None:
+    """Route-day partitions by date within the horizon; the table is replaced, so expired days and days that lost their trips go."""
+    since = F.to_date(days_before(at(as_of), keep_days)).cast("timestamp_ntz")
+    result = summaries.route_patterns(tables.days_from(trips, since), as_of, keep_days)
+    _store_summary(result, target, log, "zone_trip_patterns_full", as_of, replace_all=True)
+
+
+def _store_summary(result: DataFrame, target: str, log: str, name: str, as_of: str, replace_all: bool) -> None:
     seen = Observation()
     stamped = result.withColumn("last_updated", at(as_of)).observe(seen, F.count(F.lit(1)).alias("rows_processed"))
-    sinks.write_partitioned(stamped, target, ("metric_date",), replace_all=hours is None)
-    row = spark.range(1).select(
-        F.lit(f"vendor_performance_{kind.lower()}").alias("transformation_name"),
+    sinks.write_partitioned(stamped, target, ("metric_date",), replace_all=replace_all)
+    row = result.sparkSession.range(1).select(
+        F.lit(name).alias("transformation_name"),
         F.lit("1.0.0").alias("version"),
         at(as_of).alias("execution_start"),
         F.lit("SUCCESS").alias("status"),
