@@ -42,6 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     left = docs.join(gone, "doc_id", "left_anti")
     # rows repeated with one id are copies of each other as well
     twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
+    if not twice.take(1):
+        return left.select(*docs.columns)
     once = left.join(twice, "doc_id", "left_anti")
     return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
 
