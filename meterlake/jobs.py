@@ -113,5 +113,5 @@ def _store_summary(result: DataFrame, target: str, log: str, name: str, as_of: s
 
 
 def run_quality(checks: list[quality.Check], log: str, executed_at: str) -> None:
-    """Run checks and append their results to the log."""
-    sinks.append(quality.run_checks(checks, executed_at), log)
+    """Run checks and append their results, failures included, to the log."""
+    sinks.append(quality.completed_checks(checks, executed_at), log)

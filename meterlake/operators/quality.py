@@ -6,12 +6,14 @@ plain aggregates with partial results per task, and lookups count per key before
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from meterlake.functions.exact import cents, round_ratio
 from meterlake.functions.rules import blank, some
@@ -321,14 +323,12 @@ def run_checks(checks: list[Check], executed_at: str, executed_by: str = "test_f
     """One log row per check: PASS or FAIL against the expected text, ERROR when the check
     cannot be planned. The checks run together as one job."""
     rows: list[DataFrame] = []
+    spark = SparkSession.active()
     for check in checks:
         try:
             actual = check.build().select(F.col(check.column).cast("string").alias("actual_result"))
             error = F.lit(None).cast("string")
         except Exception as failure:
-            spark = rows[0].sparkSession if rows else None
-            if spark is None:
-                raise
             actual = spark.range(1).select(F.lit(None).cast("string").alias("actual_result"))
             error = F.lit(str(failure).splitlines()[0])
         status = (
@@ -352,6 +352,36 @@ def run_checks(checks: list[Check], executed_at: str, executed_by: str = "test_f
     return reduce(DataFrame.unionByName, rows)
 
 
+def completed_checks(checks: list[Check], executed_at: str, executed_by: str = "test_framework") -> DataFrame:
+    """The log rows of checks that have run, with ``execution_time_ms``. All run as one job; if that fails, each runs by itself, so one that fails
+    while it runs is an ERROR row and the others keep their results. One row per check passes through the driver."""
+    found: list[tuple] = []
+    schema = None
+
+    def run(some: list[Check]) -> None:
+        nonlocal schema
+        began = time.monotonic()
+        log = run_checks(some, executed_at, executed_by)
+        rows = log.collect()
+        schema = log.schema
+        found.extend((*r, int(1000 * (time.monotonic() - began))) for r in rows)
+
+    try:
+        run(checks)
+    except Exception:
+        for check in checks:
+            try:
+                run([check])
+            except Exception as failure:
+                run([replace(check, build=partial(_raise, failure))])
+    kinds = StructType([*(StructField(f.name, f.dataType) for f in schema.fields), StructField("execution_time_ms", LongType())])
+    return SparkSession.active().createDataFrame(found, kinds)
+
+
+def _raise(failure: Exception) -> DataFrame:
+    raise failure
+
+
 def report_by_suite(log: DataFrame) -> DataFrame:
     status = F.col("test_status")
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.exact import cents, scaled
-from meterlake.operators import scd
+from meterlake.operators import quality, scd
 from meterlake.schemas import OPEN_END, TRIP_SCHEMA
 from meterlake.sources import landing
 
@@ -102,3 +102,22 @@ def test_halves_round_away_from_zero(spark):
     df = spark.createDataFrame([(-0.005,), (0.005,), (-1.5,), (None,)], "x double")
     assert [r[0] for r in df.select(cents("x")).collect()] == [-1, 1, -150, None]
     assert [r[0] for r in df.select(scaled("x", 1)).collect()] == [0, 0, -2, None]
+
+
+def test_checks_that_cannot_be_planned_or_fail_while_running_become_errors(spark):
+    def check(name, build):
+        return quality.Check("s", name, "unit", build)
+
+    def missing():
+        return spark.range(1).select("nothing")
+
+    def fails():
+        return spark.range(1).selectExpr("cast(raise_error('broken') AS string) AS status")
+
+    def fine():
+        return spark.range(1).selectExpr("'PASS' AS status")
+
+    rows = {r["test_name"]: r for r in quality.completed_checks([check("a", missing), check("b", fails), check("c", fine)], "2025-01-01 00:00:00").collect()}
+    assert {k: r["test_status"] for k, r in rows.items()} == {"a": "ERROR", "b": "ERROR", "c": "PASS"}
+    assert rows["a"]["error_message"] and rows["b"]["error_message"] and rows["c"]["error_message"] is None
+    assert all(r["execution_time_ms"] >= 0 for r in rows.values())
