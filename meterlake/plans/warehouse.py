@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas as S
 from meterlake.functions import features as X
-from meterlake.functions.exact import cents, exact_avg, exact_sum, rounded_avg, rounded_sum
+from meterlake.functions.exact import SCALE, cents, exact_avg, exact_sum, round_ratio, scaled
 from meterlake.functions.times import date_key, minute_boundaries
 from meterlake.operators.joins import asof_join, few_versions, fits_broadcast, lookup_join
 from meterlake.sources.masters import values
@@ -383,65 +383,90 @@ def rush_comparison(fact: DataFrame) -> DataFrame:
     )
 
 
+def _units(fact: DataFrame, keys: list[str], amounts: list[str], flags: list[str] = (), counts: list[str] = ()) -> DataFrame:
+    """Facts grouped by their numeric keys, amounts in whole units: all that a view needs, before any name is looked up."""
+    parts = [F.count(F.lit(1)).alias("n")]
+    for c in amounts:
+        parts += [F.sum(scaled(c)).alias(f"{c}_units"), F.count(c).alias(f"{c}_n")]
+    parts += [F.count_if(f).alias(f"{f}_n") for f in flags]
+    parts += [F.sum(c).alias(f"{c}_sum") for c in counts]
+    return fact.groupBy(*keys).agg(*parts)
+
+
+def _total(amount: str) -> Column:
+    return round_ratio(F.sum(f"{amount}_units"), F.lit(SCALE), 2)
+
+
+def _mean(amount: str) -> Column:
+    return round_ratio(F.sum(f"{amount}_units"), F.sum(f"{amount}_n") * F.lit(SCALE), 2)
+
+
 def view_daily(fact: DataFrame, vendor: DataFrame, dates: DataFrame) -> DataFrame:
     day = dates.select("date_sk", "full_date", "day_of_week_name", "month_name", "year", "is_weekend")
     names = vendor.select(F.col("vendor_sk").alias("_sk"), "vendor_name")
-    joined = lookup_join(fact, day, [("pickup_date_sk", "date_sk")], "inner")
+    amounts = ["trip_distance", "fare_amount", "tip_amount", "total_amount", "tip_percentage", "trip_duration_minutes"]
+    flags = ["is_cash_trip", "is_airport_trip", "is_rush_hour"]
+    grouped = _units(fact, ["pickup_date_sk", "vendor_sk"], amounts, flags, ["passenger_count"])
+    joined = lookup_join(grouped, day, [("pickup_date_sk", "date_sk")], "inner")
     joined = lookup_join(joined, names, [("vendor_sk", "_sk")], "inner")
     return joined.groupBy(
         F.col("full_date").alias("trip_date"), "day_of_week_name", "month_name", "year", "is_weekend", "vendor_name"
     ).agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("passenger_count").alias("total_passengers"),
-        rounded_sum("trip_distance").alias("total_distance"),
-        rounded_sum("fare_amount").alias("total_fare"),
-        rounded_sum("tip_amount").alias("total_tips"),
-        rounded_sum("total_amount").alias("total_revenue"),
-        rounded_avg("trip_distance").alias("avg_trip_distance"),
-        rounded_avg("fare_amount").alias("avg_fare"),
-        rounded_avg("tip_percentage").alias("avg_tip_percentage"),
-        rounded_avg("trip_duration_minutes").alias("avg_trip_duration"),
-        F.count_if("is_cash_trip").alias("cash_trips"),
-        F.count_if("is_airport_trip").alias("airport_trips"),
-        F.count_if("is_rush_hour").alias("rush_hour_trips"),
+        F.sum("n").alias("total_trips"),
+        F.sum("passenger_count_sum").alias("total_passengers"),
+        _total("trip_distance").alias("total_distance"),
+        _total("fare_amount").alias("total_fare"),
+        _total("tip_amount").alias("total_tips"),
+        _total("total_amount").alias("total_revenue"),
+        _mean("trip_distance").alias("avg_trip_distance"),
+        _mean("fare_amount").alias("avg_fare"),
+        _mean("tip_percentage").alias("avg_tip_percentage"),
+        _mean("trip_duration_minutes").alias("avg_trip_duration"),
+        F.sum("is_cash_trip_n").alias("cash_trips"),
+        F.sum("is_airport_trip_n").alias("airport_trips"),
+        F.sum("is_rush_hour_n").alias("rush_hour_trips"),
     )
 
 
 def view_zone(fact: DataFrame, zone: DataFrame) -> DataFrame:
     names = zone.select("zone_sk", "borough", "zone_name", "zone_category", "is_airport")
-    joined = lookup_join(fact, names, [("pickup_zone_sk", "zone_sk")], "inner")
+    amounts = ["total_amount", "fare_amount", "tip_percentage", "trip_distance"]
+    grouped = _units(fact, ["pickup_zone_sk"], amounts)
+    joined = lookup_join(grouped, names, [("pickup_zone_sk", "zone_sk")], "inner")
     return joined.groupBy("borough", "zone_name", "zone_category", "is_airport").agg(
-        F.count(F.lit(1)).alias("pickup_count"),
-        rounded_sum("total_amount").alias("total_revenue"),
-        rounded_avg("fare_amount").alias("avg_fare"),
-        rounded_avg("tip_percentage").alias("avg_tip_pct"),
-        rounded_avg("trip_distance").alias("avg_distance"),
+        F.sum("n").alias("pickup_count"),
+        _total("total_amount").alias("total_revenue"),
+        _mean("fare_amount").alias("avg_fare"),
+        _mean("tip_percentage").alias("avg_tip_pct"),
+        _mean("trip_distance").alias("avg_distance"),
     )
 
 
 def view_hourly(fact: DataFrame, times: DataFrame, dates: DataFrame) -> DataFrame:
     hour = times.select("time_sk", "hour_24", "time_period", "rush_hour_flag", "day_part")
     day = dates.select("date_sk", "day_of_week_name", "is_weekend")
-    joined = lookup_join(fact, hour, [("pickup_time_sk", "time_sk")], "inner")
+    grouped = _units(fact, ["pickup_time_sk", "pickup_date_sk"], ["total_amount", "fare_amount"])
+    joined = lookup_join(grouped, hour, [("pickup_time_sk", "time_sk")], "inner")
     joined = lookup_join(joined, day, [("pickup_date_sk", "date_sk")], "inner")
     return joined.groupBy(
         "hour_24", "time_period", "rush_hour_flag", "day_part", "day_of_week_name", "is_weekend"
     ).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        rounded_sum("total_amount").alias("total_revenue"),
-        rounded_avg("fare_amount").alias("avg_fare"),
+        F.sum("n").alias("trip_count"),
+        _total("total_amount").alias("total_revenue"),
+        _mean("fare_amount").alias("avg_fare"),
     )
 
 
 def view_payment(fact: DataFrame, payment: DataFrame) -> DataFrame:
     names = payment.select(F.col("payment_sk").alias("_sk"), "payment_type_name", "payment_category")
-    joined = lookup_join(fact, names, [("payment_sk", "_sk")], "inner")
+    grouped = _units(fact, ["payment_sk"], ["total_amount", "fare_amount", "tip_amount", "tip_percentage"])
+    joined = lookup_join(grouped, names, [("payment_sk", "_sk")], "inner")
     return joined.groupBy("payment_type_name", "payment_category").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        rounded_sum("total_amount").alias("total_revenue"),
-        rounded_avg("fare_amount").alias("avg_fare"),
-        rounded_avg("tip_amount").alias("avg_tip"),
-        rounded_avg("tip_percentage").alias("avg_tip_pct"),
+        F.sum("n").alias("trip_count"),
+        _total("total_amount").alias("total_revenue"),
+        _mean("fare_amount").alias("avg_fare"),
+        _mean("tip_amount").alias("avg_tip"),
+        _mean("tip_percentage").alias("avg_tip_pct"),
     )
 
 
