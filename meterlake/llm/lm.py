@@ -9,7 +9,8 @@
 4. Texts are scored where they lie: workers map the files and look up their distinct words and pairs, sorted.
 
 Every step grows with the corpus and is divided by hash, so a word in a third of all places costs one entry per task. Only totals reach the driver.
-The files lie in the shared folder under names that a repeated task writes again with the same content.
+The files lie in the shared folder under names that a repeated task writes again with the same content. Word numbers fill half of a pair's
+64 bits: at most 2**31 different words.
 
 The model: ``p(w | v) = max(c(vw) - D, 0) / c(v) + g(v) * p1(w)`` with three discounts from counts of counts; ``p1`` is the same over the number of
 different words before ``w``, down to one share in ``V + 1`` for the unknown word. A text starts behind a mark that is no token.
@@ -37,7 +38,9 @@ from meterlake.session import scratch_path
 # fixed values: hashes of the marks before and after a text
 START, END = np.uint64(0x5A17), np.uint64(0xE2D)
 CHUNK_CHARS = 3_000_000
-WORD_BITS = 5
+# word shards: one per so many bytes of text, between 2**5 and 2**16
+BYTES_PER_WORD_SHARD = 128 << 20
+WORD_BITS = (5, 16)
 PAIRS_PER_SHARD = 4_000_000
 MIN_PAIR_BITS = 5
 
@@ -100,37 +103,51 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 
 class Words:
-    """The word shards of a model."""
+    """The word shards of a model, opened when needed; with ``figures`` also what is known of each word."""
 
-    def __init__(self, folder: str, bits: int, shards: list[int], name: str = "words"):
-        self.bits = np.uint64(bits)
-        self.tables = {k: unpacked(mapped(f"{folder}/{name}-{k}.bin")) for k in shards}
+    def __init__(self, folder: str, bits: int, shards: list[int], figures: bool = False):
+        self.folder, self.bits, self.shards, self.figures = folder, np.uint64(bits), shards, figures
+        self.listed, self.opened = set(shards), {}
+
+    def table(self, k: int) -> dict:
+        if k not in self.opened:
+            self.opened[k] = unpacked(mapped(f"{self.folder}/words-{k}.bin"))
+            if self.figures:
+                self.opened[k] |= unpacked(mapped(f"{self.folder}/figures-{k}.bin"))
+        return self.opened[k]
 
     def places(self, hashes: np.ndarray, first: dict[int, int]) -> np.ndarray:
         """The number of each of some sorted distinct hashes, -1 for unknown ones."""
         out = np.full(len(hashes), -1, dtype=np.int64)
         filled, ends = cut_points((hashes >> (np.uint64(64) - self.bits)).astype(np.int64), 1 << int(self.bits))
         for k in filled:
-            if k in self.tables:
-                known, own = self.tables[k]["hash"], hashes[ends[k] : ends[k + 1]]
+            if k in self.listed:
+                known, own = self.table(k)["hash"], hashes[ends[k] : ends[k + 1]]
                 at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                 out[ends[k] : ends[k + 1]] = np.where(known[at] == own, at + first[k], -1)
         return out
 
-    def column(self, name: str, places: np.ndarray, first: dict[int, int]) -> np.ndarray:
-        """A figure of words by their number, 0 for unknown ones."""
-        out = np.zeros(len(places), dtype=np.float64)
-        for k, table in self.tables.items():
-            inside = (places >= first[k]) & (places < first[k] + len(table["hash"]))
-            out[inside] = table[name][places[inside] - first[k]]
+    def columns(self, names: list[str], places: np.ndarray, first: dict[int, int]) -> list[np.ndarray]:
+        """Figures of words by their rising numbers, 0 for unknown ones."""
+        out = [np.zeros(len(places), dtype=np.float64) for _ in names]
+        known = np.flatnonzero(places >= 0)
+        own = places[known]
+        edges = np.searchsorted(own, [first[k] for k in self.shards] + [1 << 62])
+        for k, a, b in zip(self.shards, edges, edges[1:], strict=False):
+            if a < b:
+                for values, name in zip(out, names, strict=True):
+                    values[known[a:b]] = self.table(k)[name][own[a:b] - first[k]]
         return out
 
 
-def train(docs: DataFrame, text: str = "text", word_bits: int = WORD_BITS) -> dict:
+def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) -> dict:
     """Count a model of all rows; returns its description: the folder and totals."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "kneser-ney")
     texts = docs.select(F.col(f"`{text}`").alias("text"))
+    if word_bits is None:
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        word_bits = min(max(WORD_BITS[0], (size // BYTES_PER_WORD_SHARD).bit_length()), WORD_BITS[1])
     n_words = 1 << word_bits
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,9 +322,7 @@ class Model:
 
     def __init__(self, model: dict):
         self.m = model
-        self.words = Words(model["folder"], model["word_bits"], model["shards"])
-        for k, table in self.words.tables.items():
-            table.update(unpacked(mapped(f"{model['folder']}/figures-{k}.bin")))
+        self.words = Words(model["folder"], model["word_bits"], model["shards"], figures=True)
         self.pairs: dict[int, dict] = {}
         self.of_pair = discounts(*model["pairs"][1:5])
         self.of_word = discounts(*model["preceded"][1:5])
@@ -346,8 +361,7 @@ class Model:
         first = self.m["first"]
         known, code = np.unique(np.append(tokens, START), return_inverse=True)
         place = self.words.places(known, first)
-        count, preceded = (self.words.column(c, place, first) for c in ("count", "preceded"))
-        once, twice, more = (self.words.column(c, place, first) for c in ("once", "twice", "more"))
+        count, preceded, once, twice, more = self.words.columns(["count", "preceded", "once", "twice", "more"], place, first)
         types, n = self.m["types"], self.m["tokens"]
 
         total, n1, n2, n3, n4, kinds = self.m["preceded"]

@@ -211,14 +211,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar_pct: int)
     return stored(both.mapInArrow(run, "a long, b long, linked boolean"), "neardup-confirmed")
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Stored in buckets of a key: later joins on it leave these rows where they are."""
+def bucketed(df: DataFrame, key: str, name: str) -> str:
+    """A table stored in buckets of a key, by its name: later joins on it leave these rows where they are."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(table)
-    return spark.table(table)
+    return table
 
 
 def agreeing(probe: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -314,7 +314,8 @@ def grouped(
         F.col(f"`{text}`").alias("text"),
     )
     fetched = source.join(wanted.withColumnsRenamed({"id": "_id", "hash": "_hash"}), F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
-    texts = bucketed(fetched.select("rid", "text").dropDuplicates(["rid"]), "rid", "neardup_texts")
+    texts_table = bucketed(fetched.select("rid", "text").dropDuplicates(["rid"]), "rid", "neardup_texts")
+    texts = docs.sparkSession.table(texts_table)
 
     star = shared.groupBy(F.col("rid").alias("b")).agg(F.min("pivot").alias("a")).filter(F.col("a") != F.col("b"))
     told = star.join(facts.select(F.col("rid").alias("a"), F.col("n").alias("_n"), F.col("sig").alias("_s")), "a").join(
@@ -338,6 +339,9 @@ def grouped(
             break
         most *= WIDER
 
+    # nothing below reads the table; its files stay in the scratch folder
+    docs.sparkSession.sql(f"DROP TABLE IF EXISTS {texts_table}")
+
     named = nodes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     joined = named.join(smallest, "component").select(F.col("digest").alias("_digest"), F.col("first_id").alias("class_id"), "component_id")
