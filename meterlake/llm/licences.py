@@ -1,17 +1,20 @@
 """Licence recognition by sentence rules.
 
-Each sentence of a text is normalised and looked up among known licence sentences. A text is
-then a sequence of sentence identifiers, and licences are ordered rules over such sequences: a rule
+A known sentence is found where its normalised words stand between two cuts of a text: line ends, and closing marks
+that a blank follows. Wrapped lines, semicolons and colons may also lie inside a sentence; full stops, exclamation and
+question marks before a blank, and blank lines, always end one. A text is then a sequence of sentence identifiers, and licences are ordered rules over such sequences: a rule
 matches where its identifiers follow one another with no other known sentence between. The first rule
 of the list wins at a place; later matches elsewhere are kept too.
 
-Lookups are set-membership tests inside one projection. The known sentences are a parameter whose
+The search is one regular expression inside one projection. The known sentences are a parameter whose
 number is bounded by the rule book, not by the data, and texts never move. NULL and empty texts
 match nothing; repeated rows are judged alike; an empty table stays empty.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,28 +56,46 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4-ref",)),
     ("Proprietary", ("reserved",)),
 )
-# a sentence ends at a line end, or after a closing mark that a blank follows
-SENTENCE_END = r"\n|[.!?;:][\x20\x09-\x0D]+"
+# fixed values: further public wordings of a sentence
+WORDINGS = (
+    ("apache-2-ref", 'Licensed under the Apache License, Version 2.0 (the "License")'),
+    ("apache-2-ref", 'The ASF licenses this file to you under the Apache License, Version 2.0 (the "License")'),
+    ("apache-2-copy", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-2-copy", "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0"),
+    ("cc-by-4-ref", "This work is licensed under CC BY 4.0"),
+    ("cc-by-4-ref", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa-4-ref", "This work is licensed under CC BY-SA 4.0"),
+    ("cc-by-sa-4-ref", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nc-4-ref", "This work is licensed under CC BY-NC 4.0"),
+    ("cc-by-nc-4-ref", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+)
+# cuts no sentence runs across, and cuts that may end a sentence or lie inside one
+HARD_CUT = r"[.!?][\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n"
+SOFT_CUT = r"[;:][\x20\x09-\x0D]+|\n"
+HARD, SOFT = "\x02", "\x01"
 OTHER = r"[^a-z0-9]+"
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower-case ASCII letters and digits, everything else one space."""
-    return F.trim(F.regexp_replace(F.lower(sentence), OTHER, " "))
+def plain(wording: str) -> str:
+    """A wording as lower-case ASCII letters and digits, everything else one space."""
+    return re.sub(OTHER, " ", wording.lower()).strip()
+
+
+def marked(text: Column) -> Column:
+    """Lower-case ASCII letters and digits, a mark per cut, everything else one space."""
+    free = F.translate(F.lower(F.coalesce(text, F.lit(""))), SOFT + HARD, "  ")
+    cut = F.regexp_replace(F.regexp_replace(free, HARD_CUT, HARD), SOFT_CUT, SOFT)
+    return F.regexp_replace(cut, r"[^a-z0-9\x01\x02]+", " ")
 
 
-def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
-    pieces = F.split(F.coalesce(text, F.lit("")), SENTENCE_END)
-    # longest first is not needed: a normalised sentence has one identifier
-    longest = max(map(len, sentences.values()))
-    shortest = min(map(len, sentences.values()))
-    # normalising can only shorten; a sentence far longer than any known one is not looked up
-    plausible = F.filter(pieces, lambda p: F.length(p) >= shortest)
-    cleaned = F.transform(plausible, normalised)
-    known = F.filter(cleaned, lambda s: (F.length(s) <= longest) & s.isin(list(sentences.values())))
-    names = F.create_map(*[F.lit(x) for i, s in sentences.items() for x in (s, i)])
-    return F.transform(known, lambda s: F.element_at(names, s))
+def sentence_ids(text: Column, known: dict[str, str]) -> Column:
+    """Identifiers of the known normalised sentences of a text, in order."""
+    # the longest first: a sentence may go on behind a cut at which another one ends
+    bodies = "|".join(s.replace(" ", r"[\x20\x01]+") for s in sorted(known, key=len, reverse=True))
+    pattern = rf"(?:^|[\x01\x02])\x20?(?:{bodies})(?=\x20?(?:[\x01\x02]|\z))"
+    found = F.regexp_extract_all(marked(text), F.lit(pattern), 0)
+    names = F.create_map(*[F.lit(x) for s, i in known.items() for x in (s, i)])
+    return F.transform(found, lambda s: F.element_at(names, F.trim(F.regexp_replace(s, r"[\x20\x01\x02]+", " "))))
 
 
 def licences(
@@ -82,13 +103,15 @@ def licences(
     text: str = "text",
     sentences: dict[str, str] | None = None,
     rules: tuple = RULES,
+    wordings: tuple = WORDINGS,
 ) -> DataFrame:
-    """Packs each row into ``_row`` and adds ``sentence_ids`` and ``licences`` (distinct, in rule order)
+    """``sentences`` are normalised, ``wordings`` further ones as they are written. Packs each row into ``_row`` and adds ``sentence_ids`` and ``licences`` (distinct, in rule order)
     as arrays. A matched sequence is consumed, so a shorter rule for its first sentence does not fire again."""
     sentences = SENTENCES if sentences is None else sentences
+    known = {s: i for i, s in sentences.items()} | {plain(w): i for i, w in wordings if i in sentences}
     own = [F.col(f"`{c}`") for c in docs.columns]
     step = docs.select(F.struct(*own).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    step = step.withColumn("sentence_ids", sentence_ids(F.col("_text"), sentences)).drop("_text")
+    step = step.withColumn("sentence_ids", sentence_ids(F.col("_text"), known)).drop("_text")
     # identifiers between bars: a rule matches as text, and its match is replaced by a rule mark
     line = F.concat(F.lit("|"), F.array_join("sentence_ids", "||"), F.lit("|"))
     for k, (_, parts) in enumerate(rules):
