@@ -50,8 +50,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask every span that is not a widely copied example."""
-    found = secrets.scan(docs.withColumn("_hash", F.xxhash64("text")), repository=["source", "lang"], owner="source", keep=["doc_id", "_hash"])
-    live = F.filter("spans", lambda s: s["n_owners"] <= 1).alias("spans")
+    found = secrets.scan(docs.withColumn("_hash", F.xxhash64("text")), repository=["source", "lang"], owner="source", keep=["doc_id", "_hash"], **secrets.WIDELY)
+    live = F.filter("spans", lambda s: ~s["example"]).alias("spans")
     marked = found.select(F.col("doc_id").alias("_id"), "_hash", live).filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"])
     both = docs.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
     clean = F.when(F.col("spans").isNotNull(), secrets.masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))

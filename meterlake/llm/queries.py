@@ -195,7 +195,7 @@ def transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_ownership")
 def secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(
-        table(spark, sf_dir, "documents"), repository=["source", "lang"], owner="source", keep=["doc_id"]
+        table(spark, sf_dir, "documents"), repository=["source", "lang"], owner="source", keep=["doc_id"], **secrets.WIDELY
     )
     base = F.filter("spans", lambda s: s["kind"] != "random")
     return found.select(

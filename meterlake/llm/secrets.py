@@ -1,12 +1,13 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Candidates are found in every text by fixed patterns. The digest of each candidate's value is counted
-over the whole corpus by distinct repositories and owners: a value that several owners carry is a widely
-copied example, a value of one owner that looks random is a live-looking credential.
+over the whole corpus by distinct repositories and owners: a value beyond both limits is a widely
+copied example, any other value that looks random is a live-looking credential. With ``by_text`` all rows of one text
+count as one carrier, whose repository and owner are the smallest ones: a leaked document does not become an example by being copied.
 
 Positions come from cutting the text at the matches: the pieces between and the matches themselves give every
 start by running sums, in code points. Candidates are exploded only for texts that have any; texts never move.
-Counting distinct (value, repository, owner) aggregates before each shuffle, so a value copied into a third of all
+Counting distinct (value, text or row owner, repository) aggregates before each shuffle, so a value copied into a third of all
 texts is one row per task.
 
 NULL and empty texts have no spans. NULL repository or owner counts as a name of its own. Repeated rows
@@ -29,6 +30,8 @@ HEX = r"[0-9a-f]{24,}"
 RANDOM = r"[A-Za-z0-9+/_-]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGN = 6
+# widely copied: different texts in at least eight repositories of at least five owners
+WIDELY = {"max_owners": 4, "max_repositories": 7, "by_text": True}
 SPAN = "array<struct<kind:string,rank:int,start:int,stop:int,value:string>>"
 
 
@@ -76,8 +79,12 @@ def looks_random(value: Column) -> Column:
     return (different >= 8) & value.rlike("[A-Za-z]") & value.rlike("[0-9]")
 
 
-def ownership(found: DataFrame, max_owners: int = 1) -> DataFrame:
-    """Per value digest: distinct repositories and owners, and whether it is a live-looking credential."""
+def ownership(found: DataFrame, max_owners: int = 1, max_repositories: int = 1) -> DataFrame:
+    """Per value digest: distinct repositories and owners, whether it is a widely copied example, and whether it is a live-looking credential.
+    A column ``carrier`` names the text of a row; its rows count once."""
+    if "carrier" in found.columns:
+        place = F.min(F.struct("owner", "repository")).alias("place")
+        found = found.groupBy("digest", "random", "carrier").agg(place).select("digest", "random", "place.*")
     seen = found.select("digest", "random", "repository", "owner").distinct()
     by_owner = seen.groupBy("digest", "random", "owner").agg(F.count(F.lit(1)).alias("n"))
     owners = by_owner.groupBy("digest").agg(
@@ -85,7 +92,8 @@ def ownership(found: DataFrame, max_owners: int = 1) -> DataFrame:
         F.count(F.lit(1)).alias("n_owners"),
         F.bool_or("random").alias("random"),
     )
-    return owners.withColumn("live", (F.col("n_owners") <= max_owners) & F.col("random")).drop("random")
+    owners = owners.withColumn("example", (F.col("n_owners") > max_owners) & (F.col("n_repositories") > max_repositories))
+    return owners.withColumn("live", ~F.col("example") & F.col("random")).drop("random")
 
 
 def joined(spans: Column) -> Column:
@@ -99,9 +107,11 @@ def scan(
     owner: str = "source",
     keep: list[str] | None = None,
     max_owners: int = 1,
+    max_repositories: int = 1,
+    by_text: bool = False,
 ) -> DataFrame:
     """One row per document: the columns ``keep``, ``n_assign, n_access, n_hex``, ``spans`` (array of start, rank,
-    stop, kind, value, live, n_owners, n_repositories), ``n_live`` and ``n_shared``.
+    stop, kind, value, live, n_owners, n_repositories, example), ``n_live`` and ``n_shared``.
 
     Spans are all base spans, plus ``random`` ones that are live-looking. The candidate table is narrow and stored
     once, with a number per row, so rows with equal ids stay apart.
@@ -115,21 +125,22 @@ def scan(
             F.struct(*[F.col(f"`{c}`") for c in repository]).cast("string").alias("_repository"),
             F.col(f"`{owner}`").cast("string").alias("_owner"),
             candidates(F.col(f"`{text}`")).alias("_found"),
+            *([F.sha2(F.col(f"`{text}`"), 256).alias("_carrier")] if by_text else []),
         ),
         "secret-candidates",
     )
     hits = rows.filter(F.size("_found") > 0)
-    each = hits.select("_rid", F.col("_repository").alias("repository"), F.col("_owner").alias("owner"), F.explode("_found").alias("s"))
+    each = hits.select("_rid", F.col("_repository").alias("repository"), F.col("_owner").alias("owner"), *([F.col("_carrier").alias("carrier")] if by_text else []), F.explode("_found").alias("s"))
     each = each.withColumns({"digest": F.sha2("s.value", 256), "random": looks_random(F.col("s.value"))})
-    verdicts = ownership(each, max_owners)
+    verdicts = ownership(each, max_owners, max_repositories)
     judged = each.select("_rid", "s", "digest").join(verdicts, "digest")
-    told = F.struct("s.start", "s.rank", "s.stop", "s.kind", "s.value", "live", "n_owners", "n_repositories")
+    told = F.struct("s.start", "s.rank", "s.stop", "s.kind", "s.value", "live", "n_owners", "n_repositories", "example")
     spans = (
         judged.filter((F.col("s.kind") != "random") | F.col("live"))
         .groupBy("_rid")
         .agg(F.sort_array(F.collect_list(told)).alias("spans"))
     )
-    out = rows.drop("_found").join(spans, "_rid", "left")
+    out = rows.drop("_found", "_carrier").join(spans, "_rid", "left")
     none = F.array().cast(dict(spans.dtypes)["spans"])
     out = out.withColumn("spans", F.coalesce("spans", none))
     kinds = F.transform("spans", lambda s: s["kind"])

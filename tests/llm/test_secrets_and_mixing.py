@@ -139,3 +139,23 @@ def test_rates_are_exponential_in_size(docs_of):
         own = [(r["size"], r["rate"]) for r in got if r["source_size"] == total and 0 < r["rate"] < 3]
         slopes = [math.log(rate) / size for size, rate in own]
         assert max(slopes) - min(slopes) < 1e-6
+
+
+def test_only_widely_copied_values_are_examples(spark):
+    import corpus_pipeline
+
+    # copies of one text; few owners; many owners in few repositories; widely copied
+    leaked, few, narrow, example = (f"{k}{KEY[1:]}" for k in "abcd")
+    rows = [(f"token={leaked}", f"s{k}", f"l{k % 3}") for k in range(12)]
+    rows += [(f"no {k} token={few}", f"s{k % 4}", f"l{k}") for k in range(12)]
+    rows += [(f"no {k} token={narrow}", f"s{k % 7}", "l0") for k in range(14)]
+    rows += [(f"no {k} token={example}", f"s{k % 5}", f"l{k % 2}") for k in range(10)]
+    docs = spark.createDataFrame([(k, t, lang, s, len(t)) for k, (t, s, lang) in enumerate(rows)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = secrets.scan(docs, repository=["source", "lang"], keep=["doc_id"], **secrets.WIDELY).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        copied = example in rows[r["doc_id"]][0]
+        assert (r["n_live"] == 0) == copied and (r["n_shared"] > 0) == copied
+        assert all(s["example"] == copied for s in r["spans"])
+    for r in corpus_pipeline.secret_scan(spark, docs, "").collect():
+        assert (KEY[1:] in r["text"]) == (example in rows[r["doc_id"]][0])
