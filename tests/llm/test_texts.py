@@ -62,6 +62,15 @@ def test_substrings_match_brute_force(docs_of, corpus):
     assert substrings.deduplicated(docs_of([])).count() == 0
 
 
+@pytest.mark.parametrize("words", [40, 12, 0])
+def test_texts_without_repeats_or_windows_stay_whole(docs_of, words):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(words)), "s") for i in range(40)] + [(None, None, "s")]
+    want = sorted((i is None, i, len((t or "").split()), 0, t or "") for i, t, _ in rows)
+    for block_bytes in (1 << 20, 300):
+        got = substrings.deduplicated(docs_of(rows).repartition(3), block_bytes=block_bytes).collect()
+        assert sorted((r["doc_id"] is None, r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == want
+
+
 def test_packed_numbers_come_back():
     for values in ([0], [5, 5, 6, 1 << 31], list(range(0, 1 << 20, 977))):
         assert substrings.unsqueezed(substrings.squeezed(np.array(values))).tolist() == values
