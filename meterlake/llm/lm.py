@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark and memory-mapped by workers.
+"""Interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark and memory-mapped by workers.
 
 1. Words are counted: tasks send sorted 64-bit word hashes with counts, packed, to shards by the leading hash bits. Each shard writes one sorted
    array. A word's number is its place in the order of all shards.
@@ -6,7 +6,10 @@
    sorted array of hashes with counts, and reports counts of counts and, per word, how many different words follow it once, twice or more often and how many
    precede it.
 3. Those per-word figures are summed by word shard and written beside the words.
-4. Texts are scored where they lie: workers map the files and look up their distinct words and pairs, sorted.
+4. For order 3, word triples are counted before the pairs, in shards by their first two words. A shard writes each context with its figures and, as one run, the
+   words behind it with counts; it sends on how many different words precede each pair. Pairs then carry these continuation counts; pairs at the beginning of a
+   text, which nothing precedes, keep their own counts.
+5. Texts are scored where they lie: workers map the files and look up their distinct words and pairs, sorted.
 
 Every step grows with the corpus and is divided by hash, so a word in a third of all places costs one entry per task. Only totals reach the driver.
 The files lie in the shared folder under names that a repeated task writes again with the same content. Word numbers fill half of a pair's
@@ -14,6 +17,7 @@ The files lie in the shared folder under names that a repeated task writes again
 
 The model: ``p(w | v) = max(c(vw) - D, 0) / c(v) + g(v) * p1(w)`` with three discounts from counts of counts; ``p1`` is the same over the number of
 different words before ``w``, down to one share in ``V + 1`` for the unknown word. A text starts behind a mark that is no token.
+With order 3, ``p(w | uv)`` is the same over triples with ``p(w | v)`` below it, which then uses continuation counts; the first token of a text has ``v`` alone.
 
 NULL and empty texts are one end token. Documents with a NULL id belong to the training part. Repeated rows count each time. With no training
 documents every word is unknown and has probability 1; an empty table stays empty.
@@ -43,6 +47,8 @@ BYTES_PER_WORD_SHARD = 128 << 20
 WORD_BITS = (5, 16)
 PAIRS_PER_SHARD = 4_000_000
 MIN_PAIR_BITS = 5
+TRIPLES_PER_SHARD = 2_000_000
+LOW = np.int64(0xFFFFFFFF)
 
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,6 +108,43 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return every[starts], np.add.reduceat(times, starts)
 
 
+def trimmed(values: np.ndarray, wide: int) -> bytes:
+    """Numbers below 2**32 in so many bytes each."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide]).tobytes()
+
+
+def widened(data: bytes, wide: int) -> np.ndarray:
+    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, wide)
+    out = np.zeros((len(raw), 4), dtype=np.uint8)
+    out[:, :wide] = raw
+    return out.view("<u4").ravel().astype(np.int64)
+
+
+def escaped(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Small values as one byte, larger ones by their places."""
+    large = np.flatnonzero(values >= 255)
+    return {name: np.minimum(values, 255).astype(np.uint8), f"{name}_at": large.astype(np.int64), f"{name}_large": values[large].astype(np.int64)}
+
+
+def looked_up(table: dict, name: str, at: np.ndarray) -> np.ndarray:
+    out = table[name][at].astype(np.int64)
+    big = np.flatnonzero(out == 255)
+    if len(big):
+        out[big] = table[f"{name}_large"][np.searchsorted(table[f"{name}_at"], at[big])]
+    return out
+
+
+def place_in_run(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The place of each asked value in its own rising run ``low`` to ``high``, -1 if it is not there."""
+    a, b, last = low.copy(), high.copy(), max(0, len(values) - 1)
+    while (a < b).any():
+        mid = (a + b) // 2
+        below = (a < b) & (values[np.minimum(mid, last)] < asked)
+        b = np.where((a < b) & ~below, mid, b)
+        a = np.where(below, mid + 1, a)
+    return np.where((a < high) & (values[np.minimum(a, last)] == asked), a, -1) if len(values) else np.full(len(asked), -1)
+
+
 class Words:
     """The word shards of a model, opened when needed; with ``figures`` also what is known of each word."""
 
@@ -140,8 +183,10 @@ class Words:
         return out
 
 
-def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) -> dict:
+def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, order: int = 2) -> dict:
     """Count a model of all rows; returns its description: the folder and totals."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 and 3 are built")
     spark = docs.sparkSession
     folder = scratch_path(spark, "kneser-ney")
     texts = docs.select(F.col(f"`{text}`").alias("text"))
@@ -188,7 +233,7 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) ->
         first[k] = n
         n += sizes[k]
     pair_bits = max(MIN_PAIR_BITS, int(tokens // PAIRS_PER_SHARD).bit_length())
-    model = {"folder": folder, "word_bits": word_bits, "pair_bits": pair_bits, "shards": shards, "first": first, "tokens": tokens, "types": max(0, n - 1)}
+    model = {"folder": folder, "word_bits": word_bits, "pair_bits": pair_bits, "shards": shards, "first": first, "tokens": tokens, "types": max(0, n - 1), "order": order}
     n_pairs = 1 << pair_bits
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,21 +258,89 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) ->
                 }
             )
 
+    triple_bits = max(MIN_PAIR_BITS, int(tokens // TRIPLES_PER_SHARD).bit_length())
+    wide = max(1, (int(n).bit_length() + 7) // 8)
+
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Words(folder, word_bits, shards)
+        for batch in batches:
+            tokens, sizes = token_hashes(batch.column("text").to_pylist())
+            if not len(tokens):
+                continue
+            known, code = np.unique(np.append(tokens, START), return_inverse=True)
+            number = lexicon.places(known, first)[code]
+            own, start = number[:-1], number[-1]
+            front = before(own, sizes, start)
+            # two marks stand before the first token of a text
+            contexts, code = np.unique(before(front, sizes, start) << np.int64(32) | front, return_inverse=True)
+            shard = pair_shard(contexts, triple_bits)
+            order = np.argsort(shard, kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            triples, counts = np.unique(rank[code] << np.int64(32) | own, return_counts=True)
+            followers = np.bincount(triples >> np.int64(32), minlength=len(order))
+            right, contexts = triples & LOW, contexts[order]
+            filled, ends = cut_points(shard[order], 1 << triple_bits)
+            at = np.concatenate([[0], np.cumsum(followers)])[ends]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "shard": pa.array(filled, pa.int32()),
+                    "contexts": pa.array([squeezed_keys(contexts[ends[k] : ends[k + 1]]) for k in filled], pa.binary()),
+                    "followers": pa.array([counts_to_bytes(followers[ends[k] : ends[k + 1]]) for k in filled], pa.binary()),
+                    "words": pa.array([trimmed(right[at[k] : at[k + 1]], wide) for k in filled], pa.binary()),
+                    "counts": pa.array([counts_to_bytes(counts[at[k] : at[k + 1]]) for k in filled], pa.binary()),
+                }
+            )
+
+    def write_triples(pdf: pd.DataFrame) -> pd.DataFrame:
+        shard = int(pdf["shard"].iloc[0])
+        start = Words(folder, word_bits, shards).places(np.array([START]), first)[0]
+        left, right, times = [], [], []
+        for c, f, w, k in zip(pdf["contexts"], pdf["followers"], pdf["words"], pdf["counts"], strict=True):
+            keys, words = unsqueezed_keys(c), widened(w, wide)
+            left.append(np.repeat(keys, counts_from_bytes(f, len(keys))))
+            right.append(words)
+            times.append(counts_from_bytes(k, len(words)))
+        left, right, times = np.concatenate(left), np.concatenate(right), np.concatenate(times)
+        order = np.lexsort((right, left))
+        left, right, times = left[order], right[order], times[order]
+        fresh = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
+        left, right, counts = left[fresh], right[fresh], np.add.reduceat(times, fresh)
+        # behind two marks stand the pairs that begin a text
+        begins = (left & LOW) == start
+        first_pairs, first_counts = left[begins] << np.int64(32) | right[begins], counts[begins]
+        left, right, counts = left[~begins], right[~begins], counts[~begins]
+        runs = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]])) if len(left) else np.zeros(0, dtype=np.int64)
+        summed = {"after": counts, "once": (counts == 1).astype(np.int64), "twice": (counts == 2).astype(np.int64)}
+        table = {"key": left[runs], "start": np.append(runs, len(left)).astype(np.uint32), "word": right.astype(np.uint32)} | escaped("count", counts)
+        for name, values in summed.items():
+            table |= escaped(name, np.add.reduceat(values, runs) if len(runs) else values)
+        write_file(f"{folder}/triples-{shard}.bin", packed(table))
+        pairs, preceded = np.unique((left & LOW) << np.int64(32) | right, return_counts=True)
+        pairs, preceded = np.append(pairs, first_pairs), np.append(preceded, first_counts)
+        at = pair_shard(pairs, pair_bits)
+        order = np.lexsort((pairs, at))
+        pairs, preceded = pairs[order], preceded[order]
+        filled, ends = cut_points(at[order], n_pairs)
+        rows = [(k, squeezed_keys(pairs[ends[k] : ends[k + 1]]), counts_to_bytes(preceded[ends[k] : ends[k + 1]]), None) for k in filled]
+        rows.append((-1, None, None, [len(counts), *(int((counts == k).sum()) for k in (1, 2, 3, 4))]))
+        return pd.DataFrame(rows, columns=["shard", "keys", "counts", "totals"])
+
     def write_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
         sent = [unsqueezed_keys(k) for k in pdf["keys"]]
         keys, counts = merged(sent, [counts_from_bytes(c, len(k)) for c, k in zip(pdf["counts"], sent, strict=True)])
         hashes = mixed(keys.view(np.uint64))
-        order = np.argsort(hashes, kind="stable")
-        large = np.flatnonzero(counts[order] >= 255)
+        ranked = np.argsort(hashes, kind="stable")
+        large = np.flatnonzero(counts[ranked] >= 255)
         write_file(
             f"{folder}/pairs-{shard}.bin",
             packed(
                 {
-                    "hash": hashes[order],
-                    "count": np.minimum(counts[order], 255).astype(np.uint8),
+                    "hash": hashes[ranked],
+                    "count": np.minimum(counts[ranked], 255).astype(np.uint8),
                     "large": large.astype(np.int64),
-                    "large_count": counts[order][large],
+                    "large_count": counts[ranked][large],
                 }
             ),
         )
@@ -236,6 +349,8 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) ->
         for kind, own, marked in (("left", left, np.minimum(counts, 3)), ("right", right, np.ones(len(keys), dtype=np.int64))):
             values, where = np.unique(own, return_inverse=True)
             figures = [np.bincount(where, weights=marked == k, minlength=len(values)).astype(np.int64) for k in ((1, 2, 3) if kind == "left" else (1,))]
+            if kind == "left" and order > 2:
+                figures.append(np.bincount(where, weights=counts, minlength=len(values)).astype(np.int64))
             ranges = np.searchsorted(values, [first[k] for k in shards] + [1 << 62])
             for k, a, b in zip(shards, ranges, ranges[1:], strict=False):
                 if a < b:
@@ -244,9 +359,15 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) ->
         rows.append((-1, "totals", None, None, [len(keys), *of_counts]))
         return pd.DataFrame(rows, columns=["shard", "kind", "words", "figures", "totals"])
 
+    if order > 2:
+        sent = texts.mapInArrow(count_triples, "shard int, contexts binary, followers binary, words binary, counts binary")
+        counted = stored(sent.groupBy("shard").applyInPandas(write_triples, "shard int, keys binary, counts binary, totals array<long>"), "lm-triples")
+        model |= {"triple_bits": triple_bits, "triples": _summed(counted.filter("shard < 0"), 5)}
+        pairs = counted.filter("shard >= 0").select("shard", "keys", "counts")
+    else:
+        pairs = texts.mapInArrow(count_pairs, "shard int, keys binary, counts binary")
     figures = stored(
-        texts.mapInArrow(count_pairs, "shard int, keys binary, counts binary")
-        .groupBy("shard")
+        pairs.groupBy("shard")
         .applyInPandas(write_pairs, "shard int, kind string, words binary, figures array<binary>, totals array<long>"),
         "lm-figures",
     )
@@ -254,10 +375,11 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None) ->
 
     def write_figures(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
-        out = {name: np.zeros(sizes[shard], dtype=np.int64) for name in ("once", "twice", "more", "preceded")}
+        of_left = ("once", "twice", "more", "after") if order > 2 else ("once", "twice", "more")
+        out = {name: np.zeros(sizes[shard], dtype=np.int64) for name in (*of_left, "preceded")}
         for kind, own, parts in zip(pdf["kind"], pdf["words"], pdf["figures"], strict=True):
             at = unsqueezed(own)
-            for name, part in zip(("once", "twice", "more") if kind == "left" else ("preceded",), parts, strict=True):
+            for name, part in zip(of_left if kind == "left" else ("preceded",), parts, strict=True):
                 out[name][at] += counts_from_bytes(part, len(at))
         write_file(f"{folder}/figures-{shard}.bin", packed({k: v.astype(np.uint32) if v.max() < 1 << 32 else v for k, v in out.items()}))
         return pd.DataFrame({"totals": [[int(out["preceded"].sum()), *(int((out["preceded"] == k).sum()) for k in (1, 2, 3, 4)), int((out["preceded"] > 0).sum())]]})
@@ -326,6 +448,9 @@ class Model:
         self.pairs: dict[int, dict] = {}
         self.of_pair = discounts(*model["pairs"][1:5])
         self.of_word = discounts(*model["preceded"][1:5])
+        if model["order"] > 2:
+            self.triples: dict[int, dict] = {}
+            self.of_triple = discounts(*model["triples"][1:5])
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of distinct word pairs, 0 for unseen ones."""
@@ -356,6 +481,42 @@ class Model:
         out[order] = found
         return out
 
+    def triple_figures(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per place in a text: the sum of counts behind its context and how many words follow that once, twice and more often; the count of its triple."""
+        known, code = np.unique(contexts, return_inverse=True)
+        bits = self.m["triple_bits"]
+        shard = pair_shard(known, bits)
+        order = np.argsort(shard, kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        triples, where = np.unique(rank[code] << np.int64(32) | words & LOW, return_inverse=True)
+        owner, asked = triples >> np.int64(32), triples & LOW
+        figures, seen = np.zeros((4, len(known)), dtype=np.int64), np.zeros(len(triples), dtype=np.int64)
+        filled, ends = cut_points(shard[order], 1 << bits)
+        for k in filled:
+            if k not in self.triples:
+                try:
+                    self.triples[k] = unpacked(mapped(f"{self.m['folder']}/triples-{k}.bin"))
+                except FileNotFoundError:
+                    # no context fell into this shard
+                    self.triples[k] = {"key": np.zeros(0, dtype=np.int64)}
+            table, a, b = self.triples[k], ends[k], ends[k + 1]
+            if not len(table["key"]):
+                continue
+            own = known[order[a:b]]
+            at = np.minimum(np.searchsorted(table["key"], own), len(table["key"]) - 1)
+            hit = table["key"][at] == own
+            low = table["start"][at].astype(np.int64)
+            high = np.where(hit, table["start"][at + 1].astype(np.int64), low)
+            after, once, twice = (np.where(hit, looked_up(table, name, at), 0) for name in ("after", "once", "twice"))
+            figures[:, a:b] = after, once, twice, high - low - once - twice
+            c, d = np.searchsorted(owner, [a, b])
+            run = owner[c:d] - a
+            place = place_in_run(table["word"], low[run], high[run], asked[c:d])
+            seen[c:d] = np.where(place >= 0, looked_up(table, "count", np.maximum(place, 0)), 0)
+        figures[3, figures[0] == 0] = 0
+        return figures[:, rank[code]], seen[where]
+
     def scores(self, texts: list[str | None]) -> dict[str, np.ndarray]:
         tokens, sizes = token_hashes(texts)
         first = self.m["first"]
@@ -371,9 +532,11 @@ class Model:
             alone = np.maximum(preceded - d[np.minimum(preceded, 3).astype(int)], 0) / total + rest / (types + 1)
         else:
             alone = np.ones(len(known))
+        # what the counts of the pairs behind a word sum to
+        after = self.words.columns(["after"], place, first)[0] if self.m["order"] > 2 else count
         d = self.of_pair
         with np.errstate(divide="ignore", invalid="ignore"):
-            left_over = np.where(count > 0, (d[1] * once + d[2] * twice + d[3] * more) / count, 1.0)
+            left_over = np.where(after > 0, (d[1] * once + d[2] * twice + d[3] * more) / after, 1.0)
 
         own = code[:-1]
         front = before(own, sizes, code[-1])
@@ -383,9 +546,21 @@ class Model:
             keys, where = np.unique(place[front[both]] << np.int64(32) | place[own[both]], return_inverse=True)
             seen[both] = self.pair_counts(keys)[where]
         with np.errstate(divide="ignore", invalid="ignore"):
-            direct = np.where(seen > 0, np.maximum(seen - d[np.minimum(seen, 3)], 0) / count[front], 0.0)
+            direct = np.where(seen > 0, np.maximum(seen - d[np.minimum(seen, 3)], 0) / after[front], 0.0)
         p = direct + left_over[front] * alone[own]
         starts = np.cumsum(sizes) - sizes
+        if self.m["order"] > 2:
+            far = before(front, sizes, code[-1])
+            inner = (place[far] >= 0) & (place[front] >= 0)
+            inner[starts] = False
+            at = np.flatnonzero(inner)
+            if len(at):
+                (total, n1, n2, n3), seen = self.triple_figures(place[far[at]] << np.int64(32) | place[front[at]], place[own[at]])
+                d = self.of_triple
+                met = total > 0
+                at, total, seen = at[met], total[met], seen[met]
+                left_over = (d[1] * n1[met] + d[2] * n2[met] + d[3] * n3[met]) / total
+                p[at] = np.maximum(seen - d[np.minimum(seen, 3)], 0) / total + left_over * p[at]
         base = np.log10((count + 1) / (n + (types + 1)))
         return {
             "n_tokens": sizes,

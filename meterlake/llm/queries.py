@@ -241,7 +241,7 @@ def bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(part == 2, F.lit(False)))
-    model = lm.train(docs.filter(~F.col("held_out")))
+    model = lm.train(docs.filter(~F.col("held_out")), order=3)
     scored = lm.score(docs, model, keep=["doc_id", "held_out"])
     return scored.withColumn("train_tokens", F.lit(model["tokens"]).cast("long"))
 

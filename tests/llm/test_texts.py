@@ -222,3 +222,57 @@ def test_language_model_without_training_texts(docs_of, corpus):
     got = lm.score(docs_of(corpus[:3]), model, keep=["doc_id"]).collect()
     assert [r["n_known"] for r in got] == [0, 0, 0] and all(r["score"] == 0 for r in got)
     assert lm.score(docs_of([]), model).count() == 0
+
+
+def trigram_scores(rows, train):
+    """Every text's score by dictionaries: own counts for triples, continuation counts below, own counts at the beginning of a text."""
+    triples, pairs, before = Counter(), Counter(), Counter()
+    for _, t, _ in train:
+        own = ["<s>", *(t or "").encode().lower().split(), None]
+        pairs["<s>", own[1]] += 1
+        triples.update(zip(own, own[1:], own[2:], strict=False))
+    for _, v, w in triples:
+        pairs[v, w] += 1
+    before.update(w for _, w in pairs)
+    d3, d2, d1 = (lm.discounts(*(sum(c == k for c in counts.values()) for k in (1, 2, 3, 4))) for counts in (triples, pairs, before))
+    behind = defaultdict(dict)
+    for (*context, w), k in [*triples.items(), *pairs.items()]:
+        behind[tuple(context)][w] = k
+
+    def level(context, w, d, lower):
+        known = behind.get(context)
+        if not known:
+            return lower
+        k, total = known.get(w, 0), sum(known.values())
+        return (max(k - d[min(k, 3)], 0) + sum(d[min(c, 3)] for c in known.values()) * lower) / total
+
+    def p(u, v, w):
+        lower = (max(before[w] - d1[min(before[w], 3)], 0) + sum(d1[min(c, 3)] for c in before.values()) / (len(before) + 1)) / len(pairs)
+        lower = level((v,), w, d2, lower)
+        return lower if u is None else level((u, v), w, d3, lower)
+
+    for _, t, _ in rows:
+        own = ["<s>", *(t or "").encode().lower().split(), None]
+        yield sum(math.log10(p(own[k - 2] if k > 1 else None, own[k - 1], own[k])) for k in range(1, len(own)))
+
+
+def test_trigram_model_matches_plain_python(docs_of, corpus):
+    rows = [r for r in corpus if r[0] is not None and len(r[1] or "") < 5000] + [(5000 + k, "w " * 300 + f"w{k}", "s") for k in range(9)]
+    seen = [r for r in rows if r[0] % 4]
+    docs = docs_of(rows).repartition(3)
+    model = lm.train(docs_of(seen).repartition(3), order=3)
+    got = sorted((r["doc_id"], r["score"]) for r in lm.score(docs, model, keep=["doc_id"]).collect())
+    want = sorted((r[0], s) for r, s in zip(rows, trigram_scores(rows, seen), strict=True))
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-9)
+    none = lm.train(docs_of([]), order=3)
+    assert all(r["score"] == 0 for r in lm.score(docs_of(rows[:3]), none).collect())
+
+
+def test_third_word_of_context_counts(docs_of):
+    # both texts are made of the same kinds of pairs, all seen in training
+    train = docs_of([(k, "x a b c y" if k % 2 else "x d b e y", "s") for k in range(6)])
+    texts = docs_of([(1, "x a b c y", "s"), (2, "x a b e y", "s")])
+    for order in (2, 3):
+        score = {r["doc_id"]: r["score"] for r in lm.score(texts, lm.train(train, order=order), keep=["doc_id"]).collect()}
+        assert (score[1] - score[2] > 0.5) == (order == 3)
