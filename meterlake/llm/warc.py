@@ -6,7 +6,8 @@ report them; files of failed attempts are never listed, so a repeated task does
 
 Salvage reader: every member is checked (gzip checksum, version line, length, closing line ends, block digest). After a failed check
 it searches for the next gzip magic or version line at which a whole valid record starts, logs the bytes between as a quarantined gap and goes on.
-Files are memory-mapped; a task holds one record at a time.
+The same search runs over the inflated bytes of a member, also over those before a damage.
+Files are memory-mapped; a task holds one inflated member at a time.
 
 NULL payloads are empty. NULL ids and URLs have no header and come back NULL; rows with equal ids and payloads are all responses.
 Control characters in URLs are percent-encoded. An empty table writes no archives and reads none.
@@ -130,14 +131,11 @@ def parsed(data, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the uncompressed record at a place, or :class:`Broken`."""
     if bytes(data[at : at + len(VERSION)]) != VERSION:
         raise Broken("no version line")
-    stop, size = at, len(data)
-    head = b""
-    while END not in head:
-        if stop >= size or len(head) > 1 << 20:
-            raise Broken("unfinished header")
-        head += bytes(data[stop : stop + 4096])
-        stop += 4096
-    head = head[: head.index(END)]
+    size = len(data)
+    stop = (data.obj if isinstance(data, memoryview) else data).find(END, at)
+    if stop < 0:
+        raise Broken("unfinished header")
+    head = bytes(data[at:stop])
     headers = {}
     for line in head.decode(errors="replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
@@ -158,62 +156,100 @@ def parsed(data, at: int) -> tuple[dict[str, str], bytes, int]:
     return headers, block, end + len(END)
 
 
-def inflated(data, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at a place, or :class:`Broken`."""
+def inflated(data, at: int) -> tuple[bytes, int, str | None]:
+    """Content and end of the gzip member at a place; with a reason, what could be inflated before the damage."""
     unpacker, out, stop = zlib.decompressobj(31), [], at
-    try:
-        while not unpacker.eof:
-            chunk = bytes(data[stop : stop + (1 << 16)])
-            if not chunk:
-                raise Broken("unfinished member")
+    while not unpacker.eof:
+        chunk = bytes(data[stop : stop + (1 << 16)])
+        if not chunk:
+            return b"".join(out), stop, "unfinished member"
+        spare = unpacker.copy()
+        try:
             out.append(unpacker.decompress(chunk))
-            stop += len(chunk)
-    except zlib.error as error:
-        raise Broken("damaged member") from error
-    return b"".join(out), stop - len(unpacker.unused_data)
-
-
-def records_at(data, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records that start at a place, all checked, and where they end."""
+        except zlib.error:
+            try:
+                for k in range(len(chunk)):
+                    out.append(spare.decompress(chunk[k : k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), stop, "damaged member"
+        stop += len(chunk)
+    return b"".join(out), stop - len(unpacker.unused_data), None
+
+
+def inner(content: bytes, damaged: bool) -> tuple[list[tuple], int]:
+    """Valid records and gaps of a member's content, as ``(start, end, headers, block, reason)``, and the number of records.
+    In a damaged member only records with a matching block digest are valid."""
+    found, at, n, begin, reason = [], 0, 0, None, None
+    while 0 <= at < len(content):
+        try:
+            headers, block, end = parsed(content, at)
+            if damaged and not headers.get("warc-block-digest", "").startswith("sha256:"):
+                raise Broken("no block digest")
+        except Broken as error:
+            if begin is None:
+                begin, reason = at, str(error)
+            at = content.find(VERSION, at + 1)
+            continue
+        if begin is not None:
+            found.append((begin, at, None, None, reason))
+            begin = None
+        found.append((at, end, headers, block, None))
+        at, n = end, n + 1
+    if begin is not None:
+        found.append((begin, len(content), None, None, reason))
+    return found, n
+
+
+def records_at(data, at: int) -> tuple[list[tuple], int, str | None]:
+    """What starts at a place, at least one valid record of it, where it ends, and a reason if it is a damaged member."""
     if bytes(data[at : at + len(MAGIC)]) != MAGIC:
         headers, block, end = parsed(data, at)
-        return [(headers, block)], end
-    content, end = inflated(data, at)
-    found, inner = [], 0
-    while inner < len(content):
-        headers, block, inner = parsed(content, inner)
-        found.append((headers, block))
-    if not found:
-        raise Broken("empty member")
-    return found, end
+        return [(at, end, headers, block, None)], end, None
+    content, end, damage = inflated(data, at)
+    found, n = inner(content, damage is not None)
+    if not n:
+        raise Broken(damage or (found[0][4] if found else "empty member"))
+    if damage and found[-1][2] is None:
+        # the rest belongs to the gap of the damage
+        found.pop()
+    told = []
+    for a, b, headers, block, reason in found:
+        told.append((at, end, headers, block, None if reason is None else f"{reason}, inflated bytes {a} to {b}"))
+    if damage:
+        damage = f"{damage}, from inflated byte {found[-1][1]}"
+    return told, end, damage
 
 
 def salvage(data) -> Iterator[tuple]:
-    """``(start, end, headers, block, None)`` per valid record, ``(start, end, None, None, reason)`` per quarantined gap, in order."""
+    """``(start, end, headers, block, None)`` per valid record, ``(start, end, None, None, reason)`` per quarantined gap, in order. Records and gaps
+    inside a member carry the member's place; a gap's reason then names its inflated bytes."""
     raw = data.obj if isinstance(data, memoryview) else data
     at, size = 0, len(data)
     while at < size:
+        found, reason = [], None
         try:
-            found, end = records_at(data, at)
+            found, end, reason = records_at(data, at)
         except Broken as error:
-            begin, reason, candidate = at, str(error), at
-            while True:
-                nearest = [p for p in (raw.find(MAGIC, candidate + 1), raw.find(VERSION, candidate + 1)) if p >= 0]
-                if not nearest:
-                    at = size
-                    break
-                candidate = min(nearest)
-                try:
-                    records_at(data, candidate)
-                except Broken:
-                    continue
-                at = candidate
-                break
-            yield begin, at, None, None, reason
+            reason = str(error)
+        yield from found
+        if reason is None:
+            at = end
             continue
-        for headers, block in found:
-            yield at, end, headers, block, None
-        at = end
+        begin, candidate = at, at
+        while True:
+            nearest = [p for p in (raw.find(MAGIC, candidate + 1), raw.find(VERSION, candidate + 1)) if p >= 0]
+            if not nearest:
+                at = size
+                break
+            candidate = min(nearest)
+            try:
+                records_at(data, candidate)
+            except Broken:
+                continue
+            at = candidate
+            break
+        yield begin, at, None, None, reason
 
 
 def page_of(name: str | None) -> int | None:

@@ -55,6 +55,36 @@ def test_salvage_recovers_later_records_and_logs_gaps():
     assert told(b"nothing here")[1] == [(0, 12, "no version line")]
 
 
+def test_salvage_inside_members():
+    rng = random.Random(5)
+
+    def plain(i: int) -> bytes:
+        payload = bytes(rng.randrange(256) for _ in range(60000))
+        return warc.record(i, None, payload, hashlib.sha256(payload).hexdigest(), None)
+
+    records = [plain(i) for i in range(6)]
+    assert told(warc.member(b"".join(records))) == ([0, 1, 2, 3, 4, 5], [])
+    bad = bytearray(records[2])
+    bad[-10] ^= 0xFF
+    content = records[0] + records[1] + bytes(bad) + b"".join(records[3:])
+    a = len(records[0] + records[1])
+    found, gaps = told(warc.member(content) + page(9, b"z" * 300))
+    assert found == [0, 1, 3, 4, 5, 9]
+    assert gaps == [(0, len(warc.member(content)), f"block digest, inflated bytes {a} to {a + len(bad)}")]
+    # a truncated tail, and a damaged trailer before another member
+    whole = warc.member(b"".join(records))
+    found, gaps = told(whole[: len(whole) * 2 // 3])
+    assert found == [0, 1, 2] and [g[:2] for g in gaps] == [(0, len(whole) * 2 // 3)]
+    hurt = bytearray(whole)
+    hurt[-6] ^= 0xFF
+    found, gaps = told(bytes(hurt) + page(9, b"z" * 300))
+    assert found == [0, 1, 2, 3, 4, 5, 9] and [g[:2] for g in gaps] == [(0, len(whole))]
+
+
+def test_long_headers_are_read():
+    assert told(warc.member(warc.record(3, "u" * (2 << 20), b"x", "d", None))) == ([3], [])
+
+
 def test_archives_round_trip(spark):
     same = "<p>" + "é" * 200
     rows = [(5, "http://a/\r\n b", same), (3, "u", same), (9, None, same), (1, "u", None), (2, "u", ""), (4, "u", "short"), (6, "u", "short"), (None, "u", same), (3, "u", same), (7, "u", "x" * 300000)]
