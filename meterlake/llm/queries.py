@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterlake.llm import ann, bpe, licences, lm, mixing, neardup, quality_rules, secrets, substrings, warc
+from meterlake.llm import ann, bpe, licences, lm, mixing, neardup, quality_rules, secrets, substrings, toxicity, warc
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,23 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("train_tokens", F.lit(model["tokens"]).cast("long"))
 
 
+@query("op13_nearest_toxic")
+def nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(doc_id: Column) -> Column:
+        return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        F.col("_row.doc_id").alias("doc_id"),
+        held_out(F.col("_row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "vote",
+        "evidence",
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
