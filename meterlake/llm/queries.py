@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterlake.llm import ann, bpe, licences, lm, mixing, neardup, quality_rules, secrets, substrings, toxicity, warc
+from meterlake.llm import ann, bpe, licences, lm, mixing, neardup, prefix_trie, quality_rules, secrets, substrings, toxicity, warc
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,47 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("train_tokens", F.lit(model["tokens"]).cast("long"))
 
 
+TRIE_SQL = rf"""
+WITH tab AS (
+  SELECT list(v ORDER BY i) AS crc
+  FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))),
+said AS (
+  SELECT conv_id AS c, turn, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS s, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS m
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list(s ORDER BY turn NULLS FIRST, m) AS ts,
+    [4294967295] || list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ord(substr(c::VARCHAR, i, 1))::BIGINT) AS bytes
+  FROM said GROUP BY c),
+borrow AS (
+  SELECT c, ts, xor(list_reduce(bytes, lambda x, b: xor(x // 256, crc[1 + xor(x, b) % 256])), 4294967295) % 4 AS h FROM own, tab),
+conv AS (
+  SELECT a.c, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) AS ts FROM borrow a LEFT JOIN borrow b ON b.c = a.c - a.c % 20),
+member AS (SELECT c, d, ts[1:d] AS p, len(ts) = d AS ends FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM conv)),
+node AS (
+  SELECT d, p, min(c) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM member GROUP BY d, p),
+parent AS (SELECT x.*, a.conv_id AS parent_conv_id FROM node x LEFT JOIN node a ON a.d = x.d - 1 AND a.p = x.p[1:x.d - 1]),
+kids AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM parent WHERE d > 0 GROUP BY ALL),
+full_node AS (
+  SELECT x.*, coalesce(k.n_children, 0) AS n_children,
+    CASE WHEN x.d = 0 THEN 0 ELSE (x.n - 1) * len({_W.format("x.p[x.d].t")}) END AS saved
+  FROM parent x LEFT JOIN kids k ON k.conv_id = x.conv_id AND k.d = x.d),
+below AS (
+  SELECT k AS d, path[1:k] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT unnest(range(0, d + 1)) AS k, p AS path, n_children, saved FROM full_node) GROUP BY ALL)
+SELECT f.conv_id::BIGINT AS conv_id, f.d::BIGINT AS depth, f.parent_conv_id::BIGINT AS parent_conv_id, f.n::BIGINT AS n_convs,
+  f.n_children::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_node f JOIN below b ON b.d = f.d AND b.p = f.p"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = prefix_trie.rebuilt(
+        table(spark, sf_dir, "conversations"), group=20, borrowed=lambda c: F.crc32(c.cast("string").cast("binary")) % 4
+    )
+    return prefix_trie.trie(paths)
+
+
 @query("op13_nearest_toxic")
 def nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     def held_out(doc_id: Column) -> Column:
