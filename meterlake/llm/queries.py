@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterlake.llm import ann, bpe, licences, lm, mixing, neardup, prefix_trie, quality_rules, secrets, substrings, toxicity, warc
+from meterlake.llm import ann, bpe, collocations, licences, lm, mixing, neardup, prefix_trie, quality_rules, secrets, substrings, toxicity, warc
 from meterlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,39 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("train_tokens", F.lit(model["tokens"]).cast("long"))
 
 
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+said AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM said, range(1, 5) t(k))),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 30),
+cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[j + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.n AS l, y.n AS r, ((2000000::HUGEINT * c.a) // (x.n + y.n))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.j) = 1),
+inner_of AS (
+  SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, ws, k, a, m, unnest(range(1, k - m + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS m FROM cand)) GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM scored s LEFT JOIN inner_of i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 80 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, t.n, score FROM ranked JOIN total t USING (lang) WHERE rank <= 2000"""
+
+
+@query("op11_collocations", PHRASE_SQL)
+def best_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 TRIE_SQL = rf"""
 WITH tab AS (
   SELECT list(v ORDER BY i) AS crc
