@@ -157,21 +157,42 @@ def md_propose(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CLUSTERS = f"""WITH RECURSIVE a AS (SELECT p_partkey + 1 AS id, {NORM.format(c='p_name')} AS norm FROM part),
+  f AS (SELECT norm, min(id) AS id FROM a GROUP BY 1),
+  pairs AS (SELECT x.id AS x, y.id AS y, CAST(((greatest(length(x.norm), length(y.norm)) - levenshtein(x.norm, y.norm)) * 20000
+      + greatest(length(x.norm), length(y.norm))) // (2 * greatest(length(x.norm), length(y.norm))) AS DOUBLE) / 100 AS score FROM f x, f y),
+  links AS (SELECT x, y FROM pairs WHERE score >= 80),
+  reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+  cluster AS (SELECT x AS id, min(y) AS cluster_id FROM reach GROUP BY 1),
+  members AS (SELECT cluster_id, a.id AS record_id, score AS match_score
+    FROM a JOIN f USING (norm) JOIN cluster c ON c.id = f.id JOIN pairs ON x = cluster_id AND y = f.id
+    QUALIFY count(*) OVER (PARTITION BY cluster_id) > 1)"""
+LEVEL = "CASE WHEN {s} >= 95 THEN 'HIGH' WHEN {s} >= 80 THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level"
+
+
 @query(
     "md_dedup_queue",
-    f"""WITH a AS (SELECT p_partkey + 1 AS id, {NORM.format(c='p_name')} AS norm FROM part),
-      f AS (SELECT norm, min(id) AS id FROM a GROUP BY 1),
-      q AS (SELECT f.id AS id_1, a.id AS id_2, CAST(100 AS DOUBLE) AS match_score FROM a JOIN f USING (norm) WHERE a.id <> f.id
-        UNION ALL SELECT * FROM (
-          SELECT x.id AS id_1, y.id AS id_2, CAST(((greatest(length(x.norm), length(y.norm)) - levenshtein(x.norm, y.norm)) * 20000
-            + greatest(length(x.norm), length(y.norm))) // (2 * greatest(length(x.norm), length(y.norm))) AS DOUBLE) / 100 AS match_score
-          FROM f x JOIN f y ON x.id < y.id) WHERE match_score >= 80)
-      SELECT *, CASE WHEN match_score >= 95 THEN 'HIGH' WHEN match_score >= 80 THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM q""",
+    f"""{CLUSTERS} SELECT cluster_id AS id_1, record_id AS id_2, match_score, {LEVEL.format(s='match_score')}
+      FROM members WHERE record_id <> cluster_id""",
 )
 def md_dedup_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.dedup_queue(named_parts(spark, sf_dir), "part_id", "part_name")
 
 
+@query("md_dedup_members", f"{CLUSTERS} SELECT * FROM members")
+def md_dedup_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.dedup_members(named_parts(spark, sf_dir), "part_id", "part_name")
+
+
+@query(
+    "md_dedup_clusters",
+    f"""{CLUSTERS} SELECT cluster_id, count(*) AS n_records, min(match_score) AS lowest_score,
+      {LEVEL.format(s='min(match_score)')}, min(match_score) >= 95 AS auto_merge FROM members GROUP BY 1""",
+)
+def md_dedup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.dedup_clusters(matching.dedup_members(named_parts(spark, sf_dir), "part_id", "part_name"))
+
+
 # --- approval -----------------------------------------------------------------------------------------
 
 SUPPLIERS = """WITH m AS (SELECT s_suppkey + 1 AS vendor_id, s_suppkey AS k, s_name,
