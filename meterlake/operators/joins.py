@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.times import elapsed_seconds
+from meterlake.session import stored
 
 TRUSTED_BYTES = 1 << 20
 BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 200_000
 BROADCAST_VERSIONS = 64
+COPIES = 2
+MOST_DENSE = 1_000
+NO_BUCKETS = 4_096
 
 Keys = list[tuple[str, str]]
 
@@ -150,24 +154,25 @@ def asof_join(
     start: str,
     end: str,
     small: bool | None = None,
-    bucket_seconds: int = 86_400 * 7,
+    bucket_seconds: int | None = None,
     salts: int | None = None,
+    cut: bool = False,
 ) -> DataFrame:
     """Left join to the version valid at a time: ``start <= at < end``.
 
     Of overlapping versions of a key the one that starts last counts, of equal starts the one that ends last (then the largest
-    row): versions are cut at the next start before either plan, so both give the same rows. With few
-    versions per key and a dimension of proven size this is a broadcast equality join with the range as residual. Otherwise
-    the versions are carried forward in time, see :func:`carry_forward`, which never
-    pairs a fact with more than one version.
+    row): versions are cut at the next start before either plan, so both give the same rows; ``cut`` says that
+    :func:`cut_versions` has done so already. With few versions per key and a dimension of proven size this is a broadcast
+    equality join with the range as residual. Otherwise versions and facts meet in time buckets, see :func:`bucket_join`.
     """
-    dim = cut_versions(dim, [d for _, d in keys], start, end)
+    if not cut:
+        dim = stored(cut_versions(dim, [d for _, d in keys], start, end), "versions")
     if small is None:
         small = few_versions(dim, [d for _, d in keys])
     if small:
         within = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
         return lookup_join(facts, dim, keys, "left", within, small=True)
-    return carry_forward(facts, dim, keys, at, start, end, bucket_seconds, salts)
+    return bucket_join(facts, dim, keys, at, start, end, bucket_seconds, salts)
 
 
 def cut_versions(dim: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
@@ -187,83 +192,78 @@ def few_versions(dim: DataFrame, keys: list[str]) -> bool:
     return most is None or most <= BROADCAST_VERSIONS
 
 
-def carry_forward(
+class TimeBuckets:
+    """How time is cut for a versioned dimension. All that is needed comes from the dimension.
+
+    Versions change between the first end and the last start; all time before is one bucket, all time behind another. There are
+    ``COPIES`` times as many buckets as versions per key on average, so the versions, copied into each bucket they
+    touch, stay within (1 + ``COPIES``) times their number. Keys with very many versions have finer buckets of their own, the
+    ``MOST_DENSE`` densest of them; the others only compare a fact with more versions.
+    """
+
+    def __init__(self, dim: DataFrame, keys: list[str], start: str, end: str, seconds: int | None):
+        counts = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(end).alias("first"), F.max(start).alias("last"))
+        found = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), F.min("first").alias("first"), F.max("last").alias("last")).first()
+        self.first = found["first"]
+        span = int((found["last"] - found["first"]).total_seconds()) if found["n"] and found["first"] else 0
+        wanted = -(-COPIES * found["n"] // found["keys"]) if found["n"] else 1
+        self.seconds = seconds or max(1, -(-span // wanted))
+        self.top = max(0, -(-span // self.seconds))
+        self.finer: dict[int, list[int]] = {}
+        most = BROADCAST_VERSIONS * (self.top + 1)
+        if found["n"]:
+            dense = counts.filter(F.col("n") > most).select(_item(dim, keys).alias("item"), "n").orderBy(F.desc("n"), "item").limit(MOST_DENSE)
+            for row in dense.collect():
+                self.finer.setdefault(1 << (row["n"] // most).bit_length(), []).append(row["item"])
+
+    def of(self, df: DataFrame, columns: list[str], ts: str) -> Column:
+        """The bucket of a time, -1 before the first change."""
+        if self.first is None:
+            return F.lit(-1).cast("bigint")
+        finer = F.lit(1)
+        for times, items in self.finer.items():
+            finer = F.when(_item(df, columns).isin(items), times).otherwise(finer)
+        passed = elapsed_seconds(F.lit(self.first).cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+        return F.when(passed < 0, F.lit(-1)).otherwise(F.least(F.floor(passed * finer / self.seconds), F.lit(self.top).cast("bigint") * finer))
+
+
+def bucket_join(
     facts: DataFrame,
     dim: DataFrame,
     keys: Keys,
     at: str,
     start: str,
     end: str,
-    bucket_seconds: int,
-    salts: int | None,
+    bucket_seconds: int | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
-    """As-of join by merging facts and version starts in time order.
+    """As-of join of facts with cut versions by an equality join on (key, time bucket), the range as residual.
 
-    Groups are (key, time bucket, salt): a key is cut by time, a hot one also by salt. Versions
-    that begin before a bucket enter it as one carried row, found on the far smaller
-    table of (key, bucket) summaries. Facts move once.
+    Each version is copied into the buckets it touches, see :class:`TimeBuckets`. Facts are read once and moved once, without a sort in
+    time or a window; run-time skew handling splits a hot (key, bucket), or ``salts`` tasks share each hot key. Facts without key or time match nothing and
+    are spread over buckets that no version is in.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    fact_keys = [f for f, _ in keys]
-    hot = hot_keys(facts, fact_keys) if _comparable(facts, dim, keys) else {}
-
-    def bucket(ts: str) -> Column:
-        return F.floor(elapsed_seconds(epoch, F.col(ts)) / F.lit(bucket_seconds))
-
-    key_names = [f"_k{i}" for i in range(len(keys))]
-    version = F.struct(*[F.col(c) for c in dim.columns])
-    versions = dim.select(
-        *[F.col(d).alias(n) for (_, d), n in zip(keys, key_names, strict=True)],
-        bucket(start).alias("_bucket"),
-        F.col(start).alias("_at"),
-        version.alias("_version"),
-    ).filter(F.col("_at").isNotNull())
-    row = F.struct(*[F.col(c) for c in facts.columns])
-    events = facts.select(
-        *[F.col(f).alias(n) for f, n in zip(fact_keys, key_names, strict=True)],
-        bucket(at).alias("_bucket"),
-        F.col(at).alias("_at"),
-        row.alias("_fact"),
-        _fact_salt(facts, fact_keys, hot, salts).alias("_salt"),
-    )
-
-    latest = versions.groupBy(*key_names, "_bucket").agg(F.max_by("_version", "_at").alias("_version"))
-    wanted = events.select(*key_names, "_bucket").distinct()
-    timeline = latest.withColumn("_seen", F.lit(False)).unionByName(
-        wanted.withColumn("_seen", F.lit(True)), allowMissingColumns=True
-    )
-    per_bucket = timeline.groupBy(*key_names, "_bucket").agg(
-        F.first("_version", ignorenulls=True).alias("_version"), F.max("_seen").alias("_seen")
-    )
-    earlier = Window.partitionBy(*key_names).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carried = (
-        per_bucket.withColumn("_version", F.last("_version", ignorenulls=True).over(earlier))
-        .filter(F.col("_seen") & F.col("_version").isNotNull())
-        .select(*key_names, "_bucket", F.lit(None).cast("timestamp_ntz").alias("_at"), "_version")
-    )
-
-    starts = versions.unionByName(carried)
-    starts = starts.withColumn("_salt", _copy_salts(starts, key_names, hot, salts))
-    # carried rows (no time) first, then versions before facts of the same instant
-    merged = starts.withColumn("_kind", F.lit(0)).unionByName(
-        events.withColumn("_kind", F.lit(1)), allowMissingColumns=True
-    )
-    in_order = (
-        Window.partitionBy(*key_names, "_bucket", "_salt")
-        .orderBy(F.col("_at").asc_nulls_first(), "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    timed = F.col("_fact").isNotNull() & F.col("_at").isNull()
-    found = merged.withColumn(
-        "_version", F.when(~timed, F.last("_version", ignorenulls=True).over(in_order))
-    ).filter(F.col("_fact").isNotNull())
-    valid = F.when(F.col("_at") < F.col(f"_version.{end}"), F.col("_version"))
-    keyed = F.lit(True)
-    for name in key_names:
-        keyed = keyed & F.col(name).isNotNull()
-    return found.withColumn("_version", F.when(keyed, valid)).select("_fact.*", "_version.*")
+    fact_keys, dim_keys = [f for f, _ in keys], [d for _, d in keys]
+    comparable = _comparable(facts, dim, keys)
+    dim = dim.filter(F.col(end) > F.col(start))
+    buckets = TimeBuckets(dim, dim_keys, start, end, bucket_seconds)
+    if not comparable:
+        buckets.finer = {}
+    copies = dim.withColumn("_in", F.explode(F.sequence(buckets.of(dim, dim_keys, start), buckets.of(dim, dim_keys, end))))
+    present = F.col(at).isNotNull()
+    for f in fact_keys:
+        present = present & F.col(f).isNotNull()
+    nowhere = -2 - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(NO_BUCKETS))
+    rows = facts.withColumn("_bucket", F.when(present, buckets.of(facts, fact_keys, at)).otherwise(nowhere))
+    condition = (F.col("_bucket") == F.col("_in")) & (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
+    for f, d in keys:
+        condition = (F.col(f) == F.col(d)) & condition
+    if salts is not None and comparable:
+        hot = hot_keys(facts, fact_keys)
+        rows = rows.withColumn("_fact_salt", _fact_salt(facts, fact_keys, hot, salts))
+        copies = copies.withColumn("_dim_salt", _copy_salts(dim, dim_keys, hot, salts))
+        condition = (F.col("_fact_salt") == F.col("_dim_salt")) & condition
+    return rows.join(copies, condition, "left").select(*[F.col(f"`{c}`") for c in (*facts.columns, *dim.columns)])
 
 
 def reconcile(

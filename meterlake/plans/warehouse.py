@@ -9,7 +9,8 @@ from meterlake import schemas as S
 from meterlake.functions import features as X
 from meterlake.functions.exact import SCALE, cents, exact_avg, exact_sum, round_ratio, scaled
 from meterlake.functions.times import date_key, minute_boundaries
-from meterlake.operators.joins import asof_join, few_versions, fits_broadcast, lookup_join
+from meterlake.operators.joins import asof_join, cut_versions, few_versions, fits_broadcast, lookup_join
+from meterlake.session import stored
 from meterlake.sources.masters import values
 
 
@@ -253,20 +254,21 @@ def load_fact_asof(
     rows = asof_join(
         _timed(staging), vendor, [("vendorid", "_vendor")], "tpep_pickup_datetime", "_v_from", "_v_to", small
     )
+    # both roles share the cut versions
+    zones = zone_versions.select("location_id", "effective_start_date", "effective_end_date", "zone_sk", "is_airport")
+    zones = stored(cut_versions(zones, ["location_id"], "effective_start_date", "effective_end_date"), "versions")
     if small is None:
-        small = few_versions(zone_versions, ["location_id"])
+        small = few_versions(zones, ["location_id"])
     for role, at in (("pu", "tpep_pickup_datetime"), ("do", "tpep_dropoff_datetime")):
-        zone = _zone_lookup(zone_versions, role).columns
-        versions = zone_versions.select(
-            F.col("zone_sk").alias(zone[0]),
-            F.col("location_id").alias(zone[1]),
-            F.col("is_airport").alias(zone[2]),
+        versions = zones.select(
+            F.col("zone_sk").alias(f"_{role}_zone_sk"),
+            F.col("location_id").alias(f"_{role}_location"),
+            F.col("is_airport").alias(f"{role}_airport"),
             F.col("effective_start_date").alias(f"_{role}_from"),
             F.col("effective_end_date").alias(f"_{role}_to"),
         )
-        rows = asof_join(
-            rows, versions, [(f"{role}locationid", zone[1])], at, f"_{role}_from", f"_{role}_to", small
-        )
+        key = [(f"{role}locationid", f"_{role}_location")]
+        rows = asof_join(rows, versions, key, at, f"_{role}_from", f"_{role}_to", small, cut=True)
     keyed = _small_dims(rows, dims).withColumns(
         {
             "vendor_sk": F.coalesce("_vendor_sk", F.lit(VENDOR_UNKNOWN_SK)),

@@ -206,3 +206,34 @@ def test_overlaps_ties_and_gaps_give_the_same_rows_in_both_plans(spark):
     assert rows[True] == rows[False]
     at_one = [rows[True][i * 100 + 1] for i in range(40)]
     assert at_one == [1] * 5 + [2] * 4 + [None] * 6 + [3] * 15 + [None] * 10
+
+
+def test_large_asof_reads_facts_once_and_keeps_versions_few(spark, tmp_path):
+    """Few changes over a long time for most keys, many for one; open ends, facts outside all versions."""
+    rng = random.Random(4)
+    low, high = datetime(1900, 1, 1), datetime(9999, 12, 31, 23, 59, 59)
+    versions = []
+    for key in range(60):
+        cuts = sorted(rng.sample(range(1000, 400_000), 900 if key == 7 else rng.randrange(0, 4)))
+        starts = [low, *[T0 + timedelta(minutes=c) for c in cuts]]
+        versions += [(key, i, a, b) for i, (a, b) in enumerate(zip(starts, [*starts[1:], high], strict=True))]
+    rows = [(i, 7 if i % 3 else rng.choice([None, *range(64)]), T0 + timedelta(minutes=rng.randrange(-9000, 500_000))) for i in range(3000)]
+    rows += [(9000, 5, None), (9001, None, None), (9002, 7, datetime(1850, 1, 1))]
+    spark.createDataFrame(rows, "id int, k int, at timestamp_ntz").write.parquet(f"{tmp_path}/facts")
+    facts = spark.read.parquet(f"{tmp_path}/facts")
+    dim = spark.createDataFrame(versions, "key int, version int, start timestamp_ntz, stop timestamp_ntz")
+    want = {i: next((n for key, n, a, b in versions if key == k and at is not None and a <= at < b), None) for i, k, at in rows}
+    joined = joins.asof_join(facts, dim, [("k", "key")], "at", "start", "stop", False)
+    assert {r["id"]: r["version"] for r in joined.collect()} == want and joined.count() == len(rows)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("at#") and "Window" not in plan and plan.count("Join ") == 1
+    buckets = joins.TimeBuckets(dim, ["key"], "start", "stop", None)
+    copies = dim.select(F.size(F.sequence(buckets.of(dim, ["key"], "start"), buckets.of(dim, ["key"], "stop"))).alias("n"))
+    assert copies.agg(F.sum("n")).first()[0] < 6 * len(versions)
+    many = spark.range(30_000).selectExpr("if(id < 27000, 1, id) AS key", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS start")
+    many = joins.cut_versions(many.withColumn("stop", F.lit(high).cast("timestamp_ntz")), ["key"], "start", "stop")
+    dense = joins.TimeBuckets(many, ["key"], "start", "stop", None)
+    inside = many.withColumn("b", F.explode(F.sequence(dense.of(many, ["key"], "start"), dense.of(many, ["key"], "stop"))))
+    assert len(dense.finer) == 1 and inside.groupBy("key", "b").count().agg(F.max("count")).first()[0] <= 2 * joins.BROADCAST_VERSIONS
+    empty = joins.asof_join(facts, dim.limit(0), [("k", "key")], "at", "start", "stop", False)
+    assert empty.count() == len(rows) and empty.filter("version IS NOT NULL").count() == 0
