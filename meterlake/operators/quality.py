@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, replace
-from functools import partial, reduce
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from meterlake.functions.exact import cents, round_ratio
 from meterlake.functions.rules import blank, some
@@ -44,6 +43,33 @@ def recent(df: DataFrame, ts: str, as_of: str, days: int) -> DataFrame:
     return df.filter(F.col(ts) >= days_before(at(as_of), days))
 
 
+Field = Callable[[str], Column]
+
+
+@dataclass(frozen=True)
+class Measure:
+    """What a check counts on a table and what it makes of the counts.
+
+    Measures on one table run as one aggregate, whatever their number: see :func:`compiled`. With a ``key``, the counts are taken
+    over one row ``key, n`` per key value; measures on the same key share that grouping.
+    """
+
+    counts: dict[str, Column]
+    results: dict[str, Callable[[Field], Column]]
+    key: str | None = None
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        return df if self.key is None else df.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+
+    def of(self, df: DataFrame) -> DataFrame:
+        counted = self.rows(df).agg(*[c.alias(name) for name, c in self.counts.items()])
+        return counted.withColumns({name: made(F.col) for name, made in self.results.items()})
+
+
+def _passes(ok: Callable[[Field], Column]) -> dict[str, Callable[[Field], Column]]:
+    return {"status": lambda c: pass_if(F.coalesce(ok(c), F.lit(False)))}
+
+
 # --- before a load ------------------------------------------------------------------------
 
 
@@ -96,12 +122,17 @@ def negative_amounts(trips: DataFrame, columns: list[str]) -> DataFrame:
     ).withColumn("status", graded(F.col("total_violations"), "records with negative amounts"))
 
 
-def temporal_order(trips: DataFrame, start: str, end: str) -> DataFrame:
-    return trips.agg(_n(F.col(start) >= F.col(end)).alias("invalid_time_records")).withColumn(
-        "status", graded(F.col("invalid_time_records"), "trips with invalid time order")
+def temporal_order_measure(start: str, end: str) -> Measure:
+    return Measure(
+        {"invalid_time_records": _n(F.col(start) >= F.col(end))},
+        {"status": lambda c: graded(c("invalid_time_records"), "trips with invalid time order")},
     )
 
 
+def temporal_order(trips: DataFrame, start: str, end: str) -> DataFrame:
+    return temporal_order_measure(start, end).of(trips)
+
+
 def masters_active(masters: dict[str, DataFrame]) -> DataFrame:
     """Active records per entity; the first entity without any is named. One aggregate
     over the stacked states, no join of single values."""
@@ -124,27 +155,34 @@ def masters_active(masters: dict[str, DataFrame]) -> DataFrame:
 # --- on trips and summaries ----------------------------------------------------------------
 
 
+def null_key_measure(key: str) -> Measure:
+    return Measure({"null_count": _n(F.col(key).isNull())}, _passes(lambda c: c("null_count") == 0))
+
+
 def null_key(df: DataFrame, key: str) -> DataFrame:
-    return df.agg(_n(F.col(key).isNull()).alias("null_count")).withColumn(
-        "status", pass_if(F.col("null_count") == 0)
-    )
+    return null_key_measure(key).of(df)
 
 
-def date_range(trips: DataFrame, start: str, end: str, as_of: str) -> DataFrame:
+def date_range_measure(start: str, end: str, as_of: str) -> Measure:
     now = at(as_of)
     bad = some([F.coalesce(p, F.lit(False)) for p in (F.col(start) > F.col(end), F.col(start) > now, F.col(end) > now)])
-    return trips.agg(_n(bad).alias("violation_count")).withColumn(
-        "status", pass_if(F.col("violation_count") == 0)
-    )
+    return Measure({"violation_count": _n(bad)}, _passes(lambda c: c("violation_count") == 0))
 
 
-def duplicate_key(df: DataFrame, key: str) -> DataFrame:
+def date_range(trips: DataFrame, start: str, end: str, as_of: str) -> DataFrame:
+    return date_range_measure(start, end, as_of).of(trips)
+
+
+def duplicate_key_measure(key: str) -> Measure:
     """Rows beyond the first per key. Distinct keys are found by grouping, so a key that
     holds many rows shrinks before it is shuffled."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.coalesce(F.sum("n") - F.count(key), F.lit(0)).alias("duplicate_count")
-    ).withColumn("status", pass_if(F.col("duplicate_count") == 0))
+    return Measure(
+        {"duplicate_count": F.coalesce(F.sum("n") - F.count(key), F.lit(0))}, _passes(lambda c: c("duplicate_count") == 0), key
+    )
+
+
+def duplicate_key(df: DataFrame, key: str) -> DataFrame:
+    return duplicate_key_measure(key).of(df)
 
 
 def orphans(df: DataFrame, key: str, masters: DataFrame, master_key: str) -> DataFrame:
@@ -156,28 +194,34 @@ def orphans(df: DataFrame, key: str, masters: DataFrame, master_key: str) -> Dat
     )
 
 
-def revenue(trips: DataFrame, parts: list[str], total: str, tolerance: float = 0.01) -> DataFrame:
-    """Sum of the components against the sum of the totals."""
+def revenue_measure(parts: list[str], total: str, tolerance: float = 0.01) -> Measure:
     summed = reduce(lambda a, b: a + b, [F.coalesce(cents(p), F.lit(0)) for p in parts])
     gap = F.abs(F.sum(summed) - F.sum(cents(total)))
-    return trips.agg((gap / F.lit(100.0)).alias("variance")).withColumn(
-        "status", pass_if(F.coalesce(F.col("variance") <= tolerance, F.lit(False)))
-    )
+    return Measure({"variance": gap / F.lit(100.0)}, _passes(lambda c: c("variance") <= tolerance))
 
 
-def duration(trips: DataFrame, start: str, end: str, longest: int = 1440) -> DataFrame:
+def revenue(trips: DataFrame, parts: list[str], total: str, tolerance: float = 0.01) -> DataFrame:
+    """Sum of the components against the sum of the totals."""
+    return revenue_measure(parts, total, tolerance).of(trips)
+
+
+def duration_measure(start: str, end: str, longest: int = 1440) -> Measure:
     minutes = whole_minutes(F.col(start), F.col(end))
-    return trips.agg(_n((minutes < 0) | (minutes > longest)).alias("invalid_count")).withColumn(
-        "status", pass_if(F.col("invalid_count") == 0)
-    )
+    return Measure({"invalid_count": _n((minutes < 0) | (minutes > longest))}, _passes(lambda c: c("invalid_count") == 0))
 
 
-def complete_rows(df: DataFrame, keys: list[str], needed: float = 99.9) -> DataFrame:
+def duration(trips: DataFrame, start: str, end: str, longest: int = 1440) -> DataFrame:
+    return duration_measure(start, end, longest).of(trips)
+
+
+def complete_rows_measure(keys: list[str], needed: float = 99.9) -> Measure:
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     pct = F.try_divide(_n(whole) * 100.0, F.count(F.lit(1)).cast("double"))
-    return df.agg(pct.alias("completeness_pct")).withColumn(
-        "status", pass_if(F.coalesce(F.col("completeness_pct") >= needed, F.lit(False)))
-    )
+    return Measure({"completeness_pct": pct}, _passes(lambda c: c("completeness_pct") >= needed))
+
+
+def complete_rows(df: DataFrame, keys: list[str], needed: float = 99.9) -> DataFrame:
+    return complete_rows_measure(keys, needed).of(df)
 
 
 def score_threshold(summary: DataFrame, score: str, good: float = 95.0, fair: float = 90.0) -> DataFrame:
@@ -311,75 +355,135 @@ def freshness(df: DataFrame, ts: str, max_days: int, as_of: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
+    """A named check with the text it should give. ``build`` makes its one-row DataFrame; a check declared by ``table`` and ``measure`` instead
+    shares one scan with all others on that table."""
+
     suite: str
     name: str
     category: str
-    build: Callable[[], DataFrame]
+    build: Callable[[], DataFrame] | None = None
     expected: str = "PASS"
     column: str = "status"
+    table: DataFrame | None = None
+    measure: Measure | None = None
+
+
+def _told(check: Check, actual: Column) -> Column:
+    return F.struct(
+        F.lit(check.suite).alias("test_suite"),
+        F.lit(check.name).alias("test_name"),
+        F.lit(check.category).alias("test_category"),
+        F.lit(check.expected).alias("expected_result"),
+        actual.cast("string").alias("actual_result"),
+    )
+
+
+def _planned(check: Check) -> DataFrame | Exception:
+    """The check by itself, or why it cannot be planned."""
+    try:
+        alone = check.build() if check.measure is None else check.measure.of(check.table)
+        return alone.select(F.inline(F.array(_told(check, F.col(check.column)))))
+    except Exception as failure:
+        return failure
+
+
+def compiled(checks: list[Check]) -> list[tuple[list[Check], DataFrame]]:
+    """Plans for checks that can be planned: all measures on one table (and key) are one aggregate, which gives one row for each of
+    them. Checks that build their own DataFrame stay apart."""
+    groups: dict[tuple, list[Check]] = {}
+    for k, check in enumerate(checks):
+        shared = (id(check.table), check.measure.key) if check.measure is not None else (k,)
+        groups.setdefault(shared, []).append(check)
+    plans = []
+    for some in groups.values():
+        if some[0].measure is None or len(some) == 1:
+            plans += [(list(some), _planned(some[0]))]
+            continue
+        counts = [F.struct(*[c.alias(n) for n, c in check.measure.counts.items()]).alias(f"_{k}") for k, check in enumerate(some)]
+        row = some[0].measure.rows(some[0].table).agg(*counts)
+        told = []
+        for k, check in enumerate(some):
+            own = f"_{k}"
+            made = check.measure.results.get(check.column, lambda c, name=check.column: c(name))
+            told.append(_told(check, made(lambda name, own=own: F.col(own).getField(name))))
+        plans.append((list(some), row.select(F.inline(F.array(*told)))))
+    return plans
+
+
+def _logged(rows: DataFrame, executed_at: str, executed_by: str) -> DataFrame:
+    status = F.when(F.col("error_message").isNotNull(), "ERROR").when(F.col("actual_result") == F.col("expected_result"), "PASS")
+    return rows.select(
+        "test_suite",
+        "test_name",
+        "test_category",
+        status.otherwise("FAIL").alias("test_status"),
+        "expected_result",
+        "actual_result",
+        "error_message",
+        at(executed_at).alias("executed_at"),
+        F.lit(executed_by).alias("executed_by"),
+        *[c for c in rows.columns if c == "execution_time_ms"],
+    )
+
+
+def _errors(failed: list[tuple[Check, Exception]]) -> DataFrame:
+    rows = [(c.suite, c.name, c.category, c.expected, None, str(e).splitlines()[0] if str(e) else type(e).__name__) for c, e in failed]
+    kinds = "test_suite string, test_name string, test_category string, expected_result string, actual_result string, error_message string"
+    return SparkSession.active().createDataFrame(rows, kinds)
+
+
+def _split(checks: list[Check]) -> tuple[list[Check], list[tuple[Check, Exception]]]:
+    """Checks that can be planned, and the others with the reason. Nothing runs."""
+    planned = [(c, _planned(c)) for c in checks]
+    return [c for c, p in planned if not isinstance(p, Exception)], [(c, p) for c, p in planned if isinstance(p, Exception)]
 
 
 def run_checks(checks: list[Check], executed_at: str, executed_by: str = "test_framework") -> DataFrame:
     """One log row per check: PASS or FAIL against the expected text, ERROR when the check
     cannot be planned. The checks run together as one job."""
-    rows: list[DataFrame] = []
-    spark = SparkSession.active()
-    for check in checks:
-        try:
-            actual = check.build().select(F.col(check.column).cast("string").alias("actual_result"))
-            error = F.lit(None).cast("string")
-        except Exception as failure:
-            actual = spark.range(1).select(F.lit(None).cast("string").alias("actual_result"))
-            error = F.lit(str(failure).splitlines()[0])
-        status = (
-            F.when(error.isNotNull(), "ERROR")
-            .when(F.col("actual_result") == check.expected, "PASS")
-            .otherwise("FAIL")
-        )
-        rows.append(
-            actual.select(
-                F.lit(check.suite).alias("test_suite"),
-                F.lit(check.name).alias("test_name"),
-                F.lit(check.category).alias("test_category"),
-                status.alias("test_status"),
-                F.lit(check.expected).alias("expected_result"),
-                "actual_result",
-                error.alias("error_message"),
-                at(executed_at).alias("executed_at"),
-                F.lit(executed_by).alias("executed_by"),
-            )
-        )
-    return reduce(DataFrame.unionByName, rows)
+    good, failed = _split(checks)
+    rows = _errors(failed)
+    for _, plan in compiled(good):
+        rows = rows.unionByName(plan.withColumn("error_message", F.lit(None).cast("string")))
+    return _logged(rows, executed_at, executed_by)
 
 
 def completed_checks(checks: list[Check], executed_at: str, executed_by: str = "test_framework") -> DataFrame:
-    """The log rows of checks that have run, with ``execution_time_ms``. All run as one job; if that fails, each runs by itself, so one that fails
-    while it runs is an ERROR row and the others keep their results. One row per check passes through the driver."""
+    """The log rows of checks that have run, with ``execution_time_ms`` of the job that gave them. All run as one job. If that fails, the checks of each
+    aggregate run by themselves, and where one fails it is halved until the failing check stands alone and becomes an ERROR row; the
+    others keep their results. One row per check passes through the driver."""
+    spark = SparkSession.active()
+    good, failed = _split(checks)
     found: list[tuple] = []
-    schema = None
 
-    def run(some: list[Check]) -> None:
-        nonlocal schema
+    def collected(plans: list[DataFrame]) -> None:
         began = time.monotonic()
-        log = run_checks(some, executed_at, executed_by)
-        rows = log.collect()
-        schema = log.schema
-        found.extend((*r, int(1000 * (time.monotonic() - began))) for r in rows)
+        rows = reduce(DataFrame.unionByName, plans).collect()
+        took = int(1000 * (time.monotonic() - began))
+        found.extend((*r, None, took) for r in rows)
+
+    def halved(some: list[Check]) -> None:
+        try:
+            collected([plan for _, plan in compiled(some)])
+        except Exception as failure:
+            if len(some) == 1:
+                failed.append((some[0], failure))
+            else:
+                halved(some[: len(some) // 2])
+                halved(some[len(some) // 2 :])
 
+    plans = compiled(good)
     try:
-        run(checks)
+        if plans:
+            collected([plan for _, plan in plans])
     except Exception:
-        for check in checks:
-            try:
-                run([check])
-            except Exception as failure:
-                run([replace(check, build=partial(_raise, failure))])
-    kinds = StructType([*(StructField(f.name, f.dataType) for f in schema.fields), StructField("execution_time_ms", LongType())])
-    return SparkSession.active().createDataFrame(found, kinds)
-
-
-def _raise(failure: Exception) -> DataFrame:
-    raise failure
+        for some, _ in plans:
+            halved(some)
+    kinds = "test_suite string, test_name string, test_category string, expected_result string, actual_result string, error_message string"
+    rows = spark.createDataFrame(found, f"{kinds}, execution_time_ms bigint").unionByName(
+        _errors(failed).withColumn("execution_time_ms", F.lit(0).cast("bigint"))
+    )
+    return _logged(rows, executed_at, executed_by)
 
 
 def report_by_suite(log: DataFrame) -> DataFrame:

@@ -163,6 +163,36 @@ def test_check_runner(spark):
     assert Q.report_failures(log).count() == 2
 
 
+def test_checks_on_one_table_share_a_scan_and_one_failure_spares_the_others(spark, tmp_path):
+    rows = [(1, "2024-01-01", "Y"), (1, "2024-01-02", None), (None, "2024-01-03", "5")]
+    spark.createDataFrame(rows, "id int, day string, flag string").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+
+    def on(name, measure, expected="PASS", column="status"):
+        return Q.Check("s", name, "unit", None, expected, column, df, measure)
+
+    plain = [
+        on("nulls", Q.null_key_measure("id"), "1", "null_count"),
+        on("no day", Q.null_key_measure("day")),
+        on("whole", Q.complete_rows_measure(["id", "flag"])),
+        on("no column", Q.null_key_measure("gone")),
+    ]
+    good, failed = Q._split(plain)
+    plans = Q.compiled(good)
+    assert [c.name for c, _ in failed] == ["no column"] and len(plans) == 1
+    plan = plans[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("Aggregate") == 1
+    keyed = [on("twice", Q.duplicate_key_measure("id"), "2", "duplicate_count"), on("unique", Q.duplicate_key_measure("id"))]
+    assert len(Q.compiled(plain[:3] + keyed)) == 2
+    breaks = on("number", Q.Measure({"t": F.sum(F.col("flag").cast("int"))}, {"status": lambda c: Q.pass_if(c("t") > 0)}))
+    log = {r["test_name"]: r for r in Q.completed_checks([*plain, breaks, *keyed], AS_OF).collect()}
+    assert {k: r["test_status"] for k, r in log.items()} == {
+        "nulls": "PASS", "no day": "PASS", "whole": "FAIL", "no column": "ERROR", "number": "ERROR", "twice": "PASS", "unique": "FAIL"
+    }
+    assert log["number"]["error_message"] and log["nulls"]["error_message"] is None and log["nulls"]["execution_time_ms"] >= 0
+    assert Q.completed_checks([], AS_OF).count() == 0 and Q.run_checks([], AS_OF).count() == 0
+
+
 def test_idempotence_sees_a_changed_row(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(2, "y"), (1, "x")], "k int, v string")
