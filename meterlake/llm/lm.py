@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ from meterlake.session import scratch_path
 # fixed values: hashes of the marks before and after a text
 START, END = np.uint64(0x5A17), np.uint64(0xE2D)
 CHUNK_CHARS = 3_000_000
+# triples are counted in steps of so many bytes of text, which bounds what a worker holds
+STEP_CHARS = 4_000_000
 # word shards: one per so many bytes of text, between 2**5 and 2**16
 BYTES_PER_WORD_SHARD = 128 << 20
 WORD_BITS = (5, 16)
@@ -94,6 +97,41 @@ def counts_from_bytes(data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def text_steps(texts: pa.Array, chars: int) -> Iterator[list[str | None]]:
+    """The texts of a batch in steps of about so many bytes; a longer text is a step of its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    group = (np.cumsum(sizes) - sizes) // chars
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            yield texts.slice(a, b - a).to_pylist()
+
+
+def triples_of(texts: list[str | None], lexicon, first: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context (two words), word and count of each distinct triple, in order. Two marks stand before the first token of a text."""
+    tokens, sizes = token_hashes(texts)
+    known, code = np.unique(np.append(tokens, START), return_inverse=True)
+    number = lexicon.places(known, first)[code]
+    own, start = number[:-1], number[-1]
+    front = before(own, sizes, start)
+    contexts, code = np.unique(before(front, sizes, start) << np.int64(32) | front, return_inverse=True)
+    triples, counts = np.unique(code << np.int64(32) | own, return_counts=True)
+    return contexts[triples >> np.int64(32)], (triples & LOW).astype(np.uint32), counts.astype(np.uint32)
+
+
+def merged_triples(steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if len(steps) == 1:
+        return (*steps[0][:2], steps[0][2].astype(np.int64))
+    if not steps:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    left, right, counts = (np.concatenate([step[k] for step in steps]) for k in range(3))
+    steps.clear()
+    order = np.lexsort((right, left))
+    left, right, counts = left[order], right[order], counts[order]
+    fresh = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
+    return left[fresh], right[fresh], np.add.reduceat(counts, fresh, dtype=np.int64)
+
+
 def cut_points(shards: np.ndarray, n: int) -> tuple[list[int], np.ndarray]:
     ends = np.searchsorted(shards, np.arange(n + 1))
     return [k for k in range(n) if ends[k] < ends[k + 1]], ends
@@ -264,22 +302,17 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Words(folder, word_bits, shards)
         for batch in batches:
-            tokens, sizes = token_hashes(batch.column("text").to_pylist())
-            if not len(tokens):
+            steps = [triples_of(texts, lexicon, first) for texts in text_steps(batch.column("text"), STEP_CHARS)]
+            left, right, counts = merged_triples(steps)
+            if not len(left):
                 continue
-            known, code = np.unique(np.append(tokens, START), return_inverse=True)
-            number = lexicon.places(known, first)[code]
-            own, start = number[:-1], number[-1]
-            front = before(own, sizes, start)
-            # two marks stand before the first token of a text
-            contexts, code = np.unique(before(front, sizes, start) << np.int64(32) | front, return_inverse=True)
+            fresh = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
+            contexts, followers = left[fresh], np.diff(np.append(fresh, len(left)))
             shard = pair_shard(contexts, triple_bits)
             order = np.argsort(shard, kind="stable")
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            triples, counts = np.unique(rank[code] << np.int64(32) | own, return_counts=True)
-            followers = np.bincount(triples >> np.int64(32), minlength=len(order))
-            right, contexts = triples & LOW, contexts[order]
+            of_triples = np.argsort(np.repeat(shard, followers), kind="stable")
+            right, counts = right[of_triples], counts[of_triples]
+            contexts, followers = contexts[order], followers[order]
             filled, ends = cut_points(shard[order], 1 << triple_bits)
             at = np.concatenate([[0], np.cumsum(followers)])[ends]
             yield pa.RecordBatch.from_pydict(
@@ -328,6 +361,10 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
 
     def write_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
+        if shard < 0:
+            # totals of the triple shards, one row each
+            rows = [(shard, "triples", None, None, np.sum(np.stack(pdf["totals"].to_list()), axis=0).tolist())]
+            return pd.DataFrame(rows, columns=["shard", "kind", "words", "figures", "totals"])
         sent = [unsqueezed_keys(k) for k in pdf["keys"]]
         keys, counts = merged(sent, [counts_from_bytes(c, len(k)) for c, k in zip(pdf["counts"], sent, strict=True)])
         hashes = mixed(keys.view(np.uint64))
@@ -361,17 +398,17 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
 
     if order > 2:
         sent = texts.mapInArrow(count_triples, "shard int, contexts binary, followers binary, words binary, counts binary")
-        counted = stored(sent.groupBy("shard").applyInPandas(write_triples, "shard int, keys binary, counts binary, totals array<long>"), "lm-triples")
-        model |= {"triple_bits": triple_bits, "triples": _summed(counted.filter("shard < 0"), 5)}
-        pairs = counted.filter("shard >= 0").select("shard", "keys", "counts")
+        pairs = sent.groupBy("shard").applyInPandas(write_triples, "shard int, keys binary, counts binary, totals array<long>")
     else:
-        pairs = texts.mapInArrow(count_pairs, "shard int, keys binary, counts binary")
+        pairs = texts.mapInArrow(count_pairs, "shard int, keys binary, counts binary").withColumn("totals", F.lit(None).cast("array<long>"))
     figures = stored(
         pairs.groupBy("shard")
         .applyInPandas(write_pairs, "shard int, kind string, words binary, figures array<binary>, totals array<long>"),
         "lm-figures",
     )
     model["pairs"] = _summed(figures.filter("kind = 'totals'"), 5)
+    if order > 2:
+        model |= {"triple_bits": triple_bits, "triples": _summed(figures.filter("kind = 'triples'"), 5)}
 
     def write_figures(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
@@ -385,7 +422,7 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
         return pd.DataFrame({"totals": [[int(out["preceded"].sum()), *(int((out["preceded"] == k).sum()) for k in (1, 2, 3, 4)), int((out["preceded"] > 0).sum())]]})
 
     summed = stored(
-        figures.filter("kind <> 'totals'").groupBy("shard").applyInPandas(write_figures, "totals array<long>"), "lm-totals"
+        figures.filter("shard >= 0").groupBy("shard").applyInPandas(write_figures, "totals array<long>"), "lm-totals"
     )
     model["preceded"] = _summed(summed, 6)
     return model
