@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions.exact import cents, round_ratio
+from meterlake.functions.exact import WIDE, cents, round_ratio, units_sum
 from meterlake.functions.rules import blank, some
 from meterlake.functions.times import at, days_before, whole_minutes
 from meterlake.operators.joins import lookup_join, unmatched
@@ -195,9 +195,9 @@ def orphans(df: DataFrame, key: str, masters: DataFrame, master_key: str) -> Dat
 
 
 def revenue_measure(parts: list[str], total: str, tolerance: float = 0.01) -> Measure:
-    summed = reduce(lambda a, b: a + b, [F.coalesce(cents(p), F.lit(0)) for p in parts])
-    gap = F.abs(F.sum(summed) - F.sum(cents(total)))
-    return Measure({"variance": gap / F.lit(100.0)}, _passes(lambda c: c("variance") <= tolerance))
+    summed = reduce(lambda a, b: a + b, [F.coalesce(units_sum(p, 100), F.lit(0).cast(WIDE)) for p in parts])
+    gap = F.abs(summed - units_sum(total, 100))
+    return Measure({"variance": gap.cast("double") / F.lit(100.0)}, _passes(lambda c: c("variance") <= tolerance))
 
 
 def revenue(trips: DataFrame, parts: list[str], total: str, tolerance: float = 0.01) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import features as X
 from meterlake.functions.casts import cast_if_present
-from meterlake.functions.exact import SCALE, exact_avg, exact_sum, scaled
+from meterlake.functions.exact import SCALE, exact_avg, exact_sum, units_sum
 from meterlake.functions.rules import RESOLVED, resolved, valid_trip
 from meterlake.functions.times import elapsed_seconds, fractional_minutes
 from meterlake.operators.joins import fits_broadcast, lookup_join
@@ -162,9 +162,9 @@ def kpis(
         F.sum("is_short_trip").alias("num_short_trips"),
         F.sum(rush_flag).alias("num_rush_hour_rides"),
         # whole-number totals, so that every ratio below is a single division
-        F.sum(scaled("total_amount")).alias("_revenue"),
-        F.sum(scaled("tip_amount")).alias("_tip"),
-        F.sum(scaled("trip_distance")).alias("_miles"),
+        units_sum("total_amount").cast("double").alias("_revenue"),
+        units_sum("tip_amount").cast("double").alias("_tip"),
+        units_sum("trip_distance").cast("double").alias("_miles"),
         F.sum(seconds).alias("_seconds"),
     )
     named = _with_zones(grouped, zones, ["locationid", "borough", "zone"])

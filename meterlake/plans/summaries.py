@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import features as X
 from meterlake.functions.casts import safe_cents, safe_whole
-from meterlake.functions.exact import cents, mean_cents, round_ratio, rounded_avg, rounded_sum
+from meterlake.functions.exact import cents, long_sum, mean_cents, round_ratio, rounded_avg, rounded_sum, units_sum
 from meterlake.functions.rules import within_month
 from meterlake.functions.times import at, days_before, hours_before, whole_minutes
 from meterlake.operators.joins import fits_broadcast, lookup_join
@@ -81,7 +81,8 @@ def daily_summary(trips: DataFrame, vendors: DataFrame, year: int, month: int) -
     grouped = keyed.groupBy("trip_date", "vendor", "pu", "do", *places).agg(
         F.count(F.lit(1)).alias("n"),
         F.count("score").alias("n_scored"),
-        *[F.sum(s).alias(f"s_{s}") for s in sums + counts],
+        *[long_sum(s).alias(f"s_{s}") for s in sums],
+        *[F.sum(s).alias(f"s_{s}") for s in counts],
         F.count_if(c("tip") > 0).alias("tipped"),
         F.count_if(c("ratecodeid") == 1).alias("standard"),
         F.count_if(c("ratecodeid").isin(2, 3)).alias("airport"),
@@ -90,7 +91,7 @@ def daily_summary(trips: DataFrame, vendors: DataFrame, year: int, month: int) -
     named = lookup_join(grouped, active_names(vendors), [("vendor", "_vendor")])
 
     def amount(total: str) -> Column:
-        return c(f"s_{total}") / F.lit(100.0)
+        return c(f"s_{total}").cast("double") / F.lit(100.0)
 
     def mean(total: str) -> Column:
         return mean_cents(c(f"s_{total}"), c("n"))
@@ -220,8 +221,8 @@ def route_patterns(trips: DataFrame, as_of: str, days: int = 90, refresh_type: s
         F.hour(pickup).alias("hour"),
     ).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(cents("fare_amount")).alias("fare"),
-        F.sum(cents("trip_distance")).alias("miles"),
+        units_sum("fare_amount", 100).alias("fare"),
+        units_sum("trip_distance", 100).alias("miles"),
         F.sum(minutes).alias("minutes"),
         F.count(minutes).alias("n_minutes"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas as S
 from meterlake.functions import features as X
-from meterlake.functions.exact import SCALE, cents, exact_avg, exact_sum, round_ratio, scaled
+from meterlake.functions.exact import SCALE, exact_avg, exact_sum, round_ratio, units_sum
 from meterlake.functions.times import date_key, minute_boundaries
 from meterlake.operators.joins import asof_join, cut_versions, few_versions, fits_broadcast, lookup_join
 from meterlake.session import stored
@@ -351,14 +351,14 @@ def net_flow(fact: DataFrame) -> DataFrame:
 def revenue_by_vendor(fact: DataFrame, vendor: DataFrame, dates: DataFrame) -> DataFrame:
     """Daily trips and revenue per vendor. Facts are grouped by key before names are joined."""
     per_key = fact.groupBy("pickup_date_sk", "vendor_sk").agg(
-        F.count(F.lit(1)).alias("_trips"), F.sum(cents("total_amount")).alias("_revenue")
+        F.count(F.lit(1)).alias("_trips"), units_sum("total_amount", 100).alias("_revenue")
     )
     day = dates.select("date_sk", "full_date")
     names = vendor.select(F.col("vendor_sk").alias("_sk"), "vendor_name")
     joined = lookup_join(per_key, day, [("pickup_date_sk", "date_sk")], "inner")
     joined = lookup_join(joined, names, [("vendor_sk", "_sk")], "inner")
     out = joined.groupBy("full_date", "vendor_name").agg(
-        F.sum("_trips").alias("trips"), (F.sum("_revenue") / F.lit(100.0)).alias("revenue")
+        F.sum("_trips").alias("trips"), (F.sum("_revenue").cast("double") / F.lit(100.0)).alias("revenue")
     )
     return out.orderBy("full_date", F.desc("revenue"), "vendor_name")
 
@@ -366,12 +366,12 @@ def revenue_by_vendor(fact: DataFrame, vendor: DataFrame, dates: DataFrame) -> D
 def top_zones(fact: DataFrame, zone: DataFrame, k: int = 10) -> DataFrame:
     """The busiest pickup zones; ties by name."""
     per_key = fact.groupBy("pickup_zone_sk").agg(
-        F.count(F.lit(1)).alias("_trips"), F.sum(cents("total_amount")).alias("_revenue")
+        F.count(F.lit(1)).alias("_trips"), units_sum("total_amount", 100).alias("_revenue")
     )
     names = zone.select("zone_sk", "zone_name", "borough")
     joined = lookup_join(per_key, names, [("pickup_zone_sk", "zone_sk")], "inner")
     out = joined.groupBy("zone_name", "borough").agg(
-        F.sum("_trips").alias("trips"), (F.sum("_revenue") / F.lit(100.0)).alias("revenue")
+        F.sum("_trips").alias("trips"), (F.sum("_revenue").cast("double") / F.lit(100.0)).alias("revenue")
     )
     return out.orderBy(F.desc("trips"), "zone_name", "borough").limit(k)
 
@@ -389,7 +389,7 @@ def _units(fact: DataFrame, keys: list[str], amounts: list[str], flags: list[str
     """Facts grouped by their numeric keys, amounts in whole units: all that a view needs, before any name is looked up."""
     parts = [F.count(F.lit(1)).alias("n")]
     for c in amounts:
-        parts += [F.sum(scaled(c)).alias(f"{c}_units"), F.count(c).alias(f"{c}_n")]
+        parts += [units_sum(c).alias(f"{c}_units"), F.count(c).alias(f"{c}_n")]
     parts += [F.count_if(f).alias(f"{f}_n") for f in flags]
     parts += [F.sum(c).alias(f"{c}_sum") for c in counts]
     return fact.groupBy(*keys).agg(*parts)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.functions.exact import cents, scaled
+from meterlake.functions.exact import cents, exact_sum, long_sum, rounded_sum, scaled, units_sum
 from meterlake.operators import quality, scd
 from meterlake.schemas import OPEN_END, TRIP_SCHEMA
 from meterlake.sources import landing
@@ -121,3 +121,18 @@ def test_checks_that_cannot_be_planned_or_fail_while_running_become_errors(spark
     assert {k: r["test_status"] for k, r in rows.items()} == {"a": "ERROR", "b": "ERROR", "c": "PASS"}
     assert rows["a"]["error_message"] and rows["b"]["error_message"] and rows["c"]["error_message"] is None
     assert all(r["execution_time_ms"] >= 0 for r in rows.values())
+
+
+def test_sums_have_room_for_corrupt_amounts(spark):
+    """Two limbs: sums beyond BIGINT, halves away from zero, negatives, NULLs, and whole numbers near the limits."""
+    rows = [(1, 1e15, 2**62), (1, 1e15, 2**62), (1, 0.01, 5), (2, -1e15, -(2**63)), (2, -1e15, -1), (2, -0.005, 1), (3, None, None), (4, 0.00005, -7), (4, -0.00005, 7), (5, 1e19, 3)]
+    df = spark.createDataFrame(rows, "k int, amount double, n bigint")
+    got = {r["k"]: r for r in df.groupBy("k").agg(units_sum("amount", 100).alias("u"), long_sum("n").alias("n"), exact_sum("amount").alias("s"), rounded_sum("amount").alias("r")).collect()}
+    assert [got[k]["u"] for k in (1, 2, 3, 4)] == [2 * 10**17 + 1, -(2 * 10**17) - 1, None, 0]
+    assert [got[k]["n"] for k in (1, 2, 3, 4)] == [2**63 + 5, -(2**63), None, 0]
+    assert got[1]["s"] == 2e15 + 0.01 and got[4]["s"] == 0.0 and got[3]["s"] is None and got[5]["s"] == 1e19
+    plain = spark.range(5000).selectExpr("(id * 7919 % 100003) / 100.0 - 300 AS x")
+    one = plain.agg(F.sum(scaled("x")), units_sum("x")).first()
+    assert int(one[1]) == one[0]
+    trips = spark.createDataFrame([(1, 1e15), (1, 1e15), (2, 3.25)], "vendorid int, total_amount double")
+    assert trips.agg(exact_sum("total_amount")).first()[0] == 2e15 + 3.25
