@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +86,15 @@ def before(tokens: np.ndarray, sizes: np.ndarray, mark) -> np.ndarray:
     return out
 
 
+def sealed(data: bytes) -> bytes:
+    """Packed numbers as they travel: entropy coding takes the unused bits of the leading bytes, which Spark's own codec leaves."""
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def opened(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def counts_to_bytes(counts: np.ndarray) -> bytes:
     """Small counts as one byte, larger ones behind a mark."""
     small = np.minimum(counts, 255).astype(np.uint8)
@@ -291,8 +301,8 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
             yield pa.RecordBatch.from_pydict(
                 {
                     "shard": pa.array(filled, pa.int32()),
-                    "keys": pa.array([squeezed_keys(keys[ends[k] : ends[k + 1]]) for k in filled], pa.binary()),
-                    "counts": pa.array([counts_to_bytes(counts[ends[k] : ends[k + 1]]) for k in filled], pa.binary()),
+                    "keys": pa.array([sealed(squeezed_keys(keys[ends[k] : ends[k + 1]])) for k in filled], pa.binary()),
+                    "counts": pa.array([sealed(counts_to_bytes(counts[ends[k] : ends[k + 1]])) for k in filled], pa.binary()),
                 }
             )
 
@@ -318,10 +328,10 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
             yield pa.RecordBatch.from_pydict(
                 {
                     "shard": pa.array(filled, pa.int32()),
-                    "contexts": pa.array([squeezed_keys(contexts[ends[k] : ends[k + 1]]) for k in filled], pa.binary()),
-                    "followers": pa.array([counts_to_bytes(followers[ends[k] : ends[k + 1]]) for k in filled], pa.binary()),
-                    "words": pa.array([trimmed(right[at[k] : at[k + 1]], wide) for k in filled], pa.binary()),
-                    "counts": pa.array([counts_to_bytes(counts[at[k] : at[k + 1]]) for k in filled], pa.binary()),
+                    "contexts": pa.array([sealed(squeezed_keys(contexts[ends[k] : ends[k + 1]])) for k in filled], pa.binary()),
+                    "followers": pa.array([sealed(counts_to_bytes(followers[ends[k] : ends[k + 1]])) for k in filled], pa.binary()),
+                    "words": pa.array([sealed(trimmed(right[at[k] : at[k + 1]], wide)) for k in filled], pa.binary()),
+                    "counts": pa.array([sealed(counts_to_bytes(counts[at[k] : at[k + 1]])) for k in filled], pa.binary()),
                 }
             )
 
@@ -329,7 +339,8 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
         shard = int(pdf["shard"].iloc[0])
         start = Words(folder, word_bits, shards).places(np.array([START]), first)[0]
         left, right, times = [], [], []
-        for c, f, w, k in zip(pdf["contexts"], pdf["followers"], pdf["words"], pdf["counts"], strict=True):
+        for row in zip(pdf["contexts"], pdf["followers"], pdf["words"], pdf["counts"], strict=True):
+            c, f, w, k = map(opened, row)
             keys, words = unsqueezed_keys(c), widened(w, wide)
             left.append(np.repeat(keys, counts_from_bytes(f, len(keys))))
             right.append(words)
@@ -355,7 +366,7 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
         order = np.lexsort((pairs, at))
         pairs, preceded = pairs[order], preceded[order]
         filled, ends = cut_points(at[order], n_pairs)
-        rows = [(k, squeezed_keys(pairs[ends[k] : ends[k + 1]]), counts_to_bytes(preceded[ends[k] : ends[k + 1]]), None) for k in filled]
+        rows = [(k, sealed(squeezed_keys(pairs[ends[k] : ends[k + 1]])), sealed(counts_to_bytes(preceded[ends[k] : ends[k + 1]])), None) for k in filled]
         rows.append((-1, None, None, [len(counts), *(int((counts == k).sum()) for k in (1, 2, 3, 4))]))
         return pd.DataFrame(rows, columns=["shard", "keys", "counts", "totals"])
 
@@ -365,8 +376,8 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
             # totals of the triple shards, one row each
             rows = [(shard, "triples", None, None, np.sum(np.stack(pdf["totals"].to_list()), axis=0).tolist())]
             return pd.DataFrame(rows, columns=["shard", "kind", "words", "figures", "totals"])
-        sent = [unsqueezed_keys(k) for k in pdf["keys"]]
-        keys, counts = merged(sent, [counts_from_bytes(c, len(k)) for c, k in zip(pdf["counts"], sent, strict=True)])
+        sent = [unsqueezed_keys(opened(k)) for k in pdf["keys"]]
+        keys, counts = merged(sent, [counts_from_bytes(opened(c), len(k)) for c, k in zip(pdf["counts"], sent, strict=True)])
         hashes = mixed(keys.view(np.uint64))
         ranked = np.argsort(hashes, kind="stable")
         large = np.flatnonzero(counts[ranked] >= 255)
