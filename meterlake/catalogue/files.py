@@ -24,6 +24,14 @@ from meterlake.sources import lake, landing
 from meterlake.sources import testtables as T
 
 TRIP_COLUMNS = [f.name for f in S.TRIP_SCHEMA.fields]
+STAGED_SCHEMA = types.StructType(
+    [
+        types.StructField("o_orderkey", types.LongType()),
+        types.StructField("o_orderstatus", types.StringType()),
+        types.StructField("day", types.DateType()),
+        types.StructField("note", types.StringType()),
+    ]
+)
 BULK_SCHEMA = types.StructType(
     [
         types.StructField("o_orderkey", types.LongType()),
@@ -134,6 +142,42 @@ def src_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+STAGED = """SELECT o_orderkey, CASE WHEN k % 9 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
+    'caf? ' || k AS note, false AS rejected FROM (SELECT *, o_orderkey AS k FROM orders) WHERE k % 997 <> 7 AND k % 1009 <> 3
+  UNION ALL SELECT NULL, CASE WHEN k % 997 = 7 THEN 'bad' ELSE '' END || k, NULL, CASE WHEN k % 997 = 7 THEN NULL ELSE 'caf? ' || k END, true
+    FROM (SELECT o_orderkey AS k FROM orders) WHERE k % 997 = 7 OR k % 1009 = 3"""
+
+
+@query("src_bulk_staged", STAGED)
+def src_bulk_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with dates in four formats, bytes that are no UTF-8, texts in a number and quoted surplus fields: loaded and set aside
+    in one pass, within a budget of rejected rows. A second load over its budget leaves the table as it was."""
+    source, target = scratch_path(spark, "staged-lines"), scratch_path(spark, "staged")
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    formats = ["yyyy-MM-dd", "MM/dd/yyyy", "yyyyMMdd", "MM/dd/yyyy HH:mm:ss"]
+    date = F.coalesce(*[F.when(k % 4 == i, F.date_format(day, f)) for i, f in enumerate(formats)])
+    lines = T.table(spark, sf_dir, "orders").select(
+        F.when(k % 997 == 7, F.concat(F.lit("bad"), k.cast("string"))).otherwise(k.cast("string")).alias("o_orderkey"),
+        F.when(k % 9 == 0, F.lit("  ")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        date.alias("day"),
+        F.concat(F.lit("café "), k.cast("string")).alias("note"),
+        F.lit("one, two").alias("surplus"),
+        ((k % 1009 == 3) & (k % 997 != 7)).alias("wide"),
+    )
+    plain = {"header": True, "encoding": "ISO-8859-1"}
+    lines.filter("NOT wide").drop("surplus", "wide").write.options(**plain).csv(source)
+    lines.filter("wide").drop("wide").write.mode("append").options(**plain).csv(source)
+    landing.staged_load(spark, source, STAGED_SCHEMA, target, most=1000, share=0.01)
+    try:
+        landing.staged_load(spark, source, STAGED_SCHEMA, target, most=0)
+    except landing.TooManyBadRows:
+        pass
+    rows = landing.loaded(spark, target, STAGED_SCHEMA).select("o_orderkey", "o_orderstatus", F.col("day").cast("string").alias("day"), "note", F.lit(False).alias("rejected"))
+    aside = landing.loaded(spark, target, STAGED_SCHEMA, rejected=True)
+    numbered = F.when(F.col("o_orderkey").startswith("bad"), F.lit(None)).otherwise(F.col("note"))
+    return rows.unionByName(aside.select(F.lit(None).cast("bigint").alias("o_orderkey"), F.col("o_orderkey").alias("o_orderstatus"), F.lit(None).cast("string").alias("day"), numbered.alias("note"), F.lit(True).alias("rejected")))
+
+
 @query("snk_csv_split", sql("trips", PER_VENDOR))
 def snk_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exported as compressed files of at most 3,000 rows and read back."""

@@ -6,8 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.times import date_key
+from meterlake.sources.landing import by_header
 
 
 def partitioned(spark: SparkSession, root: str) -> DataFrame:
@@ -65,7 +67,7 @@ def weather(spark: SparkSession, path: str) -> DataFrame:
             "date DATE, precipitation DOUBLE, snow_depth DOUBLE, snowfall DOUBLE,"
             " max_temperature INT, min_temperature INT, average_wind_speed DOUBLE"
         )
-        return spark.read.option("header", True).schema(declared).csv(path)
+        return by_header(spark, path, T.StructType.fromDDL(declared))
     return spark.read.parquet(path)
 
 

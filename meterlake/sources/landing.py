@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +48,21 @@ def trips_csv(
     return df
 
 
+def by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Headered CSV whose columns are found by name, letter case aside, in any order; a declared column that the files lack is NULL, others are
+    left out. A value that does not fit its type is NULL. All files of a path have one header."""
+    raw = spark.read.option("header", True).csv(path)
+    have = {c.strip().lower(): c for c in raw.columns}
+    columns = []
+    for f in schema.fields:
+        found = have.get(f.name.lower())
+        text = F.lit(None).cast("string") if found is None else F.nullif(F.trim(F.col(f"`{found}`")), F.lit(""))
+        columns.append(text.try_cast(f.dataType).alias(f.name))
+    return raw.select(*columns)
+
+
 def zones_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema(ZONE_SCHEMA).csv(path)
+    return by_header(spark, path, ZONE_SCHEMA)
 
 
 def _fitted(text: Column, kind: T.DataType, formats: tuple[str, ...]) -> Column:
@@ -58,31 +73,43 @@ def _fitted(text: Column, kind: T.DataType, formats: tuple[str, ...]) -> Column:
     return value
 
 
+REPLACED = "\ufffd"
+
+
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, formats: tuple[str, ...], replacement: str) -> tuple[DataFrame, dict[str, Column], Column]:
+    """The fields as texts, their typed values, and whether a row is bad. Bytes that are no UTF-8 become ``replacement``."""
+    names = [f.name for f in schema.fields]
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, LINE]])
+    reader = spark.read.schema(texts).option("header", True).option("columnNameOfCorruptRecord", LINE)
+    raw = reader.option("enforceSchema", True).csv(path)
+    read = {n: F.replace(F.trim(n), F.lit(REPLACED), F.lit(replacement)) for n in names}
+    filled = raw.select(*[F.nullif(value, F.lit("")).alias(n) for n, value in read.items()], LINE)
+    typed = {f.name: _fitted(F.col(f.name), f.dataType, formats) for f in schema.fields}
+    fields = F.size(F.split(F.regexp_replace(LINE, QUOTED, ""), ",", -1))
+    bad = F.coalesce(fields > len(names), F.lit(False))
+    for name, value in typed.items():
+        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    return filled, typed, bad
+
+
 def bulk_load(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     most: int | None = None,
     formats: tuple[str, ...] = TIME_FORMATS,
+    replacement: str = "?",
 ) -> tuple[DataFrame, DataFrame]:
     """A tolerant load: blanks and empty fields become NULL, and rows with a field that does
     not fit its type or with too many fields are set aside as text. Missing trailing fields
-    are NULL. Returns (rows, rejected); with ``most``, more rejected rows than that end the load.
+    are NULL. Returns (rows, rejected), which read the files once each; with ``most``, more rejected rows than that end the load.
+    :func:`staged_load` reads them once for both.
 
     Fields are read as text and cast here, so whether a row is rejected does not depend on
     the columns a later query happens to read. Lines of another width than the schema's come with their
     text, and the fields of that are counted.
     """
-    names = [f.name for f in schema.fields]
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, LINE]])
-    reader = spark.read.schema(texts).option("header", True).option("columnNameOfCorruptRecord", LINE)
-    raw = reader.option("enforceSchema", True).csv(path)
-    filled = raw.select(*[F.nullif(F.trim(n), F.lit("")).alias(n) for n in names], LINE)
-    typed = {f.name: _fitted(F.col(f.name), f.dataType, formats) for f in schema.fields}
-    fields = F.size(F.split(F.regexp_replace(LINE, QUOTED, ""), ",", -1))
-    bad = F.coalesce(fields > len(names), F.lit(False))
-    for name, value in typed.items():
-        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    filled, typed, bad = _parsed(spark, path, schema, formats, replacement)
     rows = filled.filter(~bad).select(*[value.alias(name) for name, value in typed.items()])
     rejected = filled.filter(bad)
     if most is not None:
@@ -90,6 +117,48 @@ def bulk_load(
     return rows, rejected
 
 
+def staged_load(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    target: str,
+    most: int = 1000,
+    share: float = 0.0,
+    formats: tuple[str, ...] = TIME_FORMATS,
+    replacement: str = "?",
+) -> dict:
+    """A tolerant load into the table at ``target`` that reads the files once.
+
+    One job parses, writes rows and rejects side by side under the load's own folder, and counts both as they pass. The load is published by
+    one record in the table's list of loads, and only if no more rows were rejected than ``most`` or ``share`` of all, whichever is
+    more. Until then, and for ever if it fails, :func:`loaded` does not see it; a repeated load gets a folder of its own. Returns its record.
+    """
+    filled, typed, bad = _parsed(spark, path, schema, formats, replacement)
+    text = F.struct(*[f.name for f in schema.fields], LINE)
+    parsed = filled.select(bad.alias("rejected"), *[value.alias(name) for name, value in typed.items()], F.when(bad, text).alias(LINE))
+    counts = Observation("load")
+    watched = parsed.observe(counts, F.count(F.lit(1)).alias("n_rows"), F.count_if("rejected").alias("n_rejected"))
+    load = uuid.uuid4().hex
+    watched.write.partitionBy("rejected").parquet(f"{target}/data/load={load}")
+    n_rows, n_rejected = counts.get["n_rows"], counts.get["n_rejected"]
+    allowed = max(most, int(share * n_rows))
+    if n_rejected > allowed:
+        raise TooManyBadRows(f"{n_rejected} rows were rejected, {allowed} are allowed; load {load} is not published")
+    record = {"load": load, "n_rows": n_rows, "n_rejected": n_rejected}
+    spark.createDataFrame([record], "load string, n_rows bigint, n_rejected bigint").write.mode("append").parquet(f"{target}/loads")
+    return record
+
+
+def loaded(spark: SparkSession, target: str, schema: T.StructType, rejected: bool = False) -> DataFrame:
+    """The rows of all published loads, or with ``rejected`` the texts that were set aside."""
+    listed = [r["load"] for r in spark.read.parquet(f"{target}/loads").select("load").distinct().collect()]
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*(f.name for f in schema.fields), LINE]])
+    kinds = T.StructType([*schema.fields, T.StructField(LINE, text), T.StructField("load", T.StringType()), T.StructField("rejected", T.BooleanType())])
+    reader = spark.read.schema(kinds).option("basePath", f"{target}/data")
+    rows = reader.parquet(*[f"{target}/data/load={load}" for load in listed]).filter(F.col("rejected") == rejected)
+    return rows.select(f"{LINE}.*") if rejected else rows.select(*[f.name for f in schema.fields])
+
+
 def within_budget(rejected: DataFrame, most: int = 1000) -> int:
     """The number of rejected rows; an error beyond the budget. Counted by one aggregate, so no rows move."""
     n = rejected.count()

@@ -287,3 +287,29 @@ def test_weather_and_catalog_sources(spark, tmp_path):
     assert stored.columns == ["source_zone_id", "zone_name"] and stored.count() == 4
     assert stored.filter("source_zone_id IS NULL").count() == 2
     spark.sql("DROP TABLE zone_copy")
+
+
+def test_staged_load_reads_once_and_publishes_within_its_budget(spark, tmp_path):
+    schema = T.StructType.fromDDL("id int, day date, note string")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_bytes(
+        b"id,day,note\n1,2024-01-05,plain\n2,01/06/2024,caf\xe9\nx,2024-01-07,bad id\n3,20240108,\n4,2024-01-09,\"a, b\"\n5,2024-01-10,c,\"d, e\"\n6\n"
+    )
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    record = landing.staged_load(spark, source, schema, target, most=2)
+    assert (record["n_rows"], record["n_rejected"]) == (7, 2)
+    rows = {r["id"]: (str(r["day"]), r["note"]) for r in landing.loaded(spark, target, schema).collect()}
+    assert rows == {1: ("2024-01-05", "plain"), 2: ("2024-01-06", "caf?"), 3: ("2024-01-08", None), 4: ("2024-01-09", "a, b"), 6: ("None", None)}
+    aside = landing.loaded(spark, target, schema, rejected=True).collect()
+    assert {r["id"] for r in aside} == {"x", "5"}
+    with pytest.raises(landing.TooManyBadRows, match="2 rows"):
+        landing.staged_load(spark, source, schema, target, most=1)
+    assert landing.loaded(spark, target, schema).count() == 5
+    landing.staged_load(spark, source, schema, target, most=0, share=0.5)
+    assert landing.loaded(spark, target, schema).count() == 10
+
+
+def test_headers_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "z.csv").write_text('Zone,"LocationID",Borough,Other\nNewark,1,EWR,x\n"",2, Queens ,y\nQ,bad,B,z\n')
+    got = landing.zones_csv(spark, str(tmp_path / "z.csv")).collect()
+    assert [tuple(r) for r in got] == [(1, "EWR", "Newark", None), (2, "Queens", None, None), (None, "B", "Q", None)]
