@@ -15,6 +15,7 @@ from meterlake.plans import summaries as M
 from meterlake.session import scratch_path
 from meterlake.sources import governed, masters
 from meterlake.sources import testtables as T
+from meterlake.streaming import refresh
 
 INCREMENT_AS_OF = "2024-01-29 15:30:00"
 
@@ -84,6 +85,24 @@ def mv_vendor_inc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.refresh_vendors_incremental(old, trips, vendors, INCREMENT_AS_OF)
 
 
+@query(
+    "mv_vendor_stream",
+    sql(
+        "vendor_day",
+        f"""SELECT {VENDOR_DAY_COLUMNS}, CAST(metric_date AS VARCHAR) AS metric_date, 'INCREMENTAL' AS refresh_type FROM vendor_day""",
+    ),
+)
+def mv_vendor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary after five micro-batches that each hold trips of many days, merged every second batch."""
+    landed, store, summary, mark = (scratch_path(spark, f"stream-{n}") for n in ("in", "store", "summary", "mark"))
+    trips, vendors = T.trips(spark, sf_dir).drop("cab_type_id"), vendor_masters(spark)
+    for part in range(5):
+        trips.filter(F.pmod("trip_id", F.lit(5)) == part).coalesce(1).write.parquet(f"{landed}/{part}")
+    stream = refresh.trip_stream(spark, landed, trips.schema, files_per_batch=1)
+    refresh.start_vendor_refresh(stream, store, summary, vendors, mark, available_now=True, keep=2).awaitTermination()
+    return spark.read.parquet(summary)
+
+
 @query(
     "mv_routes",
     sql(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import features as X
 from meterlake.functions.casts import safe_cents, safe_whole
-from meterlake.functions.exact import cents, long_sum, mean_cents, round_ratio, rounded_avg, rounded_sum, units_sum
+from meterlake.functions.exact import SCALE, cents, long_sum, mean_cents, round_ratio, rounded_avg, rounded_sum, units_sum
 from meterlake.functions.rules import within_month
 from meterlake.functions.times import at, days_before, hours_before, whole_minutes
 from meterlake.operators.joins import fits_broadcast, lookup_join
@@ -163,6 +163,49 @@ def vendor_performance(
     return named.withColumn("refresh_type", F.lit(refresh_type))
 
 
+# what the figures of a vendor and day are made of: whole units and counts, which add up
+SHARE_UNITS = 10**9
+VENDOR_STATE = ["n", "revenue", "distance", "minutes", "n_minutes", "fare", "n_fare", "share", "n_share"]
+
+
+def vendor_state(trips: DataFrame) -> DataFrame:
+    """Mergeable sums per vendor and day of pickup, trips without a pickup time under a NULL day."""
+    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    share = X.tip_percent(F.col("tip_amount"), F.col("fare_amount"))
+    minutes = whole_minutes(pickup, dropoff)
+    sums = [
+        F.count(F.lit(1)),
+        units_sum("total_amount"),
+        units_sum("trip_distance"),
+        long_sum(minutes),
+        F.count(minutes),
+        units_sum("fare_amount"),
+        F.count("fare_amount"),
+        units_sum(share, SHARE_UNITS),
+        F.count(share),
+    ]
+    keyed = trips.filter(F.col("vendorid").isNotNull()).groupBy(F.to_date(pickup).alias("metric_date"), F.col("vendorid").cast("int").alias("vendor_id"))
+    return keyed.agg(*[s.cast("decimal(38,0)").alias(c) for s, c in zip(sums, VENDOR_STATE, strict=True)])
+
+
+def vendor_figures(state: DataFrame, vendors: DataFrame, refresh_type: str = "FULL") -> DataFrame:
+    """The figures of :func:`vendor_performance` from merged states."""
+    c = F.col
+    figures = state.select(
+        "vendor_id",
+        "metric_date",
+        c("n").cast("bigint").alias("total_trips"),
+        round_ratio(c("revenue"), F.lit(SCALE), 2).alias("total_revenue"),
+        round_ratio(c("distance"), F.lit(SCALE), 2).alias("total_distance"),
+        round_ratio(c("minutes"), c("n_minutes"), 2).alias("avg_trip_duration"),
+        round_ratio(c("fare"), c("n_fare") * SCALE, 2).alias("avg_fare"),
+        round_ratio(c("share"), c("n_share") * SHARE_UNITS, 2).alias("avg_tip_pct"),
+        c("n").cast("bigint").alias("source_row_count"),
+    )
+    named = lookup_join(figures, active_names(vendors), [("vendor_id", "_vendor")]).drop("_vendor")
+    return named.withColumn("refresh_type", F.lit(refresh_type))
+
+
 def refresh_vendors_full(
     old: DataFrame, trips: DataFrame, vendors: DataFrame, as_of: str, keep_days: int = 365
 ) -> DataFrame:

@@ -313,3 +313,29 @@ def test_headers_are_bound_by_name(spark, tmp_path):
     (tmp_path / "z.csv").write_text('Zone,"LocationID",Borough,Other\nNewark,1,EWR,x\n"",2, Queens ,y\nQ,bad,B,z\n')
     got = landing.zones_csv(spark, str(tmp_path / "z.csv")).collect()
     assert [tuple(r) for r in got] == [(1, "EWR", "Newark", None), (2, "Queens", None, None), (None, "B", "Q", None)]
+
+
+def test_stream_state_stays_small_and_counts_nothing_twice(spark, sf_dir, tmp_path):
+    """Batches with late trips, a repeated batch, trips without a time, merges in between: equal to one batch over all."""
+    trips, vendors = T.trips(spark, sf_dir).drop("cab_type_id"), governed.vendor_masters(spark)
+    store, summary = str(tmp_path / "store"), str(tmp_path / "summary")
+    parts = [trips.filter(f"trip_id % 7 = {k}") for k in range(7)]
+    parts[2] = parts[2].unionByName(parts[2].limit(3).withColumn("tpep_pickup_datetime", F.lit(None).cast("timestamp_ntz")))
+
+    def handle(batch, batch_id, merge):
+        refresh.store_batch(batch, batch_id, store, keep=2)
+        refresh.refresh_days(spark, batch_id, store, vendors, summary)
+        if merge:
+            refresh.merge_days(spark, store, batch_id, keep=2)
+
+    for k, part in enumerate(parts):
+        handle(part, k, k % 2 == 1)
+        if k in (2, 3):
+            handle(part, k, k == 3)
+    got = spark.read.parquet(summary).drop("refresh_type", "refresh_time")
+    full = M.vendor_performance(trips, vendors).select(*got.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert refresh.undated(spark, store) == 3
+    assert len(list((tmp_path / "store" / "deltas").glob("slot=*"))) <= 4
+    for day in (tmp_path / "store" / "days").glob("metric_date=*"):
+        assert len(list(day.glob("*.parquet"))) == 1
