@@ -372,10 +372,6 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
 
     def write_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
-        if shard < 0:
-            # totals of the triple shards, one row each
-            rows = [(shard, "triples", None, None, np.sum(np.stack(pdf["totals"].to_list()), axis=0).tolist())]
-            return pd.DataFrame(rows, columns=["shard", "kind", "words", "figures", "totals"])
         sent = [unsqueezed_keys(opened(k)) for k in pdf["keys"]]
         keys, counts = merged(sent, [counts_from_bytes(opened(c), len(k)) for c, k in zip(pdf["counts"], sent, strict=True)])
         hashes = mixed(keys.view(np.uint64))
@@ -409,17 +405,19 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
 
     if order > 2:
         sent = texts.mapInArrow(count_triples, "shard int, contexts binary, followers binary, words binary, counts binary")
-        pairs = sent.groupBy("shard").applyInPandas(write_triples, "shard int, keys binary, counts binary, totals array<long>")
+        # stored in between, so that the shuffle of the triples may go before that of the pairs begins
+        counted = stored(sent.groupBy("shard").applyInPandas(write_triples, "shard int, keys binary, counts binary, totals array<long>"), "lm-triples")
+        model |= {"triple_bits": triple_bits, "triples": _summed(counted.filter("shard < 0"), 5)}
+        pairs = counted.filter("shard >= 0").select("shard", "keys", "counts")
+        del sent
     else:
-        pairs = texts.mapInArrow(count_pairs, "shard int, keys binary, counts binary").withColumn("totals", F.lit(None).cast("array<long>"))
+        pairs = texts.mapInArrow(count_pairs, "shard int, keys binary, counts binary")
     figures = stored(
         pairs.groupBy("shard")
         .applyInPandas(write_pairs, "shard int, kind string, words binary, figures array<binary>, totals array<long>"),
         "lm-figures",
     )
     model["pairs"] = _summed(figures.filter("kind = 'totals'"), 5)
-    if order > 2:
-        model |= {"triple_bits": triple_bits, "triples": _summed(figures.filter("kind = 'triples'"), 5)}
 
     def write_figures(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
