@@ -29,14 +29,14 @@ TOLERANCE = 1e-9
 MAX_STEPS = 100
 
 
-def sized(docs: DataFrame, text: str, source: str, keep: list[str]) -> DataFrame:
-    """Narrow stored rows: a row number, the source, the size and the columns asked for."""
+def sized(docs: DataFrame, text: str, source: str, keep: list[str], draw: list[str]) -> DataFrame:
+    """Narrow stored rows: a row number, the source, the size, the columns asked for, and a number drawn from the columns ``draw``."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("_rid"),
         F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("_row"),
         F.col(f"`{source}`").alias("source"),
         F.size(words(F.col(f"`{text}`"))).cast("long").alias("size"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in keep]).alias("_draw"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in draw]).alias("_draw"),
     )
     return stored(rows, "mix-sizes")
 
@@ -152,10 +152,12 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     limit: int = LIMIT,
     part: int = PART,
+    draw: list[str] | None = None,
 ) -> DataFrame:
-    """One row per document: the columns ``keep``, ``size, source_size, target, rate, copies, taken``."""
+    """One row per document: the columns ``keep``, ``size, source_size, target, rate, copies, taken``. Which of several rows of one size are taken
+    is drawn from the columns ``draw``, or else ``keep``."""
     keep = ["doc_id"] if keep is None else keep
-    rows = sized(docs, text, source, keep)
+    rows = sized(docs, text, source, keep, keep if draw is None else draw)
     cells = stored(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     wanted = stored(targets(sources, weights, limit), "mix-targets")
