@@ -3,12 +3,14 @@
 Each stage is one operator over all that the stage before it kept. Its result is written as Parquet in the shared scratch folder and
 read again, so a lost executor costs a re-read. All stages but the last return the columns of ``documents``.
 
-NULL texts are rejected by the first stage. Rows with equal ids are separate documents until the second stage, which keeps one row of each group. Columns beyond those of
-``documents`` are carried along. Empty tables stay empty.
+NULL texts are rejected by the first stage. Rows are kept, masked and repeated by their place in the table, never by their id: rows with equal or
+NULL ids are separate documents, of which the second stage keeps one per group of like texts. Columns beyond those of ``documents`` are carried along
+in one struct, whatever their names. Empty tables stay empty.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,38 +37,53 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _replaced(kept.select("_row", "cleaned"), "_row", "cleaned")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns) and ``n``, a number per row that is the same however often the table is read: the ordinal of its file and its place
+    there. A table that is not read from files is written first."""
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    try:
+        placed = docs.select(packed, docs.metadataColumn("_metadata").alias("_at"))
+        placed = placed.select("row", F.col("_at.file_path").alias("_file"), F.col("_at.row_index").alias("_place"))
+    except AnalysisException:
+        return _rows(stored(docs, "pipeline-rows"))
+    # one row per file reaches the driver
+    files = sorted(r[0] for r in placed.select("_file").distinct().collect())
+    ordinal = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "_file string, _ordinal bigint")
+    number = F.shiftleft(F.col("_ordinal"), 36) + F.col("_place")
+    return placed.join(F.broadcast(ordinal), "_file").select("row", number.alias("n"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the one with the smallest id."""
-    groups = neardup.grouped(docs.select("doc_id", "text"))
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    # rows repeated with one id are copies of each other as well
-    twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
-    if not twice.take(1):
-        return left.select(*docs.columns)
-    once = left.join(twice, "doc_id", "left_anti")
-    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    """Keep one row of each group: the one with the smallest id, NULL last."""
+    rows = _rows(docs)
+    groups = neardup.grouped(rows.select(F.col("n").alias("doc_id"), F.col("row.text").alias("text"))).select(F.col("doc_id").alias("n"), "component_id")
+    ranked = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), "n").alias("rank")
+    members = groups.join(rows.select("n", ranked), "n")
+    best = members.groupBy("component_id").agg(F.min("rank").alias("best"), F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
+    gone = members.join(best, "component_id").filter(F.col("n") != F.col("best.n")).select("n")
+    return rows.join(gone, "n", "left_anti").select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask every span that is not a widely copied example."""
-    found = secrets.scan(docs.withColumn("_hash", F.xxhash64("text")), repository=["source", "lang"], owner="source", keep=["doc_id", "_hash"], **secrets.WIDELY)
+    rows = _rows(docs)
+    read = rows.select("n", *[F.col(f"row.{c}").alias(c) for c in ("text", "source", "lang")])
+    found = secrets.scan(read, repository=["source", "lang"], owner="source", keep=["n"], **secrets.WIDELY)
     live = F.filter("spans", lambda s: ~s["example"]).alias("spans")
-    marked = found.select(F.col("doc_id").alias("_id"), "_hash", live).filter(F.size("spans") > 0).dropDuplicates(["_id", "_hash"])
-    both = docs.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    clean = F.when(F.col("spans").isNotNull(), secrets.masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return _replaced(both.select(row, clean.alias("_clean")), "_row", "_clean")
+    marked = found.select("n", live).filter(F.size("spans") > 0)
+    both = rows.join(marked, "n", "left")
+    text = F.col("row.text")
+    clean = F.when(F.col("spans").isNotNull(), secrets.masked(text, F.col("spans"))).otherwise(text)
+    return _replaced(both.select("row", clean.alias("clean")), "row", "clean")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs, keep=["doc_id"]).select("doc_id", "copies")
-    # rows of one id are taken together
-    by_id = taken.groupBy("doc_id").agg(F.max("copies").alias("_copies")).filter(F.col("_copies") > 0).withColumnRenamed("doc_id", "_id")
-    both = docs.join(by_id, F.col("doc_id").eqNullSafe(F.col("_id")))
-    again = both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return again.select(*docs.columns)
+    """Each document as often as the mix takes it. Which of several documents of one size are taken depends on their ids and texts alone."""
+    rows = _rows(docs)
+    read = rows.select("n", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "text", "source")])
+    taken = mixing.mix(read, keep=["n"], draw=["doc_id", "text"]).select("n", "copies").filter(F.col("copies") > 0)
+    again = rows.join(taken, "n").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return again.select("row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
