@@ -9,6 +9,7 @@ from meterlake.catalogue import query
 from meterlake.catalogue.sqltext import dollars, ratio, rdiv, sql
 from meterlake.functions.exact import exact_sum, round_ratio
 from meterlake.operators import joins, spatial
+from meterlake.operators.distinct import distinct_counts
 from meterlake.plans import analytics as A
 from meterlake.sources import masters
 from meterlake.sources import testtables as T
@@ -289,26 +290,10 @@ def ag_list(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM lineitem GROUP BY 1""",
 )
 def ag_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact distinct counts per flag. Three flags hold all rows, so the distinct keys are
-    found by grouping on (flag, key), which spreads them."""
+    """Exact distinct counts per flag. Three flags hold all rows; keys are counted as bitmaps where they lie close together."""
     lines = T.table(spark, sf_dir, "lineitem")
-    kinds = F.explode(
-        F.array(
-            F.struct(F.lit("order").alias("kind"), F.col("l_orderkey").alias("key")),
-            F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").alias("key")),
-        )
-    )
-    per_key = (
-        lines.select("l_returnflag", kinds.alias("e"))
-        .groupBy("l_returnflag", "e.kind", "e.key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    of_order, of_supplier = F.col("kind") == "order", F.col("kind") == "supplier"
-    return per_key.groupBy("l_returnflag").agg(
-        F.sum(F.when(of_order, F.col("n"))).alias("n_lines"),
-        F.count_if(of_order & F.col("key").isNotNull()).alias("n_orders"),
-        F.count_if(of_supplier & F.col("key").isNotNull()).alias("n_suppliers"),
-    )
+    counted = distinct_counts(lines, ["l_orderkey", "l_suppkey"], ["l_returnflag"])
+    return counted.withColumnsRenamed({"n": "n_lines", "n_l_orderkey": "n_orders", "n_l_suppkey": "n_suppliers"})
 
 
 @query(

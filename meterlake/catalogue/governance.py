@@ -11,6 +11,7 @@ from meterlake.catalogue.sqltext import bigint, sql
 from meterlake.catalogue.summaries import vendor_masters, zone_masters
 from meterlake.operators import matching
 from meterlake.plans import governance as G
+from meterlake.session import stored
 from meterlake.sources import governed
 from meterlake.sources import testtables as T
 
@@ -297,6 +298,34 @@ def md_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.unprocessed(trips, trips.filter("trip_id % 3 = 1").select("trip_id"))
 
 
+@query(
+    "md_tracker",
+    sql(
+        "trips",
+        """, d AS (SELECT DISTINCT trip_id AS i FROM trips WHERE trip_id % 1000 < 700 OR trip_id BETWEEN 2500 AND 4200),
+        r AS (SELECT i, i - row_number() OVER (PARTITION BY i >> 20 ORDER BY i) AS run FROM d)
+        SELECT i >> 20 AS block, min(i) AS first_id, max(i) AS last_id FROM r GROUP BY i >> 20, run""",
+    ),
+)
+def md_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs have processed: one with gaps, one that fills some, and the first again."""
+    ids = T.trips(spark, sf_dir).select("trip_id")
+    first, second = ids.filter("trip_id % 1000 < 700"), ids.filter("trip_id BETWEEN 2500 AND 4200")
+    tracker = None
+    for run in (first, second, first):
+        tracker = stored(G.track(tracker, run), "tracker")
+    return tracker
+
+
+@query(
+    "md_unprocessed_ranges",
+    sql("trips", "SELECT trip_id, CAST(vendorid AS BIGINT) AS vendorid FROM trips WHERE trip_id % 1000 >= 700"),
+)
+def md_unprocessed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = T.trips(spark, sf_dir).select("trip_id", "vendorid")
+    return G.unprocessed(trips, stored(G.track(None, trips.filter("trip_id % 1000 < 700")), "tracker"))
+
+
 @query(
     "md_audit",
     sql(

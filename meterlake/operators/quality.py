@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.exact import WIDE, cents, round_ratio, units_sum
 from meterlake.functions.rules import blank, some
 from meterlake.functions.times import at, days_before, whole_minutes
+from meterlake.operators.distinct import key_blocks
 from meterlake.operators.joins import lookup_join, unmatched
 
 
@@ -51,7 +52,7 @@ class Measure:
     """What a check counts on a table and what it makes of the counts.
 
     Measures on one table run as one aggregate, whatever their number: see :func:`compiled`. With a ``key``, the counts are taken
-    over one row ``key, n`` per key value; measures on the same key share that grouping.
+    over rows ``n, d`` whose sums are the rows and the distinct keys; measures on the same key share them.
     """
 
     counts: dict[str, Column]
@@ -59,7 +60,7 @@ class Measure:
     key: str | None = None
 
     def rows(self, df: DataFrame) -> DataFrame:
-        return df if self.key is None else df.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+        return df if self.key is None else key_blocks(df, self.key)
 
     def of(self, df: DataFrame) -> DataFrame:
         counted = self.rows(df).agg(*[c.alias(name) for name, c in self.counts.items()])
@@ -174,10 +175,10 @@ def date_range(trips: DataFrame, start: str, end: str, as_of: str) -> DataFrame:
 
 
 def duplicate_key_measure(key: str) -> Measure:
-    """Rows beyond the first per key. Distinct keys are found by grouping, so a key that
-    holds many rows shrinks before it is shuffled."""
+    """Rows beyond the first per key, NULL keys included. Whole-number keys that lie close together are counted as bitmaps, others by
+    grouping, so a key that holds many rows shrinks before it is shuffled."""
     return Measure(
-        {"duplicate_count": F.coalesce(F.sum("n") - F.count(key), F.lit(0))}, _passes(lambda c: c("duplicate_count") == 0), key
+        {"duplicate_count": F.coalesce(F.sum("n") - F.sum("d"), F.lit(0))}, _passes(lambda c: c("duplicate_count") == 0), key
     )
 
 
@@ -340,9 +341,8 @@ def completeness(df: DataFrame, column: str) -> DataFrame:
 
 def duplicate_rate(df: DataFrame, key: str) -> DataFrame:
     """Share of rows beyond the first per key in percent; NULL keys count as duplicates."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    pct = round_ratio((F.sum("n") - F.count(key)) * 100, F.sum("n"), 2)
-    return per_key.agg(F.coalesce(pct, F.lit(0.0)).alias("duplicate_rate_pct"))
+    pct = round_ratio((F.sum("n") - F.sum("d")) * 100, F.sum("n"), 2)
+    return key_blocks(df, key).agg(F.coalesce(pct, F.lit(0.0)).alias("duplicate_rate_pct"))
 
 
 def freshness(df: DataFrame, ts: str, max_days: int, as_of: str) -> DataFrame:

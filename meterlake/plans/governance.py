@@ -12,6 +12,7 @@ from meterlake.functions.times import at
 from meterlake.operators import matching
 from meterlake.operators.joins import fits_broadcast, lookup_join, unmatched
 from meterlake.operators.keys import highest, numbered
+from meterlake.operators.ranges import id_ranges, merge_ranges, outside
 from meterlake.operators.scd import keyed_join
 from meterlake.operators.tables import first_rows, without_keys
 
@@ -170,10 +171,20 @@ def next_batch(trips: DataFrame, tracker: DataFrame, size: int, key: str = "trip
 
 
 def unprocessed(trips: DataFrame, tracker: DataFrame, key: str = "trip_id") -> DataFrame:
+    """Trips that the tracker does not name. It lists ids, or ranges of them as :func:`track` keeps them, which are looked up
+    without moving the trips."""
+    if {"block", "first_id", "last_id"} <= set(tracker.columns):
+        return outside(trips, key, tracker)
     seen = tracker.select(F.col(key).alias("_seen"))
     return keyed_join(trips, seen, F.col(key) == F.col("_seen"), "left_anti")
 
 
+def track(tracker: DataFrame | None, done: DataFrame, key: str = "trip_id") -> DataFrame:
+    """The tracker after a run: the ranges of all ids processed so far. A run repeated in part changes nothing."""
+    new = id_ranges(done, key)
+    return new if tracker is None else merge_ranges(tracker, new)
+
+
 def audit_record(
     enriched: DataFrame, run_id: str, entity: str, triggered_by: str, started: str, ended: str
 ) -> DataFrame:
