@@ -10,15 +10,17 @@ merge, as a daily job does; chaining merges in memory multiplies the work.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.times import at
 from meterlake.operators.joins import fits_broadcast, lookup_join
 from meterlake.operators.keys import highest, numbered, row_hash
 from meterlake.schemas import BEGINNING, OPEN_END
+from meterlake.session import stored
 
 NEW = "_new_"
+ROW = "_row_number"
 MATCHED = "_matched"
 
 
@@ -549,38 +551,47 @@ def bitemporal_correct(
     A correction holds until its ``valid_to`` where the batch has one, else to the end of the believed interval it starts in, or
     of time. Believed intervals that it overlaps are closed on the transaction axis; what it leaves of them before and
     after is believed anew. Corrections for new keys and later starts are added. Corrections of one key
-    must not overlap each other.
+    that overlap each other are refused: which of them holds would be a guess.
+
+    Only believed rows of corrected keys are taken apart, each under a number of its own, so equal rows stay as many as they are. All others
+    pass as they lie, without a shuffle where the corrected keys are few.
     """
     ends = F.col("valid_to") if "valid_to" in corrections.columns else F.lit(None).cast("timestamp_ntz")
-    new = prefixed(corrections.select(key, "valid_from", ends.alias("valid_to"), *columns))
-    believed = F.col("transaction_to") == at(OPEN_END)
-    about = (F.col(key) == F.col(NEW + key)) & believed
+    new = stored(prefixed(corrections.select(key, "valid_from", ends.alias("valid_to"), *columns)), "corrections")
+    believed = F.coalesce(F.col("transaction_to") == at(OPEN_END), F.lit(False))
+    wanted = new.select(NEW + key).distinct()
+    few = fits_broadcast(wanted)
+    same = F.col(key) == F.col(NEW + key)
+    untouched = table.filter(~believed).unionByName(keyed_join(table.filter(believed), wanted, same, "left_anti", few))
+    touched = keyed_join(table.filter(believed), wanted, same, "left_semi", few)
+    touched = stored(touched.withColumn(ROW, F.monotonically_increasing_id()), "corrected-keys")
+
     start, stop = F.col(NEW + "valid_from"), F.col(NEW + "valid_to")
-    holds = about & (F.col("valid_from") <= start) & (start < F.col("valid_to"))
-    # the end of each correction: its own, or that of the interval it starts in
-    inside = keyed_join(new, table.select(key, "valid_from", "valid_to", "transaction_to"), holds, "left")
-    whole = inside.withColumn(NEW + "valid_to", F.coalesce(stop, F.col("valid_to"), at(OPEN_END))).select(*new.columns)
-
-    overlaps = about & (start < F.col("valid_to")) & (F.col("valid_from") < stop)
-    paired = keyed_join(table, whole, overlaps, "left")
-    hit = F.col(NEW + key).isNotNull()
-    closed = (
-        paired.withColumn("transaction_to", F.when(hit, at(recorded_at)).otherwise(F.col("transaction_to")))
-        .select(*table.columns)
-        .distinct()
-    )
+    holds = same & (F.col("valid_from") <= start) & (start < F.col("valid_to"))
+    # a correction, its end, and the interval it starts in; of equal intervals the first
+    inside = keyed_join(new.withColumn(NEW + ROW, F.monotonically_increasing_id()), touched, holds, "left")
+    own = F.struct(*[F.col(c) for c in (ROW, *table.columns)])
+    found = inside.groupBy(*[c for c in new.columns], NEW + ROW).agg(F.min_by(own, ROW).alias("_base"))
+    whole = stored(found.withColumn(NEW + "valid_to", F.coalesce(stop, F.col("_base.valid_to"), at(OPEN_END))), "corrections")
+    following = F.lead(start).over(Window.partitionBy(NEW + key).orderBy(start, stop))
+    clashing = whole.withColumn("_next", following).filter(F.col("_next") < stop).count()
+    if clashing:
+        raise ValueError(f"{clashing} corrections overlap the next one of their key")
+
+    overlaps = same & (start < F.col("valid_to")) & (F.col("valid_from") < stop)
+    met = keyed_join(touched.select(ROW, key, "valid_from", "valid_to"), whole.select(NEW + key, start, stop), overlaps, "inner")
+    cuts = met.groupBy(ROW).agg(F.sort_array(F.collect_set(F.struct(start.alias("f"), stop.alias("t")))).alias("_cuts"))
+    swept = touched.join(cuts, ROW, "left")
+    hit = F.col("_cuts").isNotNull()
+    closed = swept.withColumn("transaction_to", F.when(hit, at(recorded_at)).otherwise(F.col("transaction_to"))).select(*table.columns)
     # what is left of an interval lies between neighbouring corrections
-    own = [F.col(c) for c in table.columns]
-    cuts = paired.filter(hit).groupBy(*own).agg(F.sort_array(F.collect_set(F.struct(start.alias("f"), stop.alias("t")))).alias("_cuts"))
     froms = F.concat(F.array("valid_from"), F.transform("_cuts", lambda c: c["t"]))
     tos = F.concat(F.transform("_cuts", lambda c: c["f"]), F.array("valid_to"))
     gaps = F.explode(F.arrays_zip(froms.alias("f"), tos.alias("t"))).alias("_gap")
-    left = cuts.select(*own, gaps).filter(F.col("_gap.f") < F.col("_gap.t"))
+    left = swept.filter(hit).select(*table.columns, gaps).filter(F.col("_gap.f") < F.col("_gap.t"))
     fresh = {"transaction_from": at(recorded_at), "transaction_to": at(OPEN_END)}
     rest = left.withColumns({"valid_from": F.col("_gap.f"), "valid_to": F.col("_gap.t"), **fresh}).select(*table.columns)
     # columns outside the correction come from the interval it starts in
-    base = keyed_join(whole, table, holds, "left")
-    corrected = base.withColumns(
-        {key: F.col(NEW + key), "valid_from": start, "valid_to": stop, **{c: F.col(NEW + c) for c in columns}, **fresh}
-    ).select(*table.columns)
-    return closed.unionByName(rest).unionByName(corrected)
+    said = {key: F.col(NEW + key), "valid_from": start, "valid_to": stop, **{c: F.col(NEW + c) for c in columns}, **fresh}
+    corrected = whole.select(*[said.get(c, F.col(f"_base.`{c}`")).alias(c) for c in table.columns])
+    return untouched.unionByName(closed).unionByName(rest).unionByName(corrected)

@@ -136,3 +136,23 @@ def test_sums_have_room_for_corrupt_amounts(spark):
     assert int(one[1]) == one[0]
     trips = spark.createDataFrame([(1, 1e15), (1, 1e15), (2, 3.25)], "vendorid int, total_amount double")
     assert trips.agg(exact_sum("total_amount")).first()[0] == 2e15 + 3.25
+
+
+def test_corrections_leave_other_keys_alone_and_must_not_overlap(spark, tmp_path):
+    """Equal rows stay as many as they are, other keys and closed rows pass without a shuffle, overlapping corrections are refused."""
+    day = [datetime(2024, 1, 1 + i) for i in range(30)]
+    end = datetime(9999, 12, 31, 23, 59, 59)
+    kinds = "k int, name string, valid_from timestamp_ntz, valid_to timestamp_ntz, transaction_from timestamp_ntz, transaction_to timestamp_ntz"
+    twice = [(1, "a", day[0], end, day[0], end)] * 2 + [(2, "b", day[0], end, day[0], end)] * 3 + [(1, "older", day[0], end, day[0], day[1]), (None, "no key", day[0], end, day[0], end)]
+    spark.createDataFrame(twice, kinds).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    fix = "k int, name string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    out = scd.bitemporal_correct(table, spark.createDataFrame([(1, "x", day[5], day[9])], fix), "k", ["name"], "2025-01-01 00:00:00")
+    rows = [tuple(r)[:4] for r in out.collect()]
+    assert sorted(r for r in rows if r[0] == 2) == [(2, "b", day[0], end)] * 3 and (None, "no key", day[0], end) in rows
+    assert sorted(r for r in rows if r[0] == 1) == sorted([(1, "a", day[0], end)] * 2 + [(1, "a", day[0], day[5])] * 2 + [(1, "a", day[9], end)] * 2 + [(1, "older", day[0], end), (1, "x", day[5], day[9])])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Distinct" not in plan and "name#" in plan and "hashpartitioning(k" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="1 corrections overlap"):
+        clash = spark.createDataFrame([(1, "x", day[5], day[9]), (1, "y", day[8], day[12]), (2, "z", day[5], day[9])], fix)
+        scd.bitemporal_correct(table, clash, "k", ["name"], "2025-01-01 00:00:00")
