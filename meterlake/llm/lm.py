@@ -53,6 +53,7 @@ PAIRS_PER_SHARD = 4_000_000
 MIN_PAIR_BITS = 5
 TRIPLES_PER_SHARD = 2_000_000
 LOW = np.int64(0xFFFFFFFF)
+SHORT_RUN = 4
 
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +175,22 @@ def escaped(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
     return {name: np.minimum(values, 255).astype(np.uint8), f"{name}_at": large.astype(np.int64), f"{name}_large": values[large].astype(np.int64)}
 
 
+def run_figures(table: dict, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
+    """What the counts of the runs ``at``, from ``low`` to ``high``, sum to, and how many are one and two; zero for empty runs. Only long runs have them stored."""
+    size = high - low
+    far = np.flatnonzero(size > SHORT_RUN)
+    size[far] = 0
+    owner = np.repeat(np.arange(len(at)), size)
+    place = np.repeat(low - np.cumsum(size) + size, size) + np.arange(len(owner))
+    counts = looked_up(table, "count", place)
+    out = [np.bincount(owner, w, len(at)).astype(np.int64) for w in (counts, counts == 1, counts == 2)]
+    if len(far):
+        stored_at = np.searchsorted(table["long"], at[far])
+        for values, name in zip(out, ("after", "once", "twice"), strict=True):
+            values[far] = looked_up(table, name, stored_at)
+    return out
+
+
 def looked_up(table: dict, name: str, at: np.ndarray) -> np.ndarray:
     out = table[name][at].astype(np.int64)
     big = np.flatnonzero(out == 255)
@@ -357,8 +374,11 @@ def train(docs: DataFrame, text: str = "text", word_bits: int | None = None, ord
         runs = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]])) if len(left) else np.zeros(0, dtype=np.int64)
         summed = {"after": counts, "once": (counts == 1).astype(np.int64), "twice": (counts == 2).astype(np.int64)}
         table = {"key": left[runs], "start": np.append(runs, len(left)).astype(np.uint32), "word": right.astype(np.uint32)} | escaped("count", counts)
+        # short runs are summed when they are asked for
+        long = np.flatnonzero(np.diff(np.append(runs, len(left))) > SHORT_RUN)
+        table["long"] = long.astype(np.uint32)
         for name, values in summed.items():
-            table |= escaped(name, np.add.reduceat(values, runs) if len(runs) else values)
+            table |= escaped(name, np.add.reduceat(values, runs)[long] if len(runs) else values)
         write_file(f"{folder}/triples-{shard}.bin", packed(table))
         pairs, preceded = np.unique((left & LOW) << np.int64(32) | right, return_counts=True)
         pairs, preceded = np.append(pairs, first_pairs), np.append(preceded, first_counts)
@@ -554,7 +574,7 @@ class Model:
             hit = table["key"][at] == own
             low = table["start"][at].astype(np.int64)
             high = np.where(hit, table["start"][at + 1].astype(np.int64), low)
-            after, once, twice = (np.where(hit, looked_up(table, name, at), 0) for name in ("after", "once", "twice"))
+            after, once, twice = run_figures(table, at, low, high)
             figures[:, a:b] = after, once, twice, high - low - once - twice
             c, d = np.searchsorted(owner, [a, b])
             run = owner[c:d] - a
