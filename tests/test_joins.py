@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import joins
 from meterlake.operators.keys import numbered, row_hash
-from meterlake.operators.spatial import locate
+from meterlake.operators.spatial import clipped_cells, locate
 
 T0 = datetime(2024, 1, 1)
 
@@ -237,3 +237,38 @@ def test_large_asof_reads_facts_once_and_keeps_versions_few(spark, tmp_path):
     assert len(dense.finer) == 1 and inside.groupBy("key", "b").count().agg(F.max("count")).first()[0] <= 2 * joins.BROADCAST_VERSIONS
     empty = joins.asof_join(facts, dim.limit(0), [("k", "key")], "at", "start", "stop", False)
     assert empty.count() == len(rows) and empty.filter("version IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_large_outlines_are_cut_up_by_cells(spark, small):
+    """A jagged disc of 10,000 corners, the frame around it, and squares along the grid lines: every point in its one zone."""
+    import math
+
+    rng = random.Random(8)
+    disc = [(20 + (9 + rng.random() * 0.4) * math.cos(a), 20 + (9 + rng.random() * 0.4) * math.sin(a)) for a in (2 * math.pi * k / 10_000 for k in range(10_000))]
+    shapes = {
+        "disc": disc,
+        "south": [(0.0, 20.0), disc[5000], *disc[5001:], disc[0], (40.0, 20.0), (40.0, 0.0), (0.0, 0.0)],
+        "square": [(50.0, 0.0), (52.0, 0.0), (52.0, 2.0), (50.0, 2.0)],
+        "beside": [(52.0, 0.0), (54.0, 0.0), (54.0, 2.0), (52.0, 2.0)],
+        "triangle": [(60.0, 0.0), (75.0, 0.0), (60.0, 15.0)],
+    }
+
+    def within(x, y, ring):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
+            if (y1 <= y) != (y2 <= y) and x < x1 + (y - y1) * ((x2 - x1) / (y2 - y1)):
+                odd = not odd
+        return odd
+
+    points = [(rng.uniform(-1, 41), rng.uniform(-1, 41)) for _ in range(250)] + [(rng.uniform(49, 76), rng.uniform(-1, 16)) for _ in range(150)]
+    points += [(float(a), float(b)) for a in range(50, 55) for b in range(0, 3)] + [(51.5, 2.0), (52.0, 1.0), (52.0, 0.5), disc[17], disc[5000], (20.0, 20.0)]
+    want = {k: next((n for n, ring in shapes.items() if within(x, y, ring)), None) for k, (x, y) in enumerate(points)}
+    df = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(points)], "id int, x double, y double")
+    rings = spark.createDataFrame([(n, [{"x": x, "y": y} for x, y in ring]) for n, ring in shapes.items()], "name string, ring array<struct<x:double,y:double>>")
+    located = locate(df, rings, 0.5, small)
+    assert {r["id"]: r["name"] for r in located.collect()} == want and located.columns == ["id", "x", "y", "name"]
+    if small:
+        cells = clipped_cells(rings, 0.5).filter("name = 'disc'").selectExpr("size(_edges) AS n")
+        inner, most, total = cells.agg(F.count_if(F.col("n") == 0), F.max("n"), F.count(F.lit(1))).first()
+        assert inner > 800 and most < 1500 and total < 1500
