@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from meterlake.llm import ann, bpe, collocations, licences, lm, mixing, neardup, prefix_trie, quality_rules, secrets, substrings, toxicity, warc
 from meterlake.llm.common import table
 
@@ -337,6 +336,9 @@ def nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("pipeline", corpus_pipeline.ORACLE_SQL)
+@query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the stages lie beside the package; all other queries work without them
+    import corpus_pipeline
+
     return corpus_pipeline.run(spark, sf_dir)
