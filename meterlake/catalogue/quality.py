@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake import jobs
 from meterlake.catalogue import query
 from meterlake.catalogue.sqltext import rdiv, sql
 from meterlake.catalogue.summaries import daily, vendor_masters, zone_masters
 from meterlake.functions.exact import exact_sum
 from meterlake.operators import joins
 from meterlake.operators import quality as Q
-from meterlake.session import scratch_path
+from meterlake.session import scratch_path, stored
 from meterlake.sinks import lake as sinks
 from meterlake.sources import governed
 from meterlake.sources import testtables as T
@@ -302,6 +303,20 @@ def dq_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.same_content(spark.read.parquet(once), spark.read.parquet(again))
 
 
+@query(
+    "dq_idempotent_refresh",
+    sql("routes", "SELECT count(*) AS initial_rows, count(*) AS final_rows, true AS same_content, 'PASS' AS status FROM routes"),
+)
+def dq_idempotent_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored refresh of the route summary run twice: what the second leaves on disk is what the first left."""
+    target, log = scratch_path(spark, "routes"), scratch_path(spark, "routes-log")
+    trips = T.trips(spark, sf_dir)
+    jobs.refresh_route_patterns(spark, trips, target, log, T.TRIPS_AS_OF)
+    before = stored(spark.read.parquet(target).drop("last_updated"), "routes-before")
+    jobs.refresh_route_patterns(spark, trips, target, log, T.TRIPS_AS_OF)
+    return Q.same_content(before, spark.read.parquet(target).drop("last_updated"))
+
+
 @query(
     "dq_dup_name",
     f"""SELECT count(*) AS duplicate_groups, {pass_sql('duplicate_groups = 0')} AS status FROM (
