@@ -1,7 +1,8 @@
 """Largest inner products by collision-counting hashing.
 
 Each vector is projected on fixed random directions, and every projection is kept as a sorted array. Around a query's own projection a window opens;
-rehashing is virtual: a larger radius only widens the windows, so each step counts the vectors that newly fall in. A vector that collides in
+rehashing is virtual: a larger radius only widens the windows, which are ranges of ranks in the sorted arrays. The first radius comes from the block's
+sample, the next ones grow in small steps. A vector that collides in
 enough projections is verified by its exact inner product. The search for a query ends when its k-th verified vector is nearer than the radius that
 the windows stand for, so all that near were counted with high probability.
 
@@ -28,9 +29,14 @@ PROJECTIONS = 128
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
 NEAREST = 20
-# collision probability 2 * Phi(1) - 1 = 0.683 of a vector at the radius, less two standard deviations at 128 projections
-COLLISIONS = 0.60
-RADII = np.concatenate([[0.0], 0.05 * 1.25 ** np.arange(18)])
+# collision probability 2 * Phi(1) - 1 = 0.683 of a vector at the radius, less a standard deviation and a third at 128 projections
+COLLISIONS = 0.63
+# fine steps where distances between unit vectors of many dimensions lie: at a radius a little too wide most vectors collide
+RADII = np.concatenate([[0.0], np.geomspace(0.05, 0.6, 27)[:-1], 0.6 * 1.03 ** np.arange(45)])
+SAMPLE = 512
+OPENING = 0.93
+ROUNDING = 1e-9
+STEP_QUERIES = 64
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -48,59 +54,84 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 class Index:
-    """Sorted arrays of one block of rows."""
+    """Sorted arrays of one block of rows, kept as the rank of each row in each projection: a window is a range of ranks."""
 
     def __init__(self, vectors: np.ndarray, most: float, directions: np.ndarray):
         scaled = vectors / most
         fill = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
-        projected = np.column_stack([scaled, fill]) @ directions
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy().astype(np.int32)
-        self.sorted = np.take_along_axis(projected.T.copy(), self.order, axis=1)
+        projected = (np.column_stack([scaled, fill]) @ directions).T
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=1)
+        kind = np.uint16 if len(vectors) < 1 << 16 else np.uint32
+        self.rank = np.empty(order.shape, dtype=kind)
+        np.put_along_axis(self.rank, order, np.arange(len(vectors), dtype=kind)[None, :], axis=1)
         self.vectors, self.most, self.directions = vectors, most, directions
+        self.sample = np.random.default_rng(11).permutation(len(vectors))[:SAMPLE]
+
+    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First rank and width of each window, by radius, query and projection."""
+        projected = np.column_stack([queries, np.zeros(len(queries))]) @ self.directions
+        low = np.empty((len(RADII), len(queries), len(self.rank)), dtype=self.rank.dtype)
+        wide = np.empty_like(low)
+        for j, own in enumerate(self.sorted):
+            ends = projected[None, :, j] + np.concatenate([-RADII, RADII])[:, None]
+            first = np.searchsorted(own, ends[: len(RADII)], "left")
+            low[:, :, j], wide[:, :, j] = first, np.searchsorted(own, ends[len(RADII) :], "right") - first
+        return low, wide
 
     def nearest(self, queries: np.ndarray, own: list[int], k: int):
-        """Positions and inner products of each query's nearest rows; ``own`` is the row to leave out, or -1."""
-        n, m = len(self.vectors), self.order.shape[0]
+        """Positions and inner products of each query's nearest verified rows; ``own`` is the row to leave out, or -1."""
+        n = len(self.vectors)
         norms = np.linalg.norm(queries, axis=1)
-        projected = np.column_stack([queries / norms[:, None], np.zeros(len(queries))]) @ self.directions
-        low = np.empty((len(RADII), m, len(queries)), dtype=np.int32)
-        high = np.empty_like(low)
-        for j in range(m):
-            for r, radius in enumerate(RADII):
-                low[r, j] = np.searchsorted(self.sorted[j], projected[:, j] - radius, "left")
-                high[r, j] = np.searchsorted(self.sorted[j], projected[:, j] + radius, "right")
-        enough = int(np.ceil(COLLISIONS * m))
-        for q in range(len(queries)):
-            counts = np.zeros(n, dtype=np.int64)
-            pending = np.ones(n, dtype=bool)
-            if own[q] >= 0:
-                pending[own[q]] = False
-            found, scores = [], []
-            a, b = low[0, :, q], low[0, :, q]
-            for r, radius in enumerate(RADII):
-                lo, hi = low[r, :, q], high[r, :, q]
-                rings = [s for j in range(m) for s in (self.order[j, lo[j] : a[j]], self.order[j, b[j] : hi[j]]) if len(s)]
-                if rings:
-                    counts += np.bincount(np.concatenate(rings), minlength=n)
-                a, b = lo, hi
-                fresh = np.flatnonzero((counts >= enough) & pending)
-                if len(fresh):
-                    pending[fresh] = False
-                    found.append(fresh)
-                    scores.append((self.vectors[fresh] * queries[q]).sum(axis=1))
-                have = sum(map(len, found))
-                if have >= k:
-                    score = np.concatenate(scores)
-                    kth = np.partition(score, len(score) - k)[len(score) - k]
-                    distance = np.sqrt(max(0.0, 2.0 - 2.0 * kth / (self.most * norms[q])))
-                    if distance <= radius:
-                        break
-            if sum(map(len, found)) < min(k, n):
-                # too few collided even at the widest window: the rest is verified as well
-                rest = np.flatnonzero(pending)
-                found.append(rest)
-                scores.append((self.vectors[rest] * queries[q]).sum(axis=1))
-            yield np.concatenate(found), np.concatenate(scores)
+        enough = int(np.ceil(COLLISIONS * len(self.rank)))
+        # a rank below the window wraps round to a large number
+        shifted, inside = np.empty_like(self.rank), np.empty(self.rank.shape, dtype=bool)
+        for first in range(0, len(queries), STEP_QUERIES):
+            part = queries[first : first + STEP_QUERIES]
+            low, wide = self.windows(part / norms[first : first + STEP_QUERIES, None])
+            guesses = self.vectors[self.sample] @ part.T
+            for q in range(len(part)):
+                pending = np.ones(n, dtype=bool)
+                if own[first + q] >= 0:
+                    pending[own[first + q]] = False
+                unit = self.most * norms[first + q]
+                found, scores = [], []
+                for r in range(self.opening(guesses[:, q], pending, unit, k), len(RADII)):
+                    np.subtract(self.rank, low[r, q, :, None], out=shifted)
+                    np.less(shifted, wide[r, q, :, None], out=inside)
+                    counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+                    fresh = np.flatnonzero((counts >= enough) & pending)
+                    if len(fresh):
+                        pending[fresh] = False
+                        found.append(fresh)
+                        scores.append(self.vectors[fresh] @ part[q])
+                    if sum(map(len, found)) >= k:
+                        score = np.concatenate(scores)
+                        kth = np.partition(score, len(score) - k)[len(score) - k]
+                        if np.sqrt(max(0.0, 2.0 - 2.0 * kth / unit)) <= RADII[r]:
+                            break
+                if sum(map(len, found)) < min(k, n):
+                    # too few collided even at the widest window: the rest is verified as well
+                    rest = np.flatnonzero(pending)
+                    found.append(rest)
+                    scores.append(self.vectors[rest] @ part[q])
+                yield self.best(part[q], np.concatenate(found), np.concatenate(scores), k)
+
+    def best(self, query: np.ndarray, at: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that can be among the ``k`` best, with products summed in one fixed order."""
+        if len(at) > k:
+            kth = np.partition(score, len(score) - k)[len(score) - k]
+            at = at[score >= kth - ROUNDING * (1.0 + abs(kth))]
+        return at, (self.vectors[at] * query).sum(axis=1)
+
+    def opening(self, guesses: np.ndarray, pending: np.ndarray, unit: float, k: int) -> int:
+        """The first radius: a little less than where the k-th nearest lies by the block's sample."""
+        there = guesses[pending[self.sample]]
+        place = max(1, round(k * len(there) / max(1, len(pending))))
+        if len(there) < place:
+            return 0
+        near = np.partition(there, len(there) - place)[len(there) - place]
+        return int(np.searchsorted(RADII, OPENING * np.sqrt(max(0.0, 2.0 - 2.0 * near / unit)), "right")) - 1
 
 
 def nearest(
