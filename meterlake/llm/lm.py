@@ -179,11 +179,12 @@ def run_figures(table: dict, at: np.ndarray, low: np.ndarray, high: np.ndarray)
     """What the counts of the runs ``at``, from ``low`` to ``high``, sum to, and how many are one and two; zero for empty runs. Only long runs have them stored."""
     size = high - low
     far = np.flatnonzero(size > SHORT_RUN)
-    size[far] = 0
-    owner = np.repeat(np.arange(len(at)), size)
-    place = np.repeat(low - np.cumsum(size) + size, size) + np.arange(len(owner))
-    counts = looked_up(table, "count", place)
-    out = [np.bincount(owner, w, len(at)).astype(np.int64) for w in (counts, counts == 1, counts == 2)]
+    out = [np.zeros(len(at), dtype=np.int64) for _ in range(3)]
+    for length in range(1, SHORT_RUN + 1):
+        own = np.flatnonzero(size == length)
+        counts = looked_up(table, "count", (low[own][:, None] + np.arange(length)).ravel()).reshape(-1, length)
+        for values, part in zip(out, (counts, counts == 1, counts == 2), strict=True):
+            values[own] = part.sum(axis=1) if length > 1 else part[:, 0]
     if len(far):
         stored_at = np.searchsorted(table["long"], at[far])
         for values, name in zip(out, ("after", "once", "twice"), strict=True):
