@@ -104,6 +104,28 @@ def test_clusters_hold_every_link(spark):
     assert {r["confidence_level"] for r in queue} >= {"HIGH", "MEDIUM", "LOW"}
 
 
+def test_queue_holds_every_close_pair(spark):
+    rng = random.Random(4)
+    words = ["metropolitan", "yellow", "cab", "services", "north", "taxi", "ab", "x"]
+    names = [" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(12)]
+    for name in list(names):
+        for n in (1, 2, 4):
+            letters = list(name)
+            for _ in range(n):
+                letters.insert(rng.randrange(len(letters) + 1), rng.choice("qzjk"))
+            names.append("".join(letters).strip())
+    names += [f"yellow cab {k:05d}" for k in range(0, 60, 7)] + ["yellow cab 00007", "abcde", "abcdx", "abcyx"]
+    rows = {i: " ".join(n.split()) for i, n in enumerate(names, 100)}
+    first = {n: min(i for i, m in rows.items() if m == n) for n in rows.values()}
+    want = {(first[n], i): 100.0 for i, n in rows.items() if i != first[n]}
+    want |= {(i, j): score(a, b) for a, i in first.items() for b, j in first.items() if i < j and score(a, b) >= 80}
+    masters = spark.createDataFrame([*rows.items(), (1, None), (2, ""), (3, None)], "id bigint, name string")
+    got = matching.dedup_pairs(masters, "id", "name").collect()
+    assert len(got) == len(want) and {(r["id_1"], r["id_2"]): r["match_score"] for r in got} == want
+    # a pair that only the head of its cluster would stand for
+    assert len(want) > matching.dedup_queue(masters, "id", "name").count()
+
+
 def test_serial_names_take_no_pairs(spark):
     """A long series of names that all resemble each other: the work follows the names, not their pairs."""
     names = spark.range(1200).selectExpr("id + 1 AS id", "format_string('Metered cab company %06d', id) AS name")
