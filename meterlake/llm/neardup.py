@@ -6,9 +6,11 @@
    pairs far below the limit, or whose sizes exclude it, are passed over. All others are confirmed on their full sets.
 3. First each class is tried against the smallest that shares a bucket with it, a star. Confirmed links make components. Buckets that still hold several components
    are searched further: members outside the bucket's largest component are compared with all others, cell by cell, in arrays of packed signatures,
-   and each sends its most similar untested partners of other components on. The number sent grows eightfold in each round, and rounds end when
-   no bucket has an untested pair across components. So a group of thousands of near copies costs about one confirmation per member, and no link
-   that joins components is lost.
+   and each sends its few most similar untested partners of other components on.
+4. Buckets that are still open carry their members' whole sets into the cells, as 32-bit hashes. There every pair across components whose estimate passes
+   is counted on these sets, in the first bucket that the two share; pairs that collisions of hashes could not lift over the limit end there, and of the others
+   one for each two components goes on to be confirmed. Rounds end when all that went on were links. So pairs that only come close to the limit never become
+   rows, a group of near copies costs a few confirmations per member, and no link that joins components is lost.
 
 At 28 bands of 4 rows a pair of similarity 0.8 shares a band with probability 1 - 4e-7. A hot bucket is cut into cells; nothing is collected but counts.
 
@@ -37,8 +39,11 @@ SIMILAR_PCT = 80
 # four and a half standard deviations of the two-bit estimate at 0.8 below it
 SLACK = 0.2
 CELL = 2048
+CELL_BYTES = 1 << 24
 GROUP_ROWS = 30_000
-FIRST_ROUND, WIDER = 2, 8
+SET_GROUP_ROWS = 4_000
+FIRST_ROUND = 2
+COUNTED = 64
 CHUNK_WORDS = 200_000
 _RNG = np.random.default_rng(20240131)
 FACTORS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -229,21 +234,25 @@ def agreeing(probe: np.ndarray, targets: np.ndarray) -> np.ndarray:
     return (1 - apart / n - 0.25) / 0.75
 
 
-def further_pairs(members: DataFrame, tested: DataFrame, most: int, similar_pct: int) -> DataFrame:
-    """Untested pairs ``a, b`` across components inside the buckets, at most ``most`` per probe and cell, best first; ``cut`` where a probe had more.
-
-    ``members``: key, rid, n, sig, component. Buckets of one component are done. Else members outside the largest component are the probes;
-    all members are dealt into cells, and every probe visits each cell of its bucket. Many small cells share one call.
-    """
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-    opened = (
+def opened(members: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, stored, with the largest of these as ``major`` and the number of ``cells`` to cut each into."""
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    several = (
         sizes.groupBy("key")
-        .agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("c"), F.max_by("component", F.struct("m", "component")).alias("major"))
+        .agg(F.sum("m").alias("m"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"), F.max_by("component", F.struct("m", "component")).alias("major"))
         .filter(F.col("c") > 1)
-        .withColumn("cells", F.ceil(F.col("m") / F.lit(CELL)).cast("int"))
+        .withColumn("cells", F.ceil(F.greatest(F.col("m") / F.lit(CELL), 4 * F.col("n") / F.lit(CELL_BYTES))).cast("int"))
         .select("key", "major", "cells")
     )
-    inside = stored(members.join(opened, "key"), "neardup-open")
+    return stored(members.join(several, "key"), "neardup-open")
+
+
+def further_pairs(inside: DataFrame, tested: DataFrame, most: int, similar_pct: int) -> DataFrame:
+    """Untested pairs ``a, b`` across components inside the buckets, at most ``most`` per probe and cell, best first; ``cut`` where a probe had more.
+
+    ``inside``: rows of :func:`opened`. Members outside the largest component are the probes;
+    all members are dealt into cells, and every probe visits each cell of its bucket. Many small cells share one call.
+    """
     calls = max(1, inside.count() // GROUP_ROWS)
     cell = F.pmod(F.xxhash64("rid"), F.col("cells")).cast("int")
     call = F.pmod(F.xxhash64("key", "cell"), F.lit(calls))
@@ -285,6 +294,94 @@ def further_pairs(members: DataFrame, tested: DataFrame, most: int, similar_pct:
     return stored(found.groupBy("a", "b").agg(F.bool_or("cut").alias("cut")), "neardup-pairs")
 
 
+def packed_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``rid``, ``words`` (the set of ``text`` as sorted 32-bit hashes) and ``lost`` (how many hashes fell together), beside the columns ``bands``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                part = batch.slice(at, 200)
+                sets = shingle_sets(part.column("text").to_pylist(), width)
+                short = [np.unique(x.astype(np.uint32)) for x in sets]
+                made = [pa.array([x.tobytes() for x in short], pa.binary()), pa.array([len(x) - len(y) for x, y in zip(sets, short, strict=True)], pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("bands"), *made], ["rid", "bands", "words", "lost"])
+
+    return stored(texts.select("rid", "bands", "text").mapInArrow(run, "rid long, bands array<long>, words binary, lost long"), "neardup-sets")
+
+
+def linkable(inside: DataFrame, sets: DataFrame, refused: DataFrame, similar_pct: int) -> DataFrame:
+    """Pairs ``a, b`` across components inside the buckets that reach the limit on their 32-bit sets, with all hashes that fell together counted as common.
+
+    Every pair that shares a bucket and passes on estimate and size is counted, unless ``refused`` holds it: in the bucket of the first band the two
+    share, by the probe of smaller number. Pairs found join their components for the rest of the cell, so at most one goes on for each two components there.
+    """
+    size = inside.agg(F.count(F.lit(1)), F.sum("n")).first()
+    calls = max(1, size[0] // SET_GROUP_ROWS, 4 * (size[1] or 0) // CELL_BYTES)
+    cell = F.pmod(F.xxhash64("rid"), F.col("cells")).cast("int")
+    call = F.pmod(F.xxhash64("key", "cell"), F.lit(calls))
+    targets = inside.join(sets, "rid").withColumn("cell", cell)
+    targets = targets.select(call.alias("call"), "key", "cell", "rid", "n", "sig", "component", "bands", "words", "lost")
+    probes = inside.filter(F.col("component") != F.col("major"))
+    # the probes of a bucket of one cell find their sets there
+    one = probes.filter(F.col("cells") == 1)
+    for c in sets.columns[1:]:
+        one = one.withColumn(c, F.lit(None).cast(sets.schema[c].dataType))
+    probes = one.unionByName(probes.filter(F.col("cells") > 1).join(sets, "rid"))
+    sides = refused.select("a", "b").union(refused.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    done = sides.groupBy(F.col("a").alias("rid")).agg(F.collect_set("b").alias("done"))
+    probes = probes.join(done, "rid", "left").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("call", call)
+    seen = F.coalesce("done", F.array().cast("array<bigint>")).alias("done")
+    columns = ("call", "key", "cell", "rid", "n", "sig", "component", "major", "bands", "words", "lost")
+    probes = probes.select(*[F.col(c).alias(f"_{c}") for c in columns], seen)
+    limit, slack, counted = similar_pct, SLACK, COUNTED
+
+    def search(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        for (k, c), held in have.groupby(["key", "cell"], sort=False) if len(ask) and len(have) else []:
+            asked = ask[(ask["_key"] == k) & (ask["_cell"] == c)]
+            if not len(asked):
+                continue
+            sigs, bands = (np.stack(held[x].to_numpy()).astype(np.int64) for x in ("sig", "bands"))
+            rid, n, comp, lost = (held[x].to_numpy() for x in ("rid", "n", "component", "lost"))
+            words = [np.frombuffer(w, dtype=np.uint32) for w in held["words"]]
+            place = {r: p for p, r in enumerate(rid.tolist())}
+            merged, joined = comp.copy(), {}
+            names = ("_rid", "_n", "_sig", "_component", "_major", "_bands", "_words", "_lost", "done")
+            for r, size, sig, own, major, keys, text, short, known in zip(*(asked[x] for x in names), strict=True):
+                if text is None:
+                    at = place[r]
+                    keys, text, short = bands[at], words[at], lost[at]
+                else:
+                    keys, text = np.asarray(keys, dtype=np.int64), np.frombuffer(text, dtype=np.uint32)
+                while own in joined:
+                    own = joined[own]
+                near = agreeing(np.asarray(sig, dtype=np.int64), sigs)
+                good = (merged != own) & (near >= limit / 100 - slack) & (100 * np.minimum(n, size) >= limit * np.maximum(n, size))
+                good &= (comp == major) | (rid > r)
+                if len(known):
+                    good &= ~np.isin(rid, np.asarray(known))
+                at = np.flatnonzero(good)
+                at = at[keys[np.argmax(bands[at] == keys[None, :], axis=1)] == k] if len(at) else at
+                at = at[np.argsort(-near[at], kind="stable")]
+                while len(at):
+                    now, at = at[:counted], at[counted:]
+                    flat = np.concatenate([words[p] for p in now])
+                    sizes = np.array([len(words[p]) for p in now])
+                    found = text[np.minimum(np.searchsorted(text, flat), len(text) - 1)] == flat
+                    common = np.add.reduceat(found, np.cumsum(sizes) - sizes, dtype=np.int64)
+                    common += np.minimum(lost[now], short)
+                    for p in now[100 * common >= limit * (n[now] + size - common)].tolist():
+                        if merged[p] != own:
+                            out.append((min(r, rid[p]), max(r, rid[p])))
+                            joined[merged[p]] = own
+                            merged[merged == merged[p]] = own
+                    at = at[merged[at] != own]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    found = probes.groupBy("_call").cogroup(targets.groupBy("call")).applyInPandas(search, "a long, b long")
+    return stored(found.distinct(), "neardup-pairs")
+
+
 def grouped(
     docs: DataFrame,
     text: str = "text",
@@ -324,20 +421,29 @@ def grouped(
     near = estimated([F.col("_s")[k] for k in range(4)], [F.col("sig")[k] for k in range(4)]) >= similar_pct / 100 - SLACK
     sized = 100 * F.least("n", "_n") >= similar_pct * F.greatest("n", "_n")
     tested = confirmed(told.filter(near & sized).select("a", "b"), texts, width, similar_pct)
-    most = FIRST_ROUND
-    while True:
-        labels = components(tested.filter("linked"))
+    def open_rows(labels: DataFrame) -> DataFrame:
         held = shared.select("key", "rid").join(labels.withColumnRenamed("node", "rid"), "rid", "left")
-        held = held.withColumn("component", F.coalesce("component", "rid")).join(facts, "rid")
-        more = further_pairs(held, tested, most, similar_pct)
-        if not more.take(1):
-            break
+        return opened(held.withColumn("component", F.coalesce("component", "rid")).join(facts, "rid"))
+
+    labels = components(tested.filter("linked"))
+    more = further_pairs(open_rows(labels), tested, FIRST_ROUND, similar_pct)
+    if more.take(1):
         tested = stored(tested.union(confirmed(more, texts, width, similar_pct)), "neardup-tested")
-        if not more.filter("cut").take(1):
-            # every pair across components has been tested
+        labels = components(tested.filter("linked"))
+    if more.filter("cut").take(1):
+        inside = open_rows(labels)
+        fetch = inside.select("rid").distinct().join(nodes.select("rid", "bands"), "rid").join(texts, "rid")
+        sets = packed_sets(fetch, width)
+        refused = tested.limit(0)
+        while True:
+            checked = confirmed(linkable(inside, sets, refused, similar_pct), texts, width, similar_pct)
+            tested = stored(tested.union(checked), "neardup-tested")
             labels = components(tested.filter("linked"))
-            break
-        most *= WIDER
+            if not checked.filter("NOT linked").take(1):
+                # every pair across components has been counted
+                break
+            refused = stored(refused.union(checked.filter("NOT linked")), "neardup-refused")
+            inside = open_rows(labels)
 
     # nothing below reads the table; its files stay in the scratch folder
     docs.sparkSession.sql(f"DROP TABLE IF EXISTS {texts_table}")

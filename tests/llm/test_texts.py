@@ -120,6 +120,44 @@ def test_neardup_searches_beyond_the_star(docs_of, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(rows, 4, 80)
 
 
+def nearly_linked(n: int) -> list[tuple]:
+    """Copies of one text with three other words each, at a similarity of 0.72 to each other, and some with one, that are linked."""
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in RNG.sample(range(2, 148, 7), 1 if i % 40 == 0 else 3):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words), "s"))
+    return rows
+
+
+def test_neardup_pairs_that_come_close_are_no_rows(docs_of, monkeypatch):
+    """In a group of copies just below the limit the pairs confirmed grow with the documents, not with their pairs."""
+    rows, sent, real = nearly_linked(400), [], neardup.confirmed
+
+    def counted(pairs, *rest):
+        sent.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "confirmed", counted)
+    got = neardup.grouped(docs_of(rows), width=4).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(rows, 4, 80)
+    assert sum(sent) <= len(rows) * (neardup.FIRST_ROUND * neardup.BANDS + 2)
+
+
+def test_neardup_goes_on_where_hashes_fell_together(docs_of, monkeypatch):
+    """Sets of which nothing is known but their sizes: every pair goes on, is refused, and the rest is counted in further rounds."""
+    monkeypatch.setattr(neardup, "FIRST_ROUND", 1)
+    monkeypatch.setattr(neardup, "CELL", 5)
+    real = neardup.packed_sets
+    unknown = {"words": F.lit(bytes(4)), "lost": F.lit(1_000_000).cast("long")}
+    monkeypatch.setattr(neardup, "packed_sets", lambda texts, width: real(texts, width).withColumns(unknown))
+    rows = nearly_linked(14) + [(100, nearly_linked(1)[0][1] + " end", "s")]
+    got = neardup.grouped(docs_of(rows), width=4).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(rows, 4, 80)
+
+
 def test_estimates_are_near_the_true_similarity():
     one = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 4000).astype(np.uint64))
     for share in (0.5, 0.8, 0.95):
