@@ -4,7 +4,8 @@ Each vector is projected on fixed random directions, and every projection is kep
 rehashing is virtual: a larger radius only widens the windows, which are ranges of ranks in the sorted arrays. The first radius comes from the block's
 sample, the next ones grow in small steps. A vector that collides in
 enough projections is verified by its exact inner product. The search for a query ends when its k-th verified vector is nearer than the radius that
-the windows stand for, so all that near were counted with high probability.
+the windows stand for, so all that near were counted with high probability. As soon as k are verified, the windows go to the k-th one's distance at once: between the first
+radius and that one, most queries count once more instead of at every step, and their windows are never narrower than step by step.
 
 Inner products become distances by one more coordinate: vectors are scaled by the largest norm and filled up to length one, queries to length one.
 
@@ -60,7 +61,7 @@ class Index:
         scaled = vectors / most
         fill = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
         projected = (np.column_stack([scaled, fill]) @ directions).T
-        order = np.argsort(projected, axis=1, kind="stable")
+        order = np.argsort(projected, axis=1)
         self.sorted = np.take_along_axis(projected, order, axis=1)
         kind = np.uint16 if len(vectors) < 1 << 16 else np.uint32
         self.rank = np.empty(order.shape, dtype=kind)
@@ -68,15 +69,13 @@ class Index:
         self.vectors, self.most, self.directions = vectors, most, directions
         self.sample = np.random.default_rng(11).permutation(len(vectors))[:SAMPLE]
 
-    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First rank and width of each window, by radius, query and projection."""
-        projected = np.column_stack([queries, np.zeros(len(queries))]) @ self.directions
-        low = np.empty((len(RADII), len(queries), len(self.rank)), dtype=self.rank.dtype)
+    def windows(self, projected: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First rank and width of each window, by query and projection: around each query's projections, at its radius."""
+        low = np.empty(projected.shape, dtype=self.rank.dtype)
         wide = np.empty_like(low)
         for j, own in enumerate(self.sorted):
-            ends = projected[None, :, j] + np.concatenate([-RADII, RADII])[:, None]
-            first = np.searchsorted(own, ends[: len(RADII)], "left")
-            low[:, :, j], wide[:, :, j] = first, np.searchsorted(own, ends[len(RADII) :], "right") - first
+            first = np.searchsorted(own, projected[:, j] - radii, "left")
+            low[:, j], wide[:, j] = first, np.searchsorted(own, projected[:, j] + radii, "right") - first
         return low, wide
 
     def nearest(self, queries: np.ndarray, own: list[int], k: int):
@@ -88,34 +87,49 @@ class Index:
         shifted, inside = np.empty_like(self.rank), np.empty(self.rank.shape, dtype=bool)
         for first in range(0, len(queries), STEP_QUERIES):
             part = queries[first : first + STEP_QUERIES]
-            low, wide = self.windows(part / norms[first : first + STEP_QUERIES, None])
+            unit = self.most * norms[first : first + STEP_QUERIES]
+            projected = np.column_stack([part / norms[first : first + STEP_QUERIES, None], np.zeros(len(part))]) @ self.directions
             guesses = self.vectors[self.sample] @ part.T
+            pending = np.ones((len(part), n), dtype=bool)
             for q in range(len(part)):
-                pending = np.ones(n, dtype=bool)
                 if own[first + q] >= 0:
-                    pending[own[first + q]] = False
-                unit = self.most * norms[first + q]
-                found, scores = [], []
-                for r in range(self.opening(guesses[:, q], pending, unit, k), len(RADII)):
-                    np.subtract(self.rank, low[r, q, :, None], out=shifted)
-                    np.less(shifted, wide[r, q, :, None], out=inside)
+                    pending[q, own[first + q]] = False
+            radius = np.array([self.opening(guesses[:, q], pending[q], unit[q], k) for q in range(len(part))])
+            found, scores = [[] for _ in part], [[] for _ in part]
+            asking = np.arange(len(part))
+            # the queries of a step widen together, each at its own radius
+            while len(asking):
+                low, wide = self.windows(projected[asking], RADII[radius[asking]])
+                for at, q in enumerate(asking):
+                    np.subtract(self.rank, low[at, :, None], out=shifted)
+                    np.less(shifted, wide[at, :, None], out=inside)
                     counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
-                    fresh = np.flatnonzero((counts >= enough) & pending)
+                    fresh = np.flatnonzero((counts >= enough) & pending[q])
                     if len(fresh):
-                        pending[fresh] = False
-                        found.append(fresh)
-                        scores.append(self.vectors[fresh] @ part[q])
-                    if sum(map(len, found)) >= k:
-                        score = np.concatenate(scores)
-                        kth = np.partition(score, len(score) - k)[len(score) - k]
-                        if np.sqrt(max(0.0, 2.0 - 2.0 * kth / unit)) <= RADII[r]:
-                            break
-                if sum(map(len, found)) < min(k, n):
+                        pending[q, fresh] = False
+                        found[q].append(fresh)
+                        scores[q].append(self.vectors.take(fresh, axis=0) @ part[q])
+                    radius[q] = self.following(radius[q], scores[q], unit[q], k)
+                asking = asking[radius[asking] < len(RADII)]
+            for q in range(len(part)):
+                if sum(map(len, found[q])) < min(k, n):
                     # too few collided even at the widest window: the rest is verified as well
-                    rest = np.flatnonzero(pending)
-                    found.append(rest)
-                    scores.append(self.vectors[rest] @ part[q])
-                yield self.best(part[q], np.concatenate(found), np.concatenate(scores), k)
+                    rest = np.flatnonzero(pending[q])
+                    found[q].append(rest)
+                    scores[q].append(self.vectors[rest] @ part[q])
+                yield self.best(part[q], np.concatenate(found[q]), np.concatenate(scores[q]), k)
+
+    def following(self, r: int, scores: list[np.ndarray], unit: float, k: int) -> int:
+        """The next radius, or one beyond the last where the search ends. With ``k`` rows verified it ends at the distance of the k-th
+        at the latest, so the windows go there at once."""
+        last = 0
+        if sum(map(len, scores)) >= k:
+            score = np.concatenate(scores)
+            kth = np.partition(score, len(score) - k)[len(score) - k]
+            last = int(np.searchsorted(RADII, np.sqrt(max(0.0, 2.0 - 2.0 * kth / unit)), "left"))
+            if last <= r:
+                return len(RADII)
+        return len(RADII) if r >= len(RADII) - 1 else max(r + 1, min(last, len(RADII) - 1))
 
     def best(self, query: np.ndarray, at: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The rows that can be among the ``k`` best, with products summed in one fixed order."""

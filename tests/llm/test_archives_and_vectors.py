@@ -156,3 +156,21 @@ def test_pipeline_stages(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
         assert empty.count() == 0
+
+
+def test_windows_go_to_the_last_radius_at_once(monkeypatch):
+    """Radii ten times finer cost no more counts, and the nearest are found."""
+    monkeypatch.setattr(ann, "RADII", np.concatenate([[0.0], 0.05 * 1.003 ** np.arange(1300)]))
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((2000, 48))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    index, counts, real = ann.Index(vectors, 1.0, rng.standard_normal((49, ann.PROJECTIONS))), [], ann.Index.following
+    monkeypatch.setattr(ann.Index, "following", lambda self, *args: counts.append(1) or real(self, *args))
+    asked = list(range(0, 2000, 20))
+    hit = 0
+    for q, (at, _) in zip(asked, index.nearest(vectors[asked], asked, 20), strict=True):
+        products = vectors @ vectors[q]
+        products[q] = -2
+        hit += len(set(np.argsort(-products)[:20].tolist()) & set(at.tolist()))
+    assert hit >= 0.95 * 20 * len(asked)
+    assert len(counts) <= 15 * len(asked)
