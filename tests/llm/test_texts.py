@@ -121,12 +121,12 @@ def test_neardup_searches_beyond_the_star(docs_of, monkeypatch):
 
 
 def nearly_linked(n: int) -> list[tuple]:
-    """Copies of one text with three other words each, at a similarity of 0.72 to each other, and some with one, that are linked."""
+    """Copies of one text with four other words each, at a similarity of 0.64 and more to each other, and some with one, that are linked."""
     base = [f"b{i}" for i in range(150)]
     rows = []
     for i in range(n):
         words = list(base)
-        for at in RNG.sample(range(2, 148, 7), 1 if i % 40 == 0 else 3):
+        for at in RNG.sample(range(2, 148, 7), 1 if i % 40 == 0 else 4):
             words[at] = f"x{i}y{at}"
         rows.append((i, " ".join(words), "s"))
     return rows
