@@ -5,8 +5,8 @@
 2. Classes that share a band key are candidates. The bit counts of two packed signatures estimate the similarity, corrected for bits that agree by chance;
    pairs far below the limit, or whose sizes exclude it, are passed over. All others are confirmed on their full sets.
 3. First each class is tried against the smallest that shares a bucket with it, a star. Confirmed links make components. Buckets that still hold several components
-   are searched further: members outside the bucket's largest component are compared with all others, cell by cell, in arrays of packed signatures,
-   and each sends its few most similar untested partners of other components on.
+   are searched further: members outside the bucket's largest component are compared with all others, block by block and cell by cell, in arrays of
+   packed signatures, and each sends its few most similar untested partners of other components on.
 4. Buckets that are still open carry their members' whole sets into the cells, as 32-bit hashes. There every pair across components whose estimate passes
    is counted on these sets, in the first bucket that the two share; pairs that collisions of hashes could not lift over the limit end there, and of the others
    one for each two components goes on to be confirmed. Rounds end when all that went on were links. So pairs that only come close to the limit never become
@@ -40,6 +40,8 @@ SIMILAR_PCT = 80
 SLACK = 0.2
 CELL = 2048
 CELL_BYTES = 1 << 24
+# probes that visit a cell together, in cells
+BLOCK = 2
 GROUP_ROWS = 30_000
 SET_GROUP_ROWS = 4_000
 FIRST_ROUND = 2
@@ -234,15 +236,30 @@ def agreeing(probe: np.ndarray, targets: np.ndarray) -> np.ndarray:
     return (1 - apart / n - 0.25) / 0.75
 
 
+def _parts(rows: Column, words: Column, cells: int) -> Column:
+    """Into how many parts of at most so many cells' size ``rows`` of together ``words`` shingles are cut."""
+    return F.ceil(F.greatest(rows / F.lit(cells * CELL), 4 * words / F.lit(cells * CELL_BYTES))).cast("int")
+
+
+def _every(number: str) -> Column:
+    """One row for each number below that of a column."""
+    return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+
+
 def opened(members: DataFrame) -> DataFrame:
-    """The rows of buckets that hold several components, stored, with the largest of these as ``major`` and the number of ``cells`` to cut each into."""
+    """The rows of buckets that hold several components, stored, with the largest of these as ``major``, the number of ``cells`` to cut each into
+    and that of ``blocks`` for the rows outside ``major``: one where there is one cell."""
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
     several = (
         sizes.groupBy("key")
-        .agg(F.sum("m").alias("m"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"), F.max_by("component", F.struct("m", "component")).alias("major"))
+        .agg(F.sum("m").alias("m"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"), F.max(F.struct("m", "component", "n")).alias("most"))
         .filter(F.col("c") > 1)
-        .withColumn("cells", F.ceil(F.greatest(F.col("m") / F.lit(CELL), 4 * F.col("n") / F.lit(CELL_BYTES))).cast("int"))
-        .select("key", "major", "cells")
+        .select(
+            "key",
+            F.col("most.component").alias("major"),
+            _parts(F.col("m"), F.col("n"), 1).alias("cells"),
+            _parts(F.col("m") - F.col("most.m"), F.col("n") - F.col("most.n"), BLOCK).alias("blocks"),
+        )
     )
     return stored(members.join(several, "key"), "neardup-open")
 
@@ -251,34 +268,37 @@ def further_pairs(inside: DataFrame, tested: DataFrame, most: int, similar_pct:
     """Untested pairs ``a, b`` across components inside the buckets, at most ``most`` per probe and cell, best first; ``cut`` where a probe had more.
 
     ``inside``: rows of :func:`opened`. Members outside the largest component are the probes;
-    all members are dealt into cells, and every probe visits each cell of its bucket. Many small cells share one call.
+    all members are dealt into cells, the probes into blocks, and every block visits each cell of its bucket. Many small cells share one call.
     """
-    calls = max(1, inside.count() // GROUP_ROWS)
+    visits = F.col("blocks") + F.when(F.col("component") != F.col("major"), F.col("cells")).otherwise(0)
+    calls = max(1, (inside.agg(F.sum(F.when(F.col("cells") > 1, visits).otherwise(1))).first()[0] or 0) // GROUP_ROWS)
     cell = F.pmod(F.xxhash64("rid"), F.col("cells")).cast("int")
-    call = F.pmod(F.xxhash64("key", "cell"), F.lit(calls))
-    targets = inside.withColumn("cell", cell).select(call.alias("call"), "key", "cell", "rid", "n", "sig", "component")
+    block = F.pmod(F.xxhash64("rid", F.lit(1)), F.col("blocks")).cast("int")
+    call = F.pmod(F.xxhash64("key", "cell", "block"), F.lit(calls))
+    targets = inside.withColumn("cell", cell).withColumn("block", _every("blocks"))
+    targets = targets.select(call.alias("call"), "key", "cell", "block", "rid", "n", "sig", "component")
     sides = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
     probes = inside.filter(F.col("component") != F.col("major"))
     done = sides.join(probes.select(F.col("rid").alias("a")).distinct(), "a").groupBy(F.col("a").alias("rid")).agg(F.collect_set("b").alias("done"))
-    probes = probes.join(done, "rid", "left").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("call", call)
+    probes = probes.join(done, "rid", "left").withColumn("block", block).withColumn("cell", _every("cells")).withColumn("call", call)
     seen = F.coalesce("done", F.array().cast("array<bigint>")).alias("done")
-    probes = probes.select(*[F.col(c).alias(f"_{c}") for c in ("call", "key", "cell", "rid", "n", "sig", "component")], seen)
+    probes = probes.select(*[F.col(c).alias(f"_{c}") for c in ("call", "key", "cell", "block", "rid", "n", "sig", "component")], seen)
     limit, slack = similar_pct, SLACK
 
     def search(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, bool]] = []
         if len(ask) and len(have):
-            have = have.sort_values(["key", "cell"], kind="stable")
+            have = have.sort_values(["key", "cell", "block"], kind="stable")
             sigs = np.stack(have["sig"].to_numpy()).astype(np.int64)
             rid, n, comp = (have[c].to_numpy() for c in ("rid", "n", "component"))
-            key, cell = have["key"].to_numpy(), have["cell"].to_numpy()
-            edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
-            ranges = {(key[x], cell[x]): (x, y) for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(key)], strict=True)}
-            columns = (ask[c] for c in ("_key", "_cell", "_rid", "_n", "_sig", "_component", "done"))
-            for k, c, r, size, sig, own, known in zip(*columns, strict=True):
-                if (k, c) not in ranges:
+            key, cell, block = (have[c].to_numpy() for c in ("key", "cell", "block"))
+            edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]) | (block[1:] != block[:-1])]))
+            ranges = {(key[x], cell[x], block[x]): (x, y) for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(key)], strict=True)}
+            columns = (ask[c] for c in ("_key", "_cell", "_block", "_rid", "_n", "_sig", "_component", "done"))
+            for k, c, b, r, size, sig, own, known in zip(*columns, strict=True):
+                if (k, c, b) not in ranges:
                     continue
-                x, y = ranges[k, c]
+                x, y = ranges[k, c, b]
                 near = agreeing(np.asarray(sig, dtype=np.int64), sigs[x:y])
                 there = n[x:y]
                 good = (comp[x:y] != own) & (near >= limit / 100 - slack) & (100 * np.minimum(there, size) >= limit * np.maximum(there, size))
@@ -313,14 +333,18 @@ def linkable(inside: DataFrame, sets: DataFrame, refused: DataFrame, similar_pct
     """Pairs ``a, b`` across components inside the buckets that reach the limit on their 32-bit sets, with all hashes that fell together counted as common.
 
     Every pair that shares a bucket and passes on estimate and size is counted, unless ``refused`` holds it: in the bucket of the first band the two
-    share, by the probe of smaller number. Pairs found join their components for the rest of the cell, so at most one goes on for each two components there.
+    share, by the probe of smaller number. Pairs found join their components for the rest of the block's visit, so at most one goes on for each two
+    components there.
     """
-    size = inside.agg(F.count(F.lit(1)), F.sum("n")).first()
-    calls = max(1, size[0] // SET_GROUP_ROWS, 4 * (size[1] or 0) // CELL_BYTES)
+    # rows that carry their sets: targets once for each block, probes once for each cell of several
+    visits = F.col("blocks") + F.when((F.col("component") != F.col("major")) & (F.col("cells") > 1), F.col("cells")).otherwise(0)
+    size = inside.agg(F.sum(visits), F.sum(visits * F.col("n"))).first()
+    calls = max(1, (size[0] or 0) // SET_GROUP_ROWS, 4 * (size[1] or 0) // CELL_BYTES)
     cell = F.pmod(F.xxhash64("rid"), F.col("cells")).cast("int")
-    call = F.pmod(F.xxhash64("key", "cell"), F.lit(calls))
-    targets = inside.join(sets, "rid").withColumn("cell", cell)
-    targets = targets.select(call.alias("call"), "key", "cell", "rid", "n", "sig", "component", "bands", "words", "lost")
+    block = F.pmod(F.xxhash64("rid", F.lit(1)), F.col("blocks")).cast("int")
+    call = F.pmod(F.xxhash64("key", "cell", "block"), F.lit(calls))
+    targets = inside.join(sets, "rid").withColumn("cell", cell).withColumn("block", _every("blocks"))
+    targets = targets.select(call.alias("call"), "key", "cell", "block", "rid", "n", "sig", "component", "bands", "words", "lost")
     probes = inside.filter(F.col("component") != F.col("major"))
     # the probes of a bucket of one cell find their sets there
     one = probes.filter(F.col("cells") == 1)
@@ -329,16 +353,16 @@ def linkable(inside: DataFrame, sets: DataFrame, refused: DataFrame, similar_pct
     probes = one.unionByName(probes.filter(F.col("cells") > 1).join(sets, "rid"))
     sides = refused.select("a", "b").union(refused.select(F.col("b").alias("a"), F.col("a").alias("b")))
     done = sides.groupBy(F.col("a").alias("rid")).agg(F.collect_set("b").alias("done"))
-    probes = probes.join(done, "rid", "left").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("call", call)
+    probes = probes.join(done, "rid", "left").withColumn("block", block).withColumn("cell", _every("cells")).withColumn("call", call)
     seen = F.coalesce("done", F.array().cast("array<bigint>")).alias("done")
-    columns = ("call", "key", "cell", "rid", "n", "sig", "component", "major", "bands", "words", "lost")
+    columns = ("call", "key", "cell", "block", "rid", "n", "sig", "component", "major", "bands", "words", "lost")
     probes = probes.select(*[F.col(c).alias(f"_{c}") for c in columns], seen)
     limit, slack, counted = similar_pct, SLACK, COUNTED
 
     def search(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
-        for (k, c), held in have.groupby(["key", "cell"], sort=False) if len(ask) and len(have) else []:
-            asked = ask[(ask["_key"] == k) & (ask["_cell"] == c)]
+        for (k, c, b), held in have.groupby(["key", "cell", "block"], sort=False) if len(ask) and len(have) else []:
+            asked = ask[(ask["_key"] == k) & (ask["_cell"] == c) & (ask["_block"] == b)]
             if not len(asked):
                 continue
             sigs, bands = (np.stack(held[x].to_numpy()).astype(np.int64) for x in ("sig", "bands"))
@@ -352,7 +376,8 @@ def linkable(inside: DataFrame, sets: DataFrame, refused: DataFrame, similar_pct
                     at = place[r]
                     keys, text, short = bands[at], words[at], lost[at]
                 else:
-                    keys, text = np.asarray(keys, dtype=np.int64), np.frombuffer(text, dtype=np.uint32)
+                    # numbers beside the NULLs of other buckets come as floats
+                    keys, text, short = np.asarray(keys, dtype=np.int64), np.frombuffer(text, dtype=np.uint32), int(short)
                 while own in joined:
                     own = joined[own]
                 near = agreeing(np.asarray(sig, dtype=np.int64), sigs)

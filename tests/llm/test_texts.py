@@ -314,3 +314,22 @@ def test_third_word_of_context_counts(docs_of):
     for order in (2, 3):
         score = {r["doc_id"]: r["score"] for r in lm.score(texts, lm.train(train, order=order), keep=["doc_id"]).collect()}
         assert (score[1] - score[2] > 0.5) == (order == 3)
+
+
+def test_neardup_buckets_of_one_cell_and_of_several_share_a_call(docs_of, monkeypatch):
+    """Large groups of copies just below the limit, cut into cells and blocks, are counted beside small ones that lie in one cell."""
+    monkeypatch.setattr(neardup, "FIRST_ROUND", 1)
+    monkeypatch.setattr(neardup, "CELL", 5)
+    monkeypatch.setattr(neardup, "BLOCK", 1)
+    seen, real = [], neardup.linkable
+
+    def counted(inside, *rest):
+        seen.extend(tuple(r) for r in inside.select("cells", "blocks").distinct().collect())
+        return real(inside, *rest)
+
+    monkeypatch.setattr(neardup, "linkable", counted)
+    rows = nearly_linked(44)
+    rows += [(100 + k, text.replace("b", "small"), "s") for k, (_, text, _) in enumerate(nearly_linked(4))]
+    got = neardup.grouped(docs_of(rows), width=4).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(rows, 4, 80)
+    assert (1, 1) in seen and any(cells > 1 and blocks > 1 for cells, blocks in seen)
