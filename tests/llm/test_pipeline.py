@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
+from meterlake.llm import neardup
 
 RNG = random.Random(31)
 NAMES = ["_row", "_id", "_hash", "_copies", "spans", "n", "row", "copies", "best", "size", "_n", "component_id"]
@@ -164,3 +165,28 @@ def test_ids_do_not_decide(spark, tmp_path):
     # a table that was never written has no places in files: it is stored first
     frame = spark.createDataFrame(full, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     assert stage(spark, frame, "").count() == 3
+
+
+def test_near_duplicates_of_large_groups_and_small_ones(spark, monkeypatch, tmp_path):
+    """Groups of copies just below the limit, one cut into several cells and one of a single cell, keep what a comparison of all pairs keeps."""
+    monkeypatch.setattr(neardup, "FIRST_ROUND", 1)
+    monkeypatch.setattr(neardup, "CELL", 5)
+    monkeypatch.setattr(neardup, "BLOCK", 1, raising=False)
+    draw = random.Random(5)
+    texts = []
+    for name, n in (("large", 40), ("small", 4)):
+        for i in range(n):
+            own = [f"{name}{k}" for k in range(150)]
+            for at in draw.sample(range(5, 145, 7), 1 if i % 20 == 0 else 3):
+                own[at] = f"{name}x{i}y{at}"
+            texts.append(" ".join(own))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(146)} for t in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    want = sorted(group.index(g) for g in set(group))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/docs")
+    kept = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), None).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == want and len(want) < len(texts)
